@@ -248,7 +248,7 @@ def read_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "_id bigint, o_orderstatus string, o_totalprice double"
     stage = new_folder(spark, "quarantine")
     path = fixtures.dirty_xml(spark, sf_dir)
-    scan_xml(spark, path, "ord", schema, keep_corrupt=True).write.parquet(stage)
+    scan_fragments(spark, path, "ord", schema, keep_corrupt=True).write.parquet(stage)
     good, bad = split_corrupt(spark.read.parquet(stage))
     key, price = F.col("_id").alias("o_orderkey"), F.col("o_totalprice")
     return good.select(key, price, F.lit(False).alias("quarantined")).union(

@@ -36,6 +36,7 @@ def scan_fragments(
 ) -> DataFrame:
     """Rows of ``scan_xml`` with the same tag and schema, read in splits of a file.
 
+    ``keep_corrupt`` adds the text of each element that does not fit the schema.
     ``ancestors`` maps a column name to (tag, attribute) of an element around the
     rows. It is set on the row that follows the ancestor's start tag and null on the
     others; ``fill_from_file`` spreads it when a file has one such element.
@@ -44,33 +45,34 @@ def scan_fragments(
     close = f"</{row_tag}>"
     text = spark.read.option("lineSep", close).text(paths)
     named = [file_path().alias(SOURCE_FILE)] if with_file or ancestors else []
-    around = {
-        name: _attribute(F.col("value"), tag, attribute)
+    around = [
+        _attribute(F.col("value"), tag, attribute).alias(name)
         for name, (tag, attribute) in (ancestors or {}).items()
-    }
-    pieces = text.select(
-        F.explode(_elements(F.col("value"), row_tag, close)).alias("fragment"),
-        *[column.alias(name) for name, column in around.items()],
-        *named,
-    )
+    ]
+    kept = [*(ancestors or {}), *([SOURCE_FILE] if named else [])]
+    closed, opened = _element_texts(F.col("value"), row_tag)
+    pieces = text.select(closed.alias("closed"), opened.alias("opened"), *around, *named)
+    # An element without a start tag is what follows the last one in its file.
+    last = F.when(F.col("opened") != "", F.array(F.concat("opened", F.lit(close))))
+    elements = F.concat("closed", F.coalesce(last, F.array().cast("array<string>")))
     parsed = F.from_xml(
-        "fragment",
+        "element",
         T.StructType(schema.fields).add(CORRUPT, T.StringType()),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    rows = pieces.select(parsed.alias("row"), *around, *([SOURCE_FILE] if named else []))
+    rows = pieces.select(F.explode(elements).alias("element"), *kept).select(
+        parsed.alias("row"), *kept
+    )
     wanted = ["row.*"] if keep_corrupt else [f"row.`{n}`" for n in schema.names]
-    return rows.select(*wanted, *around, *([SOURCE_FILE] if named else []))
+    return rows.select(*wanted, *kept)
 
 
-def _elements(value: Column, tag: str, close: str) -> Column:
-    """The elements in a piece of text: self-closed ones, then the one it is cut after."""
+def _element_texts(value: Column, tag: str) -> tuple[Column, Column]:
+    """The self-closed elements in a piece of text, and the one it was cut after."""
     name = re.escape(tag)
-    empty = F.regexp_extract_all(value, F.lit(f"(<{name}{_INSIDE}(?<=/)>)"), 1)
-    start = F.regexp_extract(value, f"(?s)(<{name}{_INSIDE}(?<!/)>.*+)", 1)
-    return F.when(start == "", empty).otherwise(
-        F.concat(empty, F.array(F.concat(start, F.lit(close))))
-    )
+    closed = F.regexp_extract_all(value, F.lit(f"(<{name}{_INSIDE}(?<=/)>)"), 1)
+    opened = F.regexp_extract(value, f"(?s)(<{name}{_INSIDE}(?<!/)>.*+)", 1)
+    return closed, opened
 
 
 def _attribute(value: Column, tag: str, attribute: str) -> Column:

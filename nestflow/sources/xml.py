@@ -35,11 +35,12 @@ def scan_xml(
 
     Attributes become fields named ``_name``. Without a schema Spark reads the
     files once more to infer one over all of them, or over ``sampling_ratio`` of
-    their records. With a schema, no match for the paths gives an empty result;
-    ``keep_corrupt`` adds the text of records that do not fit it, and
-    ``with_file`` the path of the file.
+    their records. With a schema, no match for the paths gives an empty result.
+    ``with_file`` adds the path of the file.
 
-    Spark reads one file in one task here; see ``scan_fragments`` for big files.
+    Spark reads one file in one task here, and ``keep_corrupt`` gives every record
+    that does not fit the schema the text of its whole file. It is meant for files
+    of one record; ``scan_fragments`` cuts files and keeps the record's own text.
     """
     reader = (
         spark.read.format("xml")
