@@ -27,6 +27,8 @@ JOIN_TYPES = {
     "anti": "left_anti",
     "leftanti": "left_anti",
 }
+HOT_SHARE = 1000
+
 _COMPARES = re.compile(r"[=<>]|\s")
 _EQUALITY = re.compile(r"\s*(?:l\.[^\s=]+\s*=\s*r\.[^\s=]+|r\.[^\s=]+\s*=\s*l\.[^\s=]+)\s*", re.I)
 
@@ -41,8 +43,8 @@ def join_input(
     """Join on key names, or on conditions between the sides ``l`` and ``r``.
 
     Which side is broadcast is left to Spark, which knows the sizes. ``salt=n``
-    cuts every key into n parts, for a frequent key in a join type or a session
-    where adaptive skew handling does not reach it.
+    cuts frequent keys into n parts, where adaptive skew handling does not reach:
+    in a full join, or in a session without it. It costs a count of the keys.
     """
     kind = JOIN_TYPES.get(how.lower().replace("_", ""))
     if kind is None:
@@ -84,20 +86,36 @@ def _join_salted(
     left: DataFrame, right: DataFrame, on: list[str], kind: str, salt: int
 ) -> DataFrame:
     if kind == "right_outer":
-        flipped = _join_salted(right, left, on, "left_outer", salt)
-        return flipped.select(*_using_columns(left, right, on))
+        return _join_salted(right, left, on, "left_outer", salt).select(
+            *_using_columns(left, right, on)
+        )
     if kind == "full_outer":
         matched = _join_salted(left, right, on, "left_outer", salt)
         keys = left.select(*[top(k) for k in on]).distinct()
         unmatched = _join_salted(right, keys, on, "left_anti", salt)
         return matched.unionByName(unmatched, allowMissingColumns=True)
+    hot = F.broadcast(_hot_keys(left, on))
     # Hash and input partition together spread copies too, and survive a rerun.
     part = F.pmod(F.xxhash64(*hashable(left), F.spark_partition_id()), F.lit(salt))
-    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint")))
-    joined = left.withColumn("__salt", part).join(
-        right.withColumn("__salt", parts), [*on, "__salt"], kind
+    loose = reduce(Column.__or__, [top(k).isNull() for k in on])  # meets nothing anyway
+    salted = left.join(hot, on, "left").withColumn(
+        "__salt", F.when(F.col("__hot") | loose, part).otherwise(0)
     )
-    return joined.drop("__salt")
+    parts = F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))
+    copies = F.when(F.col("__hot"), parts).otherwise(F.array(F.lit(0).cast("bigint")))
+    repeated = right.join(hot, on, "left").withColumn("__salt", F.explode(copies))
+    joined = salted.drop("__hot").join(repeated.drop("__hot"), [*on, "__salt"], kind)
+    if kind in ("left_semi", "left_anti"):
+        return joined.select(*[top(c) for c in left.columns])
+    return joined.select(*_using_columns(left, right, on))
+
+
+def _hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
+    """Keys that hold more than one row in ``HOT_SHARE``: so there are fewer than that."""
+    counts = df.groupBy(*[top(k) for k in on]).agg(F.count(F.lit(1)).alias("__rows"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    hot = counts.filter(F.col("__rows") * HOT_SHARE > total)
+    return hot.select(*[top(k) for k in on], F.lit(True).alias("__hot"))
 
 
 def _using_columns(left: DataFrame, right: DataFrame, on: list[str]) -> list[Column]:

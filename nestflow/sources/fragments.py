@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestflow.sources.xml import CORRUPT, SOURCE_FILE, file_path
+from nestflow.workspace import new_folder
 
 # What may follow the name in a start tag: plain text or quoted attribute values.
 _INSIDE = r"""(?:[\s/](?:[^"'<>]++|"[^"]*+"|'[^']*+')*+)?+"""
@@ -83,15 +84,18 @@ def _attribute(value: Column, tag: str, attribute: str) -> Column:
 def fill_from_file(df: DataFrame, columns: list[str]) -> DataFrame:
     """Give every row of a file the one value its file has in each of ``columns``.
 
-    ``df`` is read twice, so pass a written table. A file with two different
-    values stops the job: its rows cannot be told apart by file.
+    ``df`` is read twice, so pass a written table. The values per file are written
+    too: Spark then knows their size before it joins, and need not shuffle ``df``
+    when they are few. A file with two different values stops the job, since its
+    rows cannot be told apart by file.
     """
-    heads = df.groupBy(SOURCE_FILE).agg(
-        *[
-            F.when(F.min(c).eqNullSafe(F.max(c)), F.max(c))
-            .otherwise(F.raise_error(F.concat(F.lit(f"more than one {c} in "), SOURCE_FILE)))
-            .alias(c)
-            for c in columns
-        ]
-    )
-    return df.drop(*columns).join(heads, SOURCE_FILE)
+    heads = df.groupBy(SOURCE_FILE).agg(*[_only_value(c).alias(c) for c in columns])
+    folder = new_folder(df.sparkSession, "heads")
+    heads.write.parquet(folder)
+    return df.drop(*columns).join(df.sparkSession.read.parquet(folder), SOURCE_FILE)
+
+
+def _only_value(name: str) -> Column:
+    problem = F.concat(F.lit(f"more than one {name} in "), F.first(SOURCE_FILE))
+    low, high = F.min(name), F.max(name)
+    return F.when(low.eqNullSafe(high), high).otherwise(F.raise_error(problem))

@@ -1,0 +1,244 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from nestflow import StepError, apply_steps, check_steps
+from tests.conftest import rows
+
+
+def select(**columns):
+    return {"operation": "select", "columns": columns}
+
+
+@pytest.fixture
+def nested(spark):
+    return spark.createDataFrame(
+        [
+            (1, {"items": [{"v": 10, "w": "a"}, {"v": 20, "w": "b"}]}, {"v": 7}, {"x": 1, "y": 2}),
+            (2, {"items": []}, None, {}),
+            (3, {"items": None}, {"v": None}, None),
+            (4, None, None, None),
+        ],
+        "id int, data struct<items: array<struct<v: int, w: string>>>, once struct<v: int>, "
+        "attrs map<string, int>",
+    )
+
+
+class TestSelect:
+    def test_order_and_names(self, nested):
+        columns = {"data.items": "items", "id": "key"}
+        out = apply_steps(nested, [{"operation": "select", "columns": columns}])
+        assert out.columns == ["items", "key"]
+
+    def test_field_of_an_array_is_an_array(self, nested):
+        columns = {"data.items.v": "vs"}
+        out = apply_steps(nested, [{"operation": "select", "columns": columns}])
+        assert [r.vs for r in out.collect()] == [[10, 20], [], None, None]
+
+    def test_star_of_a_struct(self, nested):
+        columns = {"id": "id", "once.*": "once"}
+        out = apply_steps(nested, [{"operation": "select", "columns": columns}])
+        assert out.columns == ["id", "v"]
+        assert rows(out) == [(1, 7), (2, None), (3, None), (4, None)]
+
+    def test_star_of_an_array(self, nested):
+        columns = {"id": "id", "data.items.*": "items"}
+        out = apply_steps(nested, [{"operation": "select", "columns": columns}])
+        assert rows(out) == [(1, 10, "a"), (1, 20, "b")]
+
+    def test_star_of_a_scalar_is_refused(self, nested):
+        with pytest.raises(StepError, match=r"step 1 \(select\).*no fields to expand"):
+            apply_steps(nested, [{"operation": "select", "columns": {"id.*": "x"}}])
+
+    def test_missing_is_an_error(self, nested):
+        with pytest.raises(StepError, match=r"step 2 \(select\).*'once.none'"):
+            apply_steps(
+                nested,
+                [
+                    {"operation": "filter", "condition": "id > 0"},
+                    {"operation": "select", "columns": {"once.none": "x"}},
+                ],
+            )
+
+    @pytest.mark.parametrize("where", ["step", "call"])
+    def test_missing_can_be_null(self, nested, where):
+        step = {"operation": "select", "columns": {"id": "id", "data.none.deep": "x"}}
+        if where == "step":
+            out = apply_steps(nested, [step | {"missing": "null"}])
+        else:
+            out = apply_steps(nested, [step], missing="null")
+        assert dict(out.dtypes) == {"id": "int", "x": "string"}
+        assert rows(out) == [(i, None) for i in (1, 2, 3, 4)]
+
+
+class TestExplode:
+    def explode(self, df, column, **options):
+        step = {"operation": "explode", "column": column, "alias": "e"}
+        return apply_steps(df, [step | options])
+
+    def test_only_the_element_stays(self, nested):
+        out = self.explode(nested, "data.items")
+        assert out.columns == ["e"]
+        assert [r.e.v for r in out.orderBy("e.v").collect()] == [10, 20]
+
+    def test_keep(self, nested):
+        out = self.explode(nested, "data.items", keep=True)
+        assert out.columns == ["id", "data", "once", "attrs", "e"]
+        assert rows(out.select("id", "e.w")) == [(1, "a"), (1, "b")]
+
+    def test_keep_replaces_a_column_of_that_name(self, nested):
+        step = {"operation": "explode", "column": "data.items", "alias": "data", "keep": True}
+        out = apply_steps(nested, [step])
+        assert out.columns == ["id", "once", "attrs", "data"]
+
+    def test_outer(self, nested):
+        out = self.explode(nested, "data.items", keep=True, outer=True)
+        assert rows(out.select("id", "e.w")) == [(1, "a"), (1, "b"), (2, None), (3, None), (4, None)]
+
+    def test_map(self, nested):
+        out = self.explode(nested, "attrs", keep=True).select("id", "e_key", "e_value")
+        assert rows(out) == [(1, "x", 1), (1, "y", 2)]
+
+    def test_struct_is_an_array_of_one(self, nested):
+        # Row 3 has the element, with a null inside; rows 2 and 4 do not have it.
+        assert rows(self.explode(nested, "once", keep=True).select("id", "e.v")) == [
+            (1, 7),
+            (3, None),
+        ]
+
+    def test_struct_outer(self, nested):
+        out = self.explode(nested, "once", keep=True, outer=True).select("id", "e.v")
+        assert rows(out) == [(1, 7), (2, None), (3, None), (4, None)]
+
+    def test_text_seen_once(self, spark):
+        df = spark.createDataFrame([("a",), (None,)], "v string")
+        assert rows(self.explode(df, "v")) == [("a",)]
+
+
+class TestRows:
+    def test_filter_with_prefixed_name(self, spark):
+        df = spark.createDataFrame([(60,), (40,)], "`es:value` int")
+        for text in ("`es:value` > 50", "col('es:value') > 50"):
+            assert rows(apply_steps(df, [{"operation": "filter", "condition": text}])) == [(60,)]
+
+    def test_order_and_nulls(self, spark):
+        data = [(1, None), (None, 2), (1, 5), (1, 9), (None, None), (0, 1)]
+        df = spark.createDataFrame(data, "a int, b int").repartition(4)
+        out = apply_steps(df, [{"operation": "orderBy", "columns": {"a": True, "b": False}}])
+        assert out.columns == ["a", "b"]
+        assert [tuple(r) for r in out.collect()] == [
+            (None, 2), (None, None), (0, 1), (1, 9), (1, 5), (1, None),
+        ]
+
+    def test_order_with_map_column(self, nested):
+        out = apply_steps(nested, [{"operation": "orderBy", "columns": {"id": False}}])
+        assert [r.id for r in out.collect()] == [4, 3, 2, 1]
+
+    def test_distinct(self, spark):
+        df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None)], "a int, b string")
+        assert rows(apply_steps(df, [{"operation": "distinct"}])) == [(1, "a"), (1, None)]
+
+    def test_literal_goes_before_expression(self, spark):
+        df = spark.range(1)
+        step = {"operation": "withColumn", "column": "x"}
+        assert rows(apply_steps(df, [step | {"value": 5, "func": "id"}])) == [(0, 5)]
+        assert rows(apply_steps(df, [step | {"func": "col('id') + 1"}])) == [(0, 1)]
+        assert apply_steps(df, [step]).columns == ["id"]
+        assert rows(apply_steps(df, [step | {"value": None}])) == [(0, None)]
+
+
+class TestAggregate:
+    def test_group(self, spark):
+        df = spark.createDataFrame(
+            [("a", 1, 1), ("a", 3, 1), ("b", None, 2), (None, 4, 2)], "k string, v int, w int"
+        )
+        steps = [
+            {"operation": "groupBy", "columns": ["k"]},
+            {
+                "operation": "agg",
+                "aggregations": {"s": "sum(v)", "m": "avg(col('v'))", "n": "count(distinct w)"},
+            },
+        ]
+        assert rows(apply_steps(df, steps)) == [
+            ("a", 4, 2.0, 1),
+            ("b", None, None, 1),
+            (None, 4, 4.0, 1),
+        ]
+
+    def test_nested_key_gets_its_last_name(self, nested):
+        steps = [
+            {"operation": "groupBy", "columns": "once.v"},
+            {"operation": "agg", "aggregations": {"n": "count(*)"}},
+        ]
+        out = apply_steps(nested, steps)
+        assert out.columns == ["v", "n"]
+        assert rows(out) == [(7, 1), (None, 3)]
+
+    def test_global_on_empty_input(self, spark):
+        steps = [{"operation": "agg", "aggregations": {"n": "count(*)", "s": "sum(id)"}}]
+        assert rows(apply_steps(spark.range(0), steps)) == [(0, None)]
+
+
+class TestUnion:
+    def test_by_position_keeps_copies(self, spark):
+        other = spark.createDataFrame([(0,), (5,)], "other long")
+        out = apply_steps(spark.range(1), [{"operation": "union"}], {"o": other})
+        assert out.columns == ["id"]
+        assert rows(out) == [(0,), (0,), (5,)]
+
+    def test_by_name(self, spark):
+        a = spark.createDataFrame([(1, "x")], "a int, b string")
+        b = spark.createDataFrame([("y", 2.0)], "b string, c double")
+        out = apply_steps(a, [{"operation": "union", "by_name": True}], {"b": b})
+        assert out.columns == ["a", "b", "c"]
+        assert rows(out) == [(1, "x", None), (None, "y", 2.0)]
+
+    def test_different_width_is_refused(self, spark):
+        other = spark.createDataFrame([(0, 1)], "a int, b int")
+        with pytest.raises(StepError, match=r"step 1 \(union\)"):
+            apply_steps(spark.range(1), [{"operation": "union"}], {"o": other})
+
+
+class TestCarry:
+    """With the file among the carried columns, many files act as each on its own."""
+
+    def test_same_as_one_by_one(self, spark):
+        df = spark.createDataFrame(
+            [("f1", [1, 1, 2]), ("f2", [1, 5]), ("f2", [5])], "file string, vs array<int>"
+        )
+        steps = [
+            {"operation": "explode", "column": "vs", "alias": "v"},
+            {"operation": "distinct"},
+            select(v="v"),
+            {"operation": "orderBy", "columns": {"v": False}},
+            {"operation": "agg", "aggregations": {"n": "count(*)", "s": "sum(v)"}},
+        ]
+        at_once = apply_steps(df, steps, carry=["file"])
+        alone = [
+            apply_steps(df.filter(F.col("file") == f).drop("file"), steps).collect()[0]
+            for f in ("f1", "f2")
+        ]
+        assert rows(at_once) == [("f1", *alone[0]), ("f2", *alone[1])]
+
+
+@pytest.mark.parametrize(
+    "steps, problem",
+    [
+        ([{"operation": "pivot"}], r"step 1 \(pivot\): unknown"),
+        (["select"], r"step 1 \(select\): unknown"),
+        ([{"operation": "explode", "column": "a"}], r"step 1 \(explode\): needs \['alias'\]"),
+        ([{"operation": "distinct", "on": "a"}], r"does not take \['on'\]"),
+        ([{"operation": "groupBy", "columns": ["a"]}], r"must be followed by agg"),
+        (
+            [{"operation": "groupBy", "columns": ["a"]}, {"operation": "distinct"}],
+            r"step 2 \(distinct\): a groupBy must be followed by agg",
+        ),
+        ([{"operation": "join", "on": "id"}], r"say with which input"),
+        ([{"operation": "join", "on": "id", "with": "x"}], r"no input 'x'"),
+        ([{"operation": "union"}], r"say with which input"),
+    ],
+)
+def test_malformed_steps(steps, problem):
+    with pytest.raises(StepError, match=problem):
+        check_steps(steps)
