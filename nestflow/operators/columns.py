@@ -8,12 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestflow.functions.paths import Found, find_path, quote_path, sql_text
-
-
-def top(name: str) -> Column:
-    """A top-level column, whatever characters its name holds."""
-    return F.col(quote_path([name]))
+from nestflow.functions.paths import Found, find_path, quote_path, sql_text, top
 
 
 def hashable(df: DataFrame) -> list[Column]:

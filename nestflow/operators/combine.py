@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.operators.columns import hashable, top
+from nestflow.functions.paths import top
+from nestflow.operators.columns import hashable
 
 # Spellings of a join type, without underscores.
 JOIN_TYPES = {

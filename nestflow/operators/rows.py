@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.functions.paths import column_at, find_path, sql_text
-from nestflow.operators.columns import hashable, top
+from nestflow.functions.paths import column_at, find_path, sql_text, top
+from nestflow.operators.columns import hashable
 
 
 def filter_rows(df: DataFrame, condition: str) -> DataFrame:

@@ -223,7 +223,7 @@ def route_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def scan_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs; files land before the first and the second, none before the third."""
-    schema = T.StructType.fromDDL("_id bigint, o_orderstatus string")
+    schema = "_id bigint, o_orderstatus string"
     root = new_folder(spark, "incremental")
     where, out, checkpoint = (f"{root}/{name}" for name in ("in", "out", "checkpoint"))
     orders = table(spark, sf_dir, "orders").select(

@@ -14,11 +14,20 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from nestflow.sources.xml import CORRUPT, SOURCE_FILE, file_path
+from pyspark.sql.streaming import DataStreamReader
+
+from nestflow.functions.paths import quote_path
+from nestflow.sources.xml import (
+    CORRUPT,
+    SOURCE_FILE,
+    file_path,
+    misfit,
+    text_attributes,
+    typed,
+)
 from nestflow.workspace import new_folder
 
 # What may follow the name in a start tag: plain text or quoted attribute values.
@@ -34,17 +43,19 @@ def scan_fragments(
     keep_corrupt: bool = False,
     with_file: bool = False,
     ancestors: Mapping[str, tuple[str, str]] | None = None,
+    reader: DataFrameReader | DataStreamReader | None = None,
 ) -> DataFrame:
     """Rows of ``scan_xml`` with the same tag and schema, read in splits of a file.
 
     ``keep_corrupt`` adds the text of each element that does not fit the schema.
     ``ancestors`` maps a column name to (tag, attribute) of an element around the
     rows. It is set on the row that follows the ancestor's start tag and null on the
-    others; ``fill_from_file`` spreads it when a file has one such element.
+    others; ``fill_from_file`` spreads it when a file has one such element. ``reader``
+    may bring options, or be a stream's.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     close = f"</{row_tag}>"
-    text = spark.read.option("lineSep", close).text(paths)
+    text = (reader or spark.read).option("lineSep", close).text(paths)
     named = [file_path().alias(SOURCE_FILE)] if with_file or ancestors else []
     around = [
         _attribute(F.col("value"), tag, attribute).alias(name)
@@ -56,16 +67,21 @@ def scan_fragments(
     # An element without a start tag is what follows the last one in its file.
     last = F.when(F.col("opened") != "", F.array(F.concat("opened", F.lit(close))))
     elements = F.concat("closed", F.coalesce(last, F.array().cast("array<string>")))
+    text_schema, types = text_attributes(schema)
     parsed = F.from_xml(
         "element",
-        T.StructType(schema.fields).add(CORRUPT, T.StringType()),
+        text_schema.add(CORRUPT, T.StringType()),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     rows = pieces.select(F.explode(elements).alias("element"), *kept).select(
-        parsed.alias("row"), *kept
+        parsed.alias("row"), "element", *kept
     )
-    wanted = ["row.*"] if keep_corrupt else [f"row.`{n}`" for n in schema.names]
-    return rows.select(*wanted, *kept)
+    fields = {n: F.col(f"row.{quote_path([n])}") for n in schema.names}
+    columns = [typed(c, types[n]).alias(n) if n in types else c for n, c in fields.items()]
+    if keep_corrupt:
+        bad = [F.when(misfit(fields[n], t).isNotNull(), F.col("element")) for n, t in types.items()]
+        columns.append(F.coalesce(F.col(f"row.{CORRUPT}"), *bad).alias(CORRUPT))
+    return rows.select(*columns, *kept)
 
 
 def _element_texts(value: Column, tag: str) -> tuple[Column, Column]:

@@ -6,11 +6,12 @@ import logging
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestflow.functions.naming import decoded
+from nestflow.functions.paths import top
 
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
@@ -55,26 +56,56 @@ def scan_xml(
         return df.withColumn(SOURCE_FILE, file_path()) if with_file else df
 
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text_schema, types = text_attributes(schema)
     if keep_corrupt:
         # The reader only notices misfits in columns a query uses: write the rows
         # with all columns before good and corrupt ones go separate ways.
-        schema = T.StructType(schema.fields).add(CORRUPT, T.StringType())
+        text_schema = text_schema.add(CORRUPT, T.StringType())
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    if not paths:
-        return _empty(spark, schema, with_file)
     try:
-        df = reader.schema(schema).load(paths)
+        df = reader.schema(text_schema).load(paths) if paths else None
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND" or not isinstance(paths, str):
             raise
+        df = None
+    if df is None:
         log.info("no files at %s", paths)
-        return _empty(spark, schema, with_file)
-    return df.withColumn(SOURCE_FILE, file_path()) if with_file else df
+        empty = T.StructType(text_schema.fields).add(SOURCE_FILE, T.StringType())
+        df = spark.createDataFrame([], empty)
+    elif with_file:
+        df = df.withColumn(SOURCE_FILE, file_path())
+    columns = [typed(top(n), types[n]).alias(n) if n in types else top(n) for n in schema.names]
+    if keep_corrupt:
+        corrupt = F.coalesce(top(CORRUPT), *[misfit(top(n), t) for n, t in types.items()])
+        columns.append(corrupt.alias(CORRUPT))
+    return df.select(*columns, *([SOURCE_FILE] if with_file else []))
+
+
+def text_attributes(schema: T.StructType) -> tuple[T.StructType, dict[str, T.DataType]]:
+    """The schema with the row's own attributes as text, and the types they should have.
+
+    Spark's parser fails the job, in every mode, on an attribute of the row element
+    that does not fit its type. As text they can be cast after, misfits becoming null.
+    """
+    types = {
+        f.name: f.dataType
+        for f in schema.fields
+        if f.name.startswith("_") and f.name != "_VALUE" and f.dataType != T.StringType()
+    }
+    fields = [
+        T.StructField(f.name, T.StringType(), True) if f.name in types else f
+        for f in schema.fields
+    ]
+    return T.StructType(fields), types
+
+
+def typed(text: Column, dtype: T.DataType) -> Column:
+    return F.trim(text).try_cast(dtype)
 
 
-def _empty(spark: SparkSession, schema: T.StructType, with_file: bool) -> DataFrame:
-    schema = T.StructType(schema.fields)
-    return spark.createDataFrame([], schema.add(SOURCE_FILE, "string") if with_file else schema)
+def misfit(text: Column, dtype: T.DataType) -> Column:
+    """The text of an attribute that does not fit its type, or null."""
+    return F.when(typed(text, dtype).isNull(), text)
 
 
 def file_path():

@@ -1,5 +1,5 @@
 """Take only files that were not taken before."""
 
-from nestflow.streaming.incremental import ingest_new_files
+from nestflow.streaming.incremental import flatten_new_rows, ingest_new_files
 
-__all__ = ["ingest_new_files"]
+__all__ = ["flatten_new_rows", "ingest_new_files"]

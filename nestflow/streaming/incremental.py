@@ -1,15 +1,23 @@
-"""A scheduled run as a file stream: the checkpoint remembers which files were taken."""
+"""A scheduled run as a file stream: the checkpoint remembers what was taken.
+
+Each function takes what is there, in batches, and returns. A batch that is cut short
+is done again without doubled rows. Output and checkpoint belong together, and both
+must be folders that all executors share.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestflow.operators import apply_steps
+from nestflow.sinks.parquet import PARTITIONS
+from nestflow.sources.fragments import scan_fragments
 from nestflow.sources.landing import Landing, add_origin
-from nestflow.sources.xml import SOURCE_FILE, file_path
+from nestflow.sources.xml import CORRUPT, SOURCE_FILE
 
 
 def ingest_new_files(
@@ -17,32 +25,36 @@ def ingest_new_files(
     landing: Landing,
     path: str,
     row_tag: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     output: str,
     checkpoint: str,
-    steps: Sequence[dict] = (),
     files_per_batch: int = 10_000,
 ) -> None:
-    """Append the rows of all files at ``path`` not seen by this checkpoint, then stop.
+    """Append the nested rows of all files below ``path`` not seen by this checkpoint.
 
-    ``output`` and ``checkpoint`` belong together; both must be shared folders. A
-    batch that is cut short is done again as a whole, without doubled rows.
+    Rows have their origin, and the text of records that do not fit the schema.
     """
-    stream = (
-        spark.readStream.format("xml")
-        .schema(schema)
-        .option("rowTag", row_tag)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(path)
-    )
-    rows = add_origin(stream.withColumn(SOURCE_FILE, file_path()), landing)
-    origin = [c for c in rows.columns if c not in schema.names]
-    flat = apply_steps(rows, steps, carry=origin) if steps else rows
-    query = (
-        flat.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(output)
+    reader = spark.readStream.option("recursiveFileLookup", True)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = scan_fragments(
+        spark, path, row_tag, schema, keep_corrupt=True, with_file=True, reader=reader
     )
-    query.awaitTermination()
+    _append(add_origin(rows, landing), output, checkpoint)
+
+
+def flatten_new_rows(
+    spark: SparkSession, ingested: str, steps: Sequence[dict], output: str, checkpoint: str
+) -> None:
+    """Append the flat rows of what ``ingest_new_files`` wrote since the last call.
+
+    Steps that need all rows, such as a sort or groups, are for tables, not for streams.
+    """
+    schema = spark.read.parquet(ingested).schema
+    rows = spark.readStream.schema(schema).parquet(ingested)
+    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    _append(apply_steps(good, steps, carry=[SOURCE_FILE, *PARTITIONS]), output, checkpoint)
+
+
+def _append(rows: DataFrame, output: str, checkpoint: str) -> None:
+    writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start(output).awaitTermination()

@@ -1,0 +1,87 @@
+"""What keeps a hot key or a big file from ending in one task."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from nestflow import apply_steps
+from nestflow.queries import fixtures
+from nestflow.workspace import shared_folder
+
+
+def explained(df) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
+@pytest.mark.parametrize("copies", [True, False])
+def test_sort_spreads_a_frequent_value(spark, copies):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        other = "0" if copies else "id"
+        df = spark.sql(
+            f"SELECT if(id % 3 = 0, 7, id) AS k, if(id % 3 = 0, {other}, id) AS v "
+            "FROM range(0, 40000, 1, 8)"
+        )
+        out = apply_steps(df, [{"operation": "orderBy", "columns": {"k": True}}])
+        tasks = out.select("k", F.spark_partition_id().alias("task"))
+        hot = tasks.filter("k = 7").groupBy("task").count().collect()
+        assert len(hot) > 1
+        assert max(r["count"] for r in hot) < 9_000
+        assert [r.k for r in out.collect()] == sorted(r.k for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_no_record_nests_all_lines_of_a_hot_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures, "LINES_PER_RECORD", 100)
+    lines = spark.sql(
+        "SELECT if(id % 3 = 0, 5, id) AS l_orderkey, 1 AS l_linenumber, 1L AS l_partkey, "
+        "1D AS l_quantity, 1D AS l_extendedprice, 0D AS l_discount, 'A' AS l_returnflag, "
+        "timestamp_ntz'2024-01-01' AS l_shipdate FROM range(0, 3000, 1, 4)"
+    )
+    orders = spark.sql(
+        "SELECT id AS o_orderkey, 1L AS o_custkey, 'F' AS o_orderstatus, 1D AS o_totalprice, "
+        "timestamp_ntz'2024-01-01' AS o_orderdate, 'x' AS o_orderpriority FROM range(3000)"
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    nested = spark.read.parquet(fixtures.orders_nested(spark, str(tmp_path)))
+    sizes = nested.filter("_id = 5").select(F.size("lines.item").alias("n")).collect()
+    assert sum(r.n for r in sizes) == 1001
+    assert max(r.n for r in sizes) <= 130
+    assert nested.filter("_id <> 5").groupBy("_id").count().filter("count > 1").count() == 0
+
+
+def test_semi_join_folds_the_right_side_before_its_shuffle(spark):
+    right = spark.sql("SELECT id % 10 AS id, id AS v FROM range(1000)")
+    step = {"operation": "join", "on": "id", "how": "left_semi"}
+    plan = explained(apply_steps(spark.range(10), [step], inputs={"r": right}))
+    assert plan.count("HashAggregate") == 2
+
+
+def test_filter_reaches_the_scan(spark, tmp_path):
+    spark.sql("SELECT id, id * 2 AS a, 'x' AS b FROM range(10)").write.parquet(f"{tmp_path}/t")
+    plan = explained(
+        apply_steps(
+            spark.read.parquet(f"{tmp_path}/t"),
+            [
+                {"operation": "withColumn", "column": "n", "value": 1},
+                {"operation": "filter", "condition": "a > 4"},
+                {"operation": "select", "columns": {"id": "key", "n": "n"}},
+            ],
+        )
+    )
+    assert "PushedFilters: [IsNotNull(a), GreaterThan(a,4)]" in plan
+    assert "ReadSchema: struct<id:bigint,a:bigint>" in plan
+
+
+def test_shared_folder_is_the_cluster_s(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
