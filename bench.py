@@ -23,13 +23,13 @@ HEADLINE = [
     "inventory_fragments",
     "example_flow",
     "job_daily",
-    "scan_xml_rows",
+    "scan_xml",
     "scan_xml_fragments",
     "scan_xml_inferred",
     "scan_date_range",
     "scan_incremental",
     "read_quarantine",
-    "write_by_partition",
+    "write_partitioned",
     "step_select_star",
     "step_explode_outer",
     "step_join_inner",

@@ -13,11 +13,12 @@ ORACLES: dict[str, str] = {}
 
 
 def query(sql: str) -> Callable[[Query], Query]:
-    """Register a function under its own name."""
+    """Register a function under its name, less ``_query`` where a library name is taken."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        ORACLES[function.__name__] = sql
+        name = function.__name__.removesuffix("_query")
+        QUERIES[name] = function
+        ORACLES[name] = sql
         return function
 
     return register

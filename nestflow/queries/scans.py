@@ -81,7 +81,7 @@ ORDER_LINE_FIELDS = (
 
 
 @query(ORDER_LINES)
-def scan_xml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_xml_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every element with the row tag is a row."""
     path = fixtures.orders_xml(spark, sf_dir)
     return _order_lines(scan_xml(spark, path, "ord", narrow(*ORDER_LINE_FIELDS)))

@@ -54,7 +54,7 @@ def write_parquet_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({PLACED})
     ) GROUP BY market, tech, export_day
 """)
-def output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def output_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: the base name of the source with its suffix replaced."""
     tree = landing(fixtures.landing_tree(spark, sf_dir))
     schema = narrow("_id", "lines.item.l_linenumber")
@@ -73,7 +73,7 @@ def output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE market WHEN 'EUROPE' THEN 2 * o_totalprice ELSE o_totalprice END AS price
     FROM ({PLACED})
 """)
-def write_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+def write_partitioned_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: a second write replaces the partitions it has rows for, the others stay."""
     out = new_folder(spark, "by-partition")
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_totalprice", "price")

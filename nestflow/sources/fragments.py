@@ -25,6 +25,7 @@ from nestflow.sources.xml import (
     SOURCE_FILE,
     file_path,
     misfit,
+    scan_xml,
     text_attributes,
     typed,
 )
@@ -32,6 +33,8 @@ from nestflow.workspace import new_folder
 
 # What may follow the name in a start tag: plain text or quoted attribute values.
 _INSIDE = r"""(?:[\s/](?:[^"'<>]++|"[^"]*+"|'[^']*+')*+)?+"""
+# The same in a tag that is not self-closed.
+_ATTRIBUTES = r"""(?:\s(?:[^"'<>/]++|"[^"]*+"|'[^']*+')*+)?+"""
 
 
 def scan_fragments(
@@ -54,6 +57,10 @@ def scan_fragments(
     may bring options, or be a stream's.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not paths:
+        nothing = scan_xml(spark, [], row_tag, schema, keep_corrupt=keep_corrupt)
+        strings = [*(ancestors or {}), *([SOURCE_FILE] if with_file or ancestors else [])]
+        return nothing.select("*", *[F.lit(None).cast("string").alias(c) for c in strings])
     close = f"</{row_tag}>"
     text = (reader or spark.read).option("lineSep", close).text(paths)
     named = [file_path().alias(SOURCE_FILE)] if with_file or ancestors else []
@@ -62,11 +69,9 @@ def scan_fragments(
         for name, (tag, attribute) in (ancestors or {}).items()
     ]
     kept = [*(ancestors or {}), *([SOURCE_FILE] if named else [])]
-    closed, opened = _element_texts(F.col("value"), row_tag)
-    pieces = text.select(closed.alias("closed"), opened.alias("opened"), *around, *named)
-    # An element without a start tag is what follows the last one in its file.
-    last = F.when(F.col("opened") != "", F.array(F.concat("opened", F.lit(close))))
-    elements = F.concat("closed", F.coalesce(last, F.array().cast("array<string>")))
+    pieces = text.select("value", _after_last(row_tag).alias("after"), *around, *named)
+    elements = F.when(_is_one_element(row_tag), F.array(_whole(row_tag, F.col("after"))))
+    elements = elements.otherwise(_any_elements(row_tag))
     text_schema, types = text_attributes(schema)
     parsed = F.from_xml(
         "element",
@@ -84,12 +89,35 @@ def scan_fragments(
     return rows.select(*columns, *kept)
 
 
-def _element_texts(value: Column, tag: str) -> tuple[Column, Column]:
-    """The self-closed elements in a piece of text, and the one it was cut after."""
+def _after_last(tag: str) -> Column:
+    """What follows the last ``<tag`` in a piece of text."""
+    return F.substring_index("value", f"<{tag}", -1)
+
+
+def _whole(tag: str, after: Column) -> Column:
+    return F.concat(F.lit(f"<{tag}"), after, F.lit(f"</{tag}>"))
+
+
+def _is_one_element(tag: str) -> Column:
+    """Whether ``<tag`` occurs once in the piece and begins a start tag.
+
+    Nearly all pieces are so, and this is told without a search by pattern through
+    the whole text, which costs as much as parsing it.
+    """
+    before, after = F.substring_index("value", f"<{tag}", 1), F.col("after")
+    rest = F.octet_length("value") - F.octet_length(before) - F.octet_length(after)
+    head = F.substring_index("after", ">", 1)
+    return (rest == len(f"<{tag}".encode())) & head.rlike(rf"\A{_ATTRIBUTES}\z")
+
+
+def _any_elements(tag: str) -> Column:
+    """The self-closed elements in a piece of text, then the one it was cut after."""
     name = re.escape(tag)
-    closed = F.regexp_extract_all(value, F.lit(f"(<{name}{_INSIDE}(?<=/)>)"), 1)
-    opened = F.regexp_extract(value, f"(?s)(<{name}{_INSIDE}(?<!/)>.*+)", 1)
-    return closed, opened
+    closed = F.regexp_extract_all("value", F.lit(f"(<{name}{_INSIDE}(?<=/)>)"), 1)
+    opened = F.regexp_extract("value", rf"(?s)<{name}({_INSIDE}(?<!/)>.*+)", 1)
+    # What follows the last element of a file has no start tag.
+    last = F.when(opened != "", F.array(_whole(tag, opened)))
+    return F.concat(closed, F.coalesce(last, F.array().cast("array<string>")))
 
 
 def _attribute(value: Column, tag: str, attribute: str) -> Column:

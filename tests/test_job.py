@@ -108,6 +108,17 @@ def test_inferred_schema(spark, land, tmp_path, split_files):
     assert rows(out) == [(1, 10), (1, 11), (2, 5)]
 
 
+def test_values_of_an_element_around_the_rows(spark, land, write_text, tmp_path):
+    for day in (1, 2):
+        land("US", "p2", day, f'<net id="N{day}">{record(1, 10)}{record(2, 20)}</net>')
+    steps = [*STEPS[:1], {"operation": "select", "columns": {"net": "net", "v": "value"}}]
+    job = JobConfig.from_dict(config(tmp_path, flattening_config={"2G": steps}))
+    around = {"net": ("net", "id")}
+    run_job(spark, job, ["US"], ["2G"], *WINDOW, {"2G": SCHEMA}, ancestors=around)
+    out = spark.read.parquet(f"{tmp_path}/out/flat").select("net", "value")
+    assert rows(out) == [("N1", 10), ("N1", 20), ("N2", 10), ("N2", 20)]
+
+
 def test_empty_and_unreadable_files(spark, land, tmp_path):
     land("US", "p2", 1, name="empty.xml")
     land("US", "p2", 1, record("x", 1), name="bad.xml")

@@ -257,9 +257,16 @@ def landing(write_text, tmp_path):
     return Landing(f"{tmp_path}/m-{{}}", PREFIXES)
 
 
+@pytest.mark.parametrize("split", [True, False], scope="class")
 class TestLanding:
+    @pytest.fixture(autouse=True)
+    def choose(self, split):
+        self.split = split
+
     def scan(self, spark, landing, markets, techs, start, end):
-        return scan_landing(spark, landing, markets, techs, start, end, "item", ITEM)
+        return scan_landing(
+            spark, landing, markets, techs, start, end, "item", ITEM, split_files=self.split
+        )
 
     def ids(self, *args):
         return [r[0] for r in rows(self.scan(*args).select("_id"))]
