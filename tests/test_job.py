@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import logging
 from datetime import date
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from nestflow.config import JobConfig
@@ -110,7 +112,8 @@ def test_inferred_schema(spark, land, tmp_path, split_files):
 
 def test_values_of_an_element_around_the_rows(spark, land, write_text, tmp_path):
     for day in (1, 2):
-        land("US", "p2", day, f'<net id="N{day}">{record(1, 10)}{record(2, 20)}</net>')
+        records = record("x", 5) + record(1, 10) + record(2, 20)
+        land("US", "p2", day, f'<net id="N{day}">{records}</net>')
     steps = [*STEPS[:1], {"operation": "select", "columns": {"net": "net", "v": "value"}}]
     job = JobConfig.from_dict(config(tmp_path, flattening_config={"2G": steps}))
     around = {"net": ("net", "id")}
@@ -119,6 +122,25 @@ def test_values_of_an_element_around_the_rows(spark, land, write_text, tmp_path)
     assert rows(out) == [("N1", 10), ("N1", 20), ("N2", 10), ("N2", 20)]
 
 
+def test_final_order_holds_in_each_file(spark, land, tmp_path):
+    land("US", "p2", 1, record(1, 5, 9, 7), record(2, 8))
+    land("US", "p4", 1, record(1, 5, 9, 7), record(2, 8))
+    up, down = ({"operation": "orderBy", "columns": {"value": up}} for up in (True, False))
+    flows = {"2G": [*STEPS, down], "4G": [*STEPS, up]}
+    run_job(
+        spark,
+        JobConfig.from_dict(config(tmp_path, flattening_config=flows)),
+        ["US"],
+        ["2G", "4G"],
+        *WINDOW,
+        {"2G": SCHEMA, "4G": SCHEMA},
+    )
+    for tech, values in (("2G", [9, 8, 7, 5]), ("4G", [5, 7, 8, 9])):
+        files = Path(f"{tmp_path}/out/flat/market=US/tech={tech}").rglob("*.parquet")
+        (written,) = files
+        assert pq.read_table(written, columns=["value"])["value"].to_pylist() == values
+
+
 def test_empty_and_unreadable_files(spark, land, tmp_path):
     land("US", "p2", 1, name="empty.xml")
     land("US", "p2", 1, record("x", 1), name="bad.xml")
