@@ -115,8 +115,8 @@ def dirty_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def export_day():
-    """Exports are made on the first day of a quarter."""
-    return F.date_trunc("quarter", F.col("o_orderdate")).cast("date")
+    """Exports are made on the first day of a year."""
+    return F.date_trunc("year", F.col("o_orderdate")).cast("date")
 
 
 def landed_orders(spark: SparkSession, orders: DataFrame, sf_dir: str) -> DataFrame:

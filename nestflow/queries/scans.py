@@ -31,7 +31,7 @@ FIRST, LAST = date(1990, 1, 1), date(2010, 12, 31)
 PLACED = """
     SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, r_name AS market,
            CASE o_orderstatus WHEN 'F' THEN '2G' WHEN 'O' THEN '4G' ELSE '5G' END AS tech,
-           CAST(date_trunc('quarter', o_orderdate) AS DATE) AS export_day
+           CAST(date_trunc('year', o_orderdate) AS DATE) AS export_day
     FROM orders JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """
@@ -165,11 +165,11 @@ def _landed(spark, sf_dir, *columns, markets=MARKETS, techs=("2G", "4G", "5G"),
 @query(f"""
     SELECT o_orderkey, tech, CAST(export_day AS VARCHAR) AS export_day, l_linenumber, l_quantity
     FROM ({PLACED}) LEFT JOIN lineitem ON o_orderkey = l_orderkey
-    WHERE export_day BETWEEN DATE '1996-04-01' AND DATE '1998-07-01'
+    WHERE export_day BETWEEN DATE '1996-01-01' AND DATE '1998-01-01'
 """)
 def scan_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A window of days, both ends included."""
-    window = (date(1996, 4, 1), date(1998, 7, 1))
+    window = (date(1996, 1, 1), date(1998, 1, 1))
     return _landed(spark, sf_dir, "tech", "export_day", window=window)
 
 

@@ -122,16 +122,17 @@ def _any_elements(tag: str) -> Column:
 
 def _attribute(value: Column, tag: str, attribute: str) -> Column:
     pattern = rf"""<{re.escape(tag)}\s[^<>]*?\b{re.escape(attribute)}\s*=\s*["']([^"']*)["']"""
-    return F.nullif(F.regexp_extract(value, pattern, 1), F.lit(""))
+    found = F.nullif(F.regexp_extract(value, pattern, 1), F.lit(""))
+    return F.when(F.contains(value, F.lit(f"<{tag}")), found)
 
 
 def fill_from_file(df: DataFrame, columns: list[str]) -> DataFrame:
     """Give every row of a file the one value its file has in each of ``columns``.
 
-    ``df`` is read twice, so pass a written table. The values per file are written
-    too: Spark then knows their size before it joins, and need not shuffle ``df``
-    when they are few. A file with two different values stops the job, since its
-    rows cannot be told apart by file.
+    ``df`` is read once more for these values; from a scan that is text only, nothing
+    is parsed. They are written to a table: Spark then knows their size before it
+    joins, and need not shuffle ``df`` when they are few. A file with two different
+    values stops the job, since its rows cannot be told apart by file.
     """
     heads = df.groupBy(SOURCE_FILE).agg(*[_only_value(c).alias(c) for c in columns])
     folder = new_folder(df.sparkSession, "heads")

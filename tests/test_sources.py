@@ -239,18 +239,18 @@ class TestFragments:
             fill_from_file(df, ["net"])
 
 
-PREFIXES = {"2G": "IM/provider/2G/enm", "4G": "IM/provider/4G/", "5G": "IM/provider/5G"}
+PREFIXES = {"2G": "im/2G/x", "4G": "im/4G/", "5G": "im/5G"}
 
 
 @pytest.fixture
 def landing(write_text, tmp_path):
     days = {
-        "m-US/IM/provider/2G/enm/year=2024/month=10/day=31": 1,
-        "m-US/IM/provider/2G/enm/year=2024/month=11/day=01": 2,
-        "m-US/IM/provider/2G/enm/year=2024/month=11/day=02": 3,
-        "m-US/IM/provider/4G/year=2024/month=11/day=01": 4,
-        "m-CA/IM/provider/4G/year=2025/month=01/day=01": 5,
-        "m-CA/IM/provider/4G/year=2025/month=01/day=notes": 6,
+        "m-US/im/2G/x/year=2024/month=10/day=31": 1,
+        "m-US/im/2G/x/year=2024/month=11/day=01": 2,
+        "m-US/im/2G/x/year=2024/month=11/day=02": 3,
+        "m-US/im/4G/year=2024/month=11/day=01": 4,
+        "m-CA/im/4G/year=2025/month=01/day=01": 5,
+        "m-CA/im/4G/year=2025/month=01/day=notes": 6,
     }
     for folder, number in days.items():
         write_text(f"{folder}/same.xml", f'<r><item id="{number}"><value>v</value></item></r>')
@@ -340,10 +340,10 @@ class TestNaming:
     @pytest.mark.parametrize(
         "template, path, market",
         [
-            ("gs://vf-{}-landing", "gs://vf-DE-landing/IM/f.xml", "DE"),
-            ("gs://vf-{}-landing", "gs://other/IM/f.xml", None),
+            ("gs://b-{}-landing", "gs://b-DE-landing/im/f.xml", "DE"),
+            ("gs://b-{}-landing", "gs://other/im/f.xml", None),
             ("/data/market={}", "file:/data/market=MIDDLE EAST/f.xml", "MIDDLE EAST"),
-            ("gs://one-bucket", "gs://one-bucket/IM/f.xml", None),
+            ("gs://one-bucket", "gs://one-bucket/im/f.xml", None),
         ],
     )
     def test_market(self, spark, template, path, market):
