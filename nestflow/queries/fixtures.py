@@ -116,7 +116,7 @@ def dirty_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 def export_day():
     """Exports are made on the first day of a year."""
-    return F.date_trunc("year", F.col("o_orderdate")).cast("date")
+    return F.trunc(F.col("o_orderdate").cast("date"), "year")
 
 
 def landed_orders(spark: SparkSession, orders: DataFrame, sf_dir: str) -> DataFrame:

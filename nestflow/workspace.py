@@ -28,3 +28,11 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """The path of a folder that nothing else uses; the first write makes it."""
     return f"{shared_folder(spark)}/nestflow/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``new_folder``."""
+    if not path.startswith(f"{shared_folder(spark)}/nestflow/"):
+        raise ValueError(f"{path} was not made by new_folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -12,6 +12,7 @@ from nestflow.plans import run_job
 from nestflow.sinks import write_parquet, write_partitioned
 from nestflow.sources import Landing
 from nestflow.streaming import flatten_new_rows, ingest_new_files
+from nestflow.workspace import drop_folder, shared_folder
 from tests.conftest import rows
 
 SCHEMA = "_id int, v array<int>"
@@ -160,6 +161,19 @@ def test_nothing_landed(spark, tmp_path):
     assert {"source_file", "status", "tech"} <= set(report.columns)
 
 
+def test_stage_is_deleted(spark, land, tmp_path):
+    def stages():
+        return set(Path(shared_folder(spark), "nestflow").glob("stage-*"))
+
+    land("US", "p2", 1, record(1, 10))
+    before = stages()
+    report = run(spark, tmp_path)
+    assert stages() == before
+    assert report.count() == 1
+    with pytest.raises(ValueError, match="was not made by new_folder"):
+        drop_folder(spark, str(tmp_path))
+
+
 def test_only_skipped(spark, land, tmp_path):
     land("US", "p5", 1, record(1, 1))
     assert [r.status for r in run(spark, tmp_path).collect()] == ["skipped"]
