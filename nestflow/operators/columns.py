@@ -30,15 +30,20 @@ def select_columns(
     """Project ``{source path: target name}`` in the order written.
 
     ``p.*`` puts the fields of a struct in place, or one row per element for an
-    array of structs. ``missing="null"`` gives a null string for an absent path.
+    array of structs. ``missing="null"`` gives a null string for an absent path,
+    and no column for an absent ``p.*``.
     """
     out = [top(name) for name in carry]
     for source, target in columns.items():
-        if source.endswith(".*"):
-            out.extend(_expand_star(df, source[:-2], taken=set(carry)))
-            continue
-        found = find_path(df.schema, source)
-        if found is not None:
+        path = source.removesuffix(".*")
+        found = find_path(df.schema, path)
+        if path != source:
+            if found is not None or missing != "null":
+                out.extend(_expand_star(df, path, taken=set(carry)))
+        elif target in carry:
+            if source != target:
+                raise LookupError(f"the name {target!r} is taken by a carried column")
+        elif found is not None:
             out.append(found.column.alias(target))
         elif missing == "null":
             out.append(F.lit(None).cast("string").alias(target))

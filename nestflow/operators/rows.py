@@ -44,7 +44,7 @@ def aggregate(
     """
     columns = [columns] if isinstance(columns, str) else columns
     keys = [top(c) for c in carry]
-    keys += [_key(df, path) for path in columns]
+    keys += [_key(df, path) for path in columns if path not in carry]
     results = [F.expr(sql_text(df.schema, e)).alias(name) for name, e in aggregations.items()]
     return df.groupBy(*keys).agg(*results)
 

@@ -47,7 +47,7 @@ def write_parquet_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     SELECT market, tech, CAST(export_day AS VARCHAR) AS export_day, TRUE AS is_parquet,
-           sum(n) AS lines
+           CAST(sum(n) AS BIGINT) AS lines
     FROM (
         SELECT market, tech, export_day, (SELECT count(*) FROM lineitem
                WHERE l_orderkey = o_orderkey) AS n

@@ -65,7 +65,7 @@ def scan_fragments(
     text = (reader or spark.read).option("lineSep", close).text(paths)
     named = [file_path().alias(SOURCE_FILE)] if with_file or ancestors else []
     around = [
-        _attribute(F.col("value"), tag, attribute).alias(name)
+        _attribute(tag, attribute).alias(name)
         for name, (tag, attribute) in (ancestors or {}).items()
     ]
     kept = [*(ancestors or {}), *([SOURCE_FILE] if named else [])]
@@ -120,10 +120,15 @@ def _any_elements(tag: str) -> Column:
     return F.concat(closed, F.coalesce(last, F.array().cast("array<string>")))
 
 
-def _attribute(value: Column, tag: str, attribute: str) -> Column:
+def _attribute(tag: str, attribute: str) -> Column:
+    """The attribute's value in the piece's start tag of ``tag``, null without one."""
     pattern = rf"""<{re.escape(tag)}\s[^<>]*?\b{re.escape(attribute)}\s*=\s*["']([^"']*)["']"""
-    found = F.nullif(F.regexp_extract(value, pattern, 1), F.lit(""))
-    return F.when(F.contains(value, F.lit(f"<{tag}")), found)
+    values = F.array_distinct(F.regexp_extract_all("value", F.lit(pattern), 1))
+    return F.when(
+        F.contains(F.col("value"), F.lit(f"<{tag}")),
+        F.when(F.size(values) > 1, F.raise_error(F.lit(f"more than one {tag} around rows")))
+        .otherwise(F.get(values, F.lit(0))),
+    )
 
 
 def fill_from_file(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -134,13 +139,14 @@ def fill_from_file(df: DataFrame, columns: list[str]) -> DataFrame:
     joins, and need not shuffle ``df`` when they are few. A file with two different
     values stops the job, since its rows cannot be told apart by file.
     """
-    heads = df.groupBy(SOURCE_FILE).agg(*[_only_value(c).alias(c) for c in columns])
+    marked = df.filter(F.coalesce(*columns).isNotNull())
+    heads = marked.groupBy(SOURCE_FILE).agg(*[_only_value(c).alias(c) for c in columns])
     folder = new_folder(df.sparkSession, "heads")
     heads.write.parquet(folder)
-    return df.drop(*columns).join(df.sparkSession.read.parquet(folder), SOURCE_FILE)
+    return df.drop(*columns).join(df.sparkSession.read.parquet(folder), SOURCE_FILE, "left")
 
 
 def _only_value(name: str) -> Column:
-    problem = F.concat(F.lit(f"more than one {name} in "), F.first(SOURCE_FILE))
     low, high = F.min(name), F.max(name)
+    problem = F.concat(F.lit(f"more than one {name} in "), F.first(SOURCE_FILE))
     return F.when(low.eqNullSafe(high), high).otherwise(F.raise_error(problem))

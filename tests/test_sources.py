@@ -230,14 +230,24 @@ class TestFragments:
             (n, n, i) for n in ("N1", "N2") for i in range(3)
         ]
 
-    def test_two_ancestors_in_a_file_stop_the_job(self, spark, write_text):
-        text = '<r><n id="1"><i id="1"></i></n><n id="2"><i id="2"></i></n></r>'
-        df = scan_fragments(
-            spark, write_text("a.xml", text), "i", "_id int", ancestors={"net": ("n", "id")}
-        )
-        with pytest.raises(Exception, match="more than one net in file:"):
+    @pytest.mark.parametrize(
+        "text, problem",
+        [
+            ('<n id="1"><i id="1"></i></n><n id="2"><i id="2"></i></n>', "net in file:"),
+            ('<n id="1"><i id="1"/></n><n id="2"><i id="2"></i></n>', "n around rows"),
+        ],
+    )
+    def test_two_ancestors_in_a_file_stop_the_job(self, spark, write_text, text, problem):
+        path = write_text("a.xml", f"<r>{text}</r>")
+        df = scan_fragments(spark, path, "i", "_id int", ancestors={"net": ("n", "id")})
+        with pytest.raises(Exception, match=f"more than one {problem}"):
             fill_from_file(df, ["net"])
 
+    def test_file_without_the_ancestor(self, spark, write_text):
+        path = write_text("a.xml", '<r><i id="1"></i><names id="2"/></r>')
+        df = scan_fragments(spark, path, "i", "_id int", ancestors={"net": ("n", "id")})
+        assert rows(fill_from_file(df, ["net"]).select("_id", "net")) == [(1, None)]
+
 
 PREFIXES = {"2G": "im/2G/x", "4G": "im/4G/", "5G": "im/5G"}
 

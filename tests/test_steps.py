@@ -47,6 +47,12 @@ class TestSelect:
         out = apply_steps(nested, [{"operation": "select", "columns": columns}])
         assert rows(out) == [(1, 10, "a"), (1, 20, "b")]
 
+    def test_star_of_a_missing_path(self, nested):
+        step = {"operation": "select", "columns": {"id": "id", "none.*": "x"}}
+        assert apply_steps(nested, [step], missing="null").columns == ["id"]
+        with pytest.raises(StepError, match="'none'"):
+            apply_steps(nested, [step])
+
     def test_star_of_a_scalar_is_refused(self, nested):
         with pytest.raises(StepError, match=r"step 1 \(select\).*no fields to expand"):
             apply_steps(nested, [{"operation": "select", "columns": {"id.*": "x"}}])
@@ -222,6 +228,20 @@ class TestCarry:
         assert rows(at_once) == [("f1", *alone[0]), ("f2", *alone[1])]
 
 
+    def test_carried_columns_may_be_named(self, spark):
+        df = spark.createDataFrame([("f1", 1), ("f1", 2), ("f2", 3)], "file string, v int")
+        steps = [
+            select(file="file", v="v"),
+            {"operation": "groupBy", "columns": ["file"]},
+            {"operation": "agg", "aggregations": {"s": "sum(v)"}},
+        ]
+        out = apply_steps(df, steps, carry=["file"])
+        assert out.columns == ["file", "s"]
+        assert rows(out) == [("f1", 3), ("f2", 3)]
+        with pytest.raises(StepError, match="'file' is taken by a carried column"):
+            apply_steps(df, [select(v="file")], carry=["file"])
+
+
 @pytest.mark.parametrize(
     "steps, problem",
     [
