@@ -17,7 +17,7 @@ from nestflow.sources import Landing
 from nestflow.workspace import new_folder
 
 # No record nests more lines than this; what has more is split over several records.
-LINES_PER_RECORD = 10_000
+LINES_PER_RECORD = 1_000
 
 LINE = (
     "struct<l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double, "
@@ -57,16 +57,34 @@ def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_piece(lines: DataFrame, key: str) -> DataFrame:
-    """Number the records that a key's lines go to: one, unless it has very many."""
+def _large_keys(lines: DataFrame, key: str) -> DataFrame:
+    """Keys with more lines than a record may nest, and the number of records they need."""
     counts = lines.groupBy(key).agg(F.count(F.lit(1)).alias("lines"))
-    large = counts.filter(F.col("lines") > LINES_PER_RECORD).select(
+    return counts.filter(F.col("lines") > LINES_PER_RECORD).select(
         key, F.ceil(F.col("lines") / LINES_PER_RECORD).alias("pieces")
     )
+
+
+def _with_piece(lines: DataFrame, large: DataFrame, key: str) -> DataFrame:
+    """The record, numbered within its key, that a line goes to.
+
+    Repartition by key and piece before grouping by them: rows that are partitioned by
+    key alone, as after this join, would be grouped where they are.
+    """
     piece = F.pmod("position", F.coalesce("pieces", F.lit(1)))
     return lines.join(large, key, "left").withColumn("piece", piece).drop("pieces", "position")
 
 
+def _for_each_piece(owners: DataFrame, large: DataFrame, key: str) -> DataFrame:
+    """An owner of lines once per record, so that it meets each record where that is.
+
+    A join on the key alone would bring all records of a large key to one task.
+    """
+    last = F.coalesce("pieces", F.lit(1)) - 1
+    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    return owners.join(large, key, "left").withColumn("piece", pieces).drop("pieces")
+
+
 @_once
 def orders_nested(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Orders with an array of their lines, as Parquet."""
@@ -79,10 +97,12 @@ def orders_nested(spark: SparkSession, sf_dir: str, path: str) -> None:
         "l_returnflag",
         "l_shipdate",
     )
-    lines = _with_piece(_numbered_lines(spark, sf_dir), "l_orderkey")
-    lines = lines.groupBy("l_orderkey", "piece").agg(F.collect_list(item).alias("item"))
-    orders = table(spark, sf_dir, "orders")
-    nested = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    lines = _numbered_lines(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
+    large = _large_keys(lines, "o_orderkey")
+    lines = _with_piece(lines, large, "o_orderkey").repartition("o_orderkey", "piece")
+    records = lines.groupBy("o_orderkey", "piece").agg(F.collect_list(item).alias("item"))
+    orders = _for_each_piece(table(spark, sf_dir, "orders"), large, "o_orderkey")
+    nested = orders.join(records, ["o_orderkey", "piece"], "left")
     nested.select(
         F.col("o_orderkey").alias("_id"),
         "o_custkey",
@@ -181,7 +201,8 @@ def inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
         "l_returnflag", "l_shipdate", "position",
     )
     lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = _with_piece(lines, "o_custkey")
+    large = _large_keys(lines, "o_custkey")
+    lines = _with_piece(lines, large, "o_custkey")
     lines = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
 
     administrative = [
@@ -201,7 +222,7 @@ def inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
         _text(F.col("l_linenumber"), "_id"),
         _attributes(sw_item.alias("es:vsDataSwItem"), F.col("l_linestatus"), F.col("l_returnflag")),
     )
-    containers = lines.groupBy(
+    containers = lines.repartition("o_custkey", "piece").groupBy(
         "o_custkey", "piece", "o_orderkey", "o_orderpriority", "o_orderstatus"
     ).agg(F.collect_list(child).alias("xn:VsDataContainer"))
     middle = F.struct(
@@ -217,22 +238,21 @@ def inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.collect_list(middle).alias("xn:VsDataContainer")
     )
     customer = table(spark, sf_dir, "customer").drop("c_nationkey", "c_acctbal")
-    elements = elements.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    elements = elements.join(customer_places(spark, sf_dir), "c_custkey")
+    customer = customer.join(customer_places(spark, sf_dir), "c_custkey")
+    customer = customer.withColumnRenamed("c_custkey", "o_custkey")
+    elements = elements.join(
+        _for_each_piece(customer, large, "o_custkey"), ["o_custkey", "piece"]
+    )
     parent = F.struct(
-        _text(F.col("c_custkey"), "_id"),
+        _text(F.col("o_custkey"), "_id"),
         _attributes(
             _text(F.col("c_name"), "es:vsDataSystemFunctions"), F.lit("1.0"), F.col("c_mktsegment")
         ),
         F.col("xn:VsDataContainer"),
     )
-    element = F.struct(
-        _text(F.col("c_custkey"), "_id"), parent.alias("xn:VsDataContainer")
-    )
+    element = F.struct(_text(F.col("o_custkey"), "_id"), parent.alias("xn:VsDataContainer"))
     me_context = F.struct(_text(F.col("n_name"), "_id"), element.alias("xn:ManagedElement"))
-    sub_network = F.struct(
-        _text(F.col("r_name"), "_id"), F.array(me_context).alias("xn:MeContext")
-    )
+    sub_network = F.struct(_text(F.col("r_name"), "_id"), F.array(me_context).alias("xn:MeContext"))
     exports = elements.select(sub_network.alias("xn:SubNetwork"), "r_name")
     # One sub-network per folder, so that a file belongs to one.
     _write_xml(exports, path, "xn:configData", folders=["r_name"], records_per_file=500)
