@@ -102,8 +102,10 @@ def inventory_schema(**options) -> T.StructType:
 # From a row per network element: down the three levels of containers.
 CONTAINER_STEPS = [
     {"operation": "withColumn", "column": "parent", "func": f"col('{ME}.xn:VsDataContainer')"},
-    {"operation": "explode", "column": "parent.xn:VsDataContainer", "alias": "middle", "keep": True},
-    {"operation": "explode", "column": "middle.xn:VsDataContainer", "alias": "child", "keep": True},
+    *[
+        {"operation": "explode", "column": f"{above}.xn:VsDataContainer", "alias": a, "keep": True}
+        for above, a in (("parent", "middle"), ("middle", "child"))
+    ],
     {"operation": "select", "columns": INVENTORY_COLUMNS, "missing": "null"},
 ]
 

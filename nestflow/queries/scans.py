@@ -159,7 +159,8 @@ def _landed(spark, sf_dir, *columns, markets=MARKETS, techs=("2G", "4G", "5G"),
     tree = landing(fixtures.landing_tree(spark, sf_dir))
     schema = narrow("_id", "lines.item.l_linenumber", "lines.item.l_quantity")
     rows = scan_landing(spark, tree, markets, list(techs), start, end, "ord", schema)
-    return lines_of(rows.withColumn("export_day", F.concat_ws("-", "year", "month", "day")), *columns)
+    rows = rows.withColumn("export_day", F.concat_ws("-", "year", "month", "day"))
+    return lines_of(rows, *columns)
 
 
 @query(f"""

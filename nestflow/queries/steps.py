@@ -110,7 +110,10 @@ def step_select_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_steps(_elements(spark, sf_dir), steps)
 
 
-@query("SELECT r_name AS sub_network, n_name AS me FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("""
+    SELECT r_name AS sub_network, n_name AS me
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+""")
 def step_select_dotted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1e: a flat column whose name holds a dot."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")

@@ -117,9 +117,8 @@ def test_outer_keeps_elements_without_children(spark, write_text):
 
 def test_inferred_schema_where_everything_occurs_once(spark, write_text):
     # Inference gives structs instead of arrays; explode takes both.
-    once = export(
-        element("me1", container(1, PARENT, container(2, MIDDLE, container(3, attributes("", "1", "c")))))
-    )
+    child = container(3, attributes("", "1", "c"))
+    once = export(element("me1", container(1, PARENT, container(2, MIDDLE, child))))
     exports = scan_xml(spark, write_text("a.xml", once), "xn:configData")
     flat = apply_steps(exports, INVENTORY_STEPS)
     assert flat.columns == COLUMNS
