@@ -71,7 +71,8 @@ def _with_piece(lines: DataFrame, large: DataFrame, key: str) -> DataFrame:
     Repartition by key and piece before grouping by them: rows that are partitioned by
     key alone, as after this join, would be grouped where they are.
     """
-    piece = F.pmod("position", F.coalesce("pieces", F.lit(1)))
+    # Hashed, as the rows of a key may stand at every third place, say.
+    piece = F.pmod(F.xxhash64("position"), F.coalesce("pieces", F.lit(1)))
     return lines.join(large, key, "left").withColumn("piece", piece).drop("pieces", "position")
 
 
@@ -82,7 +83,7 @@ def _for_each_piece(owners: DataFrame, large: DataFrame, key: str) -> DataFrame:
     """
     last = F.coalesce("pieces", F.lit(1)) - 1
     pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
-    return owners.join(large, key, "left").withColumn("piece", pieces).drop("pieces")
+    return owners.join(large, key, "left").withColumn("piece", pieces)
 
 
 @_once
@@ -103,6 +104,8 @@ def orders_nested(spark: SparkSession, sf_dir: str, path: str) -> None:
     records = lines.groupBy("o_orderkey", "piece").agg(F.collect_list(item).alias("item"))
     orders = _for_each_piece(table(spark, sf_dir, "orders"), large, "o_orderkey")
     nested = orders.join(records, ["o_orderkey", "piece"], "left")
+    # An order without lines stays; a record of a large order that got no lines does not.
+    nested = nested.filter(F.col("item").isNotNull() | F.col("pieces").isNull())
     nested.select(
         F.col("o_orderkey").alias("_id"),
         "o_custkey",
