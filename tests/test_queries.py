@@ -10,12 +10,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from nestflow.queries import ORACLES, QUERIES
 from tools.check import compare, duck
 
 TABLES = "/root/testdata/sf0.001"
 SKEWED = ["scan_xml", "inventory_flat", "inventory_fragments", "job_daily"]
-SKEWED += [name for name in queries() if name.startswith("step_join")]
+SKEWED += [name for name in QUERIES if name.startswith("step_join")]
 
 pytestmark = pytest.mark.skipif(not Path(TABLES).exists(), reason="needs the test tables")
 
@@ -42,12 +43,12 @@ def skewed(tmp_path_factory):
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, name):
-    df = queries()[name](spark, TABLES)
+    df = QUERIES[name](spark, TABLES)
     assert compare(df, duck(TABLES), name) is None
     assert_no_bottleneck(df)
 
@@ -67,7 +68,7 @@ def assert_no_bottleneck(df):
 
 @pytest.mark.parametrize("name", SKEWED)
 def test_query_on_skewed_tables(spark, skewed, name):
-    assert compare(queries()[name](spark, skewed), duck(skewed), name) is None
+    assert compare(QUERIES[name](spark, skewed), duck(skewed), name) is None
 
 
 def test_entry(spark):
