@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +32,9 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_key(text: str = "text") -> F.Column:
-    """A hash of a text, null and empty apart, that names a row beside its id."""
-    return F.xxhash64(F.col(text).isNull(), F.col(text))
+def text_key(column: str = "text") -> F.Column:
+    """A hash that is not null and tells null from empty: a text's names a row beside its id."""
+    return F.xxhash64(F.col(column).isNull(), F.col(column))
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -51,6 +54,23 @@ def blocks(texts: Sequence[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[i
         yield start, len(texts)
 
 
+def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow``, with this library on the executors wherever they are started."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        library = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="nestflow-")) / f"{library.name}.zip"
+        with zipfile.ZipFile(archive, "w") as file:
+            for source in sorted(library.rglob("*.py")):
+                file.write(source, source.relative_to(library.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(function, schema)
+
+
+_shipped: set[str] = set()
+
+
 def map_rows(
     df: DataFrame,
     schema: str,
@@ -67,7 +87,7 @@ def map_rows(
                     [_array(columns[f.name], f.type) for f in arrow], schema=arrow
                 )
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def _array(values, kind: pa.DataType) -> pa.Array:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nestflow.llm import bpe, token_counts
+from nestflow.llm import bpe, decontamination, line_dedup, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +43,96 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(documents, BYTE_BPE, TOKEN_LIMIT).drop("text")
+
+
+@query(
+    """
+    WITH split AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+        FROM documents
+    ), keyed AS (
+        SELECT doc_id, n, line,
+               translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM split
+    ), frequent AS (
+        SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+    ), marked AS (
+        SELECT k.doc_id, n, line, f.key IS NOT NULL AND k.doc_id <> keeper AS dropped
+        FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+    )
+    SELECT doc_id, count(*) AS n_lines,
+           CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT dropped), ''))
+               AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """
+)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(documents, least_documents=5, shortest=40)
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+_WINDOW = 10
+
+
+@query(
+    rf"""
+    WITH word_lists AS (
+        SELECT 'd' AS kind, doc_id AS id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+        UNION ALL
+        SELECT 'i', item_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+        FROM benchmark
+    ), item_windows AS (
+        SELECT DISTINCT id AS item_id, size, array_to_string(words[i : i + size - 1], ' ') AS span
+        FROM (
+            SELECT id, words, least(len(words), {_WINDOW}) AS size,
+                   unnest(range(1, len(words) - least(len(words), {_WINDOW}) + 2)) AS i
+            FROM word_lists WHERE kind = 'i' AND len(words) > 0
+        )
+    ), sizes AS (
+        SELECT DISTINCT size FROM item_windows
+    ), doc_windows AS (
+        SELECT id AS doc_id, size, i, array_to_string(words[i : i + size - 1], ' ') AS span
+        FROM (
+            SELECT id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+            FROM word_lists, sizes WHERE kind = 'd' AND len(words) >= size
+        )
+    ), met AS (
+        SELECT doc_id, item_id, d.size, i FROM doc_windows d JOIN item_windows w
+        ON d.size = w.size AND d.span = w.span
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM met) GROUP BY doc_id
+    ), named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id
+    )
+    SELECT id AS doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM word_lists LEFT JOIN covered ON id = covered.doc_id LEFT JOIN named ON id = named.doc_id
+    WHERE kind = 'd'
+    """
+)
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(documents, benchmark, span=_WINDOW).drop("text_key")
+
+
+@query()
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(documents, shingle=3, distance=3)
