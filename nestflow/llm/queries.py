@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestflow.llm import bpe, decontamination, line_dedup, simhash, token_counts
+from nestflow.llm import bpe, decontamination, lattice, line_dedup, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
 
 
@@ -136,3 +137,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(documents, shingle=3, distance=3)
+
+
+@query()
+def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return lattice.score_documents(documents, PIECES, checksum % 7 == 2)
