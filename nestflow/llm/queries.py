@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestflow.llm import bpe, decontamination, lattice, line_dedup, simhash, token_counts
+from nestflow.llm import (
+    bpe,
+    decontamination,
+    lattice,
+    line_dedup,
+    simhash,
+    token_counts,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +152,25 @@ def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     return lattice.score_documents(documents, PIECES, checksum % 7 == 2)
+
+
+@query(
+    """
+    WITH payloads AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+               sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), firsts AS (
+        SELECT payload_digest, min(page_id) AS response FROM payloads
+        WHERE payload_bytes >= 100 GROUP BY payload_digest
+    )
+    SELECT page_id, payload_bytes, p.payload_digest,
+           CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN response <> page_id THEN response END AS refers_to
+    FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest
+        AND payload_bytes >= 100
+    """
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.round_trip(pages).drop("url")
