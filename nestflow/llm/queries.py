@@ -13,6 +13,7 @@ from nestflow.llm import (
     decontamination,
     lattice,
     line_dedup,
+    quality_rules,
     simhash,
     token_counts,
     warc,
@@ -174,3 +175,73 @@ def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return warc.round_trip(pages).drop("url")
+
+
+@query(
+    r"""
+    WITH split AS (
+        SELECT doc_id, source, coalesce(text, '') AS content,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(words[i : i + 4], ' ') AS span
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM split
+              WHERE len(words) >= 5)
+    ), again AS (
+        SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, span) AS n
+                               FROM windows) WHERE n > 1
+    ), repeated AS (
+        SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(range(i, i + 5)) AS place FROM again) GROUP BY doc_id
+    ), measured AS (
+        SELECT s.doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+               CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+               CAST(length(regexp_replace(content, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(lines) AS BIGINT) AS n_lines,
+               CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words
+        FROM split s LEFT JOIN repeated r ON s.doc_id = r.doc_id
+    ), failed AS (
+        SELECT *, unnest([
+            {'rule': 1, 'fails': n_words < 10, 'severe': n_words < 10},
+            {'rule': 2, 'fails': 100 * n_repeat_words > 20 * n_words,
+             'severe': 100 * n_repeat_words > 20 * n_words},
+            {'rule': 3, 'fails': 100 * n_symbols > 10 * n_words,
+             'severe': 100 * n_symbols > 30 * n_words},
+            {'rule': 4, 'fails': 100 * n_dup_lines > 30 * n_lines,
+             'severe': 100 * n_dup_lines > 60 * n_lines},
+            {'rule': 5, 'fails': word_chars < 3 * n_words OR word_chars > 10 * n_words,
+             'severe': word_chars < 2 * n_words OR word_chars > 20 * n_words}
+        ], recursive := true)
+        FROM measured
+    ), hosts AS (
+        SELECT source, rule, CAST(count(*) AS DOUBLE) AS n,
+               CAST(count(*) FILTER (WHERE fails) AS DOUBLE) AS f
+        FROM failed GROUP BY source, rule
+    ), means AS (
+        SELECT rule, count(*) AS k, sum(n) AS n, sum(f) / sum(n) AS m FROM hosts GROUP BY rule
+    ), spreads AS (
+        SELECT h.rule, k, any_value(m.n) AS n, m, sum(h.n * (f / h.n - m) ** 2) / sum(h.n)
+                   - m * (1 - m) * k / any_value(m.n) AS between_hosts
+        FROM hosts h JOIN means m ON h.rule = m.rule GROUP BY h.rule, k, m
+    ), priors AS (
+        SELECT rule, m, least(greatest(CASE WHEN between_hosts > 0
+            THEN m * (1 - m) / between_hosts - 1 ELSE 1000 END, 1), 1000) AS weight
+        FROM spreads
+    ), verdicts AS (
+        SELECT source, h.rule, (f + m * weight) / (n + weight) > 0.5 AS bad
+        FROM hosts h JOIN priors p ON h.rule = p.rule
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           bool_or(fails AND f.rule <= 2) AS base_failed, bool_or(bad) AS host_rejected,
+           NOT bool_or(fails AND (severe OR bad)) AS kept
+    FROM failed f JOIN verdicts v
+    ON f.rule = v.rule AND f.source IS NOT DISTINCT FROM v.source
+    GROUP BY doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
+    """
+)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality_rules.judge(documents)
