@@ -12,8 +12,10 @@ from nestflow.llm import (
     bpe,
     decontamination,
     lattice,
+    licenses,
     line_dedup,
     quality_rules,
+    sharding,
     simhash,
     token_counts,
     warc,
@@ -245,3 +247,85 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality_rules.judge(documents)
+
+
+SHARD_BYTES = 1 << 20
+
+
+@query(
+    f"""
+    WITH hashed AS (
+        SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+               CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS bits
+        FROM documents
+    ), prefixes AS (
+        SELECT doc_id, n_bytes, bits, depth, bits >> (32 - depth) AS prefix
+        FROM hashed, range(0, 33) AS depths(depth)
+    ), shards AS (
+        SELECT depth, prefix FROM prefixes GROUP BY depth, prefix
+        HAVING sum(n_bytes) <= {SHARD_BYTES} OR count(*) = 1
+    ), found AS (
+        SELECT doc_id, n_bytes, bits, CAST(min(p.depth) AS INTEGER) AS shard_depth
+        FROM prefixes p JOIN shards s ON p.depth = s.depth AND p.prefix = s.prefix
+        GROUP BY doc_id, n_bytes, bits
+    )
+    SELECT doc_id, n_bytes, shard_depth, substr(lpad(bin(bits), 32, '0'), 1, shard_depth) AS shard
+    FROM found
+    """
+)
+def op2_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign_shards(documents, SHARD_BYTES)
+
+
+@query(
+    rf"""
+    WITH plain AS (
+        SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\n]+', ' ', 'g') AS plain
+        FROM documents
+    ), segments AS (
+        SELECT DISTINCT doc_id, trim(regexp_replace(segment, '[ \n]+', ' ', 'g')) AS segment
+        FROM (
+            SELECT doc_id, unnest(string_split(plain, chr(10))) AS segment FROM plain
+            UNION ALL
+            SELECT doc_id, unnest(string_split_regex(plain, '\n *\n')) FROM plain
+            UNION ALL
+            SELECT doc_id, plain FROM plain
+        )
+    ), templates(name, segment) AS (
+        VALUES {
+            ", ".join(
+                "('{}', '{}')".format(name, " ".join(licenses.plain_words(body)))
+                for name, body in licenses.TEMPLATES.items()
+            )
+        }
+    ), listed AS (
+        SELECT doc_id, NULL AS name, segment, string_split(segment, ' ') AS words FROM segments
+        UNION ALL
+        SELECT NULL, name, segment, string_split(segment, ' ') FROM templates
+    ), grams AS (
+        SELECT doc_id, name, segment, words[i] || ' ' || words[i + 1] AS gram, count(*) AS n,
+               any_value(len(words) - 1) AS size
+        FROM (SELECT *, unnest(range(1, len(words))) AS i FROM listed)
+        GROUP BY doc_id, name, segment, gram
+    ), compared AS (
+        SELECT d.doc_id, t.name, d.segment,
+               2 * sum(least(d.n, t.n)) / CAST(any_value(d.size + t.size) AS DOUBLE) AS dice
+        FROM grams d JOIN grams t ON d.gram = t.gram
+        WHERE d.name IS NULL AND t.name IS NOT NULL
+        GROUP BY d.doc_id, t.name, d.segment
+    ), best AS (
+        SELECT doc_id, name, max(dice) AS dice FROM compared WHERE dice >= 0.8
+        GROUP BY doc_id, name
+    )
+    SELECT p.doc_id, coalesce(string_agg(name, ',' ORDER BY name), '') AS license_names,
+           count(name) AS n_licenses,
+           coalesce(CAST(floor(100 * max(dice)) AS BIGINT), 0) AS best_percent
+    FROM plain p LEFT JOIN best b ON p.doc_id = b.doc_id GROUP BY p.doc_id
+    """
+)
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = licenses.scan_licenses(documents)
+    names = F.array_join(F.col("licenses")["name"], ",").alias("license_names")
+    return scanned.select("doc_id", names, "n_licenses", "best_percent")
