@@ -105,8 +105,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.select("*", split.alias(words))
     hashed = F.transform(words, lambda word: F.xxhash64(word))
     rows = rows.select("*", hashed.alias(hashes), line_counts.alias(counts))
-    return rows.select(
-        *kept,
+    measured = F.struct(
         F.size(words).cast("bigint").alias("n_words"),
         F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
         F.regexp_count(content, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
@@ -114,6 +113,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         _repeated_words(F.col(hashes)).alias("n_repeat_words"),
         F.col(counts)["n"].cast("bigint").alias(LINES),
     )
+    # Exploded, as a filter on a measure would else be moved below, and the measures be made
+    # again for each place that names one.
+    rows = rows.select(*kept, F.explode(F.array(measured)).alias(content))
+    return rows.select(*kept, f"{content}.*")
 
 
 def _failures(limits: Limits) -> dict[str, tuple[Column, Column]]:
