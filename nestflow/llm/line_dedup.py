@@ -210,7 +210,7 @@ def dedup_lines(
     # Written, so that the places of a frequent line can be split in the join.
     frequent = settled(frequent.filter(F.col("holders") >= least_documents), "frequent-lines")
     drops = (
-        suspects.join(frequent, "line_key")
+        suspects.join(frequent.hint("merge"), "line_key")
         .filter(~F.col("line_owner").eqNullSafe(F.col("keeper")))
         .groupBy("line_owner")
         .agg(F.collect_list("line_key").alias("dropped_keys"))
@@ -218,7 +218,9 @@ def dedup_lines(
     drops = settled(drops, "dropped-lines")
     owner, keys = free_name(docs, "line_owner"), free_name(docs, "dropped_keys")
     drops = drops.toDF(owner, keys)
-    joined = docs.join(drops, docs[doc_id].eqNullSafe(drops[owner]), "left").drop(owner)
+    # The drops grow with the documents: they are never broadcast.
+    same = docs[doc_id].eqNullSafe(drops[owner])
+    joined = docs.join(drops.hint("merge"), same, "left").drop(owner)
     schema = ", ".join([*_fields(docs), "n_lines bigint", "n_dropped bigint"])
 
     def make():
