@@ -96,12 +96,15 @@ def _directory(rows, bits, depth, deepest, limit, cell) -> DataFrame:
     return counted.select(cell).join(least, cell, "left")
 
 
-def write_shards(docs: DataFrame, path: str, limit: int, key: str = "doc_id", text: str = "text") -> None:
+def write_shards(
+    docs: DataFrame, path: str, limit: int, key: str = "doc_id", text: str = "text"
+) -> None:
     """Write the rows as Parquet, a folder per shard, each shard by one task.
 
-    The text goes along as a column of the assigned rows.
+    Folders are named ``shard=s`` and the prefix: alone, its digits would be read as a number.
     """
     carried = free_name(docs, "shard_text")
     assigned = assign_shards(docs.withColumn(carried, docs[text]), limit, key, text)
     rows = assigned.withColumnRenamed(carried, text)
+    rows = rows.withColumn("shard", F.concat(F.lit("s"), "shard"))
     rows.repartition("shard").write.partitionBy("shard").parquet(path)

@@ -1,0 +1,146 @@
+"""The registered queries against their SQL, or a brute force where SQL has none."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import math
+import re
+from collections import Counter
+from pathlib import Path
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+from nestflow.llm import lattice
+from nestflow.llm.queries import ORACLES, PIECES, QUERIES
+from tests.llm import brute
+from tools.check import compare, duck
+
+TABLES = "/root/testdata/sf0.001"
+NATIVE = ["op1_quality_rules", "op4_licenses"]
+
+pytestmark = pytest.mark.skipif(not Path(TABLES).exists(), reason="needs the test tables")
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return [tuple(r) for r in spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def test_a_query_for_each_operator():
+    numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
+    assert sorted(numbers) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_its_sql(spark, name):
+    assert compare(QUERIES[name](spark, TABLES), duck(TABLES), name) is None
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_cross_join(spark, name):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        QUERIES[name](spark, TABLES).explain()
+    assert "CartesianProduct" not in text.getvalue()
+    assert "BroadcastNestedLoopJoin" not in text.getvalue()
+    if name in NATIVE:
+        assert not re.search(r"Python|Pandas|Arrow", text.getvalue())
+
+
+def test_language_model(spark, documents):
+    rows = {r["doc_id"]: r for r in QUERIES["op3_lattice"](spark, TABLES).collect()}
+    train = Counter()
+    for doc_id, text in documents:
+        if not brute.held_out(doc_id):
+            train.update([*brute.words(text), None])
+    total, distinct = sum(train.values()), len(train)
+    held = []
+    for doc_id, text in documents:
+        row, tokens = rows[doc_id], [*brute.words(text), None]
+        assert row["held_out"] == brute.held_out(doc_id)
+        assert (row["n_tokens"], row["train_tokens"]) == (len(tokens), total)
+        assert row["n_known"] == sum(t in train for t in tokens)
+        base = sum(math.log10((train[t] + 1) / (total + distinct + 1)) for t in tokens)
+        assert row["base_score"] == pytest.approx(base, rel=1e-9)
+        assert row["score"] < 0
+        if row["held_out"]:
+            held.append(row)
+    # Fitting makes held-out documents likelier than the vocabulary's own scores do.
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    out = F.col("doc_id").isin([r["doc_id"] for r in held])
+    unfitted = lattice.score_documents(docs, PIECES, out, rounds=0).filter("held_out")
+    assert sum(r["score"] for r in held) > 1.05 * unfitted.agg(F.sum("score")).first()[0]
+    # The parts of the mixture, put together in plain Python.
+    counts = Counter(train.values())
+    discount = counts[1] / (counts[1] + 2 * counts[2])
+    seen = [(lattice.END if w is None else w.encode(), n) for w, n in train.items()]
+    log_p = lattice.fit(spark.createDataFrame(seen, "word binary, times bigint"), PIECES)
+    own = lattice.vocabulary(PIECES)
+    for row in held[:5]:
+        tokens = [*brute.words(dict(documents)[row["doc_id"]]), None]
+        spelt = lattice.word_scores([lattice.END if t is None else t.encode() for t in tokens], own, log_p)
+        score = sum(
+            math.log10(max(train[t] - discount, 0) / total + discount * distinct / total * math.exp(s))
+            for t, s in zip(tokens, spelt, strict=True)
+        )
+        assert row["score"] == pytest.approx(score, rel=1e-6)
+
+
+def test_bpe(spark, documents):
+    rows = {r["doc_id"]: r for r in QUERIES["op5_bpe"](spark, TABLES).collect()}
+    for doc_id, text in documents:
+        ids = brute.ids(text)
+        assert rows[doc_id]["n_tokens"] == len(ids)
+        assert rows[doc_id]["ids_sha256"] == brute.ids_digest(ids)
+        decoded = brute.TOKENIZER.decode(ids, skip_special_tokens=False)
+        assert rows[doc_id]["decoded_sha256"] == brute.sha(decoded)
+
+
+def test_simhash(spark, documents):
+    rows = {r["doc_id"]: r for r in QUERIES["op8_simhash"](spark, TABLES).collect()}
+    codes = {doc_id: brute.fingerprint(text) for doc_id, text in documents}
+    roots = brute.components(list(codes.values()))
+    for doc_id, code in codes.items():
+        same = min(d for d, c in codes.items() if roots[c] == roots[code])
+        assert rows[doc_id]["fingerprint"] == f"{code:016x}"
+        assert rows[doc_id]["component_id"] == same
+
+
+def test_token_counts(spark, documents):
+    rows = {r["doc_id"]: r for r in QUERIES["op10_token_counts"](spark, TABLES).collect()}
+    for doc_id, text in documents:
+        count = len(brute.ids(text))
+        assert rows[doc_id]["n_tokens"] == count
+        assert rows[doc_id]["n_bytes"] == len(text.encode())
+        assert rows[doc_id]["over_limit"] == (count > 1024)
+
+
+def test_pipeline(spark):
+    """Each stage, on what the one before has kept, against plain Python."""
+    table = spark.read.parquet(f"{TABLES}/documents.parquet")
+    kept = {r["doc_id"] for r in QUERIES["op1_quality_rules"](spark, TABLES).filter("kept").collect()}
+    docs = [(r["doc_id"], r["text"]) for r in table.collect() if r["doc_id"] in kept]
+    docs = list(zip([d for d, _ in docs], brute.dedup_lines(docs), strict=True))
+    codes = {d: brute.fingerprint(t) for d, t in docs}
+    roots = brute.components(list(codes.values()))
+    first: dict[int, int] = {}
+    for doc_id in sorted(codes):
+        first.setdefault(roots[codes[doc_id]], doc_id)
+    docs = [(d, t) for d, t in docs if d in first.values()]
+    items = [tuple(r) for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").select("item_id", "text").collect()]
+    docs = [(d, t) for d, t in docs if not brute.contamination(t, items)[1]]
+    rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, TABLES).collect()}
+    assert rows.keys() == {d for d, _ in docs}
+    for doc_id, text in docs:
+        ids = brute.ids(text)
+        assert rows[doc_id]["token_ids"] == ids
+        assert rows[doc_id]["ids_sha256"] == brute.ids_digest(ids)
+        assert rows[doc_id]["decoded_sha256"] == brute.sha(text)
+
+
+def test_stages_return_documents(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").limit(40)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, TABLES).schema == docs.schema
