@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.functions.paths import top
+from nestflow.functions.paths import quote_path, top
 from nestflow.operators.columns import hashable
 
 # Spellings of a join type, without underscores.
@@ -28,10 +28,13 @@ JOIN_TYPES = {
     "anti": "left_anti",
     "leftanti": "left_anti",
 }
+# A key is hot if it holds more than one row in so many: there are fewer hot keys than that.
 HOT_SHARE = 1000
+# And more rows than this, which a task joins in no time.
+LEAST_HOT = 10_000
 
 _COMPARES = re.compile(r"[=<>]|\s")
-_EQUALITY = re.compile(r"\s*(?:l\.[^\s=]+\s*=\s*r\.[^\s=]+|r\.[^\s=]+\s*=\s*l\.[^\s=]+)\s*", re.I)
+_EQUALITY = re.compile(r"\s*([lr])\.([^\s=]+)\s*=\s*([lr])\.([^\s=]+)\s*", re.I)
 
 
 def join_input(
@@ -40,12 +43,17 @@ def join_input(
     on: str | Sequence[str],
     how: str = "inner",
     salt: int | None = None,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Join on key names, or on conditions between the sides ``l`` and ``r``.
 
-    Which side is broadcast is left to Spark, which knows the sizes. ``salt=n``
-    cuts frequent keys into n parts, where adaptive skew handling does not reach:
-    in a full join, or in a session without it. It costs a count of the keys.
+    Which side is broadcast is left to Spark, which knows the sizes. Adaptive execution
+    splits a hot key of either side in an inner join, but only of the kept side in an outer
+    one, and none in a full one. So an outer join first counts the keys of the sides that it
+    cannot split. Rows of keys with more than one row in ``hot_share`` go through an inner
+    join, and those of a full join that match nothing are added; without such keys nothing
+    changes. ``salt=n`` cuts the left side's hot keys into n parts in an inner join, for
+    sessions without adaptive execution.
     """
     kind = JOIN_TYPES.get(how.lower().replace("_", ""))
     if kind is None:
@@ -54,26 +62,123 @@ def join_input(
     if any(_COMPARES.search(item) for item in on):
         if salt:
             raise ValueError("salt needs key names, not a condition")
-        return _join_where(left, right, on, kind)
+        return _join_where(left, right, on, kind, hot_share)
     if kind in ("left_semi", "left_anti"):
         # Only the keys matter: fold the right side's copies before the shuffle.
         right = right.select(*[top(k) for k in on]).distinct()
-    return _join_salted(left, right, on, kind, salt) if salt else left.join(right, on, kind)
-
-
-def _join_where(left: DataFrame, right: DataFrame, on: list[str], kind: str) -> DataFrame:
-    if not any(_EQUALITY.fullmatch(part) for item in on for part in _conjuncts(item)):
+        return left.join(right, on, kind)
+    if kind == "inner":
+        return _join_inner(left, right, on, salt, hot_share)
+    hot = _hot_of_unsplit(left, right, on, on, kind, hot_share)
+    if hot is None:
+        return left.join(right, on, kind)
+    kept = _cold(left, hot, on).join(_cold(right, hot, on), on, kind)
+    left, right = left.join(hot, on, "left_semi"), right.join(hot, on, "left_semi")
+    joined = kept.union(_join_inner(left, right, on, salt, hot_share))
+    if kind == "full_outer":
+        for side, other in ((left, right), (right, left)):
+            keys = other.select(*[top(k) for k in on]).distinct()
+            alone = side.join(keys, on, "left_anti")
+            columns = [top(k) for k in on]
+            for own in (left, right):
+                rest = [f for f in own.schema.fields if f.name not in on]
+                columns += [
+                    top(f.name) if own is side else F.lit(None).cast(f.dataType) for f in rest
+                ]
+            joined = joined.union(alone.select(*columns))
+    return joined
+
+
+def _hot_of_unsplit(left, right, left_on, right_on, kind, hot_share) -> DataFrame | None:
+    """Hot keys, named as the left's, of the sides that an outer join of that kind keeps
+    whole; null if there are none. They come to the driver: fewer than 2 * ``hot_share``."""
+    found = []
+    if kind in ("right_outer", "full_outer"):
+        found.append(_hot_keys(left, left_on, hot_share, LEAST_HOT))
+    if kind in ("left_outer", "full_outer"):
+        hot = _hot_keys(right, right_on, hot_share, LEAST_HOT)
+        found.append(hot.toDF(*left_on))
+    schema = found[0].schema
+    rows = {row for hot in found for row in hot.collect()}
+    # A key that is null matches nothing.
+    rows = [tuple(row) for row in rows if None not in tuple(row)]
+    return F.broadcast(left.sparkSession.createDataFrame(rows, schema)) if rows else None
+
+
+def _cold(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
+    return df.join(hot, on, "left_anti")
+
+
+def _join_where(
+    left: DataFrame, right: DataFrame, on: list[str], kind: str, hot_share: int
+) -> DataFrame:
+    parts = [part for item in on for part in _conjuncts(item)]
+    pairs = [m.groups() for part in parts if (m := _EQUALITY.fullmatch(part))]
+    pairs = [p for p in pairs if p[0].lower() != p[2].lower()]
+    if not pairs:
         raise ValueError(
             f"join condition {on} has no equality l.x = r.y of its own: it would "
             "compare every row with every row"
         )
     condition = reduce(Column.__and__, [F.expr(item) for item in on])
-    joined = left.alias("l").join(right.alias("r"), condition, kind)
     if kind in ("left_semi", "left_anti"):
-        return joined
-    out = [F.col(f"l.`{c}`") for c in left.columns]
-    # A name both sides have is kept from the left; the right's gets a prefix.
-    out += [F.col(f"r.`{c}`").alias(f"r_{c}" if c in left.columns else c) for c in right.columns]
+        return left.alias("l").join(right.alias("r"), condition, kind)
+    sides = [{p[0].lower(): p[1], p[2].lower(): p[3]} for p in pairs]
+    left_on, right_on = ([side[s].strip("`") for side in sides] for s in "lr")
+    hot = None
+    known = set(left_on) <= set(left.columns) and set(right_on) <= set(right.columns)
+    for side in (left, right):
+        known = known and len(hashable(side)) == len(side.columns)
+    if kind != "inner" and known:
+        hot = _hot_of_unsplit(left, right, left_on, right_on, kind, hot_share)
+    if hot is None:
+        return _joined_where(left, right, condition, kind)
+    joined = _joined_where(left, right, condition, "inner")
+    # Kept rows that are in no pair; equal rows are in the same pairs.
+    for side, other, name, keeps in (
+        (left, right, "l", ("left_outer", "full_outer")),
+        (right, left, "r", ("right_outer", "full_outer")),
+    ):
+        if kind in keeps:
+            pairs_ = left.alias("l").join(right.alias("r"), condition, "inner")
+            met = pairs_.select(*_row_names(side, f"{name}.")).distinct()
+            mine = side.select("*", *_row_names(side))
+            alone = mine.join(met, ROW_NAMES, "left_anti").drop(*ROW_NAMES)
+            if name == "r":
+                renamed = [top(c).alias(n) for c, n in _right_names(left, right)]
+                alone = alone.select(*renamed)
+            joined = joined.unionByName(alone, allowMissingColumns=True)
+    return joined
+
+
+ROW_NAMES = ["__row", "__row_too"]
+
+
+def _row_names(df: DataFrame, prefix: str = "") -> list[Column]:
+    """Two hashes of a row, together as good as the row itself; nulls are told apart."""
+    columns = [F.col(prefix + quote_path([c])) for c in df.columns]
+    parts = [x for c in columns for x in (c, c.isNull())]
+    hashes = F.xxhash64(*parts), F.xxhash64(F.lit(1), *reversed(parts))
+    return [h.alias(n) for h, n in zip(hashes, ROW_NAMES, strict=True)]
+
+
+def _right_names(left: DataFrame, right: DataFrame) -> list[tuple[str, str]]:
+    """A name both sides have is kept from the left; the right's gets a prefix."""
+    taken, names = {c.lower() for c in left.columns}, []
+    free = {c.lower() for c in right.columns} | taken
+    for column in right.columns:
+        name = column
+        while name.lower() in taken or (name != column and name.lower() in free):
+            name = f"r_{name}"
+        taken.add(name.lower())
+        names.append((column, name))
+    return names
+
+
+def _joined_where(left: DataFrame, right: DataFrame, condition: Column, kind: str) -> DataFrame:
+    joined = left.alias("l").join(right.alias("r"), condition, kind)
+    out = [F.col(f"l.{quote_path([c])}") for c in left.columns]
+    out += [F.col(f"r.{quote_path([c])}").alias(n) for c, n in _right_names(left, right)]
     return joined.select(*out)
 
 
@@ -83,40 +188,29 @@ def _conjuncts(text: str) -> list[str]:
     return re.split(r"\s+and\s+", text, flags=re.I)
 
 
-def _join_salted(
-    left: DataFrame, right: DataFrame, on: list[str], kind: str, salt: int
+def _join_inner(
+    left: DataFrame, right: DataFrame, on: list[str], salt: int | None, hot_share: int
 ) -> DataFrame:
-    if kind == "right_outer":
-        return _join_salted(right, left, on, "left_outer", salt).select(
-            *_using_columns(left, right, on)
-        )
-    if kind == "full_outer":
-        matched = _join_salted(left, right, on, "left_outer", salt)
-        keys = left.select(*[top(k) for k in on]).distinct()
-        unmatched = _join_salted(right, keys, on, "left_anti", salt)
-        return matched.unionByName(unmatched, allowMissingColumns=True)
-    hot = F.broadcast(_hot_keys(left, on))
+    if not salt:
+        return left.join(right, on, "inner")
+    hot = F.broadcast(_hot_keys(left, on, hot_share).withColumn("__hot", F.lit(True)))
     # Hash and input partition together spread copies too, and survive a rerun.
     part = F.pmod(F.xxhash64(*hashable(left), F.spark_partition_id()), F.lit(salt))
-    loose = reduce(Column.__or__, [top(k).isNull() for k in on])  # meets nothing anyway
     salted = left.join(hot, on, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | loose, part).otherwise(0)
+        "__salt", F.when(F.col("__hot"), part).otherwise(0)
     )
     parts = F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))
     copies = F.when(F.col("__hot"), parts).otherwise(F.array(F.lit(0).cast("bigint")))
     repeated = right.join(hot, on, "left").withColumn("__salt", F.explode(copies))
-    joined = salted.drop("__hot").join(repeated.drop("__hot"), [*on, "__salt"], kind)
-    if kind in ("left_semi", "left_anti"):
-        return joined.select(*[top(c) for c in left.columns])
+    joined = salted.drop("__hot").join(repeated.drop("__hot"), [*on, "__salt"], "inner")
     return joined.select(*_using_columns(left, right, on))
 
 
-def _hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys that hold more than one row in ``HOT_SHARE``: so there are fewer than that."""
+def _hot_keys(df: DataFrame, on: list[str], hot_share: int, least: int = 0) -> DataFrame:
     counts = df.groupBy(*[top(k) for k in on]).agg(F.count(F.lit(1)).alias("__rows"))
     total = df.agg(F.count(F.lit(1))).scalar()
-    hot = counts.filter(F.col("__rows") * HOT_SHARE > total)
-    return hot.select(*[top(k) for k in on], F.lit(True).alias("__hot"))
+    hot = counts.filter(F.col("__rows") * hot_share > total)
+    return hot.filter(F.col("__rows") > least).select(*[top(k) for k in on])
 
 
 def _using_columns(left: DataFrame, right: DataFrame, on: list[str]) -> list[Column]:

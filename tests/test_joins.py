@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from nestflow import StepError, apply_steps
+from nestflow.operators import combine
 from tests.conftest import rows
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (4, "d"), (None, "e")]
@@ -116,3 +118,75 @@ def test_several_keys_and_named_input(spark, left):
         inputs={"a": left, "b": other},
     )
     assert rows(out) == [(1, "a", 5)]
+
+
+CONDITION = ["l.k = r.k", "r.r < 300000"]
+OUTER = [
+    (how, on, hot) for how in ("left", "right", "full") for on in ("k", CONDITION) for hot in "lr"
+]
+
+
+@pytest.mark.parametrize(("how", "on", "hot"), OUTER)
+def test_a_hot_key_of_either_side_is_split(spark, tmp_path, monkeypatch, how, on, hot):
+    """Half of the rows of a side have one key: no task gets more than a third of them."""
+    monkeypatch.setattr(combine, "LEAST_HOT", 100)
+    many = "SELECT if(id % 2 = 0, 7, -id) AS k, id AS {} FROM range(0, 400000, 1, 8)"
+    few = "SELECT id AS k, id AS {} FROM range(0, 2000, 1, 4)"
+    left = spark.sql((many if hot == "l" else few).format("l"))
+    right = spark.sql((few if hot == "l" else many).format("r"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = join(left, right, on=on, how=how)
+        if len(out.columns) == 4:
+            out = out.selectExpr("coalesce(k, r_k) AS k", "l", "r")
+        # Grouping by the key right here would forbid the split.
+        out.withColumn("task", F.spark_partition_id()).write.parquet(str(tmp_path / "out"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    condition = "l.k = r.k" + (" AND r.r < 300000" if on != "k" else "")
+    left.createOrReplaceTempView("join_l")
+    right.createOrReplaceTempView("join_r")
+    want = spark.sql(
+        f"SELECT coalesce(l.k, r.k) AS k, l, r FROM join_l l {how} JOIN join_r r ON {condition}"
+    )
+    got = spark.read.parquet(str(tmp_path / "out"))
+    sums = F.count(F.lit(1)), F.sum("l"), F.sum("r"), F.count("l"), F.count("r")
+    by_key, wanted = got.groupBy("k").agg(*sums), want.groupBy("k").agg(*sums)
+    assert by_key.exceptAll(wanted).count() == 0 and by_key.count() == wanted.count()
+    most = got.filter("k = 7").groupBy("task").count().agg(F.max("count")).first()[0]
+    assert most <= 200_000 / 3
+
+
+def test_outer_joins_without_a_hot_key_stay_as_they_are(spark, left, right):
+    plan = join(left, right, how="full")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join") == 1
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_split_joins_keep_duplicate_names_and_nulls(spark, monkeypatch, left, right, how):
+    plain = rows(join(left, right.withColumnRenamed("r", "l"), how=how))
+    monkeypatch.setattr(combine, "LEAST_HOT", 1)
+    assert rows(join(left, right.withColumnRenamed("r", "l"), how=how)) == plain
+    on = ["l.k = r.k"]
+    split = join(left, right, on=on, how=how)
+    monkeypatch.undo()
+    assert split.columns == ["k", "l", "r_k", "r"]
+    assert rows(split) == rows(join(left, right, on=on, how=how))
+
+
+def test_names_of_a_condition_join(spark):
+    left = spark.createDataFrame([(1, 2)], "k int, r_k int")
+    right = spark.createDataFrame([(1, 3, 4)], "k int, `a``b` int, r_r_k int")
+    out = join(left, right, on=["l.k = r.k"])
+    assert out.columns == ["k", "r_k", "r_r_r_k", "a`b", "r_r_k"]
+    assert rows(out) == [(1, 2, 1, 3, 4)]
