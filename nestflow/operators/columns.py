@@ -56,11 +56,15 @@ def _expand_star(df: DataFrame, path: str, taken: set[str]) -> list[Column]:
     found = find_path(df.schema, path)
     if found is None:
         raise LookupError(f"no column or field {path!r}; columns are {df.columns}")
+    struct = found.type.elementType if isinstance(found.type, T.ArrayType) else found.type
+    names = [n for n in struct.names if n not in taken] if isinstance(struct, T.StructType) else []
     if isinstance(found.type, T.StructType):
-        names = [n for n in found.type.names if n not in taken]
         return [F.col(f"{found.sql}.{quote_path([n])}").alias(n) for n in names]
     if isinstance(found.type, T.ArrayType) and isinstance(found.type.elementType, T.StructType):
-        return [F.inline(found.column)]
+        if names == struct.names:
+            return [F.inline(found.column)]
+        fields = lambda e: F.struct(*[e[n].alias(n) for n in names])
+        return [F.inline(F.transform(found.column, fields))]
     raise LookupError(f"{path!r} is {found.type.simpleString()}, which has no fields to expand")
 
 

@@ -27,8 +27,12 @@ def order_rows(df: DataFrame, columns: Mapping[str, bool], carry: Sequence[str]
     for path, ascending in columns.items():
         key = column_at(df.schema, path)
         keys.append(key.asc() if ascending else key.desc())
-    spread = {"__hash": F.xxhash64(*hashable(df)), "__origin": F.spark_partition_id()}
-    return df.withColumns(spread).orderBy(*keys, *spread).drop(*spread)
+    names = ["__hash", "__origin"]
+    while set(names) & set(df.columns):
+        names = [f"_{name}" for name in names]
+    values = F.xxhash64(*hashable(df)), F.spark_partition_id()
+    spread = dict(zip(names, values, strict=True))
+    return df.withColumns(spread).orderBy(*keys, *names).drop(*names)
 
 
 def aggregate(

@@ -26,10 +26,11 @@ def apply_steps(
     a step need not name it. ``missing`` is the default for select. Columns in
     ``carry`` go through every step and are part of every grouping and sort, so
     that with the source file among them many files are flattened at once, each
-    as if it were alone.
+    as if it were alone. Right and full joins and unions add rows of no file; with
+    ``carry`` they are refused. An ``agg`` without groups has no row for a file without rows.
     """
     inputs = inputs or {}
-    check_steps(steps, inputs.keys())
+    check_steps(steps, inputs.keys(), in_job=bool(carry))
     group: Sequence[str] | str = ()
     for number, step in enumerate(steps, start=1):
         operation = step["operation"]
@@ -48,7 +49,9 @@ def apply_steps(
 def _apply(df, operation, step, inputs, missing, carry) -> DataFrame:
     match operation:
         case "select":
-            return select_columns(df, step["columns"], step.get("missing", missing), carry)
+            # YAML reads a bare ``null`` as none.
+            absent = step.get("missing", missing) or "null"
+            return select_columns(df, step["columns"], absent, carry)
         case "explode":
             options = {k: step[k] for k in ("keep", "outer") if k in step}
             return explode_column(df, step["column"], step["alias"], carry=carry, **options)

@@ -26,8 +26,17 @@ class StepError(ValueError):
         super().__init__(f"step {number} ({operation}): {problem}")
 
 
-def check_steps(steps: Sequence[dict], inputs: Collection[str] = ()) -> None:
-    """Raise ``StepError`` for the first step that is malformed."""
+# Rows of the other input belong to no file: for each file alone they would be needed again.
+NOT_PER_FILE = {"right", "rightouter", "outer", "full", "fullouter"}
+
+
+def check_steps(
+    steps: Sequence[dict], inputs: Collection[str] = (), in_job: bool = False
+) -> None:
+    """Raise ``StepError`` for the first step that is malformed.
+
+    ``in_job`` also refuses what cannot be done for many files at once as for each alone.
+    """
     previous = None
     for number, step in enumerate(steps, start=1):
         operation = step.get("operation") if isinstance(step, dict) else step
@@ -42,6 +51,10 @@ def check_steps(steps: Sequence[dict], inputs: Collection[str] = ()) -> None:
             raise StepError(number, operation, "a groupBy must be followed by agg")
         if operation in ("join", "union"):
             _check_input(number, operation, step, inputs)
+            kind = str(step.get("how", "")).lower().replace("_", "")
+            if in_job and (operation == "union" or kind in NOT_PER_FILE):
+                problem = f"{kind or operation} adds rows that are of no file"
+                raise StepError(number, operation, f"{problem}, which a job cannot place")
         previous = operation
     if previous == "groupBy":
         raise StepError(len(steps), "groupBy", "must be followed by agg")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nestflow.operators import apply_steps
+
 # --- Fixed values: element names of the inventory format and the names of the result. ---
 
 ADMINISTRATIVE_DATA = [
@@ -15,14 +19,13 @@ ADMINISTRATIVE_DATA = [
     "es:productionDate",
 ]
 
-ME = "MeContext.xn:ManagedElement"
 ATTRIBUTES = "xn:attributes"
 SW_ITEM = f"child.{ATTRIBUTES}.es:vsDataSwItem"
 
 INVENTORY_COLUMNS = {
     "SubNetworkId": "SubNetworkId",
     "MeContext._id": "MeContextId",
-    f"{ME}._id": "ManagedElementId",
+    "element._id": "ManagedElementId",
     "parent._id": "ParentVsDataContainerId",
     f"parent.{ATTRIBUTES}.es:vsDataSystemFunctions": "ParentvsDataSystemFunctions",
     f"parent.{ATTRIBUTES}.xn:vsDataFormatVersion": "ParentvsDataFormatVersion",
@@ -65,56 +68,107 @@ SW_ITEM_FIELD = struct_field(
 )
 
 
-def container(*attributes: T.StructField, below: T.StructField | None = None, array: bool = True):
-    """A container: its id, its attributes and, if any, the containers below."""
+CONTAINER = "xn:VsDataContainer"
+#: Levels of containers that the 24 columns are of.
+LEVELS = ("parent", "middle", "child")
+
+
+def container(*attributes: T.StructField, below: T.StructField | None = None) -> T.StructField:
+    """Containers: their ids, attributes and, if any, the containers below."""
     return struct_field(
-        "xn:VsDataContainer",
+        CONTAINER,
         *strings("_id"),
         struct_field(
             ATTRIBUTES, *attributes, *strings("xn:vsDataFormatVersion", "xn:vsDataType")
         ),
         *([below] if below else []),
-        array=array,
+        array=True,
     )
 
 
 def me_context_schema(
-    inventory: T.StructField | None = None, child: tuple[T.StructField, ...] = (SW_ITEM_FIELD,)
+    inventory: T.StructField | None = None,
+    child: tuple[T.StructField, ...] = (SW_ITEM_FIELD,),
+    depth: int = len(LEVELS),
 ) -> T.StructType:
-    """One network element; ``inventory`` is the type of the middle container's inventory."""
+    """One network element; ``inventory`` is the type of the middle container's inventory.
+
+    Whatever may be repeated is an array: Spark's reader keeps only the last of repeated
+    elements that are declared as one. ``depth`` is how many levels of containers are read,
+    three at least; of those below, which Spark has no recursive type for, the ids are read
+    one level deep, so that ``deeper_containers`` can tell of them.
+    """
+    if depth < len(LEVELS):
+        raise ValueError(f"the inventory has {len(LEVELS)} levels of containers, not {depth}")
+    below = struct_field(CONTAINER, *strings("_id"), array=True)
+    for _ in range(depth - 2):
+        below = container(*child, below=below)
     middle = inventory or struct_field("es:vsDataSwInventory", SW_ITEM_FIELD)
-    containers = container(
-        *strings("es:vsDataSystemFunctions"),
-        below=container(middle, below=container(*child)),
-        array=False,
+    parents = container(
+        *strings("es:vsDataSystemFunctions"), below=container(middle, below=below)
     )
-    element = struct_field("xn:ManagedElement", *strings("_id"), containers)
+    element = struct_field("xn:ManagedElement", *strings("_id"), parents, array=True)
     return T.StructType([*strings("_id"), element])
 
 
+def sub_network_schema(**options) -> T.StructType:
+    """A sub-network and its network elements."""
+    elements = T.StructField("xn:MeContext", T.ArrayType(me_context_schema(**options)))
+    return T.StructType([*strings("_id"), elements])
+
+
 def inventory_schema(**options) -> T.StructType:
-    """One export: a sub-network and its network elements."""
-    me_context = me_context_schema(**options)
-    elements = T.StructField("xn:MeContext", T.ArrayType(me_context))
-    return T.StructType([struct_field("xn:SubNetwork", *strings("_id"), elements)])
+    """One export: sub-networks and their network elements."""
+    networks = T.ArrayType(sub_network_schema(**options))
+    return T.StructType([T.StructField("xn:SubNetwork", networks)])
+
 
+def _explode(column: str, alias: str) -> dict:
+    return {"operation": "explode", "column": column, "alias": alias, "keep": True}
 
-# From a row per network element: down the three levels of containers.
+
+def _containers(depth: int) -> list[dict]:
+    """Down to the containers of level ``depth``; those of level three and on are children."""
+    above = ["element", *LEVELS[:2], *(["child"] * (depth - 2))]
+    return [
+        _explode(f"{a}.{CONTAINER}", b) for a, b in zip(above[:-1], above[1:], strict=True)
+    ]
+
+
+# From a row per network element, ``MeContext``: down the levels of containers.
 CONTAINER_STEPS = [
-    {"operation": "withColumn", "column": "parent", "func": f"col('{ME}.xn:VsDataContainer')"},
-    *[
-        {"operation": "explode", "column": f"{above}.xn:VsDataContainer", "alias": a, "keep": True}
-        for above, a in (("parent", "middle"), ("middle", "child"))
-    ],
+    _explode("MeContext.xn:ManagedElement", "element"),
+    *_containers(len(LEVELS)),
     {"operation": "select", "columns": INVENTORY_COLUMNS, "missing": "null"},
 ]
 
-# From a row per export.
-INVENTORY_STEPS = [
+_CONTEXTS = [
+    _explode("xn:SubNetwork", "network"),
     {
         "operation": "select",
-        "columns": {"xn:SubNetwork._id": "SubNetworkId", "xn:SubNetwork.xn:MeContext": "MeContext"},
+        "columns": {"network._id": "SubNetworkId", "network.xn:MeContext": "MeContext"},
     },
-    {"operation": "explode", "column": "MeContext", "alias": "MeContext", "keep": True},
-    *CONTAINER_STEPS,
+    _explode("MeContext", "MeContext"),
 ]
+
+# From a row per export.
+INVENTORY_STEPS = [*_CONTEXTS, *CONTAINER_STEPS]
+
+
+def deeper_containers(exports: DataFrame, depth: int = len(LEVELS)) -> DataFrame:
+    """Containers below the levels that were read, which no row of the inventory shows.
+
+    ``exports`` were read with the same ``depth``. A row per container of the last level that
+    has some: its ids, and their number as ``deeper``. Read with more depth to see them.
+    """
+    steps = [*_CONTEXTS, _explode("MeContext.xn:ManagedElement", "element"), *_containers(depth)]
+    ids = {
+        "SubNetworkId": "SubNetworkId",
+        "MeContext._id": "MeContextId",
+        "element._id": "ManagedElementId",
+        "child._id": "ChildVsDataContainerId",
+        f"child.{CONTAINER}": "below",
+    }
+    rows = apply_steps(exports, [*steps, {"operation": "select", "columns": ids}])
+    deeper = F.coalesce(F.array_size("below"), F.lit(0))
+    return rows.withColumn("deeper", deeper).drop("below").filter("deeper > 0")

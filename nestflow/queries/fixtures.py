@@ -6,12 +6,13 @@ Each is written once per session and table folder, to the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestflow.plans.inventory import ADMINISTRATIVE_DATA, inventory_schema, strings
+from nestflow.plans.inventory import ADMINISTRATIVE_DATA, CONTAINER, inventory_schema, strings
 from nestflow.queries.registry import table
 from nestflow.sources import Landing
 from nestflow.workspace import new_folder
@@ -28,7 +29,6 @@ ORDER_SCHEMA = (
     f"o_orderdate timestamp_ntz, o_orderpriority string, lines struct<item: array<{LINE}>>"
 )
 
-MARKETS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 # No files land for 3G.
 PREFIXES = {"2G": "im=2G-f", "3G": "im=3G-x", "4G": "im=4G-o/", "5G": "im=5G-p"}
 
@@ -127,14 +127,39 @@ def orders_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
 @_once
 def dirty_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Orders without lines; pending ones have a price that is no number."""
+    price = F.col("o_totalprice").cast("string")
+    price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(price)
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("_id"),
-        "o_orderstatus",
-        F.when(F.col("o_orderstatus") == "P", "n/a")
-        .otherwise(F.col("o_totalprice").cast("string"))
-        .alias("o_totalprice"),
+        F.col("o_orderkey").alias("_id"), "o_orderstatus", price.alias("o_totalprice")
     )
-    _write_xml(orders, path, "ord", records_per_file=100_000)
+    _write_xml(orders, path, "ord")
+
+
+@_once
+def cut_off_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A file per priority with a whole record, whose closing tag holds white space, and one
+    that the file's end cuts off behind a child element."""
+    first = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.min("o_orderkey"))
+    text = F.concat(
+        F.lit('<all><ord id="-'),
+        F.col("min(o_orderkey)"),
+        F.lit('"><o_totalprice>1.5</o_totalprice></ord\t><ord><o_orderstatus>F</o_orderstatus>'),
+    )
+    first = first.select(text.alias("value"), "o_orderpriority").repartition("o_orderpriority")
+    first.write.partitionBy("o_orderpriority").text(path)
+
+
+def markets(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All regions, each a market."""
+    names = table(spark, sf_dir, "region").select("r_name").distinct().orderBy("r_name")
+    return [row["r_name"] for row in names.collect()]
+
+
+def export_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """The first and the last day of which there are exports."""
+    days = table(spark, sf_dir, "orders").select(export_day().alias("day"))
+    first, last = days.agg(F.min("day"), F.max("day")).first()
+    return first or date(1970, 1, 1), last or date(1970, 1, 1)
 
 
 def export_day():
@@ -181,6 +206,20 @@ def landing_tree(spark: SparkSession, sf_dir: str, path: str) -> None:
     _write_xml(landed.hint("rebalance", *folders), path, "ord", folders=folders)
 
 
+@_once
+def line_tree(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A record per line in the same folders; those of urgent pending orders lack a price."""
+    orders = landed_orders(spark, table(spark, sf_dir, "orders"), sf_dir)
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    bad = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+    price = F.when(bad, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    folders = ["market", "im", "year", "month", "day"]
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("_id"), "l_quantity", price.alias("price"), *folders
+    )
+    _write_xml(rows.hint("rebalance", *folders), path, "ln", folders=folders)
+
+
 def landing(root: str) -> Landing:
     return Landing(f"{root}/market={{}}", PREFIXES)
 
@@ -193,9 +232,17 @@ def read_schema():
     return inventory_schema(**INVENTORY_TYPE)
 
 
+# Customers of an export, and of a context within it.
+EXPORT_CUSTOMERS = 16
+CONTEXT_CUSTOMERS = 4
+
+
 @_once
 def inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """One export per customer: a network element whose containers are orders and lines."""
+    """Exports of some customers, each a network element: several sub-networks (regions) in an
+    export, contexts (nations) in a sub-network, elements (customers) in a context, parents
+    (order states) in an element, orders in a parent and lines in an order.
+    """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"
     )
@@ -227,7 +274,7 @@ def inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
     containers = lines.repartition("o_custkey", "piece").groupBy(
         "o_custkey", "piece", "o_orderkey", "o_orderpriority", "o_orderstatus"
-    ).agg(F.collect_list(child).alias("xn:VsDataContainer"))
+    ).agg(F.collect_list(child).alias(CONTAINER))
     middle = F.struct(
         _text(F.col("o_orderkey"), "_id"),
         _attributes(
@@ -235,30 +282,41 @@ def inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
             F.lit("1.1"),
             F.col("o_orderstatus"),
         ),
-        F.col("xn:VsDataContainer"),
+        F.col(CONTAINER),
     )
-    elements = containers.groupBy("o_custkey", "piece").agg(
-        F.collect_list(middle).alias("xn:VsDataContainer")
+    parents = containers.groupBy("o_custkey", "piece", "o_orderstatus").agg(
+        F.collect_list(middle).alias(CONTAINER)
     )
     customer = table(spark, sf_dir, "customer").drop("c_nationkey", "c_acctbal")
     customer = customer.join(customer_places(spark, sf_dir), "c_custkey")
     customer = customer.withColumnRenamed("c_custkey", "o_custkey")
-    elements = elements.join(
-        _for_each_piece(customer, large, "o_custkey"), ["o_custkey", "piece"]
-    )
+    parents = parents.join(_for_each_piece(customer, large, "o_custkey"), ["o_custkey", "piece"])
     parent = F.struct(
         _text(F.col("o_custkey"), "_id"),
         _attributes(
             _text(F.col("c_name"), "es:vsDataSystemFunctions"), F.lit("1.0"), F.col("c_mktsegment")
         ),
-        F.col("xn:VsDataContainer"),
+        F.col(CONTAINER),
+    )
+    elements = parents.groupBy("o_custkey", "piece", "n_name", "r_name").agg(
+        F.collect_list(parent).alias(CONTAINER)
+    )
+    element = F.struct(_text(F.col("o_custkey"), "_id"), F.col(CONTAINER))
+    export = F.floor(F.col("o_custkey") / EXPORT_CUSTOMERS).alias("export")
+    part = F.floor(F.col("o_custkey") / CONTEXT_CUSTOMERS).alias("part")
+    contexts = elements.groupBy(export, part, "piece", "r_name", "n_name").agg(
+        F.collect_list(element).alias("xn:ManagedElement")
+    )
+    context = F.struct(_text(F.col("n_name"), "_id"), F.col("xn:ManagedElement"))
+    networks = contexts.groupBy("export", "piece", "r_name").agg(
+        F.collect_list(context).alias("xn:MeContext")
+    )
+    network = F.struct(_text(F.col("r_name"), "_id"), F.col("xn:MeContext"))
+    exports = networks.groupBy("export", "piece").agg(
+        F.collect_list(network).alias("xn:SubNetwork")
     )
-    element = F.struct(_text(F.col("o_custkey"), "_id"), parent.alias("xn:VsDataContainer"))
-    me_context = F.struct(_text(F.col("n_name"), "_id"), element.alias("xn:ManagedElement"))
-    sub_network = F.struct(_text(F.col("r_name"), "_id"), F.array(me_context).alias("xn:MeContext"))
-    exports = elements.select(sub_network.alias("xn:SubNetwork"), "r_name")
-    # One sub-network per folder, so that a file belongs to one.
-    _write_xml(exports, path, "xn:configData", folders=["r_name"], records_per_file=500)
+    # Files of any size, which a split scan reads in several tasks.
+    _write_xml(exports.select("xn:SubNetwork"), path, "xn:configData")
 
 
 def _text(column, name: str):

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from nestflow.functions import tech_of
 from nestflow.operators import apply_steps
 from nestflow.queries import fixtures
-from nestflow.queries.fixtures import MARKETS, ORDER_SCHEMA, PREFIXES, landing
+from nestflow.queries.fixtures import ORDER_SCHEMA, PREFIXES, landing
 from nestflow.queries.registry import query, table
 from nestflow.sources import (
     CORRUPT,
@@ -25,9 +25,6 @@ from nestflow.sources import (
 from nestflow.streaming import ingest_new_files
 from nestflow.workspace import new_folder
 
-# The tables span these days.
-FIRST, LAST = date(1990, 1, 1), date(2010, 12, 31)
-
 PLACED = """
     SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, r_name AS market,
            CASE o_orderstatus WHEN 'F' THEN '2G' WHEN 'O' THEN '4G' ELSE '5G' END AS tech,
@@ -106,10 +103,10 @@ def scan_xml_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_xml_namespaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row tag without its prefix, ids of all levels."""
     schema = """
-        SubNetwork struct<_id string, MeContext array<struct<_id string,
-            ManagedElement struct<_id string, VsDataContainer struct<
+        SubNetwork array<struct<_id string, MeContext array<struct<_id string,
+            ManagedElement array<struct<_id string, VsDataContainer array<struct<
                 VsDataContainer array<struct<_id string,
-                    VsDataContainer array<struct<_id string>>>>>>>>>
+                    VsDataContainer array<struct<_id string>>>>>>>>>>>>
     """
     exports = scan_xml(
         spark,
@@ -118,20 +115,27 @@ def scan_xml_namespaced(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema,
         ignore_namespace=True,
     )
-    containers = "me.ManagedElement.VsDataContainer.VsDataContainer"
-    below = "middle.VsDataContainer"
+    levels = {
+        "net": "SubNetwork",
+        "me": "net.MeContext",
+        "element": "me.ManagedElement",
+        "parent": "element.VsDataContainer",
+        "middle": "parent.VsDataContainer",
+        "child": "middle.VsDataContainer",
+    }
     return apply_steps(
         exports,
         [
-            {"operation": "explode", "column": "SubNetwork.MeContext", "alias": "me", "keep": True},
-            {"operation": "explode", "column": containers, "alias": "middle", "keep": True},
-            {"operation": "explode", "column": below, "alias": "child", "keep": True},
+            *[
+                {"operation": "explode", "column": column, "alias": alias, "keep": True}
+                for alias, column in levels.items()
+            ],
             {
                 "operation": "select",
                 "columns": {
-                    "SubNetwork._id": "SubNetworkId",
+                    "net._id": "SubNetworkId",
                     "me._id": "MeContextId",
-                    "me.ManagedElement._id": "ManagedElementId",
+                    "element._id": "ManagedElementId",
                     "middle._id": "MiddleVsDataContainerId",
                     "child._id": "ChildVsDataContainerId",
                 },
@@ -154,8 +158,9 @@ def scan_xml_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
 
 
-def _landed(spark, sf_dir, *columns, markets=MARKETS, techs=("2G", "4G", "5G"), window=None):
-    start, end = window or (FIRST, LAST)
+def _landed(spark, sf_dir, *columns, more_markets=(), techs=("2G", "4G", "5G"), window=None):
+    start, end = window or fixtures.export_days(spark, sf_dir)
+    markets = [*fixtures.markets(spark, sf_dir), *more_markets]
     tree = landing(fixtures.landing_tree(spark, sf_dir))
     schema = narrow("_id", "lines.item.l_linenumber", "lines.item.l_quantity")
     rows = scan_landing(spark, tree, markets, list(techs), start, end, "ord", schema)
@@ -189,7 +194,7 @@ def scan_tech_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def scan_market_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The buckets of all markets in one read; one of them does not exist."""
-    return _landed(spark, sf_dir, "market", markets=[*MARKETS, "ATLANTIS"])
+    return _landed(spark, sf_dir, "market", more_markets=["ATLANTIS"])
 
 
 @query("""
@@ -243,27 +248,33 @@ def scan_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END
-           AS o_totalprice, o_orderstatus = 'P' AS quarantined
-    FROM orders
+           AS o_totalprice, o_orderstatus = 'P' AS quarantined FROM orders
+    UNION ALL
+    SELECT -min(o_orderkey), 1.5, FALSE FROM orders GROUP BY o_orderpriority
+    UNION ALL
+    SELECT CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), TRUE FROM orders GROUP BY o_orderpriority
 """)
 def read_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records that do not fit the schema go apart, with their text."""
+    """Records that do not fit the schema, or that a file's end cuts off, go apart with
+    their text; closing tags may hold white space."""
     schema = "_id bigint, o_orderstatus string, o_totalprice double"
     stage = new_folder(spark, "quarantine")
-    path = fixtures.dirty_xml(spark, sf_dir)
-    scan_fragments(spark, path, "ord", schema, keep_corrupt=True).write.parquet(stage)
+    for path in (fixtures.dirty_xml(spark, sf_dir), fixtures.cut_off_xml(spark, sf_dir)):
+        records = scan_fragments(spark, path, "ord", schema, keep_corrupt=True, recursive=True)
+        records.write.mode("append").parquet(stage)
     good, bad = split_corrupt(spark.read.parquet(stage))
     key, price = F.col("_id").alias("o_orderkey"), F.col("o_totalprice")
+    cut_off = F.col(CORRUPT).startswith("<ord><o_orderstatus>F</o_orderstatus>")
     return good.select(key, price, F.lit(False).alias("quarantined")).union(
-        bad.select(key, price, F.col(CORRUPT).contains("n/a"))
+        bad.select(key, price, F.col(CORRUPT).contains("n/a") | cut_off)
     )
 
 
 @query(f"""
     SELECT o_orderkey, tech, l_linenumber, l_quantity
-    FROM ({PLACED}) LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE tech = '2G'
+    FROM ({PLACED}) LEFT JOIN lineitem ON o_orderkey = l_orderkey
 """)
 def scan_empty_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A technology without files gives no rows, with the declared columns."""
     empty = _landed(spark, sf_dir, "tech", techs=("3G",))
-    return empty.union(_landed(spark, sf_dir, "tech", techs=("2G", "3G")))
+    return empty.union(_landed(spark, sf_dir, "tech", techs=tuple(PREFIXES)))

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from nestflow.functions import output_name
 from nestflow.operators import apply_steps
 from nestflow.queries import fixtures
-from nestflow.queries.fixtures import MARKETS, landing
+from nestflow.queries.fixtures import landing
 from nestflow.queries.registry import query, table
-from nestflow.queries.scans import FIRST, LAST, PLACED, narrow
+from nestflow.queries.scans import PLACED, narrow
 from nestflow.sinks import SAVE_MODES, write_parquet, write_partitioned
 from nestflow.sources import SOURCE_FILE, scan_landing
 from nestflow.workspace import new_folder
@@ -46,7 +46,7 @@ def write_parquet_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT market, tech, CAST(export_day AS VARCHAR) AS export_day, TRUE AS is_parquet,
+    SELECT market, tech, CAST(export_day AS VARCHAR) AS export_day, TRUE AS same_base,
            CAST(sum(n) AS BIGINT) AS lines
     FROM (
         SELECT market, tech, export_day, (SELECT count(*) FROM lineitem
@@ -58,12 +58,17 @@ def output_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: the base name of the source with its suffix replaced."""
     tree = landing(fixtures.landing_tree(spark, sf_dir))
     schema = narrow("_id", "lines.item.l_linenumber")
-    rows = scan_landing(spark, tree, MARKETS, ["2G", "4G", "5G"], FIRST, LAST, "ord", schema)
-    rows = rows.withColumn("output", output_name(F.col(SOURCE_FILE)))
+    markets, days = fixtures.markets(spark, sf_dir), fixtures.export_days(spark, sf_dir)
+    rows = scan_landing(spark, tree, markets, ["2G", "4G", "5G"], *days, "ord", schema)
+    # Told without the operator: the file's name up to its suffix, and the new suffix.
+    base = F.regexp_extract(SOURCE_FILE, r"([^/]*)\.xml$", 1)
+    rows = rows.withColumn("output", output_name(F.col(SOURCE_FILE))).withColumn(
+        "same", (F.length(base) > 0) & (F.col("output") == F.concat(base, F.lit(".parquet")))
+    )
     return rows.groupBy(
         "market", "tech", F.concat_ws("-", "year", "month", "day").alias("export_day")
     ).agg(
-        F.bool_and(F.col("output").rlike(r"^[^/]+(?<!\.xml)\.parquet$")).alias("is_parquet"),
+        F.bool_and("same").alias("same_base"),
         F.sum(F.coalesce(F.array_size("lines.item"), F.lit(0))).alias("lines"),
     )
 

@@ -412,6 +412,40 @@ def step_order_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT o_orderpriority, count(*) AS orders, min(o_totalprice) AS least,
+           CAST(row_number() OVER (ORDER BY o_orderpriority DESC NULLS LAST) AS INTEGER) AS band,
+           TRUE AS apart
+    FROM orders GROUP BY o_orderpriority
+""")
+def step_order_by_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: the places of the sorted rows. Each priority is a band of its own, in order, and
+    within it no price is below the next one's: a band's least price is at its first place."""
+    by = {"o_orderpriority": False, "o_totalprice": True}
+    ordered = apply_steps(
+        table(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice"),
+        [{"operation": "orderBy", "columns": by}],
+    )
+    placed = ordered.withColumn("place", F.monotonically_increasing_id())
+    bands = placed.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.min_by("o_totalprice", "place").alias("least"),
+        F.min("place").alias("first"),
+        F.max("place").alias("last"),
+    )
+    band = F.struct("first", "last", "o_orderpriority", "orders", "least")
+    listed = bands.agg(F.array_sort(F.collect_list(band)).alias("bands"))
+    after = F.get("bands", F.col("pos") + 1)["first"]
+    listed = listed.select("bands", F.posexplode("bands").alias("pos", "own"))
+    return listed.select(
+        "own.o_orderpriority",
+        "own.orders",
+        "own.least",
+        (F.col("pos") + 1).alias("band"),
+        F.coalesce(F.col("own.last") < after, F.lit(True)).alias("apart"),
+    )
+
+
 @query("""
     SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
     UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier

@@ -1,6 +1,6 @@
 """Parquet output and the report on an ingest."""
 
-from nestflow.sinks.parquet import SAVE_MODES, write_parquet, write_partitioned
+from nestflow.sinks.parquet import SAVE_MODES, write_days, write_parquet, write_partitioned
 from nestflow.sinks.report import ingest_report
 
-__all__ = ["SAVE_MODES", "ingest_report", "write_parquet", "write_partitioned"]
+__all__ = ["SAVE_MODES", "ingest_report", "write_days", "write_parquet", "write_partitioned"]

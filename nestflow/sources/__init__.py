@@ -1,7 +1,7 @@
 """Scans: XML files by row tag, landing folders by market, technology and day."""
 
-from nestflow.sources.fragments import fill_from_file, scan_fragments
-from nestflow.sources.landing import Landing, day_folders, parse_day, scan_landing
+from nestflow.sources.fragments import fill_ancestors, scan_fragments
+from nestflow.sources.landing import Landing, day_folders, list_days, parse_day, scan_landing
 from nestflow.sources.xml import (
     CORRUPT,
     SOURCE_FILE,
@@ -16,7 +16,8 @@ __all__ = [
     "SOURCE_FILE",
     "Landing",
     "day_folders",
-    "fill_from_file",
+    "fill_ancestors",
+    "list_days",
     "list_files",
     "narrow_schema",
     "parse_day",

@@ -2,11 +2,12 @@
 
 Spark's XML reader gives a whole file to one task. Text with a line separator is
 read in splits, so with the closing tag as separator many tasks share one file, and
-``from_xml`` turns each piece into a row.
+``from_xml`` turns each piece into a row. A closing tag with white space in it is no
+separator for Spark; its piece is cut once more.
 
-The tag must not be nested in itself, nor occur in comments or CDATA, and a file must
-not be cut off inside its last element. An element that cannot be read is kept with
-its text, it is not dropped.
+The tag must not be nested in itself, nor occur in comments or CDATA. With
+``keep_corrupt`` an element that cannot be read, or that the end of its file cuts off, is
+kept with its text.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
-from nestflow.functions.paths import quote_path
+from nestflow.functions.paths import quote_path, top
 from nestflow.sources.xml import (
     CORRUPT,
     SOURCE_FILE,
@@ -29,14 +30,20 @@ from nestflow.sources.xml import (
     text_attributes,
     typed,
 )
-from nestflow.workspace import new_folder
+from nestflow.workspace import drop_folder, new_folder
 
 # What may follow the name in a start tag: plain text or quoted attribute values.
 _INSIDE = r"""(?:[\s/](?:[^"'<>]++|"[^"]*+"|'[^']*+')*+)?+"""
+_DECLARED = r"""\A\W{0,3}<\?xml[^>]*?encoding\s*=\s*["']([^"']+)["']"""
 # The same in a tag that is not self-closed.
 _ATTRIBUTES = r"""(?:\s(?:[^"'<>/]++|"[^"]*+"|'[^']*+')*+)?+"""
 
 
+# Where a piece stands: its file's split, and its number among all that the task has read.
+BLOCK = "fragment_block"
+PLACE = "fragment_place"
+
+
 def scan_fragments(
     spark: SparkSession,
     paths: str | list[str],
@@ -46,49 +53,146 @@ def scan_fragments(
     keep_corrupt: bool = False,
     with_file: bool = False,
     ancestors: Mapping[str, tuple[str, str]] | None = None,
+    ignore_namespace: bool = False,
+    recursive: bool = False,
+    encoding: str = "UTF-8",
     reader: DataFrameReader | DataStreamReader | None = None,
 ) -> DataFrame:
     """Rows of ``scan_xml`` with the same tag and schema, read in splits of a file.
 
-    ``keep_corrupt`` adds the text of each element that does not fit the schema.
-    ``ancestors`` maps a column name to (tag, attribute) of an element around the
-    rows. It is set on the row that follows the ancestor's start tag and null on the
-    others; ``fill_from_file`` spreads it when a file has one such element. ``reader``
-    may bring options, or be a stream's.
+    ``keep_corrupt`` adds the text of each element that does not fit the schema. It reads
+    the text once more, to find files that end inside an element, but not from a stream.
+    ``ancestors`` maps a column name to (tag, attribute) of an element around the rows; give
+    the rows, once written, to ``fill_ancestors``. With ``ignore_namespace`` the schema's
+    names lack prefixes; ``row_tag`` is written as in the files. A file that declares another
+    encoding than ``encoding`` stops the job. ``reader`` may bring options, or be a stream's.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if encoding.upper().startswith("UTF-16") or encoding.upper().startswith("UTF-32"):
+        raise ValueError(f"{encoding} text cannot be cut at a tag, use scan_xml")
     if not paths:
         nothing = scan_xml(spark, [], row_tag, schema, keep_corrupt=keep_corrupt)
         strings = [*(ancestors or {}), *([SOURCE_FILE] if with_file or ancestors else [])]
-        return nothing.select("*", *[F.lit(None).cast("string").alias(c) for c in strings])
-    close = f"</{row_tag}>"
-    text = (reader or spark.read).option("lineSep", close).text(paths)
-    named = [file_path().alias(SOURCE_FILE)] if with_file or ancestors else []
+        nothing = nothing.select("*", *[F.lit(None).cast("string").alias(c) for c in strings])
+        places = [BLOCK, PLACE] if ancestors else []
+        return nothing.select("*", *[F.lit(None).cast("bigint").alias(c) for c in places])
+    pieces = _pieces(spark, paths, row_tag, recursive, encoding, reader)
     around = [
-        _attribute(tag, attribute).alias(name)
+        _mark(row_tag, tag, attribute).alias(name)
         for name, (tag, attribute) in (ancestors or {}).items()
     ]
-    kept = [*(ancestors or {}), *([SOURCE_FILE] if named else [])]
-    pieces = text.select("value", _after_last(row_tag).alias("after"), *around, *named)
-    elements = F.when(_is_one_element(row_tag), F.array(_whole(row_tag, F.col("after"))))
-    elements = elements.otherwise(_any_elements(row_tag))
-    text_schema, types = text_attributes(schema)
-    parsed = F.from_xml(
-        "element",
-        text_schema.add(CORRUPT, T.StringType()),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    kept = [*(ancestors or {}), *([SOURCE_FILE] if with_file or ancestors else [])]
+    kept += [BLOCK, PLACE] if ancestors else []
+    cut = None
+    if keep_corrupt and not isinstance(reader, DataStreamReader):
+        cut = _cut_off(pieces, row_tag, encoding)
+    if cut is not None:
+        pieces = pieces.join(F.broadcast(cut), [SOURCE_FILE, BLOCK, "piece_hash"], "left")
+    else:
+        pieces = pieces.withColumn("cut_off", F.lit(None).cast("boolean"))
+    after = _after_last(row_tag).alias("after")
+    pieces = pieces.select(
+        "value", after, "cut_off", *around, *[c for c in kept if c not in (ancestors or {})]
+    )
+    # The text as it stands, without the closing tag that the file lacks.
+    unclosed = F.regexp_extract("value", _open_tag(row_tag), 0)
+    unclosed = F.struct(unclosed.alias("text"), F.lit(True).alias("cut"))
+    one = F.struct(_whole(row_tag, F.col("after")).alias("text"), F.lit(False).alias("cut"))
+    several = F.transform(
+        _any_elements(row_tag), lambda e: F.struct(e.alias("text"), F.lit(False).alias("cut"))
     )
+    elements = F.when(F.col("cut_off"), F.concat(_closed(row_tag), F.array(unclosed)))
+    elements = elements.when(_is_one_element(row_tag), F.array(one)).otherwise(several)
+    text_schema, types = text_attributes(schema)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if ignore_namespace:
+        options["ignoreNamespace"] = "true"
+    whole = F.when(~F.col("element.cut"), F.col("element.text"))
+    parsed = F.from_xml(whole, text_schema.add(CORRUPT, T.StringType()), options)
     rows = pieces.select(F.explode(elements).alias("element"), *kept).select(
         parsed.alias("row"), "element", *kept
     )
     fields = {n: F.col(f"row.{quote_path([n])}") for n in schema.names}
     columns = [typed(c, types[n]).alias(n) if n in types else c for n, c in fields.items()]
     if keep_corrupt:
-        bad = [F.when(misfit(fields[n], t).isNotNull(), F.col("element")) for n, t in types.items()]
-        columns.append(F.coalesce(F.col(f"row.{CORRUPT}"), *bad).alias(CORRUPT))
+        text = F.col("element.text")
+        bad = [F.when(misfit(fields[n], t).isNotNull(), text) for n, t in types.items()]
+        bad = [F.col(f"row.{CORRUPT}"), *bad, F.when(F.col("element.cut"), text)]
+        columns.append(F.coalesce(*bad).alias(CORRUPT))
     return rows.select(*columns, *kept)
 
 
+def _pieces(spark, paths, row_tag, recursive, encoding, reader) -> DataFrame:
+    """The text up to each closing tag, with where it stands."""
+    reader = (reader or spark.read).option("lineSep", f"</{row_tag}>")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    value = F.col("value")
+    if encoding.upper() != "UTF-8":
+        value = F.decode(value.cast("binary"), encoding)
+    known = {encoding.upper(), *(["US-ASCII", "ASCII"] if encoding.upper() == "UTF-8" else [])}
+    declared = F.upper(F.regexp_extract(value, _DECLARED, 1))
+    problem = F.concat(F.lit("encoding "), declared, F.lit(" declared in "), file_path())
+    refused = F.instr(F.substring(value, 1, 10), "<?xml") > 0
+    refused &= (declared != "") & ~declared.isin(sorted(known))
+    value = F.when(refused, F.raise_error(problem)).otherwise(value)
+    # A closing tag with white space; also the begin of longer names, which are not cut.
+    loose = F.contains(F.col("value"), F.lit(f"</{row_tag}"))
+    parts = F.split("value", rf"</{re.escape(row_tag)}\s+>")
+    text = reader.text(paths).select(
+        value.alias("value"),
+        file_path().alias(SOURCE_FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.col("_metadata.file_size").alias("file_size"),
+    )
+    parts = F.when(loose, parts).otherwise(F.array("value"))
+    text = text.select(F.posexplode(parts).alias("part", "value"), F.size(parts).alias("parts"),
+                       SOURCE_FILE, BLOCK, "file_size")
+    # A stream cannot number its pieces.
+    stream = isinstance(reader, DataStreamReader)
+    return text.select(
+        "value",
+        SOURCE_FILE,
+        BLOCK,
+        *([] if stream else [F.monotonically_increasing_id().alias(PLACE)]),
+        F.xxhash64("value").alias("piece_hash"),
+        # What Spark or the cut above has taken away after the part.
+        (F.col("part") == F.col("parts") - 1).alias("at_separator"),
+        "file_size",
+    )
+
+
+def _cut_off(pieces: DataFrame, row_tag: str, encoding: str) -> DataFrame | None:
+    """The last pieces of files that end inside an element; null if there are none.
+
+    A file that ends in an open element lacks the closing tag that every other piece had.
+    """
+    value = F.col("value")
+    if encoding.upper() != "UTF-8":
+        value = F.encode(value, encoding)
+    separator = F.when(F.col("at_separator"), len(f"</{row_tag}>".encode()))
+    order = F.struct(BLOCK, PLACE)
+    ends = pieces.groupBy(SOURCE_FILE, "file_size").agg(
+        F.sum(F.octet_length(value) + F.coalesce(separator, F.lit(0))).alias("bytes"),
+        F.bool_and("at_separator").alias("exact"),
+        F.max_by(BLOCK, order).alias(BLOCK),
+        F.max_by("piece_hash", order).alias("piece_hash"),
+        F.max_by(F.col("value").rlike(_open_tag(row_tag)), order).alias("open"),
+    )
+    # Bytes that were cut as a loose tag are not counted: then the file's end tells nothing,
+    # and an open last piece is taken as cut off.
+    closed = F.col("exact") & (F.col("file_size") - F.col("bytes")).isin(0, 3)
+    ends = ends.filter(F.col("open") & ~closed)
+    ends = ends.select(SOURCE_FILE, BLOCK, "piece_hash", F.lit(True).alias("cut_off"))
+    folder = new_folder(pieces.sparkSession, "cut-off")
+    ends.write.parquet(folder)
+    ends = pieces.sparkSession.read.parquet(folder)
+    if ends.isEmpty():
+        drop_folder(pieces.sparkSession, folder)
+        return None
+    return ends
+
+
 def _after_last(tag: str) -> Column:
     """What follows the last ``<tag`` in a piece of text."""
     return F.substring_index("value", f"<{tag}", -1)
@@ -110,43 +214,67 @@ def _is_one_element(tag: str) -> Column:
     return (rest == len(f"<{tag}".encode())) & head.rlike(rf"\A{_ATTRIBUTES}\z")
 
 
+def _open_tag(tag: str) -> str:
+    """A start tag that is not self-closed, and all that follows it."""
+    return rf"(?s)<{re.escape(tag)}({_INSIDE}(?<!/)>.*+)"
+
+
+def _self_closed(tag: str) -> Column:
+    return F.regexp_extract_all("value", F.lit(f"(<{re.escape(tag)}{_INSIDE}(?<=/)>)"), 1)
+
+
+def _closed(tag: str) -> Column:
+    return F.transform(
+        _self_closed(tag), lambda e: F.struct(e.alias("text"), F.lit(False).alias("cut"))
+    )
+
+
 def _any_elements(tag: str) -> Column:
     """The self-closed elements in a piece of text, then the one it was cut after."""
-    name = re.escape(tag)
-    closed = F.regexp_extract_all("value", F.lit(f"(<{name}{_INSIDE}(?<=/)>)"), 1)
-    opened = F.regexp_extract("value", rf"(?s)<{name}({_INSIDE}(?<!/)>.*+)", 1)
+    opened = F.regexp_extract("value", _open_tag(tag), 1)
     # What follows the last element of a file has no start tag.
     last = F.when(opened != "", F.array(_whole(tag, opened)))
-    return F.concat(closed, F.coalesce(last, F.array().cast("array<string>")))
+    return F.concat(_self_closed(tag), F.coalesce(last, F.array().cast("array<string>")))
 
 
-def _attribute(tag: str, attribute: str) -> Column:
-    """The attribute's value in the piece's start tag of ``tag``, null without one."""
-    pattern = rf"""<{re.escape(tag)}\s[^<>]*?\b{re.escape(attribute)}\s*=\s*["']([^"']*)["']"""
-    values = F.array_distinct(F.regexp_extract_all("value", F.lit(pattern), 1))
-    return F.when(
-        F.contains(F.col("value"), F.lit(f"<{tag}")),
-        F.when(F.size(values) > 1, F.raise_error(F.lit(f"more than one {tag} around rows")))
-        .otherwise(F.get(values, F.lit(0))),
-    )
+def _mark(row_tag: str, tag: str, attribute: str) -> Column:
+    """The last tag of an ancestor in the piece: ``=`` and the attribute's value for a start
+    tag, ``/`` for a closing one, null without any."""
+    name = re.escape(tag)
+    tags = F.regexp_extract_all("value", F.lit(rf"(?s)<(/?{name}(?:\s[^<>]*)?)>"), 1)
+    last = F.element_at(tags, -1)
+    value = rf"""(?s)\b{re.escape(attribute)}\s*=\s*["']([^"']*)["']"""
+    start = F.concat(F.lit("="), F.regexp_extract(last, value, 1))
+    mark = F.when(F.size(tags) > 0, F.when(last.startswith("/"), "/").otherwise(start))
+    # Several rows of a piece and a tag among them: which of them stand before it?
+    several = F.size(_self_closed(row_tag)) > 0
+    problem = F.lit(f"{tag} begins or ends between self-closed {row_tag} elements")
+    mark = F.when(mark.isNotNull() & several, F.raise_error(problem)).otherwise(mark)
+    return F.when(F.contains(F.col("value"), F.lit(tag)), mark)
 
 
-def fill_from_file(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Give every row of a file the one value its file has in each of ``columns``.
+def fill_ancestors(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of a scan with ``ancestors``, each with the values of what is around it.
 
-    ``df`` is read once more for these values; from a scan that is text only, nothing
-    is parsed. They are written to a table: Spark then knows their size before it
-    joins, and need not shuffle ``df`` when they are few. A file with two different
-    values stops the job, since its rows cannot be told apart by file.
+    A file may have any number of such elements, one after the other. Values are carried on
+    within a split of a file, which is of bounded size; a table of the last ones of each split
+    gives the next split its first. ``df`` is read twice: give it rows that are written, not
+    the scan, whose text would be read twice. A row outside such elements has null.
     """
-    marked = df.filter(F.coalesce(*columns).isNotNull())
-    heads = marked.groupBy(SOURCE_FILE).agg(*[_only_value(c).alias(c) for c in columns])
-    folder = new_folder(df.sparkSession, "heads")
-    heads.write.parquet(folder)
-    return df.drop(*columns).join(df.sparkSession.read.parquet(folder), SOURCE_FILE, "left")
-
-
-def _only_value(name: str) -> Column:
-    low, high = F.min(name), F.max(name)
-    problem = F.concat(F.lit(f"more than one {name} in "), F.first(SOURCE_FILE))
-    return F.when(low.eqNullSafe(high), high).otherwise(F.raise_error(problem))
+    order = Window.partitionBy(SOURCE_FILE, BLOCK).orderBy(PLACE)
+    ends = df.groupBy(SOURCE_FILE, BLOCK).agg(
+        *[F.max_by(c, F.when(top(c).isNotNull(), F.col(PLACE))).alias(c) for c in columns]
+    )
+    before = Window.partitionBy(SOURCE_FILE).orderBy(BLOCK).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    heads = [F.last(c, ignorenulls=True).over(before).alias(f"head {c}") for c in columns]
+    heads = ends.select(SOURCE_FILE, BLOCK, *heads)
+    own = {c: F.last(c, ignorenulls=True).over(order) for c in columns}
+    filled = df.withColumns(own).join(heads, [SOURCE_FILE, BLOCK], "left")
+    for c in columns:
+        mark = F.coalesce(top(c), top(f"head {c}"))
+        value = F.when(mark.startswith("="), F.substring(mark, F.lit(2), F.length(mark)))
+        filled = filled.withColumn(c, value)
+    names = [c for c in df.columns if c not in (BLOCK, PLACE)]
+    return filled.select(*[top(c) for c in names])

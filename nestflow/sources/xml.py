@@ -116,7 +116,8 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The files at ``paths`` and their sizes; contents are not read."""
     if not paths:
         return spark.createDataFrame([], f"{SOURCE_FILE} string, bytes long")
-    files = spark.read.format("binaryFile").load(list(paths))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.load(list(paths))
     return files.select(file_path().alias(SOURCE_FILE), F.col("length").alias("bytes"))
 
 

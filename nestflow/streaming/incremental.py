@@ -29,15 +29,29 @@ def ingest_new_files(
     output: str,
     checkpoint: str,
     files_per_batch: int = 10_000,
+    oldest: str = "36500d",
+    **options,
 ) -> None:
     """Append the nested rows of all files below ``path`` not seen by this checkpoint.
 
-    Rows have their origin, and the text of records that do not fit the schema.
+    Rows have their origin, and the text of records that do not fit the schema. Files count
+    as new by their path, whatever their date, unless they are older than ``oldest`` against
+    the newest file: Spark forgets such files, and keeps the names of all others in its
+    checkpoint and in the driver's memory. A record that a file's end cuts off is not told
+    from a whole one here. ``options`` are those of ``scan_fragments``.
     """
-    reader = spark.readStream.option("recursiveFileLookup", True)
-    reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFileAge", oldest)
     rows = scan_fragments(
-        spark, path, row_tag, schema, keep_corrupt=True, with_file=True, reader=reader
+        spark,
+        path,
+        row_tag,
+        schema,
+        keep_corrupt=True,
+        with_file=True,
+        recursive=True,
+        reader=reader,
+        **options,
     )
     _append(add_origin(rows, landing), output, checkpoint)
 

@@ -12,7 +12,7 @@ from nestflow.plans import run_job
 from nestflow.sources import parse_day
 
 
-def main() -> None:
+def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--config", default="config.yaml", help="YAML configuration")
     parser.add_argument("--start-date", required=True, type=parse_day, help="YYYYMMDD")
@@ -21,7 +21,7 @@ def main() -> None:
     parser.add_argument("--techs", required=True, help="technologies, separated by commas")
     parser.add_argument("--quarantine", help="folder for records that cannot be read")
     parser.add_argument("--report", help="folder for the report on each file")
-    args = parser.parse_args()
+    args = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
 
     spark = SparkSession.builder.appName("nestflow").getOrCreate()
@@ -33,12 +33,11 @@ def main() -> None:
         args.start_date,
         args.end_date,
         quarantine=args.quarantine,
+        report=args.report,
     )
-    if args.report:
-        report.write.mode("overwrite").parquet(args.report)
     report.groupBy("tech", "status").count().show(truncate=False)
-    spark.stop()
 
 
 if __name__ == "__main__":
     main()
+    SparkSession.active().stop()

@@ -4,10 +4,11 @@ import pytest
 
 from nestflow import apply_steps
 from nestflow.plans import INVENTORY_STEPS, inventory_schema
-from nestflow.plans.inventory import CONTAINER_STEPS, me_context_schema
-from nestflow.sources import scan_fragments, scan_xml
+from nestflow.plans.inventory import CONTAINER_STEPS, deeper_containers, me_context_schema
+from nestflow.sources import fill_ancestors, scan_fragments, scan_xml
 from tests.conftest import rows
 
+# The names of the result.
 COLUMNS = [
     "SubNetworkId",
     "MeContextId",
@@ -51,12 +52,19 @@ ITEM = """<es:vsDataSwItem><es:swItemId>7</es:swItemId><es:additionalInfo>info</
     <es:administrativeData><es:type>t</es:type><es:description>d</es:description>
     <es:productName>n</es:productName><es:productNumber>012</es:productNumber>
     <es:productRevision>1.10</es:productRevision>
-    <es:productionDate>2024-10-19</es:productionDate></es:administrativeData></es:vsDataSwItem>"""
+    <es:productionDate>2031-02-07</es:productionDate></es:administrativeData></es:vsDataSwItem>"""
+
+
+def network(name: str, *elements: str) -> str:
+    return f'<xn:SubNetwork id="{name}">{"".join(elements)}</xn:SubNetwork>'
+
+
+def exports_of(*networks: str) -> str:
+    return f'<xn:configData xmlns:xn="urn:x">{"".join(networks)}</xn:configData>'
 
 
 def export(*elements: str) -> str:
-    text = f'<xn:SubNetwork id="NET">{"".join(elements)}</xn:SubNetwork>'
-    return f'<xn:configData xmlns:xn="urn:x">{text}</xn:configData>'
+    return exports_of(network("NET", *elements))
 
 
 def element(name: str, *containers: str) -> str:
@@ -64,7 +72,7 @@ def element(name: str, *containers: str) -> str:
     return f'<xn:MeContext id="{name}">{managed}</xn:MeContext>'
 
 
-PARENT = attributes("<es:vsDataSystemFunctions>MME, PGW</es:vsDataSystemFunctions>", "1.0", "p")
+PARENT = attributes("<es:vsDataSystemFunctions>switch, gate</es:vsDataSystemFunctions>", "1.0", "p")
 MIDDLE = attributes(f"<es:vsDataSwInventory>{ITEM}</es:vsDataSwInventory>", "1.1", "m")
 FULL = export(
     element(
@@ -99,8 +107,8 @@ def test_values(flat):
     inventory = out["C3"].pop("MiddlevsDataSwInventory")
     assert inventory["es:vsDataSwItem"]["es:administrativeData"]["es:productNumber"] == "012"
     assert list(out["C3"].values()) == [
-        "NET", "me1", "me1-e", "C1", "MME, PGW", "1.0", "p", "C2", "1.1", "m", "C3", "c", "1.2",
-        "info", "t", "d", "n", "012", "1.10", "2024-10-19", None, "7", None,
+        "NET", "me1", "me1-e", "C1", "switch, gate", "1.0", "p", "C2", "1.1", "m", "C3", "c", "1.2",
+        "info", "t", "d", "n", "012", "1.10", "2031-02-07", None, "7", None,
     ]
     assert out["C5"]["MiddleVsDataContainerId"] == "C4"
     assert out["C5"]["ChildVsDataType"] is None
@@ -134,8 +142,70 @@ def test_by_fragments(spark, write_text, flat):
         me_context_schema(),
         ancestors={"SubNetworkId": ("xn:SubNetwork", "id")},
     )
-    whole = elements.selectExpr(
-        "max(SubNetworkId) OVER (PARTITION BY source_file) AS SubNetworkId",
-        "struct(_id, `xn:ManagedElement`) AS MeContext",
-    )
+    whole = fill_ancestors(elements, ["SubNetworkId"])
+    whole = whole.selectExpr("SubNetworkId", "struct(_id, `xn:ManagedElement`) AS MeContext")
     assert rows(apply_steps(whole, CONTAINER_STEPS)) == rows(flat)
+
+
+CHILD = attributes(ITEM, "1.2", "c")
+
+
+def branch(number: int) -> str:
+    """A parent container with one container on each level."""
+    middle = container(number + 1, MIDDLE, container(number + 2, CHILD))
+    return container(number, PARENT, middle)
+
+
+def managed(name: str, *containers: str) -> str:
+    return f'<xn:ManagedElement id="{name}">{"".join(containers)}</xn:ManagedElement>'
+
+
+REPEATED = {
+    "sub-networks": (
+        exports_of(
+            network("N1", element("m1", branch(1))),
+            network("N2", element("m2", branch(4)), element("m3", branch(7))),
+        ),
+        [("N1", "m1-e", "C1", "C3"), ("N2", "m2-e", "C4", "C6"), ("N2", "m3-e", "C7", "C9")],
+    ),
+    "parents": (
+        export(element("m1", branch(1), branch(4))),
+        [("NET", "m1-e", "C1", "C3"), ("NET", "m1-e", "C4", "C6")],
+    ),
+    "managed elements": (
+        export(f'<xn:MeContext id="m1">{managed("a", branch(1))}{managed("b", branch(4))}</xn:MeContext>'),
+        [("NET", "a", "C1", "C3"), ("NET", "b", "C4", "C6")],
+    ),
+}
+IDS = ["SubNetworkId", "ManagedElementId", "ParentVsDataContainerId", "ChildVsDataContainerId"]
+
+
+@pytest.mark.parametrize("case", REPEATED)
+def test_repeated_elements_stay(spark, write_text, case):
+    text, expected = REPEATED[case]
+    path = write_text("a.xml", text)
+    exports = scan_xml(spark, path, "xn:configData", inventory_schema())
+    assert rows(apply_steps(exports, INVENTORY_STEPS).select(IDS)) == expected
+    elements = scan_fragments(
+        spark, path, "xn:MeContext", me_context_schema(),
+        ancestors={"SubNetworkId": ("xn:SubNetwork", "id")},
+    )
+    whole = fill_ancestors(elements, ["SubNetworkId"])
+    whole = whole.selectExpr("SubNetworkId", "struct(_id, `xn:ManagedElement`) AS MeContext")
+    assert rows(apply_steps(whole, CONTAINER_STEPS).select(IDS)) == expected
+
+
+def test_deeper_containers_are_told(spark, write_text):
+    deep = container(3, CHILD, container(4, CHILD, container(5)), container(6))
+    text = export(element("m1", container(1, PARENT, container(2, MIDDLE, deep))))
+    path = write_text("a.xml", text)
+
+    def deeper(depth):
+        exports = scan_xml(spark, path, "xn:configData", inventory_schema(depth=depth))
+        return rows(deeper_containers(exports, depth).select("ChildVsDataContainerId", "deeper"))
+
+    assert deeper(3) == [("C3", 2)]
+    assert deeper(4) == [("C4", 1)]
+    assert deeper(5) == []
+    with pytest.raises(ValueError, match="3 levels"):
+        inventory_schema(depth=2)

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import logging
+import os
+import time
 from datetime import date
 from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 
+from nestflow import StepError
 from nestflow.config import JobConfig
 from nestflow.plans import run_job
 from nestflow.sinks import write_parquet, write_partitioned
@@ -39,7 +42,7 @@ def land(write_text):
 def config(tmp_path, **sections):
     return {
         "gcs": {"BUCKET_NAME": f"{tmp_path}/in/{{}}", "BUCKET_OUTPUT": f"{tmp_path}/out"},
-        "spark": {"SPARK_JARS": ""},
+        "other": {"kept": "by others"},
         "tech_prefixes": {"2G": "p2", "4G": "p4/", "5G": "p5"},
         "xml_config": {"rowTag": "rec"},
         "output_config": {"output_prefix": "flat", "save_mode": "overwrite"},
@@ -47,36 +50,40 @@ def config(tmp_path, **sections):
     } | sections
 
 
-def run(spark, tmp_path, techs=("2G", "4G", "5G"), markets=("US", "CA"), **options):
+def run(spark, tmp_path, techs=("2G", "4G", "5G"), markets=("SE", "NO"), **options):
     job = JobConfig.from_dict(config(tmp_path))
     options = {"schemas": {t: SCHEMA for t in techs}} | options
     return run_job(spark, job, list(markets), list(techs), *WINDOW, **options)
 
 
+def of_files(report):
+    return report.filter("bytes IS NOT NULL")
+
+
 def test_run(spark, land, tmp_path, caplog):
-    land("US", "p2", 1, record(1, 10, 11), record(2))
-    land("US", "p2", 2, record(1, 20))  # same file name on another day
-    land("CA", "p2", 1, record(1, 30), record(9, "x"))  # and in another market
-    land("CA", "p4", 1, record(4, 40, 40))
-    land("CA", "p5", 1, record(5, 50))
+    land("SE", "p2", 1, record(1, 10, 11), record(2))
+    land("SE", "p2", 2, record(1, 20))  # same file name on another day
+    land("NO", "p2", 1, record(1, 30), record(9, "x"))  # and in another market
+    land("NO", "p4", 1, record(4, 40, 40))
+    land("NO", "p5", 1, record(5, 50))
     with caplog.at_level(logging.WARNING):
         report = run(spark, tmp_path, quarantine=f"{tmp_path}/bad")
     assert "'5G' has no steps" in caplog.text
 
     out = spark.read.parquet(f"{tmp_path}/out/flat")
     assert rows(out.filter("tech = '2G'").select("market", "day", "id", "value")) == [
-        ("CA", 1, 1, 30),
-        ("US", 1, 1, 10),
-        ("US", 1, 1, 11),
-        ("US", 2, 1, 20),
+        ("NO", 1, 1, 30),
+        ("SE", 1, 1, 10),
+        ("SE", 1, 1, 11),
+        ("SE", 2, 1, 20),
     ]
     assert rows(out.filter("tech = '4G'").select("_id", "v")) == [(4, 40)]
     bad = spark.read.parquet(f"{tmp_path}/bad").select("market", "_corrupt_record")
-    assert rows(bad) == [("CA", record(9, "x"))]
+    assert rows(bad) == [("NO", record(9, "x"))]
 
-    counts = report.selectExpr(
+    counts = of_files(report).selectExpr(
         "tech",
-        "split(source_file, '/in/')[1] LIKE 'US%' AS us",
+        "split(source_file, '/in/')[1] LIKE 'SE%' AS se",
         "rows_read",
         "rows_corrupt",
         "rows_written",
@@ -92,20 +99,20 @@ def test_run(spark, land, tmp_path, caplog):
 
 
 def test_second_run_replaces_its_days_only(spark, land, tmp_path):
-    land("US", "p2", 1, record(1, 10))
-    land("US", "p2", 2, record(2, 20))
+    land("SE", "p2", 1, record(1, 10))
+    land("SE", "p2", 2, record(2, 20))
     run(spark, tmp_path)
-    land("US", "p2", 2, record(3, 30))
+    land("SE", "p2", 2, record(3, 30))
     job = JobConfig.from_dict(config(tmp_path))
     day = date(2024, 5, 2)
-    run_job(spark, job, ["US"], ["2G"], day, day, {"2G": SCHEMA})
+    run_job(spark, job, ["SE"], ["2G"], day, day, {"2G": SCHEMA})
     out = spark.read.parquet(f"{tmp_path}/out/flat")
     assert rows(out.select("id", "value")) == [(1, 10), (3, 30)]
 
 
 @pytest.mark.parametrize("split_files", [True, False])
 def test_inferred_schema(spark, land, tmp_path, split_files):
-    land("US", "p2", 1, record(1, 10, 11), record(2, 5))
+    land("SE", "p2", 1, record(1, 10, 11), record(2, 5))
     run(spark, tmp_path, schemas=None, split_files=split_files)
     out = spark.read.parquet(f"{tmp_path}/out/flat").select("id", "value")
     assert rows(out) == [(1, 10), (1, 11), (2, 5)]
@@ -114,40 +121,40 @@ def test_inferred_schema(spark, land, tmp_path, split_files):
 def test_values_of_an_element_around_the_rows(spark, land, write_text, tmp_path):
     for day in (1, 2):
         records = record("x", 5) + record(1, 10) + record(2, 20)
-        land("US", "p2", day, f'<net id="N{day}">{records}</net>')
+        land("SE", "p2", day, f'<net id="N{day}">{records}</net>')
     steps = [*STEPS[:1], {"operation": "select", "columns": {"net": "net", "v": "value"}}]
     job = JobConfig.from_dict(config(tmp_path, flattening_config={"2G": steps}))
     around = {"net": ("net", "id")}
-    run_job(spark, job, ["US"], ["2G"], *WINDOW, {"2G": SCHEMA}, ancestors=around)
+    run_job(spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA}, ancestors=around)
     out = spark.read.parquet(f"{tmp_path}/out/flat").select("net", "value")
     assert rows(out) == [("N1", 10), ("N1", 20), ("N2", 10), ("N2", 20)]
 
 
 def test_final_order_holds_in_each_file(spark, land, tmp_path):
-    land("US", "p2", 1, record(1, 5, 9, 7), record(2, 8))
-    land("US", "p4", 1, record(1, 5, 9, 7), record(2, 8))
+    land("SE", "p2", 1, record(1, 5, 9, 7), record(2, 8))
+    land("SE", "p4", 1, record(1, 5, 9, 7), record(2, 8))
     up, down = ({"operation": "orderBy", "columns": {"value": up}} for up in (True, False))
     flows = {"2G": [*STEPS, down], "4G": [*STEPS, up]}
     run_job(
         spark,
         JobConfig.from_dict(config(tmp_path, flattening_config=flows)),
-        ["US"],
+        ["SE"],
         ["2G", "4G"],
         *WINDOW,
         {"2G": SCHEMA, "4G": SCHEMA},
     )
     for tech, values in (("2G", [9, 8, 7, 5]), ("4G", [5, 7, 8, 9])):
-        files = Path(f"{tmp_path}/out/flat/market=US/tech={tech}").rglob("*.parquet")
+        files = Path(f"{tmp_path}/out/flat/market=SE/tech={tech}").rglob("*.parquet")
         (written,) = files
         assert pq.read_table(written, columns=["value"])["value"].to_pylist() == values
 
 
 def test_empty_and_unreadable_files(spark, land, tmp_path):
-    land("US", "p2", 1, name="empty.xml")
-    land("US", "p2", 1, record("x", 1), name="bad.xml")
-    land("US", "p2", 1, record(1), name="no-rows.xml")
+    land("SE", "p2", 1, name="empty.xml")
+    land("SE", "p2", 1, record("x", 1), name="bad.xml")
+    land("SE", "p2", 1, record(1), name="no-rows.xml")
     report = run(spark, tmp_path)
-    status = report.selectExpr("split(source_file, 'day=01/')[1] AS file", "status")
+    status = of_files(report).selectExpr("split(source_file, 'day=01/')[1] AS file", "status")
     assert rows(status) == [
         ("bad.xml", "corrupt"),
         ("empty.xml", "empty"),
@@ -157,7 +164,11 @@ def test_empty_and_unreadable_files(spark, land, tmp_path):
 
 def test_nothing_landed(spark, tmp_path):
     report = run(spark, tmp_path)
-    assert report.count() == 0
+    assert of_files(report).count() == 0
+    # Each place that was asked for is told of.
+    assert rows(report.select("tech", "status")) == sorted(
+        2 * [(tech, "no files") for tech in ("2G", "4G", "5G")]
+    )
     assert {"source_file", "status", "tech"} <= set(report.columns)
 
 
@@ -165,18 +176,175 @@ def test_stage_is_deleted(spark, land, tmp_path):
     def stages():
         return set(Path(shared_folder(spark), "nestflow").glob("stage-*"))
 
-    land("US", "p2", 1, record(1, 10))
+    land("SE", "p2", 1, record(1, 10))
     before = stages()
     report = run(spark, tmp_path)
     assert stages() == before
-    assert report.count() == 1
+    assert of_files(report).count() == 1
     with pytest.raises(ValueError, match="was not made by new_folder"):
         drop_folder(spark, str(tmp_path))
 
 
 def test_only_skipped(spark, land, tmp_path):
-    land("US", "p5", 1, record(1, 1))
-    assert [r.status for r in run(spark, tmp_path).collect()] == ["skipped"]
+    land("SE", "p5", 1, record(1, 1))
+    assert [r.status for r in of_files(run(spark, tmp_path)).collect()] == ["skipped"]
+
+
+def test_stage_is_deleted_after_an_error(spark, land, tmp_path):
+    def stages():
+        return set(Path(shared_folder(spark), "nestflow").glob("stage-*"))
+
+    land("SE", "p2", 1, record(1, 10))
+    before = stages()
+    steps = [{"operation": "select", "columns": {"nothing": "x"}}]
+    job = JobConfig.from_dict(config(tmp_path, flattening_config={"2G": steps}))
+    with pytest.raises(StepError):
+        run_job(spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA})
+    assert stages() == before
+
+
+MODES = {
+    # Second run: rows of the first day gone, the second day's file has others, a third day.
+    "overwrite": ([(2, 21), (3, 30)], {2: 1, 3: 1}),
+    "append": ([(1, 10), (2, 20), (2, 21), (3, 30)], {2: 1, 3: 1}),
+    "ignore": ([(1, 10), (2, 20), (3, 30)], {2: 0, 3: 1}),
+}
+
+
+@pytest.mark.parametrize("mode", [*MODES, "errorifexists"])
+def test_modes_hold_for_each_day(spark, land, tmp_path, mode):
+    out = {"output_prefix": "flat", "save_mode": mode}
+    job = JobConfig.from_dict(config(tmp_path, output_config=out))
+
+    def go(start=1):
+        window = date(2024, 5, start), date(2024, 5, 31)
+        return of_files(run_job(spark, job, ["SE"], ["2G"], *window, {"2G": SCHEMA}))
+
+    def written():
+        return rows(spark.read.parquet(f"{tmp_path}/out/flat").select("id", "value"))
+
+    land("SE", "p2", 1, record(1, 10))
+    land("SE", "p2", 2, record(2, 20))
+    assert {r.rows_written for r in go().collect()} == {1}
+    land("SE", "p2", 1, record(1))  # no rows any more
+    land("SE", "p2", 2, record(2, 21))
+    land("SE", "p2", 3, record(3, 30))
+    if mode == "errorifexists":
+        with pytest.raises(FileExistsError, match="'day': '02'"):
+            go()
+        assert written() == [(1, 10), (2, 20)]
+        assert {r.rows_written for r in go(start=3).collect()} == {1}
+        assert written() == [(1, 10), (2, 20), (3, 30)]
+        return
+    report = {r.source_file.split("day=")[1][:2]: r for r in go().collect()}
+    expected, counts = MODES[mode]
+    assert written() == expected
+    assert report["01"].rows_read == 1 and report["01"].rows_written == 0
+    assert {day: report[f"{day:02}"].rows_written for day in counts} == counts
+    assert report["03"].output == "f.parquet"
+
+
+def test_output_without_rows_can_be_read(spark, land, tmp_path):
+    land("SE", "p2", 1, record(1))
+    run(spark, tmp_path)
+    out = spark.read.parquet(f"{tmp_path}/out/flat")
+    assert {"id", "value", "source_file", "market", "day"} <= set(out.columns)
+    assert out.count() == 0
+    land("SE", "p2", 1, record(1, 5))
+    run(spark, tmp_path)
+    assert spark.read.parquet(f"{tmp_path}/out/flat").count() == 1
+
+
+def test_files_below_a_day(spark, write_text, tmp_path):
+    for place in ("a.xml", "sub/b.xml"):
+        folder = "in/SE/p2/year=2024/month=05/day=01"
+        write_text(f"{folder}/{place}", f"<r>{record(1, 10)}</r>")
+    report = run(spark, tmp_path)
+    assert of_files(report).count() == 2
+    assert spark.read.parquet(f"{tmp_path}/out/flat").count() == 2
+
+
+def test_row_tag_without_the_prefix(spark, write_text, tmp_path):
+    folder = "in/SE/p2/year=2024/month=05/day=01"
+    text = '<x:all xmlns:x="urn:x"><x:rec id="1"><x:v>10</x:v><x:v>11</x:v></x:rec></x:all>'
+    write_text(f"{folder}/a.xml", text)
+    for tag in ("rec", "x:rec"):
+        xml = {"rowTag": tag, "ignoreNamespace": True}
+        job = JobConfig.from_dict(config(tmp_path, xml_config=xml))
+        run_job(spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA})
+        out = spark.read.parquet(f"{tmp_path}/out/flat").select("id", "value")
+        assert rows(out) == [(1, 10), (1, 11)]
+
+
+def test_two_ancestors_in_a_file(spark, land, tmp_path):
+    nets = "".join(f'<net id="N{n}">{record(n, n * 10)}</net>' for n in (1, 2))
+    land("SE", "p2", 1, nets)
+    steps = [*STEPS[:1], {"operation": "select", "columns": {"net": "net", "v": "value"}}]
+    sections = {"flattening_config": {"2G": steps}, "ancestors": {"net": ["net", "id"]}}
+    job = JobConfig.from_dict(config(tmp_path, **sections))
+    run_job(spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA})
+    out = spark.read.parquet(f"{tmp_path}/out/flat").select("net", "value")
+    assert rows(out) == [("N1", 10), ("N2", 20)]
+
+
+@pytest.mark.parametrize("how", ["right", "full_outer", None])
+def test_steps_that_are_not_for_a_job(tmp_path, how):
+    step = {"operation": "join", "on": "id", "how": how} if how else {"operation": "union"}
+    with pytest.raises(StepError, match="of no file"):
+        JobConfig.from_dict(config(tmp_path, flattening_config={"2G": [step]}), ["other"])
+
+
+def test_command_line(spark, land, write_text, tmp_path):
+    """A YAML flow with a schema and a join, from the command line."""
+    pytest.importorskip("yaml")
+    import run_job as command
+
+    land("SE", "p2", 1, record(1, 10), record(2, 20), record("x", 1))
+    names = spark.createDataFrame([(1, "one"), (2, "two")], "id int, name string")
+    names.write.parquet(f"{tmp_path}/names")
+    path = write_text(
+        "config.yaml",
+        f"""
+        gcs: {{BUCKET_NAME: "{tmp_path}/in/{{}}", BUCKET_OUTPUT: "{tmp_path}/out"}}
+        tech_prefixes: {{2G: p2}}
+        xml_config: {{rowTag: rec}}
+        output_config: {{output_prefix: flat, save_mode: overwrite}}
+        schemas: {{2G: "_id int, v array<int>"}}
+        inputs: {{names: "{tmp_path}/names"}}
+        flattening_config:
+          2G:
+            - {{operation: explode, column: v, alias: v, keep: true}}
+            - operation: select
+              missing: null
+              columns: {{_id: id, v: value, absent: absent}}
+            - {{operation: join, with: names, on: id, how: left_outer}}
+        """,
+    )
+    command.main(
+        ["--config", path, "--start-date", "20240501", "--end-date", "20240502", "--lm", "SE,NO",
+         "--techs", "2G", "--quarantine", f"{tmp_path}/bad", "--report", f"{tmp_path}/report"]
+    )
+    out = spark.read.parquet(f"{tmp_path}/out/flat").select("id", "value", "absent", "name")
+    assert rows(out) == [(1, 10, None, "one"), (2, 20, None, "two")]
+    report = spark.read.parquet(f"{tmp_path}/report").select("rows_read", "status")
+    assert rows(report) == [(3, "partly corrupt"), (None, "no files")]
+    assert spark.read.parquet(f"{tmp_path}/bad").count() == 1
+
+
+def test_stream_takes_files_of_any_date(spark, write_text, tmp_path):
+    landing = Landing(f"{tmp_path}/in/{{}}", {"2G": "p2"})
+    folder = "in/SE/p2/year=2024/month=05/day=01"
+    names = [str(tmp_path / name) for name in ("in", "raw", "c")]
+
+    def take():
+        ingest_new_files(spark, landing, names[0], "rec", SCHEMA, names[1], names[2])
+        return sorted(r["_id"] for r in spark.read.parquet(names[1]).collect())
+
+    write_text(f"{folder}/a.xml", f"<r>{record(1, 1)}</r>")
+    assert take() == [1]
+    old = write_text(f"{folder}/b.xml", f"<r>{record(2, 2)}</r>")
+    os.utime(old, (time.time() - 30 * 86400,) * 2)
+    assert take() == [1, 2]
 
 
 class TestConfig:
@@ -265,13 +433,13 @@ def test_stream_takes_each_file_once(spark, write_text, tmp_path):
         flat = spark.read.parquet(at("flat"))
         return rows(flat.select("market", "tech", "month", "id", "value"))
 
-    folder = "in/US/p2/year=2024/month=05/day=01"
+    folder = "in/SE/p2/year=2024/month=05/day=01"
     write_text(f"{folder}/a.xml", f"<r>{record(1, 10, 11)}</r>")
     write_text(f"{folder}/b.xml", f"<r>{record(2, 20)}{record('x', 1)}</r>")
-    first = [("US", "2G", "05", 1, 10), ("US", "2G", "05", 1, 11), ("US", "2G", "05", 2, 20)]
+    first = [("SE", "2G", "05", 1, 10), ("SE", "2G", "05", 1, 11), ("SE", "2G", "05", 2, 20)]
     assert run_twice_a_day() == first
     write_text(f"{folder}/c.xml", f"<r>{record(3, 30)}</r>")
-    assert run_twice_a_day() == [*first, ("US", "2G", "05", 3, 30)]
-    assert run_twice_a_day() == [*first, ("US", "2G", "05", 3, 30)]
+    assert run_twice_a_day() == [*first, ("SE", "2G", "05", 3, 30)]
+    assert run_twice_a_day() == [*first, ("SE", "2G", "05", 3, 30)]
     bad = spark.read.parquet(at("raw")).filter("_corrupt_record IS NOT NULL")
     assert [r._corrupt_record for r in bad.collect()] == [record("x", 1)]

@@ -13,7 +13,7 @@ from nestflow.sources import (
     CORRUPT,
     Landing,
     day_folders,
-    fill_from_file,
+    fill_ancestors,
     list_files,
     narrow_schema,
     parse_day,
@@ -25,28 +25,28 @@ from nestflow.sources import (
 from nestflow.sources.landing import folder_day, window_glob
 from tests.conftest import rows
 
-ITEM = "_id int, value string"
-ITEMS = '<root><item id="1"><value>A</value></item><item id="2"><value>B</value></item></root>'
+ITEM = "_id int, label string"
+ITEMS = '<root><cell id="1"><label>north</label></cell><cell id="2"><label>south</label></cell></root>'
 
 
 class TestScanXml:
     def test_rows_and_attributes(self, spark, write_text):
-        df = scan_xml(spark, write_text("a.xml", ITEMS), "item", ITEM)
-        assert rows(df) == [(1, "A"), (2, "B")]
+        df = scan_xml(spark, write_text("a.xml", ITEMS), "cell", ITEM)
+        assert rows(df) == [(1, "north"), (2, "south")]
 
     def test_default_row_tag(self, spark, write_text):
-        text = '<configData><data><item id="1"><value>A</value></item></data></configData>'
+        text = '<configData><site no="7"><label>north</label></site></configData>'
         df = scan_xml(spark, write_text("a.xml", text))
-        assert df.select("data.item._id", "data.item.value").collect() == [(1, "A")]
+        assert df.select("site._no", "site.label").collect() == [(7, "north")]
 
     def test_prefix_belongs_to_the_tag(self, spark, write_text):
         # The prefixes need not be declared.
-        text = '<r><xn:item id="1"><es:value>A</es:value></xn:item></r>'
+        text = '<r><xn:cell id="1"><es:label>north</es:label></xn:cell></r>'
         path = write_text("a.xml", text)
-        schema = "_id int, `es:value` string"
-        assert rows(scan_xml(spark, path, "item", schema)) == []
-        assert rows(scan_xml(spark, path, "xn:item", schema)) == [(1, "A")]
-        assert rows(scan_xml(spark, path, "item", ITEM, ignore_namespace=True)) == [(1, "A")]
+        schema = "_id int, `es:label` string"
+        assert rows(scan_xml(spark, path, "cell", schema)) == []
+        assert rows(scan_xml(spark, path, "xn:cell", schema)) == [(1, "north")]
+        assert rows(scan_xml(spark, path, "cell", ITEM, ignore_namespace=True)) == [(1, "north")]
 
     def test_inference_over_all_files(self, spark, write_text, tmp_path):
         # One file has the element once, the other twice: it is an array in both.
@@ -63,37 +63,37 @@ class TestScanXml:
     @pytest.mark.parametrize("paths", ["nowhere", "nowhere/{a,b}/*.xml", []])
     def test_no_files(self, spark, tmp_path, paths):
         paths = str(tmp_path / paths) if paths else []
-        df = scan_xml(spark, paths, "item", ITEM, with_file=True, keep_corrupt=True)
-        assert df.columns == ["_id", "value", CORRUPT, "source_file"]
+        df = scan_xml(spark, paths, "cell", ITEM, with_file=True, keep_corrupt=True)
+        assert df.columns == ["_id", "label", CORRUPT, "source_file"]
         assert df.count() == 0
 
     def test_one_of_several_paths_missing_is_an_error(self, spark, write_text, tmp_path):
         with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-            scan_xml(spark, [write_text("a.xml", ITEMS), str(tmp_path / "none")], "item", ITEM)
+            scan_xml(spark, [write_text("a.xml", ITEMS), str(tmp_path / "none")], "cell", ITEM)
 
     def test_recursive_and_name_glob(self, spark, write_text, tmp_path):
         write_text("in/a.xml", ITEMS)
         write_text("in/deep/er/b.xml", ITEMS.replace('"', "'"))
         write_text("in/deep/c.txt", ITEMS)
         df = scan_xml(
-            spark, str(tmp_path / "in"), "item", ITEM, recursive=True, name_glob="*.xml"
+            spark, str(tmp_path / "in"), "cell", ITEM, recursive=True, name_glob="*.xml"
         )
         assert df.count() == 4
 
     def test_source_file_is_as_on_disk(self, spark, write_text):
         path = write_text("MIDDLE EAST/a+b %.xml", ITEMS)
-        df = scan_xml(spark, path.replace("%", "?"), "item", ITEM, with_file=True)
+        df = scan_xml(spark, path.replace("%", "?"), "cell", ITEM, with_file=True)
         assert {r.source_file for r in df.collect()} == {f"file:{path}"}
 
     def test_corrupt_records(self, spark, write_text, tmp_path):
-        write_text("in/a.xml", '<item id="1"><value>A</value></item>')
-        write_text("in/b.xml", '<item id="2"><value>B</value><n>many</n></item>')
+        write_text("in/a.xml", '<cell id="1"><label>north</label></cell>')
+        write_text("in/b.xml", '<cell id="2"><label>south</label><n>many</n></cell>')
         schema, path = ITEM + ", n int", str(tmp_path / "in")
         stage = str(tmp_path / "stage")
-        scan_xml(spark, path, "item", schema, keep_corrupt=True).write.parquet(stage)
+        scan_xml(spark, path, "cell", schema, keep_corrupt=True).write.parquet(stage)
         good, bad = split_corrupt(spark.read.parquet(stage))
-        assert rows(good) == [(1, "A", None)]
-        assert [(r._id, r.value, r.n) for r in bad.collect()] == [(2, "B", None)]
+        assert rows(good) == [(1, "north", None)]
+        assert [(r._id, r.label, r.n) for r in bad.collect()] == [(2, "south", None)]
         assert "<n>many</n>" in bad.collect()[0][CORRUPT]
 
     @pytest.mark.parametrize(
@@ -149,18 +149,18 @@ class TestFragments:
         "text",
         [
             ITEMS,
-            '<?xml version="1.0"?>\r\n<r>\r\n <item id="1">\r\n<value>A</value></item>\r\n</r>',
-            '<r><item id="1"/><item id="2"><value>B</value></item><item id="3" /></r>',
-            '<r><item/><item></item><items><item id="5"><value/></item></items></r>',
-            '<r><itemX id="9"><value>no</value></itemX><item id="1"><value>A</value></item></r>',
-            "<r><item id='1' note='a &gt; b'><value>x &lt; y</value></item></r>",
-            '<r><item note="a > b / c" id="4"><value>A</value></item></r>',
-            '<r><item\n  id="1"\n><value>é漢</value></item></r>',
+            '<?xml version="1.0"?>\r\n<r>\r\n <cell id="1">\r\n<label>north</label></cell>\r\n</r>',
+            '<r><cell id="1"/><cell id="2"><label>south</label></cell><cell id="3" /></r>',
+            '<r><cell/><cell></cell><items><cell id="5"><label/></cell></items></r>',
+            '<r><itemX id="9"><label>no</label></itemX><cell id="1"><label>north</label></cell></r>',
+            "<r><cell id='1' note='a &gt; b'><label>x &lt; y</label></cell></r>",
+            '<r><cell note="a > b / c" id="4"><label>north</label></cell></r>',
+            '<r><cell\n  id="1"\n><label>é漢</label></cell></r>',
             "<r></r>",
         ],
     )
     def test_same_as_the_native_reader(self, spark, write_text, text):
-        native, cut = self.both(spark, write_text("a.xml", text), "item", ITEM)
+        native, cut = self.both(spark, write_text("a.xml", text), "cell", ITEM)
         assert cut == native
 
     @settings(
@@ -180,23 +180,23 @@ class TestFragments:
         from xml.sax.saxutils import escape, quoteattr
 
         def element(number, text, closed):
-            start = f"<xn:item n={quoteattr(text)} id='{number}'"
-            return f"{start}/>" if closed else f"{start}><value>{escape(text)}</value></xn:item>"
+            start = f"<xn:cell n={quoteattr(text)} id='{number}'"
+            return f"{start}/>" if closed else f"{start}><label>{escape(text)}</label></xn:cell>"
 
         text = "<r>" + "\n".join(element(*item) for item in items) + "</r>"
         path = tmp_path_factory.mktemp("random") / "a.xml"
         path.write_text(text)
-        native, cut = self.both(spark, str(path), "xn:item", "_id int, _n string, value string")
+        native, cut = self.both(spark, str(path), "xn:cell", "_id int, _n string, label string")
         assert cut == native
         assert len(cut) == len(items)
 
     def test_many_tasks_for_one_file(self, spark, write_text):
-        text = "".join(f'<item id="{i}"><value>v{i}</value></item>\n' for i in range(20_000))
+        text = "".join(f'<cell id="{i}"><label>v{i}</label></cell>\n' for i in range(20_000))
         path = write_text("big.xml", f"<r>{text}</r>")
         before = spark.conf.get("spark.sql.files.maxPartitionBytes")
         spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
         try:
-            df = scan_fragments(spark, path, "item", ITEM)
+            df = scan_fragments(spark, path, "cell", ITEM)
             assert df.select(F.spark_partition_id().alias("p")).distinct().count() > 8
             assert rows(df) == sorted([(i, f"v{i}") for i in range(20_000)], key=repr)
         finally:
@@ -204,49 +204,114 @@ class TestFragments:
 
     def test_corrupt_elements_keep_their_own_text(self, spark, write_text):
         text = (
-            '<r><item id="1"><value>A</value></item><item id="x"><value>B</value></item>'
-            '<item id="3"><value>C</item><item id="4"><value>D</value></item></r>'
+            '<r><cell id="1"><label>north</label></cell><cell id="x"><label>south</label></cell>'
+            '<cell id="3"><label>C</cell><cell id="4"><label>D</label></cell></r>'
         )
-        df = scan_fragments(spark, write_text("a.xml", text), "item", ITEM, keep_corrupt=True)
+        df = scan_fragments(spark, write_text("a.xml", text), "cell", ITEM, keep_corrupt=True)
         good, bad = split_corrupt(df)
-        assert rows(good) == [(1, "A"), (4, "D")]
+        assert rows(good) == [(1, "north"), (4, "D")]
         assert {r[CORRUPT] for r in bad.collect()} == {
-            '<item id="x"><value>B</value></item>',
-            '<item id="3"><value>C</item>',
+            '<cell id="x"><label>south</label></cell>',
+            '<cell id="3"><label>C</cell>',
         }
 
     def test_ancestors(self, spark, write_text, tmp_path):
         for net in ("N1", "N2"):
-            items = "".join(f'<item id="{i}"><value>{net}</value></item>' for i in range(3))
+            items = "".join(f'<cell id="{i}"><label>{net}</label></cell>' for i in range(3))
             write_text(f"in/{net}.xml", f'<r><net kind="k" id="{net}">{items}</net></r>')
         stage = str(tmp_path / "stage")
         scan_fragments(
-            spark, str(tmp_path / "in"), "item", ITEM, ancestors={"net": ("net", "id")}
+            spark, str(tmp_path / "in"), "cell", ITEM, ancestors={"net": ("net", "id")}
         ).write.parquet(stage)
         staged = spark.read.parquet(stage)
         assert staged.filter("net IS NOT NULL").count() == 2
-        filled = fill_from_file(staged, ["net"])
-        assert rows(filled.select("net", "value", "_id")) == [
+        filled = fill_ancestors(staged, ["net"])
+        assert rows(filled.select("net", "label", "_id")) == [
             (n, n, i) for n in ("N1", "N2") for i in range(3)
         ]
 
-    @pytest.mark.parametrize(
-        "text, problem",
-        [
-            ('<n id="1"><i id="1"></i></n><n id="2"><i id="2"></i></n>', "net in file:"),
-            ('<n id="1"><i id="1"/></n><n id="2"><i id="2"></i></n>', "n around rows"),
-        ],
-    )
-    def test_two_ancestors_in_a_file_stop_the_job(self, spark, write_text, text, problem):
+    def test_several_ancestors_in_a_file(self, spark, write_text):
+        text = (
+            '<n id="1"><i id="1"></i><i id="2"></i ></n><i id="3"></i><n id=""><i id="4"></i></n>'
+            '<n id="2"><j/><i id="5"><k>1</k></i></n><names id="9"/><n id="3"></n><i id="6"></i>'
+        )
         path = write_text("a.xml", f"<r>{text}</r>")
         df = scan_fragments(spark, path, "i", "_id int", ancestors={"net": ("n", "id")})
-        with pytest.raises(Exception, match=f"more than one {problem}"):
-            fill_from_file(df, ["net"])
+        filled = fill_ancestors(df, ["net"])
+        assert filled.columns == ["_id", "net", "source_file"]
+        assert rows(filled.select("_id", "net")) == [
+            (1, "1"), (2, "1"), (3, None), (4, ""), (5, "2"), (6, None),
+        ]
+
+    def test_ancestors_go_on_in_the_next_split(self, spark, write_text):
+        nets = "".join(
+            f'<net id="N{n}">' + "".join(f'<i id="{n * 1000 + k}"></i>' for k in range(700)) + "</net>"
+            for n in range(12)
+        )
+        path = write_text("big.xml", f"<r>{nets}</r>")
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+            df = scan_fragments(spark, path, "i", "_id int", ancestors={"net": ("net", "id")})
+            assert df.select("fragment_block").distinct().count() > 20
+            filled = fill_ancestors(df, ["net"]).select("_id", "net")
+            assert rows(filled) == sorted(
+                ((n * 1000 + k, f"N{n}") for n in range(12) for k in range(700)), key=repr
+            )
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+    def test_ancestor_between_self_closed_elements_stops_the_job(self, spark, write_text):
+        path = write_text("a.xml", '<r><n id="1"><i id="1"/></n><n id="2"><i id="2"></i></n></r>')
+        df = scan_fragments(spark, path, "i", "_id int", ancestors={"net": ("n", "id")})
+        with pytest.raises(Exception, match="n begins or ends between self-closed i"):
+            fill_ancestors(df, ["net"]).collect()
+
+    def test_closing_tag_with_white_space(self, spark, write_text):
+        path = write_text("a.xml", '<r><i id="1"></i ><i id="2"></i\n\t><ix></ix ><i id="3"></i></r>')
+        df = scan_fragments(spark, path, "i", "_id int", keep_corrupt=True)
+        assert rows(df) == [(1, None), (2, None), (3, None)]
+
+    @pytest.mark.parametrize("loose", ["", " "])
+    def test_cut_off_element(self, spark, write_text, tmp_path, loose):
+        schema = "_id int, v string"
+        write_text("in/whole.xml", f'<r><i id="1"><v>a</v></i{loose}><i id="9"/></r>')
+        write_text("in/cut.xml", f'<r><i id="2"><v>b</v></i{loose}><i id="8"/><i id="3"><v>c</v>')
+        write_text("in/no-root.xml", '<i id="4"><v>d</v></i>')
+        df = scan_fragments(spark, str(tmp_path / "in"), "i", schema, keep_corrupt=True)
+        good, bad = split_corrupt(df)
+        assert rows(good) == [(1, "a"), (2, "b"), (4, "d"), (8, None), (9, None)]
+        assert rows(bad) == [(None, None, '<i id="3"><v>c</v>')]
+
+    def test_encodings(self, spark, tmp_path):
+        text = '<?xml version="1.0" encoding="ISO-8859-1"?><r><i><v>é</v></i></r>'
+        path = tmp_path / "latin.xml"
+        path.write_bytes(text.encode("latin-1"))
+        scan = scan_fragments(spark, str(path), "i", "v string")
+        with pytest.raises(Exception, match="encoding ISO-8859-1 declared in file:"):
+            scan.collect()
+        scan = scan_fragments(
+            spark, str(path), "i", "v string", encoding="ISO-8859-1", keep_corrupt=True
+        )
+        assert rows(scan) == [("é", None)]
+        with pytest.raises(ValueError, match="cannot be cut"):
+            scan_fragments(spark, str(path), "i", "v string", encoding="utf-16")
+
+    def test_prefixes_are_ignored(self, spark, write_text):
+        path = write_text("a.xml", '<r><xn:i id="1"><es:v>a</es:v></xn:i></r>')
+        df = scan_fragments(spark, path, "xn:i", "_id int, v string", ignore_namespace=True)
+        assert rows(df) == [(1, "a")]
+
+    def test_files_in_folders_below(self, spark, write_text, tmp_path):
+        for place in ("a.xml", "x/b.xml", "x/y/c.xml"):
+            write_text(f"in/{place}", '<r><i id="1"></i></r>')
+        df = scan_fragments(spark, str(tmp_path / "in"), "i", "_id int", recursive=True)
+        assert df.count() == 3
 
     def test_file_without_the_ancestor(self, spark, write_text):
         path = write_text("a.xml", '<r><i id="1"></i><names id="2"/></r>')
         df = scan_fragments(spark, path, "i", "_id int", ancestors={"net": ("n", "id")})
-        assert rows(fill_from_file(df, ["net"]).select("_id", "net")) == [(1, None)]
+        assert rows(fill_ancestors(df, ["net"]).select("_id", "net")) == [(1, None)]
 
 
 PREFIXES = {"2G": "im/2G/x", "4G": "im/4G/", "5G": "im/5G"}
@@ -263,7 +328,7 @@ def landing(write_text, tmp_path):
         "m-CA/im/4G/year=2025/month=01/day=notes": 6,
     }
     for folder, number in days.items():
-        write_text(f"{folder}/same.xml", f'<r><item id="{number}"><value>v</value></item></r>')
+        write_text(f"{folder}/same.xml", f'<r><cell id="{number}"><label>v</label></cell></r>')
     return Landing(f"{tmp_path}/m-{{}}", PREFIXES)
 
 
@@ -275,7 +340,7 @@ class TestLanding:
 
     def scan(self, spark, landing, markets, techs, start, end):
         return scan_landing(
-            spark, landing, markets, techs, start, end, "item", ITEM, split_files=self.split
+            spark, landing, markets, techs, start, end, "cell", ITEM, split_files=self.split
         )
 
     def ids(self, *args):
@@ -376,7 +441,7 @@ class TestNaming:
 
 
 def test_parse_day():
-    assert parse_day("20241019") == date(2024, 10, 19)
+    assert parse_day("20310207") == date(2031, 2, 7)
     for text in ("2024-10-19", "20241340", "2024101", ""):
         with pytest.raises(ValueError):
             parse_day(text)

@@ -263,3 +263,22 @@ class TestCarry:
 def test_malformed_steps(steps, problem):
     with pytest.raises(StepError, match=problem):
         check_steps(steps)
+
+
+def test_array_star_leaves_out_carried_names(spark):
+    df = spark.sql("SELECT 'f' AS source_file, array(named_struct('x', 1, 'source_file', 's')) AS a")
+    steps = [{"operation": "select", "columns": {"a.*": "*"}}]
+    out = apply_steps(df, steps, carry=["source_file"])
+    assert out.columns == ["source_file", "x"]
+    assert rows(out) == [("f", 1)]
+
+
+def test_missing_null_as_yaml_reads_it(spark):
+    step = {"operation": "select", "columns": {"id": "id", "absent": "b"}, "missing": None}
+    assert rows(apply_steps(spark.range(1), [step])) == [(0, None)]
+
+
+def test_sort_of_columns_with_its_own_names(spark):
+    df = spark.sql("SELECT id AS __hash, -id AS __origin FROM range(5)")
+    out = apply_steps(df, [{"operation": "orderBy", "columns": {"__hash": False}}])
+    assert [tuple(r) for r in out.collect()] == [(i, -i) for i in range(4, -1, -1)]
