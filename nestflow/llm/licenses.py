@@ -4,8 +4,11 @@ A text is put in lower case, with everything but a-z, 0-9 and line ends as one s
 lines, its paragraphs and the whole are segments. A segment matches a template by the Dice
 coefficient of their word bigrams, ``2 |A & B| / (|A| + |B|)``, where a bigram counts as often
 as it occurs. That can reach the least value only if the sizes are near each other, so the
-count of words chooses the candidate templates of a segment before any bigram is made. All is
-worked out within the document's row, without a shuffle.
+count of words chooses the candidate templates of a segment before any bigram is made. Nor can
+a segment reach it that lacks too many bigrams of a template: for each template some words are
+chosen that stand in more of its bigrams than may be lacking, so that a match holds one of
+them. A text without any such word is left at once. All is worked out within the document's
+row, without a shuffle.
 """
 
 from __future__ import annotations
@@ -41,6 +44,29 @@ def bigrams(text: str) -> list[str]:
     return sorted(grams)
 
 
+#: Words that tell little, used only where others do not suffice.
+COMMON = frozenset("the of to and or a in is this that for by with on as be at any not".split())
+
+
+def required_words(text: str, least: Fraction) -> set[str]:
+    """Words of a template of which a text must hold one to match it.
+
+    A match of the smallest size shares the fewest bigrams; the words stand in more of the
+    template's bigrams than that leaves out.
+    """
+    grams = [gram.split(" ")[:2] for gram in bigrams(text)]
+    smallest = -(-len(grams) * least // (2 - least))
+    lacking = len(grams) - -(-least * (smallest + len(grams)) // 2)
+    chosen: set[str] = set()
+    open_ = list(grams)
+    while len(grams) - len(open_) <= lacking:
+        counts = Counter(word for gram in open_ for word in set(gram))
+        best = min(counts, key=lambda word: (word in COMMON, -counts[word], word))
+        chosen.add(best)
+        open_ = [gram for gram in open_ if best not in gram]
+    return chosen
+
+
 def _templates(templates: Mapping[str, str], least: Fraction) -> tuple[Column, int, int]:
     """Templates with their bigrams and the sizes that may reach the least value; the least
     and the largest of these sizes."""
@@ -85,8 +111,14 @@ def scan_licenses(
     plain, found = free_name(docs, "plain"), free_name(docs, "found")
     normal = F.regexp_replace(F.lower(F.coalesce(docs[text], F.lit(""))), "[^a-z0-9\n]+", " ")
     rows = docs.select(*kept, normal.alias(plain))
-    matched = F.transform(_segments(plain, smallest, largest), lambda s: _matches(s, candidates, least))
-    rows = rows.select(*kept, F.flatten(matched).alias(found))
+    telling = sorted(set().union(*(required_words(t, least) for t in templates.values())))
+    telling = rf"(?:^|[ \n])(?:{'|'.join(telling)})(?:$|[ \n])"
+    segments = _segments(plain, smallest, largest, telling)
+    matched = F.flatten(F.transform(segments, lambda s: _matches(s, candidates, least)))
+    none = F.array().cast(_MATCHES)
+    matched = F.when(F.col(plain).rlike(telling), matched).otherwise(none)
+    # Exploded, so that no later expression is merged into this one and works it out again.
+    rows = rows.select(*kept, F.explode(F.array(matched)).alias(found))
     names = F.array_sort(F.array_distinct(F.col(found)["name"]))
 
     def best(name: Column) -> Column:
@@ -103,8 +135,8 @@ def scan_licenses(
     )
 
 
-def _segments(plain: str, smallest: int, largest: int) -> Column:
-    """Distinct segments whose count of bigrams is one that some template may match."""
+def _segments(plain: str, smallest: int, largest: int, telling: str) -> Column:
+    """Distinct segments with a telling word, of as many bigrams as some template may match."""
 
     def one_line(part: Column) -> Column:
         return F.trim(F.regexp_replace(part, "[ \n]+", " "))
@@ -114,7 +146,7 @@ def _segments(plain: str, smallest: int, largest: int) -> Column:
     # Without a line end the lines are the paragraphs and the whole.
     several = F.concat(lines, F.transform(larger, one_line))
     every = F.when(F.instr(plain, "\n") > 0, several).otherwise(lines)
-    near = F.filter(every, lambda part: _size(part).between(smallest, largest))
+    near = F.filter(every, lambda p: _size(p).between(smallest, largest) & p.rlike(telling))
     return F.array_distinct(near)
 
 

@@ -15,10 +15,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from nestflow.llm import lattice, line_dedup, quality_rules, sharding, simhash, warc
+from nestflow.llm import lattice, licenses, line_dedup, quality_rules, sharding, simhash, warc
 from nestflow.llm.bpe import ByteBPE
 from nestflow.llm.decontamination import contamination
 from nestflow.llm.hashing import gray_rank
+from nestflow.llm.license_templates import TEMPLATES
 from nestflow.llm.pieces import parts
 from nestflow.llm.queries import BYTE_BPE, PIECES
 from tests.llm import brute
@@ -223,6 +224,38 @@ def test_a_host_of_one_document_is_not_judged_by_chance():
     assert quality_rules.beta_prior(0.0, 0.0, 3, 10) == (0.0, 1000.0)
 
 
+def test_a_match_holds_a_required_word():
+    r = random.Random(8)
+    for text in TEMPLATES.values():
+        grams, words = licenses.bigrams(text), licenses.plain_words(text)
+        required = licenses.required_words(text, licenses.LEAST_DICE)
+        assert required <= set(words)
+        for _ in range(50):
+            # What is left without these words, in pieces, is too little, whatever is added.
+            left = [w if w not in required else f"x{i}" for i, w in enumerate(words)]
+            some = licenses.bigrams(" ".join(left[r.randrange(3) : len(left) - r.randrange(3)]))
+            shared = len(set(some) & set(grams))
+            assert 2 * shared < licenses.LEAST_DICE * (len(some) + len(grams))
+
+
+def test_license_texts_with_changes(spark):
+    mit = " ".join(TEMPLATES["MIT"].split())
+    wrapped = "\n".join(TEMPLATES["MIT"].split("\n"))
+    half = " ".join(mit.split()[:60])
+    rows = [
+        (1, f"Copyright (c) 2020 Somebody\n\n{wrapped}\n\nmain() {{}}"),
+        (2, mit.replace("Software", "Program", 2)),
+        (3, half),
+        (4, "we met under the bridge. All rights reserved; no part of this work may be reproduced!"),
+        (5, "Licensed under CC BY-SA 4.0.\nLicensed under CC BY 4.0."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: [m["name"] for m in r["licenses"]] for r in licenses.scan_licenses(df).collect()}
+    assert got[1] == got[2] == ["MIT"] and got[3] == []
+    assert got[4] == ["All rights reserved"]
+    assert {"CC-BY-4.0 notice", "CC-BY-SA-4.0 notice"} <= set(got[5])
+
+
 def test_shards_split_a_hot_key(spark):
     rows = [(7 if i % 3 == 0 else i, "x" * (i % 50)) for i in range(900)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
