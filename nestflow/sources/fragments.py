@@ -256,25 +256,38 @@ def _mark(row_tag: str, tag: str, attribute: str) -> Column:
 def fill_ancestors(df: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of a scan with ``ancestors``, each with the values of what is around it.
 
-    A file may have any number of such elements, one after the other. Values are carried on
-    within a split of a file, which is of bounded size; a table of the last ones of each split
-    gives the next split its first. ``df`` is read twice: give it rows that are written, not
-    the scan, whose text would be read twice. A row outside such elements has null.
+    A file may have any number of such elements, one after the other. A table of the tags in
+    each split of a file, which is of bounded size, and of the last one before it is joined to
+    the rows; Spark knows its size before, and need not shuffle the rows when it is small.
+    ``df`` is read twice: give it rows that are written, not the scan, whose text would be
+    read twice. A row outside such elements has null.
     """
-    order = Window.partitionBy(SOURCE_FILE, BLOCK).orderBy(PLACE)
-    ends = df.groupBy(SOURCE_FILE, BLOCK).agg(
-        *[F.max_by(c, F.when(top(c).isNotNull(), F.col(PLACE))).alias(c) for c in columns]
+    marks = [
+        F.collect_list(F.when(top(c).isNotNull(), F.struct(PLACE, top(c).alias("mark"))))
+        for c in columns
+    ]
+    names = [f"marks {c}" for c in columns]
+    splits = df.groupBy(SOURCE_FILE, BLOCK).agg(
+        *[F.sort_array(m).alias(n) for m, n in zip(marks, names, strict=True)]
     )
     before = Window.partitionBy(SOURCE_FILE).orderBy(BLOCK).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    heads = [F.last(c, ignorenulls=True).over(before).alias(f"head {c}") for c in columns]
-    heads = ends.select(SOURCE_FILE, BLOCK, *heads)
-    own = {c: F.last(c, ignorenulls=True).over(order) for c in columns}
-    filled = df.withColumns(own).join(heads, [SOURCE_FILE, BLOCK], "left")
-    for c in columns:
-        mark = F.coalesce(top(c), top(f"head {c}"))
+    # The table is written, which tells its size.
+    heads = [
+        F.last(F.get(top(n), F.size(top(n)) - 1)["mark"], ignorenulls=True).over(before)
+        for n in names
+    ]
+    splits = splits.select("*", *[h.alias(f"head {c}") for h, c in zip(heads, columns, strict=True)])
+    folder = new_folder(df.sparkSession, "ancestors")
+    splits.write.parquet(folder)
+    splits = df.sparkSession.read.parquet(folder)
+    filled = df.join(splits, [SOURCE_FILE, BLOCK], "left")
+    for c, n in zip(columns, names, strict=True):
+        earlier = F.filter(top(n), lambda m: m[PLACE] <= F.col(PLACE))
+        last = F.get(earlier, F.size(earlier) - 1)["mark"]
+        mark = F.coalesce(top(c), F.when(F.size(top(n)) > 0, last), top(f"head {c}"))
         value = F.when(mark.startswith("="), F.substring(mark, F.lit(2), F.length(mark)))
         filled = filled.withColumn(c, value)
-    names = [c for c in df.columns if c not in (BLOCK, PLACE)]
-    return filled.select(*[top(c) for c in names])
+    kept = [c for c in df.columns if c not in (BLOCK, PLACE)]
+    return filled.select(*[top(c) for c in kept])
