@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestflow.llm import bpe, decontamination, line_dedup, quality_rules, simhash
-from nestflow.llm.base import settled
+from nestflow.llm.base import drop_settled, settled, settled_paths
 from nestflow.llm.queries import BYTE_BPE, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -61,8 +61,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn, from the table of documents."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages in turn, from the table of documents.
+
+    When a stage's rows are written, the tables that it has made on the way are deleted, and so
+    are the documents that it has read.
+    """
+    docs, older = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
+        before = settled_paths(spark)
         docs = settled(stage(spark, docs, sf_dir), f"stage-{name}")
+        made = [path for path in settled_paths(spark) if path not in before]
+        drop_settled(spark, [*made[:-1], *older])
+        older = made[-1:]
     return docs

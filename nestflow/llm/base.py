@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestflow.workspace import new_folder
+from nestflow.workspace import drop_folder, new_folder
 
 #: Spaces between words, in Java's and RE2's patterns: what ``bytes.split()`` splits at.
 SPACE = r"[\x20\x09-\x0D]"
@@ -25,11 +25,32 @@ BLOCK_BYTES = 4 << 20
 def settled(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder: later jobs read them, none makes them again.
 
-    A lost executor cannot change them, and the lineage ends here.
+    A lost executor cannot change them, and the lineage ends here. The folder stays for as
+    long as results may read it: see ``drop_settled``.
     """
-    path = new_folder(df.sparkSession, name)
+    spark = df.sparkSession
+    path = new_folder(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_settled: dict[str, list[str]] = {}
+
+
+def settled_paths(spark: SparkSession) -> list[str]:
+    """Folders of this application's written tables, the last one last."""
+    return list(_settled.get(spark.sparkContext.applicationId, ()))
+
+
+def drop_settled(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete written tables that nothing reads any more: those of an operator may go when
+    its result is written."""
+    known = _settled.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        if path in known:
+            known.remove(path)
+            drop_folder(spark, path)
 
 
 def text_key(column: str = "text") -> F.Column:

@@ -23,7 +23,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import free_name, map_batches, map_rows, settled, text_key, utf8
+from nestflow.llm.base import (
+    drop_settled,
+    free_name,
+    map_batches,
+    map_rows,
+    settled,
+    settled_paths,
+    text_key,
+    utf8,
+)
 from nestflow.llm.bpe import _fields
 from nestflow.llm.hashing import gray_rank
 
@@ -291,8 +300,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = settled(edges.filter("u <> v").distinct(), "star-edges")
-    state = None
+    spark, state = edges.sparkSession, None
     while True:
+        older = settled_paths(spark)[-1:]
         # Large star: the larger neighbours of a node are linked to its smallest one.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -307,6 +317,9 @@ def components(edges: DataFrame) -> DataFrame:
         edges = settled(small.distinct(), "star-edges")
         total = F.sum(F.xxhash64("u", "v").cast("decimal(38, 0)"))
         now = edges.agg(F.count(F.lit(1)), total).first()
+        # The last round's links, and what this round has made on the way to the new ones.
+        made = settled_paths(spark)
+        drop_settled(spark, [*older, *made[made.index(older[0]) + 1 : -1]])
         if now == state:
             break
         state = now

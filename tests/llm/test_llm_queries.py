@@ -13,6 +13,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 from nestflow.llm import lattice
+from nestflow.llm.base import settled_paths
 from nestflow.llm.queries import ORACLES, PIECES, QUERIES
 from tests.llm import brute
 from tools.check import compare, duck
@@ -131,7 +132,10 @@ def test_pipeline(spark):
     docs = [(d, t) for d, t in docs if d in first.values()]
     items = [tuple(r) for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").select("item_id", "text").collect()]
     docs = [(d, t) for d, t in docs if not brute.contamination(t, items)[1]]
+    before = settled_paths(spark)
     rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, TABLES).collect()}
+    # Only the last stage's rows are left of all written tables.
+    assert ["stage-encode" in p for p in settled_paths(spark) if p not in before] == [True]
     assert rows.keys() == {d for d, _ in docs}
     for doc_id, text in docs:
         ids = brute.ids(text)
