@@ -45,7 +45,11 @@ def bigrams(text: str) -> list[str]:
 
 
 #: Words that tell little, used only where others do not suffice.
-COMMON = frozenset("the of to and or a in is this that for by with on as be at any not".split())
+COMMON = frozenset(
+    "the of to and or a in is this that for by with on as be at any not it its all no from must "
+    "may see shall other use used under without including you your have has will are was can "
+    "if such which their do does only was were been more than out into general free an but".split()
+)
 
 
 def required_words(text: str, least: Fraction) -> set[str]:
