@@ -95,13 +95,14 @@ def scan_fragments(
         "value", after, "cut_off", *around, *[c for c in kept if c not in (ancestors or {})]
     )
     # The text as it stands, without the closing tag that the file lacks.
-    unclosed = F.regexp_extract("value", _open_tag(row_tag), 0)
-    unclosed = F.struct(unclosed.alias("text"), F.lit(True).alias("cut"))
+    rest = F.regexp_extract("value", _open_tag(row_tag), 0)
+    unclosed = F.array(F.struct(rest.alias("text"), F.lit(True).alias("cut")))
+    unclosed = F.filter(unclosed, lambda e: e["text"] != "")
     one = F.struct(_whole(row_tag, F.col("after")).alias("text"), F.lit(False).alias("cut"))
     several = F.transform(
         _any_elements(row_tag), lambda e: F.struct(e.alias("text"), F.lit(False).alias("cut"))
     )
-    elements = F.when(F.col("cut_off"), F.concat(_closed(row_tag), F.array(unclosed)))
+    elements = F.when(F.col("cut_off"), F.concat(_closed(row_tag), unclosed))
     elements = elements.when(_is_one_element(row_tag), F.array(one)).otherwise(several)
     text_schema, types = text_attributes(schema)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -163,9 +164,10 @@ def _pieces(spark, paths, row_tag, recursive, encoding, reader) -> DataFrame:
 
 
 def _cut_off(pieces: DataFrame, row_tag: str, encoding: str) -> DataFrame | None:
-    """The last pieces of files that end inside an element; null if there are none.
+    """The last pieces of files that may end inside an element; null if there are none.
 
-    A file that ends in an open element lacks the closing tag that every other piece had.
+    A file that ends in an open element lacks the closing tag that every other piece had, and
+    its last piece holds the tag.
     """
     value = F.col("value")
     if encoding.upper() != "UTF-8":
@@ -177,7 +179,7 @@ def _cut_off(pieces: DataFrame, row_tag: str, encoding: str) -> DataFrame | None
         F.bool_and("at_separator").alias("exact"),
         F.max_by(BLOCK, order).alias(BLOCK),
         F.max_by("piece_hash", order).alias("piece_hash"),
-        F.max_by(F.col("value").rlike(_open_tag(row_tag)), order).alias("open"),
+        F.max_by(F.contains(F.col("value"), F.lit(f"<{row_tag}")), order).alias("open"),
     )
     # Bytes that were cut as a loose tag are not counted: then the file's end tells nothing,
     # and an open last piece is taken as cut off.
