@@ -91,9 +91,8 @@ def scan_fragments(
     else:
         pieces = pieces.withColumn("cut_off", F.lit(None).cast("boolean"))
     after = _after_last(row_tag).alias("after")
-    pieces = pieces.select(
-        "value", after, "cut_off", *around, *[c for c in kept if c not in (ancestors or {})]
-    )
+    own = [c for c in kept if c not in (ancestors or {})]
+    pieces = pieces.select("value", after, "cut_off", *own).select("*", *around)
     # The text as it stands, without the closing tag that the file lacks.
     rest = F.regexp_extract("value", _open_tag(row_tag), 0)
     unclosed = F.array(F.struct(rest.alias("text"), F.lit(True).alias("cut")))
@@ -243,16 +242,26 @@ def _mark(row_tag: str, tag: str, attribute: str) -> Column:
     """The last tag of an ancestor in the piece: ``=`` and the attribute's value for a start
     tag, ``/`` for a closing one, null without any."""
     name = re.escape(tag)
-    tags = F.regexp_extract_all("value", F.lit(rf"(?s)<(/?{name}(?:\s[^<>]*)?)>"), 1)
-    last = F.element_at(tags, -1)
     value = rf"""(?s)\b{re.escape(attribute)}\s*=\s*["']([^"']*)["']"""
-    start = F.concat(F.lit("="), F.regexp_extract(last, value, 1))
-    mark = F.when(F.size(tags) > 0, F.when(last.startswith("/"), "/").otherwise(start))
+
+    def mark(tags: Column) -> Column:
+        last = F.element_at(tags, -1)
+        start = F.concat(F.lit("="), F.regexp_extract(last, value, 1))
+        return F.when(F.size(tags) > 0, F.when(last.startswith("/"), "/").otherwise(start))
+
+    def last_in(text: Column) -> Column:
+        tags = F.regexp_extract_all(text, F.lit(rf"(?s)<(/?{name}(?:\s[^<>]*)?)>"), 1)
+        found = F.transform(F.array(tags), mark)[0]
+        return F.when(F.contains(text, F.lit(tag)), found)
+
+    # In nearly all pieces one element follows whatever else is there.
+    before = F.substring_index("value", f"<{row_tag}", 1)
     # Several rows of a piece and a tag among them: which of them stand before it?
     several = F.size(_self_closed(row_tag)) > 0
     problem = F.lit(f"{tag} begins or ends between self-closed {row_tag} elements")
-    mark = F.when(mark.isNotNull() & several, F.raise_error(problem)).otherwise(mark)
-    return F.when(F.contains(F.col("value"), F.lit(tag)), mark)
+    any_ = last_in(F.col("value"))
+    any_ = F.when(any_.isNotNull() & several, F.raise_error(problem)).otherwise(any_)
+    return F.when(_is_one_element(row_tag), last_in(before)).otherwise(any_)
 
 
 def fill_ancestors(df: DataFrame, columns: list[str]) -> DataFrame:
