@@ -128,6 +128,11 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def fields(df: DataFrame) -> list[str]:
+    """The columns as DDL."""
+    return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have."""
     taken = {c.lower() for c in df.columns}

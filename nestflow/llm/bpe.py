@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import pre_tokenizers
 
-from nestflow.llm.base import blocks, free_name, map_rows, utf8
+from nestflow.llm.base import blocks, fields, free_name, map_rows, utf8
 from nestflow.llm.pieces import Memo, parts
 
 #: The pattern that splits text before the merges.
@@ -206,7 +206,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", text: str = "text")
     """
     kept = [c for c in df.columns if c.lower() != text.lower()]
     carried = df.select(*kept)
-    schema = ", ".join([*_fields(carried), f"`{text}` string"])
+    schema = ", ".join([*fields(carried), f"`{text}` string"])
 
     def make():
         bpe = tokenizer(path)
@@ -228,7 +228,7 @@ def _with_codes(df, path, text, added, columns) -> DataFrame:
     kept = [c for c in df.columns if c.lower() not in {a.lower() for a in added}]
     source = free_name(df, "coded_text")
     carried = df.select(*kept, df[text].alias(source))
-    schema = ", ".join([*_fields(df.select(*kept)), *(f"`{n}` {t}" for n, t in added.items())])
+    schema = ", ".join([*fields(df.select(*kept)), *(f"`{n}` {t}" for n, t in added.items())])
 
     def make():
         bpe = tokenizer(path)
@@ -246,9 +246,6 @@ def _with_codes(df, path, text, added, columns) -> DataFrame:
     return map_rows(carried, schema, make)
 
 
-def _fields(df: DataFrame) -> list[str]:
-    return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
-
 
 def _int_lists(coded: list[bytes]) -> pa.Array:
     """Ids of each text as an Arrow list, without a Python object per id."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import blocks, free_name, map_rows, settled, text_key, utf8
+from nestflow.llm.base import blocks, fields, map_rows, settled, text_key, utf8
 from nestflow.llm.hashing import grams, spans, word_spans
 
 #: Bits of the filter of the items' fingerprints: 4 MB, whatever the benchmark's size.
@@ -186,12 +186,12 @@ def contamination(
         )
     )
     met = settled(met, "contamination-spans")
-    covered = met.groupBy(row).agg(F.sort_array(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    spans_ = F.sort_array(F.collect_set(F.struct("low", "high")))
+    covered = met.groupBy(row).agg(spans_.alias("spans"))
     covered = covered.select(row, _covered("spans").alias("n_hit"))
-    named = (
-        met.select(row, "context").distinct().join(of_items, "context").select(row, "item").distinct()
-        .groupBy(row).agg(F.sort_array(F.collect_list("item")).alias("items"))
-    )
+    named = met.select(row, "context").distinct().join(of_items, "context")
+    named = named.select(row, "item").distinct().groupBy(row)
+    named = named.agg(F.sort_array(F.collect_list("item")).alias("items"))
     result = found.drop("hits").join(covered, row, "left").join(named, row, "left")
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0).cast("bigint"))
     none = F.array().cast("array<string>")
@@ -211,8 +211,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     """The documents without any passage of an item, with all their columns."""
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
     found = contamination(docs, items, **options).filter("contaminated")
-    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
-    bad = settled(bad, "contaminated")
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
+    bad = settled(bad.distinct(), "contaminated")
     same = docs[doc_id].eqNullSafe(bad["bad_id"]) & (text_key(text) == bad["bad_key"])
     return docs.join(bad, same, "left_anti")
 
@@ -221,8 +221,7 @@ def _scan(df, text, span, k, short, filter_, count_only) -> DataFrame:
     """The rows with word counts and hits; texts are left out, a hash of them is kept."""
     ids = [c for c in df.columns if c != text]
     carried = df.select(*ids, text_key(text).alias("text_key"), text)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in carried.drop(text).schema]
-    schema = ", ".join([*fields, "n_words bigint", f"hits array<{_HIT}>"])
+    schema = ", ".join([*fields(carried.drop(text)), "n_words bigint", f"hits array<{_HIT}>"])
 
     def make():
         winnower = Winnower(span, k, short)

@@ -31,8 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import arrow_schema, free_name, map_batches, map_rows, settled, utf8
-from nestflow.llm.bpe import _fields
+from nestflow.llm.base import arrow_schema, map_batches, map_rows, settled, utf8
 from nestflow.llm.hashing import spans
 
 #: Fixed value: the mark of a word's begin in the vocabulary.
@@ -236,38 +235,30 @@ def _chunks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
     arrow = arrow_schema(docs.sparkSession, schema)
 
+    def batch_of(chunk: int, columns: dict) -> pa.RecordBatch:
+        """Rows of a chunk; columns that are not given are null."""
+        count = len(next(iter(columns.values())))
+        arrays = [
+            pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(count, f.type)
+            for f in arrow
+        ]
+        arrays[0] = pa.array([chunk] * count, pa.int64())
+        return pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
         packer = zstandard.ZstdCompressor(level=1)
         for n, (ids, held_out, numbers, words, times) in enumerate(_numbered(batches)):
-            chunk = task + n
             for low in range(0, len(numbers), 10_000):
                 part = slice(low, low + 10_000)
                 packed = [packer.compress(x.tobytes()) for x in numbers[part]]
-                count = len(packed)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([chunk] * count, pa.int64()),
-                        pa.array(ids[part], arrow.field("doc_id").type),
-                        pa.array(held_out[part]),
-                        pa.array(packed, pa.binary()),
-                        *(pa.nulls(count, arrow.field(c).type) for c in ("word", "number", "times")),
-                    ],
-                    schema=arrow,
-                )
+                columns = {"doc_id": ids[part], "held_out": held_out[part], "numbers": packed}
+                yield batch_of(task + n, columns)
             for low in range(0, len(words), 50_000):
                 part = words[low : low + 50_000]
-                count = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([chunk] * count, pa.int64()),
-                        *(pa.nulls(count, arrow.field(c).type) for c in ("doc_id", "held_out", "numbers")),
-                        pa.array(part, pa.binary()),
-                        pa.array(range(low, low + count), pa.int32()),
-                        pa.array(times[low : low + count]),
-                    ],
-                    schema=arrow,
-                )
+                number = range(low, low + len(part))
+                columns = {"word": part, "number": number, "times": times[low : low + len(part)]}
+                yield batch_of(task + n, columns)
 
     carried = docs.select(docs[doc_id].alias("doc_id"), "held_out", docs[text].alias("text"))
     return map_batches(carried, run, schema)
@@ -282,15 +273,16 @@ def _numbered(batches: Iterator[pa.RecordBatch]):
         lengths = [0 if h else x.shape[1] for h, x in zip(held_out, numbers, strict=True)]
         times = np.zeros(len(number), np.int64)
         if sum(lengths):
-            seen = np.concatenate([x for h, x in zip(held_out, numbers, strict=True) if not h], axis=1)
+            train = [x for h, x in zip(held_out, numbers, strict=True) if not h]
+            seen = np.concatenate(train, axis=1)
             times += np.bincount(seen[0], seen[1], len(number)).astype(np.int64)
         # Sorted numbers, as differences, hold little.
         coded = [np.stack([np.diff(x[0], prepend=0), x[1]]).astype("<u4") for x in numbers]
         return ids, held_out, coded, list(number), times
 
     for batch in batches:
-        own_ids, own_held = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
-        for doc_id, held, content in zip(own_ids, own_held, utf8(batch.column("text")), strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("doc_id", "held_out")]
+        for doc_id, held, content in zip(*columns, utf8(batch.column("text")), strict=True):
             words = Counter(content.lower().split())
             words[END] = 1
             for word in words:
@@ -312,8 +304,9 @@ def _numbered(batches: Iterator[pa.RecordBatch]):
 def fit(words: DataFrame, path: str, rounds: int = ROUNDS, prior: float = PRIOR) -> np.ndarray:
     """Log probabilities of the pieces, fitted to the words with ``times`` in training.
 
-    Each distinct word counts once: the pieces are for words that are rare or new. A round sums expected uses by task, then by piece: a vector as long as the vocabulary
-    comes to the driver.
+    Each distinct word counts once: the pieces are for words that are rare or new. A round
+    sums expected uses by task, then by piece: a vector as long as the vocabulary comes to the
+    driver.
     """
     own = vocabulary(path)
     log_p = np.log(own.prior)

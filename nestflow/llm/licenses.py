@@ -170,9 +170,11 @@ def _matches(segment: Column, candidates: Column, least: Fraction) -> Column:
     near = F.filter(candidates, lambda t: (size >= t["low"]) & (size <= t["high"]))
 
     def compared(near: Column) -> Column:
-        return F.when(F.size(near) == 0, F.array().cast(_MATCHES)).otherwise(
-            _let(_grams(segment), lambda grams: F.filter(F.transform(near, lambda t: match(grams, t)), enough))
-        )
+        def all_matches(grams: Column) -> Column:
+            return F.filter(F.transform(near, lambda t: match(grams, t)), enough)
+
+        none = F.array().cast(_MATCHES)
+        return F.when(F.size(near) == 0, none).otherwise(_let(_grams(segment), all_matches))
 
     def match(grams: Column, template: Column) -> Column:
         shared = 2 * F.size(F.array_intersect(grams, template["grams"]))

@@ -19,8 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import free_name, map_batches, map_rows, settled, utf8
-from nestflow.llm.bpe import _fields
+from nestflow.llm.base import fields, free_name, map_batches, map_rows, settled, utf8
 
 #: Bits of a filter: 32 MB, whatever the input's size. With more lines than it is made for,
 #: more lines are suspected and shuffled; the result is the same.
@@ -161,7 +160,7 @@ def _suspects(docs: DataFrame, owner: str, text: str, shortest: int, blocks) ->
     # Of bounded size: the filter has so many blocks, whatever the input.
     packed = {row["block"]: bytes(row["twice"]) for row in blocks.toLocalIterator()}
     shared = docs.sparkSession.sparkContext.broadcast(packed)
-    schema = ", ".join([*_fields(docs.select(owner)), "line_key binary"])
+    schema = ", ".join([*fields(docs.select(owner)), "line_key binary"])
 
     def make():
         size = 1 << BLOCK_BITS - 3
@@ -221,7 +220,7 @@ def dedup_lines(
     # The drops grow with the documents: they are never broadcast.
     same = docs[doc_id].eqNullSafe(drops[owner])
     joined = docs.join(drops.hint("merge"), same, "left").drop(owner)
-    schema = ", ".join([*_fields(docs), "n_lines bigint", "n_dropped bigint"])
+    schema = ", ".join([*fields(docs), "n_lines bigint", "n_dropped bigint"])
 
     def make():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:

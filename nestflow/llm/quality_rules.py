@@ -98,7 +98,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c.lower() not in (*MEASURES, LINES)]
     lines = F.filter(F.split(F.col(content), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     line_counts = _let(
-        lines, lambda some: F.struct(F.size(some).alias("n"), F.size(F.array_distinct(some)).alias("d"))
+        lines,
+        lambda some: F.struct(
+            F.size(some).alias("n"), F.size(F.array_distinct(some)).alias("d")
+        ),
     )
     split = F.filter(F.split(F.col(content), f"{SPACE}+"), lambda word: word != "")
     rows = docs.select(*kept, F.coalesce(docs[text], F.lit("")).alias(content))

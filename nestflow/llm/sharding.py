@@ -70,12 +70,12 @@ def assign_shards(
     if not done:
         empty = F.lit(0).cast("int")
         done = [open_.withColumn("shard_depth", empty)]
-    assigned = reduce(DataFrame.unionByName, [d.select(*kept, "n_bytes", bits, "shard_depth") for d in done])
+    parts = [d.select(*kept, "n_bytes", bits, "shard_depth") for d in done]
+    assigned = reduce(DataFrame.unionByName, parts)
     digits = F.lpad(F.conv(F.col(bits).cast("string"), 10, 2), BITS, "0")
     shard = F.substring(digits, F.lit(1), F.col("shard_depth"))
-    return assigned.select(
-        *kept, "n_bytes", shard.alias("shard"), F.col("shard_depth").cast("int").alias("shard_depth")
-    )
+    depth_ = F.col("shard_depth").cast("int").alias("shard_depth")
+    return assigned.select(*kept, "n_bytes", shard.alias("shard"), depth_)
 
 
 def _directory(rows, bits, depth, deepest, limit, cell) -> DataFrame:
@@ -88,7 +88,8 @@ def _directory(rows, bits, depth, deepest, limit, cell) -> DataFrame:
     ups = F.sequence(F.lit(0), F.lit(deepest - depth - (1 if depth else 0)))
     above = counted.select(cell, "bytes", "rows", F.explode(ups).alias("up"))
     above = above.withColumn("prefix", F.expr(f"shiftright(`{cell}`, up)"))
-    fits = (F.sum("bytes") <= limit) | (F.sum("rows") == 1) | F.lit(deepest == BITS) & (F.col("up") == 0)
+    last = F.lit(deepest == BITS) & (F.col("up") == 0)
+    fits = (F.sum("bytes") <= limit) | (F.sum("rows") == 1) | last
     good = above.groupBy("up", "prefix").agg(fits.alias("fits")).filter("fits").drop("fits")
     least = above.join(good, ["up", "prefix"]).groupBy(cell).agg(
         (F.lit(deepest) - F.max("up")).alias("shard_depth")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from nestflow.llm.base import (
     drop_settled,
+    fields,
     free_name,
     map_batches,
     map_rows,
@@ -33,7 +34,6 @@ from nestflow.llm.base import (
     text_key,
     utf8,
 )
-from nestflow.llm.bpe import _fields
 from nestflow.llm.hashing import gray_rank
 
 SHINGLE = 3
@@ -84,7 +84,7 @@ def with_fingerprint(
 ) -> DataFrame:
     """The rows with the fingerprint, as a signed long, in place of the text."""
     kept = [c for c in docs.columns if c != text and c.lower() != name]
-    schema = ", ".join([*_fields(docs.select(*kept)), f"`{name}` bigint"])
+    schema = ", ".join([*fields(docs.select(*kept)), f"`{name}` bigint"])
 
     def make():
         def work(batch: pa.RecordBatch) -> Iterator[dict]:

@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import BLOCK_BYTES, blocks, free_name, map_rows, utf8
-from nestflow.llm.bpe import _fields
+from nestflow.llm.base import BLOCK_BYTES, blocks, fields, free_name, map_rows, utf8
 from nestflow.llm.pieces import Memo, parts
 
 #: Text that the library encodes in one call.
@@ -77,7 +76,7 @@ def count_tokens(
     kept = [c for c in df.columns if c.lower() not in {*added, "over_limit"}]
     source = free_name(df, "counted_text")
     carried = df.select(*kept, df[text].alias(source))
-    schema = ", ".join([*_fields(df.select(*kept)), *(f"`{n}` {t}" for n, t in added.items())])
+    schema = ", ".join([*fields(df.select(*kept)), *(f"`{n}` {t}" for n, t in added.items())])
 
     def make():
         tokens = counter(path)

@@ -133,7 +133,8 @@ def _plain(value: str) -> str:
 
 
 def _file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    named = "://" in uri or uri.startswith("file:")
+    return fs.FileSystem.from_uri(uri if named else f"file://{uri}")
 
 
 def _with_decision(pages: DataFrame, page_id: str) -> DataFrame:
@@ -186,8 +187,9 @@ def write_archives(
         F.sha2(content, 256).alias("payload_digest"),
         F.octet_length(content).cast("bigint").alias("payload_bytes"),
     )
+    texts = {"page_id_text": "page_id", "refers_text": "refers_to"}
     decided = _with_decision(pages, "page_id").withColumns(
-        {"page_id_text": F.col("page_id").cast("string"), "refers_text": F.col("refers_to").cast("string")}
+        {name: F.col(column).cast("string") for name, column in texts.items()}
     )
     id_type = pages.schema["page_id"].dataType.simpleString()
     schema = (
@@ -337,7 +339,8 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                         number = place["frame"]
                         data = bundle.frame(number)
                     start = place["offset"]
-                    for headers, payload, _, _ in parse_records(data[start : start + place["length"]]):
+                    record = data[start : start + place["length"]]
+                    for headers, payload, _, _ in parse_records(record):
                         yield _row(headers, payload, True)
             if file is not None:
                 file.close()

@@ -39,7 +39,8 @@ SHARED = "this line stands in many documents of the table, word for word"
 @pytest.fixture(scope="module")
 def odd(spark):
     r = random.Random(5)
-    long = " ".join("".join(r.choices("abcdefghij é漢<", k=r.randint(1, 9))) for _ in range(40_000))
+    letters = "abcdefghij é漢<"
+    long = " ".join("".join(r.choices(letters, k=r.randint(1, 9))) for _ in range(40_000))
     texts = [
         (None, None), (1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "x" * 100_000),
         (6, long), (7, f"some {PASSAGE} more"), (8, "same text " * 30), (8, "same text " * 30),
@@ -55,7 +56,8 @@ def odd(spark):
 
 @pytest.fixture(scope="module")
 def items(spark):
-    rows = [(1, PASSAGE), (2, None), (3, ""), (4, "same text"), (None, "same text"), (4, "zz"), (5, f"q {PASSAGE}")]
+    rows = [(1, PASSAGE), (2, None), (3, ""), (4, "same text"), (None, "same text"), (4, "zz")]
+    rows.append((5, f"q {PASSAGE}"))
     return spark.createDataFrame(rows, "item_id bigint, text string")
 
 
@@ -66,7 +68,9 @@ def pairs(df):
 def test_bpe(odd):
     coded = bpe.digests(odd, BYTE_BPE, ids="Own")
     assert set(CLASHING) - {"N_Tokens"} <= set(coded.columns)
-    rows = Counter((r["doc_id"], tuple(r["Own"]), r["n_tokens"], r["ids_sha256"]) for r in coded.collect())
+    rows = Counter(
+        (r["doc_id"], tuple(r["Own"]), r["n_tokens"], r["ids_sha256"]) for r in coded.collect()
+    )
     want = Counter()
     for doc_id, text in pairs(odd):
         ids = brute.ids(text)
@@ -138,7 +142,8 @@ def test_simhash(odd):
     roots = brute.components(codes)
     want = Counter()
     for (doc_id, _), code in zip(docs, codes, strict=True):
-        ids = [i for (i, _), c in zip(docs, codes, strict=True) if roots[c] == roots[code] and i is not None]
+        same = [i for (i, _), c in zip(docs, codes, strict=True) if roots[c] == roots[code]]
+        ids = [i for i in same if i is not None]
         want[doc_id, f"{code:016x}", min(ids, default=None)] += 1
     assert Counter(tuple(r) for r in rows) == want
     kept = simhash.drop_near_duplicates(odd)
@@ -200,7 +205,8 @@ def check_shards(rows, limit):
 
 
 def test_warc(spark, odd):
-    pages = odd.select(F.col("doc_id").alias("page_id"), F.col("source").alias("url"), F.col("text").alias("html"), *CLASHING)
+    named = {"doc_id": "page_id", "source": "url", "text": "html"}
+    pages = odd.select(*[F.col(c).alias(n) for c, n in named.items()], *CLASHING)
     rows = warc.round_trip(pages).collect()
     payloads = [(i, (t or "").encode()) for i, t in pairs(odd)]
     want = Counter()
@@ -209,7 +215,8 @@ def test_warc(spark, odd):
         first = min(same) if len(payload) >= 100 and same else None
         refers = first if page_id != first else None
         want[page_id, len(payload), brute.sha(payload.decode()), refers] += 1
-    got = Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["refers_to"]) for r in rows)
+    names = ("page_id", "payload_bytes", "payload_digest", "refers_to")
+    got = Counter(tuple(r[n] for n in names) for r in rows)
     assert got == want
     assert all((r["record_type"] == "revisit") == (r["refers_to"] is not None) for r in rows)
 
@@ -249,7 +256,8 @@ def test_only_held_out_documents(spark):
 
 def test_stages_keep_odd_documents(spark, tmp_path, odd, items):
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
-    docs = odd.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.length("text").cast("bigint").alias("n_chars"))
+    n_chars = F.length("text").cast("bigint").alias("n_chars")
+    docs = odd.select("doc_id", "text", F.lit("en").alias("lang"), "source", n_chars)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, str(tmp_path)).count() > 0
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0

@@ -95,7 +95,8 @@ def test_links_refuse_a_limit_that_cannot_be_met(spark):
 
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a bigint, b bigint")
-    assert {(r["node"], r["root"]) for r in simhash.components(edges).collect()} == {(i, 0) for i in range(61)}
+    got = {(r["node"], r["root"]) for r in simhash.components(edges).collect()}
+    assert got == {(i, 0) for i in range(61)}
 
 
 def piece_ids() -> dict[str, int]:
@@ -143,7 +144,8 @@ def test_expected_uses_are_the_derivative():
     for piece in np.argsort(-uses)[:5]:
         moved = log_p.copy()
         moved[piece] += 1e-5
-        change = lattice.word_scores(words, own, moved).sum() - lattice.word_scores(words, own, log_p).sum()
+        scores = [lattice.word_scores(words, own, p).sum() for p in (moved, log_p)]
+        change = scores[0] - scores[1]
         assert change / 1e-5 == pytest.approx(uses[piece], abs=1e-4)
 
 
@@ -250,7 +252,8 @@ def test_license_texts_with_changes(spark):
         (5, "Licensed under CC BY-SA 4.0.\nLicensed under CC BY 4.0."),
     ]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r["doc_id"]: [m["name"] for m in r["licenses"]] for r in licenses.scan_licenses(df).collect()}
+    scanned = licenses.scan_licenses(df).collect()
+    got = {r["doc_id"]: [m["name"] for m in r["licenses"]] for r in scanned}
     assert got[1] == got[2] == ["MIT"] and got[3] == []
     assert got[4] == ["All rights reserved"]
     assert {"CC-BY-4.0 notice", "CC-BY-SA-4.0 notice"} <= set(got[5])

@@ -26,7 +26,8 @@ pytestmark = pytest.mark.skipif(not Path(TABLES).exists(), reason="needs the tes
 
 @pytest.fixture(scope="module")
 def documents(spark):
-    return [tuple(r) for r in spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()]
+    table = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text")
+    return [tuple(r) for r in table.collect()]
 
 
 def test_a_query_for_each_operator():
@@ -81,9 +82,11 @@ def test_language_model(spark, documents):
     own = lattice.vocabulary(PIECES)
     for row in held[:5]:
         tokens = [*brute.words(dict(documents)[row["doc_id"]]), None]
-        spelt = lattice.word_scores([lattice.END if t is None else t.encode() for t in tokens], own, log_p)
+        spelt = [lattice.END if t is None else t.encode() for t in tokens]
+        spelt = lattice.word_scores(spelt, own, log_p)
+        rest = discount * distinct / total
         score = sum(
-            math.log10(max(train[t] - discount, 0) / total + discount * distinct / total * math.exp(s))
+            math.log10(max(train[t] - discount, 0) / total + rest * math.exp(s))
             for t, s in zip(tokens, spelt, strict=True)
         )
         assert row["score"] == pytest.approx(score, rel=1e-6)
@@ -121,7 +124,8 @@ def test_token_counts(spark, documents):
 def test_pipeline(spark):
     """Each stage, on what the one before has kept, against plain Python."""
     table = spark.read.parquet(f"{TABLES}/documents.parquet")
-    kept = {r["doc_id"] for r in QUERIES["op1_quality_rules"](spark, TABLES).filter("kept").collect()}
+    judged = QUERIES["op1_quality_rules"](spark, TABLES)
+    kept = {r["doc_id"] for r in judged.filter("kept").collect()}
     docs = [(r["doc_id"], r["text"]) for r in table.collect() if r["doc_id"] in kept]
     docs = list(zip([d for d, _ in docs], brute.dedup_lines(docs), strict=True))
     codes = {d: brute.fingerprint(t) for d, t in docs}
@@ -130,7 +134,8 @@ def test_pipeline(spark):
     for doc_id in sorted(codes):
         first.setdefault(roots[codes[doc_id]], doc_id)
     docs = [(d, t) for d, t in docs if d in first.values()]
-    items = [tuple(r) for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").select("item_id", "text").collect()]
+    items = spark.read.parquet(f"{TABLES}/benchmark.parquet").select("item_id", "text")
+    items = [tuple(r) for r in items.collect()]
     docs = [(d, t) for d, t in docs if not brute.contamination(t, items)[1]]
     before = settled_paths(spark)
     rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, TABLES).collect()}
