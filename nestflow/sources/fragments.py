@@ -286,10 +286,12 @@ def fill_ancestors(df: DataFrame, columns: list[str]) -> DataFrame:
     )
     # The table is written, which tells its size.
     heads = [
-        F.last(F.get(top(n), F.size(top(n)) - 1)["mark"], ignorenulls=True).over(before)
-        for n in names
+        F.last(F.get(top(n), F.size(top(n)) - 1)["mark"], ignorenulls=True)
+        .over(before)
+        .alias(f"head {c}")
+        for n, c in zip(names, columns, strict=True)
     ]
-    splits = splits.select("*", *[h.alias(f"head {c}") for h, c in zip(heads, columns, strict=True)])
+    splits = splits.select("*", *heads)
     folder = new_folder(df.sparkSession, "ancestors")
     splits.write.parquet(folder)
     splits = df.sparkSession.read.parquet(folder)
