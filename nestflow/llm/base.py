@@ -18,8 +18,9 @@ from nestflow.workspace import drop_folder, new_folder
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: A batch of texts that Python holds as words or pieces at one time.
-BLOCK_BYTES = 4 << 20
+#: Texts that Python holds as words, pieces or hashes at one time. Workers of one executor
+#: share its memory, and these take many times a text's bytes.
+BLOCK_BYTES = 1 << 20
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -75,6 +76,13 @@ def blocks(texts: Sequence[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[i
         yield start, len(texts)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of Arrow's batches, so that Python holds few of their texts at one time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow``, with this library on the executors wherever they are started."""
     context = df.sparkSession.sparkContext
@@ -102,7 +110,7 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in slices(batches):
             for columns in work(batch):
                 yield pa.RecordBatch.from_arrays(
                     [_array(columns[f.name], f.type) for f in arrow], schema=arrow

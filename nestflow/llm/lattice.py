@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import arrow_schema, map_batches, map_rows, settled, utf8
+from nestflow.llm.base import arrow_schema, map_batches, map_rows, settled, slices, utf8
 from nestflow.llm.hashing import spans
 
 #: Fixed value: the mark of a word's begin in the vocabulary.
@@ -280,7 +280,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]):
         coded = [np.stack([np.diff(x[0], prepend=0), x[1]]).astype("<u4") for x in numbers]
         return ids, held_out, coded, list(number), times
 
-    for batch in batches:
+    for batch in slices(batches):
         columns = [batch.column(c).to_pylist() for c in ("doc_id", "held_out")]
         for doc_id, held, content in zip(*columns, utf8(batch.column("text")), strict=True):
             words = Counter(content.lower().split())

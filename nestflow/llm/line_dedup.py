@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import fields, free_name, map_batches, map_rows, settled, utf8
+from nestflow.llm.base import fields, free_name, map_batches, map_rows, settled, slices, utf8
 
 #: Bits of a filter: 32 MB, whatever the input's size. With more lines than it is made for,
 #: more lines are suspected and shuffled; the result is the same.
@@ -122,7 +122,7 @@ def repeated_filter(docs: DataFrame, text: str, shortest: int) -> DataFrame:
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(1 << FILTER_BITS)
-        for batch in batches:
+        for batch in slices(batches):
             _, keys = _keys_of(batch.column(0), shortest)
             if keys:
                 pair.add(_bits(keys))
