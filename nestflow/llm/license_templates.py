@@ -69,4 +69,5 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
     ),
     "All rights reserved": "All rights reserved. No part of this work may be reproduced.",
+    "All rights reserved notice": "All rights reserved.",
 }

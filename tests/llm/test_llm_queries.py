@@ -102,6 +102,27 @@ def test_bpe(spark, documents):
         assert rows[doc_id]["decoded_sha256"] == brute.sha(decoded)
 
 
+#: Licence lines as the documents hold them, and the name that each must get.
+LICENSE_LINES = {
+    "All rights reserved.": "All rights reserved notice",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0 notice",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0 notice",
+    "Released under the MIT License.": "MIT notice",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0 notice",
+}
+
+
+def test_license_lines_of_the_documents(spark, documents):
+    found = QUERIES["op4_licenses"](spark, TABLES).collect()
+    names = {r["doc_id"]: r["license_names"] for r in found}
+    held = Counter()
+    for doc_id, text in documents:
+        for line in {*(text or "").split("\n")} & LICENSE_LINES.keys():
+            assert LICENSE_LINES[line] in names[doc_id].split(",")
+            held[line] += 1
+    assert held["All rights reserved."] == 3 and len(held) >= 4
+
+
 def test_simhash(spark, documents):
     rows = {r["doc_id"]: r for r in QUERIES["op8_simhash"](spark, TABLES).collect()}
     codes = {doc_id: brute.fingerprint(text) for doc_id, text in documents}
