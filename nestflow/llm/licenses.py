@@ -1,14 +1,18 @@
 """Licence texts and notices in documents: built-in Spark functions only.
 
 A text is put in lower case, with everything but a-z, 0-9 and line ends as one space. Its
-lines, its paragraphs and the whole are segments. A segment matches a template by the Dice
-coefficient of their word bigrams, ``2 |A & B| / (|A| + |B|)``, where a bigram counts as often
-as it occurs. That can reach the least value only if the sizes are near each other, so the
-count of words chooses the candidate templates of a segment before any bigram is made. Nor can
-a segment reach it that lacks too many bigrams of a template: for each template some words are
-chosen that stand in more of its bigrams than may be lacking, so that a match holds one of
-them. A text without any such word is left at once. All is worked out within the document's
-row, without a shuffle.
+lines, its paragraphs, the whole and all runs of its words are segments. A segment matches a
+template by the Dice coefficient of their word bigrams, ``2 |A & B| / (|A| + |B|)``, where a
+bigram counts as often as it occurs. That can reach the least value only if the sizes are near
+each other, so the count of words chooses the candidate templates of a line or paragraph. Nor
+can a segment reach it that lacks too many bigrams of a template: for each template some words
+are chosen that stand in more of its bigrams than may be lacking, so that a match holds one of
+them. A text without any such word is left at once, and so is a template of which the whole
+text has too few bigrams. All is worked out within the document's row, without a shuffle.
+
+Of the runs only those are looked at that begin and end with a bigram of the template: without
+another one at an end, a run is closer to it. A run that lies within the match of a longer
+template with the same words in it is part of that match, and is none of its own.
 """
 
 from __future__ import annotations
@@ -75,8 +79,11 @@ def _templates(templates: Mapping[str, str], least: Fraction) -> tuple[Column, i
     """Templates with their bigrams and the sizes that may reach the least value; the least
     and the largest of these sizes."""
     rows, lows, highs = [], [], []
+    texts = {name: f" {' '.join(plain_words(text))} " for name, text in templates.items()}
     for name, text in sorted(templates.items()):
         grams = bigrams(text)
+        counts = Counter(" ".join(gram.split(" ")[:2]) for gram in grams)
+        holders = [o for o in texts if texts[name] in texts[o] and texts[name] != texts[o]]
         if not grams:
             raise ValueError(f"the template {name!r} has less than two words")
         # With a bigrams against b, 2 min(a, b) / (a + b) bounds the coefficient.
@@ -90,6 +97,11 @@ def _templates(templates: Mapping[str, str], least: Fraction) -> tuple[Column, i
                 F.lit(int(low)).alias("low"),
                 F.lit(int(high)).alias("high"),
                 F.array(*map(F.lit, grams)).alias("grams"),
+                # Of the distinct bigrams a match holds all but as many as it may lack of all.
+                F.lit(int(low) - len(grams) + len(counts)).alias("fewest"),
+                F.array(*map(F.lit, counts)).alias("kinds"),
+                F.array(*map(F.lit, counts.values())).alias("times"),
+                F.array(*map(F.lit, holders)).cast("array<string>").alias("holders"),
             )
         )
     return F.array(*rows), min(lows), max(highs)
@@ -118,8 +130,25 @@ def scan_licenses(
     telling = sorted(set().union(*(required_words(t, least) for t in templates.values())))
     telling = rf"(?:^|[ \n])(?:{'|'.join(telling)})(?:$|[ \n])"
     segments = _segments(plain, smallest, largest, telling)
-    matched = F.flatten(F.transform(segments, lambda s: _matches(s, candidates, least)))
+    kinds = sorted({" ".join(g.split(" ")[:2]) for t in templates.values() for g in bigrams(t)})
     none = F.array().cast(_MATCHES)
+
+    def in_grams(grams: Column) -> Column:
+        def in_present(present: Column) -> Column:
+            def in_near(near: Column) -> Column:
+                whole = F.flatten(F.transform(segments, lambda s: _matches(s, near, least)))
+                both = F.concat(whole, _runs(grams, present, near, least))
+                return F.when(F.size(near) == 0, none).otherwise(both)
+
+            def held(template: Column) -> Column:
+                return F.size(F.array_intersect(template["kinds"], present)) >= template["fewest"]
+
+            return _let(F.filter(candidates, held), in_near)
+
+        return _let(F.array_intersect(grams, F.array(*map(F.lit, kinds))), in_present)
+
+    words = F.split(F.trim(F.regexp_replace(F.col(plain), "[ \n]+", " ")), " ")
+    matched = _let(_let(words, _pairs), in_grams)
     matched = F.when(F.col(plain).rlike(telling), matched).otherwise(none)
     # Exploded, so that no later expression is merged into this one and works it out again.
     rows = rows.select(*kept, F.explode(F.array(matched)).alias(found))
@@ -177,14 +206,8 @@ def _matches(segment: Column, candidates: Column, least: Fraction) -> Column:
         return F.when(F.size(near) == 0, none).otherwise(_let(_grams(segment), all_matches))
 
     def match(grams: Column, template: Column) -> Column:
-        shared = 2 * F.size(F.array_intersect(grams, template["grams"]))
-        both = F.size(grams) + F.size(template["grams"])
-        return F.struct(
-            template["name"].alias("name"),
-            (shared / both).alias("dice"),
-            F.floor(100 * shared / both).cast("int").alias("percent"),
-            (shared * least.denominator >= both * least.numerator).alias("enough"),
-        )
+        shared = F.size(F.array_intersect(grams, template["grams"]))
+        return F.struct(*_compared(shared, F.size(grams), template, least))
 
     def enough(match: Column) -> Column:
         return match["enough"]
@@ -195,13 +218,99 @@ def _matches(segment: Column, candidates: Column, least: Fraction) -> Column:
 _MATCHES = "array<struct<name:string,dice:double,percent:int,enough:boolean>>"
 
 
+def _compared(shared: Column, size: Column, template: Column, least: Fraction) -> list[Column]:
+    """The fields of a match, for so many bigrams of which so many are the template's."""
+    twice, both = 2 * shared, size + F.size(template["grams"])
+    return [
+        template["name"].alias("name"),
+        (twice / both).alias("dice"),
+        F.floor(100 * twice / both).cast("int").alias("percent"),
+        (twice * least.denominator >= both * least.numerator).alias("enough"),
+    ]
+
+
+def _runs(grams: Column, present: Column, near: Column, least: Fraction) -> Column:
+    """The templates that runs of words match: for each first bigram the best run."""
+
+    def in_marked(marked: Column) -> Column:
+        return F.flatten(F.transform(near, lambda t: _runs_of(marked, t, least)))
+
+    def in_all(found: Column) -> Column:
+        def alone(run: Column) -> Column:
+            def holds(other: Column) -> Column:
+                longer = F.array_contains(run["holders"], other["best"]["name"])
+                around = (other["start"] <= run["start"]) & (run["best"]["end"] <= other["last"])
+                return longer & around
+
+            return (F.size(run["holders"]) == 0) | ~F.exists(found, holds)
+
+        def match(run: Column) -> Column:
+            fields = ("name", "dice", "percent", "enough")
+            return F.struct(*(run["best"][c].alias(c) for c in fields))
+
+        return F.transform(F.filter(found, alone), match)
+
+    places = F.transform(grams, lambda gram, i: F.struct(i.alias("at"), gram.alias("gram")))
+    marked = F.filter(places, lambda place: F.array_contains(present, place["gram"]))
+    return _let(_let(marked, in_marked), in_all)
+
+
+def _runs_of(marked: Column, template: Column, least: Fraction) -> Column:
+    """The runs that match a template: for each first bigram the best one, with its first and
+    last place, and the last place of the longest one."""
+    low, high = template["low"], template["high"]
+
+    def counted(own: Column) -> Column:
+        def place(hit: Column, n: Column) -> Column:
+            # As often as the template has the bigram before: from there on this one is too many.
+            kind = F.array_position(template["kinds"], hit["gram"]).cast("int")
+            nth = F.get(template["times"], kind - 1)
+            near = F.slice(own, F.greatest(n + 1 - high, F.lit(1)), F.least(n, high))
+            same = F.filter(near, lambda other: other["gram"] == hit["gram"])
+            before = _let(same, lambda same: F.get(same, F.size(same) - nth)["at"])
+            return F.struct(hit["at"].alias("at"), F.coalesce(before, F.lit(-1)).alias("before"))
+
+        return F.transform(own, place)
+
+    def from_each(hits: Column) -> Column:
+        def from_one(hit: Column, n: Column) -> Column:
+            end = hit["at"] + high
+            ahead = F.filter(
+                F.slice(hits, n + 1, high),
+                lambda other: (other["at"] < end) & (other["before"] < hit["at"]),
+            )
+
+            def run(other: Column, i: Column) -> Column:
+                fields = _compared(i + 1, other["at"] - hit["at"] + 1, template, least)
+                # The coefficient first, for the greatest.
+                return F.struct(fields[1], other["at"].alias("end"), fields[0], *fields[2:])
+
+            def best(runs: Column) -> Column:
+                found = F.struct(
+                    F.array_max(runs).alias("best"),
+                    hit["at"].alias("start"),
+                    F.array_max(runs["end"]).alias("last"),
+                    template["holders"].alias("holders"),
+                )
+                return F.when(F.size(runs) > 0, found)
+
+            enough = F.filter(F.transform(ahead, run), lambda run: run["enough"])
+            return F.when(F.get(hits, n + low - 1)["at"] < end, _let(enough, best))
+
+        return F.filter(F.transform(hits, from_one), lambda found: found.isNotNull())
+
+    own = F.filter(marked, lambda place: F.array_contains(template["kinds"], place["gram"]))
+    return _let(_let(own, counted), from_each)
+
+
+def _pairs(words: Column) -> Column:
+    firsts = F.slice(words, 1, F.size(words) - 1)
+    return F.transform(firsts, lambda word, i: F.concat_ws(" ", word, F.get(words, i + 1)))
+
+
 def _grams(segment: Column) -> Column:
     """Bigrams of a segment; further ones of a kind are numbered."""
 
-    def pairs(words: Column) -> Column:
-        firsts = F.slice(words, 1, F.size(words) - 1)
-        return F.transform(firsts, lambda word, i: F.concat_ws(" ", word, F.get(words, i + 1)))
-
     def numbered(sorted_: Column) -> Column:
         def name(gram: Column, i: Column) -> Column:
             nth = i + 1 - F.array_position(sorted_, gram)
@@ -213,4 +322,4 @@ def _grams(segment: Column) -> Column:
         alone = F.size(F.array_distinct(grams)) == F.size(grams)
         return F.when(alone, grams).otherwise(_let(F.sort_array(grams), numbered))
 
-    return _let(_let(F.split(segment, " "), pairs), distinct)
+    return _let(_let(F.split(segment, " "), _pairs), distinct)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import math
 import random
+from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -259,6 +261,76 @@ def test_license_texts_with_changes(spark):
     assert {"CC-BY-4.0 notice", "CC-BY-SA-4.0 notice"} <= set(got[5])
 
 
+#: Templates whose usual layout has several paragraphs, by the words they begin with.
+PARAGRAPHS = {
+    "MIT": ["The above copyright", "THE SOFTWARE IS"],
+    "ISC": ["THE SOFTWARE IS"],
+    "Zlib": ["Permission is", "1. The", "2. Altered", "3. This"],
+    "Apache-2.0 header": ["You may obtain", "http://", "Unless required"],
+    "GPL-3.0 header": ["This program is distributed", "You should have"],
+}
+
+
+def test_licenses_within_longer_texts(spark):
+    r = random.Random(4)
+
+    def other(n):
+        return " ".join("".join(r.choices("abcdefg", k=6)) for _ in range(n))
+
+    texts, want = [], []
+    for name, starts in PARAGRAPHS.items():
+        laid_out = " ".join(TEMPLATES[name].split())
+        for start in starts:
+            assert f" {start}" in laid_out
+            laid_out = laid_out.replace(f" {start}", f"\n\n{start}")
+        texts.append(f"{other(300)}\n\n{laid_out}\n\n{other(300)}")
+        wrapped = "\n".join(line.strip() for line in TEMPLATES[name].strip().split("\n"))
+        texts.append(f"{other(300)}\n{wrapped}\n{other(300)}")
+        want += [name, name]
+    for name in [name for name in TEMPLATES if "notice" in name]:
+        texts.append(f"{other(100)} {TEMPLATES[name]} {other(100)}")
+        want.append(name)
+    sentence = TEMPLATES["All rights reserved"]
+    texts.append(f"{other(9)} {sentence} {other(9)} all rights reserved {other(9)}")
+    want.append("All rights reserved notice")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = licenses.scan_licenses(df).collect()
+    got = {r["doc_id"]: {m["name"]: m["dice"] for m in r["licenses"]} for r in rows}
+    for i, name in enumerate(want):
+        assert got[i].get(name) == 1.0
+
+
+def best_runs(text, templates):
+    """The best coefficient of all runs of words, for each template, in plain Python."""
+    words = licenses.plain_words(text)
+    pairs = [" ".join(p) for p in zip(words, words[1:], strict=False)]
+    best = {}
+    for name, body in templates.items():
+        own = licenses.plain_words(body)
+        own = Counter(" ".join(p) for p in zip(own, own[1:], strict=False))
+        for i in range(len(pairs)):
+            for j in range(i + 1, len(pairs) + 1):
+                shared = (Counter(pairs[i:j]) & own).total()
+                dice = Fraction(2 * shared, j - i + own.total())
+                if dice >= licenses.LEAST_DICE and dice > best.get(name, 0):
+                    best[name] = dice
+    return {name: float(dice) for name, dice in best.items()}
+
+
+def test_license_runs_equal_brute_force(spark):
+    r = random.Random(8)
+    templates = {"repeats": "a b a b a c a b d", "plain": "a c d b b b a", "short": "c d c"}
+    words, weights = ["a ", "b ", "c ", "d ", "x\n"], [4, 4, 2, 2, 1]
+    texts = ["".join(r.choices(words, weights, k=40)) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    some = 0
+    for row in licenses.scan_licenses(df, templates).collect():
+        want = best_runs(texts[row["doc_id"]], templates)
+        assert {m["name"]: m["dice"] for m in row["licenses"]} == pytest.approx(want)
+        some += len(want)
+    assert some > 20
+
+
 def test_shards_split_a_hot_key(spark):
     rows = [(7 if i % 3 == 0 else i, "x" * (i % 50)) for i in range(900)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
