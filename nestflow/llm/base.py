@@ -23,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows, written to the shared folder: later jobs read them, none makes them again.
 
     A lost executor cannot change them, and the lineage ends here. The folder stays for as
@@ -31,7 +31,7 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

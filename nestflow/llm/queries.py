@@ -275,7 +275,7 @@ SHARD_BYTES = 1 << 20
 )
 def op2_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sharding.assign_shards(documents, SHARD_BYTES)
+    return sharding.round_trip(documents, SHARD_BYTES)
 
 
 @query(

@@ -5,17 +5,17 @@ prefixes of it to shards. It begins with the empty prefix; a shard over the byte
 split by one more bit, and only such a shard, until each fits or holds a single row. As the
 last bits differ between rows with the same key, a key with a third of all rows is split as
 well. A round counts the bytes of the open shards at the next eight bits, and reads from these
-counts where splitting stops; rows of settled shards leave.
+counts where splitting stops; rows of settled shards leave. The rounds read hash bits and sizes
+only; the texts are moved once, to their shards.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.base import free_name, settled
+from nestflow.llm.base import drop_settled, free_name, settled, settled_paths
+from nestflow.workspace import new_folder
 
 KEY_BITS = 32
 BITS = 63
@@ -54,28 +54,37 @@ def assign_shards(
     rows = rows.select(
         *kept, "n_bytes", hash_bits(F.col(cell), F.monotonically_increasing_id()).alias(bits)
     )
-    open_ = settled(rows, "sharded-rows")
-    done: list[DataFrame] = []
+    rows = settled(rows, "sharded-rows", compression="zstd")
+    depths = []
+    for n, (deepest, cells) in enumerate(_directories(rows, bits, limit, cell)):
+        depths.append(free_name(rows, f"depth_{n}"))
+        found = cells.filter("shard_depth IS NOT NULL").withColumnRenamed("shard_depth", depths[-1])
+        # Few at any size of the table; other rounds' cells grow with it.
+        found = F.broadcast(found) if deepest <= 2 * ROUND_BITS else found
+        rows = rows.withColumn(cell, _prefix(F.col(bits), deepest)).join(found, cell, "left")
+    depth_ = F.coalesce(*map(F.col, depths), F.lit(0)).cast("int")
+    assigned = rows.select(*kept, "n_bytes", bits, depth_.alias("shard_depth"))
+    digits = F.lpad(F.conv(F.col(bits).cast("string"), 10, 2), BITS, "0")
+    shard = F.substring(digits, F.lit(1), F.col("shard_depth"))
+    return assigned.select(*kept, "n_bytes", shard.alias("shard"), "shard_depth")
+
+
+def _directories(rows, bits, limit, cell) -> list[tuple[int, DataFrame]]:
+    """For each round its prefixes' bits and its directory; only hash bits and sizes are read."""
+    open_, found = rows.select(bits, "n_bytes"), []
     for depth in range(0, BITS, ROUND_BITS):
         deepest = min(depth + ROUND_BITS, BITS)
-        cells = _directory(open_, bits, depth, deepest, limit, cell)
-        cells = settled(cells, "shard-directory")
-        met = open_.withColumn(cell, _prefix(F.col(bits), deepest)).join(cells, cell)
-        if not done and cells.isEmpty():
+        cells = settled(_directory(open_, bits, depth, deepest, limit, cell), "shard-directory")
+        if not found and cells.isEmpty():
             break
-        done.append(met.filter("shard_depth IS NOT NULL"))
+        found.append((deepest, cells))
         if cells.filter("shard_depth IS NULL").isEmpty():
             break
-        open_ = settled(met.filter("shard_depth IS NULL").select(*open_.columns), "sharded-rows")
-    if not done:
-        empty = F.lit(0).cast("int")
-        done = [open_.withColumn("shard_depth", empty)]
-    parts = [d.select(*kept, "n_bytes", bits, "shard_depth") for d in done]
-    assigned = reduce(DataFrame.unionByName, parts)
-    digits = F.lpad(F.conv(F.col(bits).cast("string"), 10, 2), BITS, "0")
-    shard = F.substring(digits, F.lit(1), F.col("shard_depth"))
-    depth_ = F.col("shard_depth").cast("int").alias("shard_depth")
-    return assigned.select(*kept, "n_bytes", shard.alias("shard"), depth_)
+        # In a later round a prefix that was settled before is not there any more.
+        still = cells.filter("shard_depth IS NULL").select(cell)
+        met = open_.withColumn(cell, _prefix(F.col(bits), deepest)).join(still, cell)
+        open_ = settled(met.select(bits, "n_bytes"), "open-rows")
+    return found
 
 
 def _directory(rows, bits, depth, deepest, limit, cell) -> DataFrame:
@@ -104,8 +113,31 @@ def write_shards(
 
     Folders are named ``shard=s`` and the prefix: alone, its digits would be read as a number.
     """
+    before = set(settled_paths(docs.sparkSession))
     carried = free_name(docs, "shard_text")
     assigned = assign_shards(docs.withColumn(carried, docs[text]), limit, key, text)
     rows = assigned.withColumnRenamed(carried, text)
     rows = rows.withColumn("shard", F.concat(F.lit("s"), "shard"))
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    writer = rows.repartition("shard").write.partitionBy("shard")
+    writer.option("compression", "zstd").parquet(path)
+    drop_settled(docs.sparkSession, set(settled_paths(docs.sparkSession)) - before)
+
+
+def round_trip(
+    docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Write the shards to the shared folder and read them back.
+
+    Columns: those of ``assign_shards``, worked out from the texts and folders that were written.
+    """
+    spark = docs.sparkSession
+    folder = new_folder(spark, "shards")
+    write_shards(docs, folder, limit, key, text)
+    added = ("n_bytes", "shard", "shard_depth")
+    kept = [c for c in docs.columns if c != text and c.lower() not in added]
+    schema = docs.select(*kept, text, F.lit("").alias("shard")).schema
+    back = spark.read.schema(schema).parquet(folder)
+    n_bytes = F.coalesce(F.octet_length(back[text]), F.lit(0)).cast("bigint")
+    shard = F.substring("shard", 2, BITS)
+    depth = F.length(shard).alias("shard_depth")
+    return back.select(*kept, n_bytes.alias("n_bytes"), shard.alias("shard"), depth)

@@ -12,7 +12,7 @@ from pathlib import Path
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
-from nestflow.llm import lattice
+from nestflow.llm import lattice, sharding
 from nestflow.llm.base import settled_paths
 from nestflow.llm.queries import ORACLES, PIECES, QUERIES
 from tests.llm import brute
@@ -123,6 +123,23 @@ def test_license_lines_of_the_documents(spark, documents):
     assert held["All rights reserved."] == 3 and len(held) >= 4
 
 
+def test_shards_are_written(spark, documents, monkeypatch):
+    folders = []
+    write = sharding.write_shards
+
+    def noted(docs, path, *rest):
+        folders.append(path)
+        write(docs, path, *rest)
+
+    monkeypatch.setattr(sharding, "write_shards", noted)
+    rows = QUERIES["op2_extendible_shards"](spark, TABLES).collect()
+    written = spark.read.parquet(*folders)
+    texts = {r["doc_id"]: (r["text"], r["shard"]) for r in written.collect()}
+    assert {i: t for i, (t, _) in texts.items()} == dict(documents)
+    assert {i: s for i, (_, s) in texts.items()} == {r["doc_id"]: f"s{r['shard']}" for r in rows}
+    assert len(rows) == len(documents) == written.count()
+
+
 def test_simhash(spark, documents):
     rows = {r["doc_id"]: r for r in QUERIES["op8_simhash"](spark, TABLES).collect()}
     codes = {doc_id: brute.fingerprint(text) for doc_id, text in documents}
