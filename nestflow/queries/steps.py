@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from nestflow.operators import apply_steps
 from nestflow.queries import fixtures
 from nestflow.queries.registry import query, table
+from nestflow.workspace import new_folder
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -433,19 +434,36 @@ def step_order_by_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("place").alias("first"),
         F.max("place").alias("last"),
     )
-    band = F.struct("first", "last", "o_orderpriority", "orders", "least")
-    listed = bands.agg(F.array_sort(F.collect_list(band)).alias("bands"))
-    after = F.get("bands", F.col("pos") + 1)["first"]
-    listed = listed.select("bands", F.posexplode("bands").alias("pos", "own"))
-    return listed.select(
-        "own.o_orderpriority",
-        "own.orders",
-        "own.least",
-        (F.col("pos") + 1).alias("band"),
-        F.coalesce(F.col("own.last") < after, F.lit(True)).alias("apart"),
+    bands = _numbered(bands.orderBy("first"), "band")
+    after = bands.select((F.col("band") - 1).alias("band"), F.col("first").alias("after"))
+    return bands.join(after, "band", "left").select(
+        "o_orderpriority",
+        "orders",
+        "least",
+        F.col("band").cast("int").alias("band"),
+        F.coalesce(F.col("last") < F.col("after"), F.lit(True)).alias("apart"),
     )
 
 
+def _numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """The rows with their number from 1 in the order they have, without bringing them to one
+    task: a task's rows follow on those of the tasks before it, of which only counts meet."""
+    spark, path = ordered.sparkSession, new_folder(ordered.sparkSession, "numbered-rows")
+    placed = ordered.withColumn("place", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    placed = placed.withColumn("task", F.shiftright("place", 33))
+    counts = placed.groupBy("task").agg(F.count(F.lit(1)).alias("rows"))
+    tasks = counts.agg(F.array_sort(F.collect_list(F.struct("task", "rows"))).alias("tasks"))
+    tasks = tasks.select("tasks", F.posexplode("tasks").alias("pos", "own"))
+    earlier = F.slice("tasks", F.lit(1), F.col("pos"))
+    before = F.aggregate(earlier, F.lit(0).cast("bigint"), lambda n, task: n + task["rows"])
+    starts = tasks.select("own.task", before.alias("before"))
+    row = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = placed.join(starts, "task").withColumn(name, F.col("before") + row + 1)
+    return numbered.drop("task", "before", "place")
+
+
 @query("""
     SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
     UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier

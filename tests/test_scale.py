@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nestflow import apply_steps
-from nestflow.queries import fixtures
+from nestflow.queries import QUERIES, fixtures
 from nestflow.workspace import shared_folder
 
 
@@ -86,3 +86,21 @@ def test_filter_reaches_the_scan(spark, tmp_path):
 
 def test_shared_folder_is_the_cluster_s(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_many_bands_stay_apart_in_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        orders = spark.sql(
+            "SELECT id AS o_orderkey, format_string('%05d', id % 3000) AS o_orderpriority, "
+            "CAST(id AS DOUBLE) AS o_totalprice FROM range(12000)"
+        )
+        orders.write.parquet(str(tmp_path / "orders.parquet"))
+        out = QUERIES["step_order_by_bands"](spark, str(tmp_path))
+        got = out.withColumn("task", F.spark_partition_id()).collect()
+        assert len({r["task"] for r in got}) > 1
+        want = [(f"{i:05d}", 4, float(i), 3000 - i, True) for i in range(3000)]
+        assert sorted(tuple(r)[:5] for r in got) == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
