@@ -14,12 +14,16 @@ from nestflow.llm import (
     lattice,
     licenses,
     line_dedup,
+    periodic_runs,
     quality_rules,
+    ranked_search,
     sharding,
     simhash,
     token_counts,
     warc,
+    weighted_sampling,
 )
+from nestflow.llm.base import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -329,3 +333,101 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan_licenses(documents)
     names = F.array_join(F.col("licenses")["name"], ",").alias("license_names")
     return scanned.select("doc_id", names, "n_licenses", "best_percent")
+
+
+def planted(words: F.Column, doc_id: F.Column) -> F.Column:
+    """The words, repeated in place from some word on in documents that their id picks."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % n).cast("int")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / period).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice(words, a + 1, period), times))
+    made = F.concat(F.slice(words, F.lit(1), a), F.slice(cycle, F.lit(1), n - a))
+    return F.when((h % 10 == 0) & (n > 0), made)
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), 1)
+    text = F.array_join(planted(words, F.col("doc_id")), " ")
+    documents = documents.withColumn("text", F.coalesce(text, "text"))
+    found = periodic_runs.find_runs(documents, shortest=12)
+    best = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["length"].alias("length"),
+                (-r["start"]).alias("start"),
+                (-r["period"]).alias("period"),
+            ),
+        )
+    )
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n"),
+    ))
+    found = found.withColumn("best", best)
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return weighted_sampling.compare_with_next(documents)
+
+
+@query(
+    r"""
+    WITH split AS (
+        SELECT doc_id, row_number() OVER () AS row,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), items AS (
+        SELECT item_id, row_number() OVER () AS item,
+               list_distinct(regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS terms
+        FROM benchmark
+    ), sums AS (
+        SELECT CAST(count(*) AS BIGINT) AS documents, CAST(sum(len(terms)) AS BIGINT) AS terms
+        FROM split WHERE len(terms) > 0
+    ), counted AS (
+        SELECT row, doc_id, n, term, count(*) AS tf
+        FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM split)
+        GROUP BY row, doc_id, n, term
+    ), weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM counted, sums GROUP BY term, documents
+    ), wanted AS (
+        SELECT item, item_id, unnest(terms) AS term FROM items
+    ), scored AS (
+        SELECT item, item_id, row, doc_id,
+               CAST(sum(w * ((1000000000 * tf)
+                   // (1000 * tf + 8 * (10 + (90 * n * documents) // s.terms)))) AS BIGINT) AS score
+        FROM wanted JOIN counted USING (term) JOIN weights USING (term), sums s
+        GROUP BY item, item_id, row, doc_id
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank
+        FROM scored WHERE score > 0
+    ) WHERE rank <= 10
+    """
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return ranked_search.ranked(documents, table(spark, sf_dir, "benchmark"), k=10)
