@@ -17,6 +17,7 @@ from nestflow.sources import (
     CORRUPT,
     SOURCE_FILE,
     narrow_schema,
+    scan_elements,
     scan_fragments,
     scan_landing,
     scan_xml,
@@ -258,11 +259,11 @@ def read_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that do not fit the schema, or that a file's end cuts off, go apart with
     their text; closing tags may hold white space."""
     schema = "_id bigint, o_orderstatus string, o_totalprice double"
-    stage = new_folder(spark, "quarantine")
-    for path in (fixtures.dirty_xml(spark, sf_dir), fixtures.cut_off_xml(spark, sf_dir)):
-        records = scan_fragments(spark, path, "ord", schema, keep_corrupt=True, recursive=True)
-        records.write.mode("append").parquet(stage)
-    good, bad = split_corrupt(spark.read.parquet(stage))
+    records = [
+        scan_elements(spark, path, "ord", schema, keep_corrupt=True, recursive=True)
+        for path in (fixtures.dirty_xml(spark, sf_dir), fixtures.cut_off_xml(spark, sf_dir))
+    ]
+    good, bad = split_corrupt(records[0].unionAll(records[1]))
     key, price = F.col("_id").alias("o_orderkey"), F.col("o_totalprice")
     cut_off = F.col(CORRUPT).startswith("<ord><o_orderstatus>F</o_orderstatus>")
     return good.select(key, price, F.lit(False).alias("quarantined")).union(

@@ -1,6 +1,7 @@
 """Scans: XML files by row tag, landing folders by market, technology and day."""
 
-from nestflow.sources.fragments import fill_ancestors, scan_fragments
+from nestflow.sources.elements import files_read, scan_elements, tags_named
+from nestflow.sources.fragments import scan_fragments
 from nestflow.sources.landing import Landing, day_folders, list_days, parse_day, scan_landing
 from nestflow.sources.xml import (
     CORRUPT,
@@ -16,13 +17,15 @@ __all__ = [
     "SOURCE_FILE",
     "Landing",
     "day_folders",
-    "fill_ancestors",
+    "files_read",
     "list_days",
     "list_files",
     "narrow_schema",
     "parse_day",
+    "scan_elements",
     "scan_fragments",
     "scan_landing",
     "scan_xml",
     "split_corrupt",
+    "tags_named",
 ]

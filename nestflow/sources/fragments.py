@@ -1,26 +1,23 @@
-"""Read big XML files in parallel by cutting them at a closing tag.
+"""Read XML files in splits without a stage, also from a stream.
 
 Spark's XML reader gives a whole file to one task. Text with a line separator is
 read in splits, so with the closing tag as separator many tasks share one file, and
 ``from_xml`` turns each piece into a row. A closing tag with white space in it is no
 separator for Spark; its piece is cut once more.
 
-The tag must not be nested in itself, nor occur in comments or CDATA. With
-``keep_corrupt`` an element that cannot be read, or that the end of its file cuts off, is
-kept with its text.
+The tag must not be nested in itself, nor occur in comments or CDATA, and an element that the
+end of its file cuts off passes as whole. ``scan_elements`` knows all of these.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
-from nestflow.functions.paths import quote_path, top
+from nestflow.functions.paths import quote_path
 from nestflow.sources.xml import (
     CORRUPT,
     SOURCE_FILE,
@@ -30,7 +27,6 @@ from nestflow.sources.xml import (
     text_attributes,
     typed,
 )
-from nestflow.workspace import drop_folder, new_folder
 
 # What may follow the name in a start tag: plain text or quoted attribute values.
 _INSIDE = r"""(?:[\s/](?:[^"'<>]++|"[^"]*+"|'[^']*+')*+)?+"""
@@ -39,11 +35,6 @@ _DECLARED = r"""\A\W{0,3}<\?xml[^>]*?encoding\s*=\s*["']([^"']+)["']"""
 _ATTRIBUTES = r"""(?:\s(?:[^"'<>/]++|"[^"]*+"|'[^']*+')*+)?+"""
 
 
-# Where a piece stands: its file's split, and its number among all that the task has read.
-BLOCK = "fragment_block"
-PLACE = "fragment_place"
-
-
 def scan_fragments(
     spark: SparkSession,
     paths: str | list[str],
@@ -52,7 +43,6 @@ def scan_fragments(
     *,
     keep_corrupt: bool = False,
     with_file: bool = False,
-    ancestors: Mapping[str, tuple[str, str]] | None = None,
     ignore_namespace: bool = False,
     recursive: bool = False,
     encoding: str = "UTF-8",
@@ -60,138 +50,66 @@ def scan_fragments(
 ) -> DataFrame:
     """Rows of ``scan_xml`` with the same tag and schema, read in splits of a file.
 
-    ``keep_corrupt`` adds the text of each element that does not fit the schema. It reads
-    the text once more, to find files that end inside an element, but not from a stream.
-    ``ancestors`` maps a column name to (tag, attribute) of an element around the rows; give
-    the rows, once written, to ``fill_ancestors``. With ``ignore_namespace`` the schema's
-    names lack prefixes; ``row_tag`` is written as in the files. A file that declares another
-    encoding than ``encoding`` stops the job. ``reader`` may bring options, or be a stream's.
+    ``keep_corrupt`` adds the text of each element that does not fit the schema. With
+    ``ignore_namespace`` the schema's names lack prefixes; ``row_tag`` is written as in the
+    files. A file that declares another encoding than ``encoding`` stops the job. ``reader`` may
+    bring options, or be a stream's.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if encoding.upper().startswith("UTF-16") or encoding.upper().startswith("UTF-32"):
         raise ValueError(f"{encoding} text cannot be cut at a tag, use scan_xml")
     if not paths:
         nothing = scan_xml(spark, [], row_tag, schema, keep_corrupt=keep_corrupt)
-        strings = [*(ancestors or {}), *([SOURCE_FILE] if with_file or ancestors else [])]
-        nothing = nothing.select("*", *[F.lit(None).cast("string").alias(c) for c in strings])
-        places = [BLOCK, PLACE] if ancestors else []
-        return nothing.select("*", *[F.lit(None).cast("bigint").alias(c) for c in places])
+        return nothing.withColumn(SOURCE_FILE, F.lit(None).cast("string")) if with_file else nothing
+    kept = [SOURCE_FILE] if with_file else []
     pieces = _pieces(spark, paths, row_tag, recursive, encoding, reader)
-    around = [
-        _mark(row_tag, tag, attribute).alias(name)
-        for name, (tag, attribute) in (ancestors or {}).items()
-    ]
-    kept = [*(ancestors or {}), *([SOURCE_FILE] if with_file or ancestors else [])]
-    kept += [BLOCK, PLACE] if ancestors else []
-    cut = None
-    if keep_corrupt and not isinstance(reader, DataStreamReader):
-        cut = _cut_off(pieces, row_tag, encoding)
-    if cut is not None:
-        pieces = pieces.join(F.broadcast(cut), [SOURCE_FILE, BLOCK, "piece_hash"], "left")
-    else:
-        pieces = pieces.withColumn("cut_off", F.lit(None).cast("boolean"))
-    after = _after_last(row_tag).alias("after")
-    own = [c for c in kept if c not in (ancestors or {})]
-    pieces = pieces.select("value", after, "cut_off", *own).select("*", *around)
-    # The text as it stands, without the closing tag that the file lacks.
-    rest = F.regexp_extract("value", _open_tag(row_tag), 0)
-    unclosed = F.array(F.struct(rest.alias("text"), F.lit(True).alias("cut")))
-    unclosed = F.filter(unclosed, lambda e: e["text"] != "")
-    one = F.struct(_whole(row_tag, F.col("after")).alias("text"), F.lit(False).alias("cut"))
-    several = F.transform(
-        _any_elements(row_tag), lambda e: F.struct(e.alias("text"), F.lit(False).alias("cut"))
-    )
-    elements = F.when(F.col("cut_off"), F.concat(_closed(row_tag), unclosed))
-    elements = elements.when(_is_one_element(row_tag), F.array(one)).otherwise(several)
+    pieces = pieces.select("value", _after_last(row_tag).alias("after"), *kept)
+    one = F.array(_whole(row_tag, F.col("after")))
+    elements = F.when(_is_one_element(row_tag), one).otherwise(_any_elements(row_tag))
     text_schema, types = text_attributes(schema)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if ignore_namespace:
         options["ignoreNamespace"] = "true"
-    whole = F.when(~F.col("element.cut"), F.col("element.text"))
-    parsed = F.from_xml(whole, text_schema.add(CORRUPT, T.StringType()), options)
+    parsed = F.from_xml("element", text_schema.add(CORRUPT, T.StringType()), options)
     rows = pieces.select(F.explode(elements).alias("element"), *kept).select(
         parsed.alias("row"), "element", *kept
     )
     fields = {n: F.col(f"row.{quote_path([n])}") for n in schema.names}
     columns = [typed(c, types[n]).alias(n) if n in types else c for n, c in fields.items()]
     if keep_corrupt:
-        text = F.col("element.text")
+        text = F.col("element")
         bad = [F.when(misfit(fields[n], t).isNotNull(), text) for n, t in types.items()]
-        bad = [F.col(f"row.{CORRUPT}"), *bad, F.when(F.col("element.cut"), text)]
-        columns.append(F.coalesce(*bad).alias(CORRUPT))
+        columns.append(F.coalesce(F.col(f"row.{CORRUPT}"), *bad).alias(CORRUPT))
     return rows.select(*columns, *kept)
 
 
 def _pieces(spark, paths, row_tag, recursive, encoding, reader) -> DataFrame:
-    """The text up to each closing tag, with where it stands."""
+    """The text up to each closing tag, with its file."""
     reader = (reader or spark.read).option("lineSep", f"</{row_tag}>")
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    value = F.col("value")
-    if encoding.upper() != "UTF-8":
-        value = F.decode(value.cast("binary"), encoding)
-    known = {encoding.upper(), *(["US-ASCII", "ASCII"] if encoding.upper() == "UTF-8" else [])}
-    declared = F.upper(F.regexp_extract(value, _DECLARED, 1))
-    problem = F.concat(F.lit("encoding "), declared, F.lit(" declared in "), file_path())
-    refused = F.instr(F.substring(value, 1, 10), "<?xml") > 0
-    refused &= (declared != "") & ~declared.isin(sorted(known))
-    value = F.when(refused, F.raise_error(problem)).otherwise(value)
+    text = reader.text(paths).select(
+        decoded_text(encoding).alias("value"), file_path().alias(SOURCE_FILE)
+    )
     # A closing tag with white space; also the begin of longer names, which are not cut.
     loose = F.contains(F.col("value"), F.lit(f"</{row_tag}"))
     parts = F.split("value", rf"</{re.escape(row_tag)}\s+>")
-    text = reader.text(paths).select(
-        value.alias("value"),
-        file_path().alias(SOURCE_FILE),
-        F.col("_metadata.file_block_start").alias(BLOCK),
-        F.col("_metadata.file_size").alias("file_size"),
-    )
     parts = F.when(loose, parts).otherwise(F.array("value"))
-    text = text.select(F.posexplode(parts).alias("part", "value"), F.size(parts).alias("parts"),
-                       SOURCE_FILE, BLOCK, "file_size")
-    # A stream cannot number its pieces.
-    stream = isinstance(reader, DataStreamReader)
-    return text.select(
-        "value",
-        SOURCE_FILE,
-        BLOCK,
-        *([] if stream else [F.monotonically_increasing_id().alias(PLACE)]),
-        F.xxhash64("value").alias("piece_hash"),
-        # What Spark or the cut above has taken away after the part.
-        (F.col("part") == F.col("parts") - 1).alias("at_separator"),
-        "file_size",
-    )
-
+    return text.select(F.explode(parts).alias("value"), SOURCE_FILE)
 
-def _cut_off(pieces: DataFrame, row_tag: str, encoding: str) -> DataFrame | None:
-    """The last pieces of files that may end inside an element; null if there are none.
 
-    A file that ends in an open element lacks the closing tag that every other piece had, and
-    its last piece holds the tag.
-    """
+def decoded_text(encoding: str) -> Column:
+    """The value of the text reader, read by the encoding; stops at a file of another one."""
     value = F.col("value")
     if encoding.upper() != "UTF-8":
-        value = F.encode(value, encoding)
-    separator = F.when(F.col("at_separator"), len(f"</{row_tag}>".encode()))
-    order = F.struct(BLOCK, PLACE)
-    ends = pieces.groupBy(SOURCE_FILE, "file_size").agg(
-        F.sum(F.octet_length(value) + F.coalesce(separator, F.lit(0))).alias("bytes"),
-        F.bool_and("at_separator").alias("exact"),
-        F.max_by(BLOCK, order).alias(BLOCK),
-        F.max_by("piece_hash", order).alias("piece_hash"),
-        F.max_by(F.contains(F.col("value"), F.lit(f"<{row_tag}")), order).alias("open"),
-    )
-    # Bytes that were cut as a loose tag are not counted: then the file's end tells nothing,
-    # and an open last piece is taken as cut off.
-    closed = F.col("exact") & (F.col("file_size") - F.col("bytes")).isin(0, 3)
-    ends = ends.filter(F.col("open") & ~closed)
-    ends = ends.select(SOURCE_FILE, BLOCK, "piece_hash", F.lit(True).alias("cut_off"))
-    folder = new_folder(pieces.sparkSession, "cut-off")
-    ends.write.parquet(folder)
-    ends = pieces.sparkSession.read.parquet(folder)
-    if ends.isEmpty():
-        drop_folder(pieces.sparkSession, folder)
-        return None
-    return ends
+        value = F.decode(value.cast("binary"), encoding)
+    known = {encoding.upper(), *(["US-ASCII", "ASCII"] if encoding.upper() == "UTF-8" else [])}
+    declared = F.upper(F.regexp_extract(F.substring(value, 1, 200), _DECLARED, 1))
+    problem = F.concat(F.lit("encoding "), declared, F.lit(" declared in "), file_path())
+    refused = F.col("_metadata.file_block_start") == 0
+    refused &= F.instr(F.substring(value, 1, 10), "<?xml") > 0
+    refused &= (declared != "") & ~declared.isin(sorted(known))
+    return F.when(refused, F.raise_error(problem)).otherwise(value)
 
 
 def _after_last(tag: str) -> Column:
@@ -224,83 +142,9 @@ def _self_closed(tag: str) -> Column:
     return F.regexp_extract_all("value", F.lit(f"(<{re.escape(tag)}{_INSIDE}(?<=/)>)"), 1)
 
 
-def _closed(tag: str) -> Column:
-    return F.transform(
-        _self_closed(tag), lambda e: F.struct(e.alias("text"), F.lit(False).alias("cut"))
-    )
-
-
 def _any_elements(tag: str) -> Column:
     """The self-closed elements in a piece of text, then the one it was cut after."""
     opened = F.regexp_extract("value", _open_tag(tag), 1)
     # What follows the last element of a file has no start tag.
     last = F.when(opened != "", F.array(_whole(tag, opened)))
     return F.concat(_self_closed(tag), F.coalesce(last, F.array().cast("array<string>")))
-
-
-def _mark(row_tag: str, tag: str, attribute: str) -> Column:
-    """The last tag of an ancestor in the piece: ``=`` and the attribute's value for a start
-    tag, ``/`` for a closing one, null without any."""
-    name = re.escape(tag)
-    value = rf"""(?s)\b{re.escape(attribute)}\s*=\s*["']([^"']*)["']"""
-
-    def mark(tags: Column) -> Column:
-        last = F.element_at(tags, -1)
-        start = F.concat(F.lit("="), F.regexp_extract(last, value, 1))
-        return F.when(F.size(tags) > 0, F.when(last.startswith("/"), "/").otherwise(start))
-
-    def last_in(text: Column) -> Column:
-        tags = F.regexp_extract_all(text, F.lit(rf"(?s)<(/?{name}(?:\s[^<>]*)?)>"), 1)
-        found = F.transform(F.array(tags), mark)[0]
-        return F.when(F.contains(text, F.lit(tag)), found)
-
-    # In nearly all pieces one element follows whatever else is there.
-    before = F.substring_index("value", f"<{row_tag}", 1)
-    # Several rows of a piece and a tag among them: which of them stand before it?
-    several = F.size(_self_closed(row_tag)) > 0
-    problem = F.lit(f"{tag} begins or ends between self-closed {row_tag} elements")
-    any_ = last_in(F.col("value"))
-    any_ = F.when(any_.isNotNull() & several, F.raise_error(problem)).otherwise(any_)
-    return F.when(_is_one_element(row_tag), last_in(before)).otherwise(any_)
-
-
-def fill_ancestors(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of a scan with ``ancestors``, each with the values of what is around it.
-
-    A file may have any number of such elements, one after the other. A table of the tags in
-    each split of a file, which is of bounded size, and of the last one before it is joined to
-    the rows; Spark knows its size before, and need not shuffle the rows when it is small.
-    ``df`` is read twice: give it rows that are written, not the scan, whose text would be
-    read twice. A row outside such elements has null.
-    """
-    marks = [
-        F.collect_list(F.when(top(c).isNotNull(), F.struct(PLACE, top(c).alias("mark"))))
-        for c in columns
-    ]
-    names = [f"marks {c}" for c in columns]
-    splits = df.groupBy(SOURCE_FILE, BLOCK).agg(
-        *[F.sort_array(m).alias(n) for m, n in zip(marks, names, strict=True)]
-    )
-    before = Window.partitionBy(SOURCE_FILE).orderBy(BLOCK).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # The table is written, which tells its size.
-    heads = [
-        F.last(F.get(top(n), F.size(top(n)) - 1)["mark"], ignorenulls=True)
-        .over(before)
-        .alias(f"head {c}")
-        for n, c in zip(names, columns, strict=True)
-    ]
-    splits = splits.select("*", *heads)
-    folder = new_folder(df.sparkSession, "ancestors")
-    splits.write.parquet(folder)
-    splits = df.sparkSession.read.parquet(folder)
-    filled = df.join(splits, [SOURCE_FILE, BLOCK], "left")
-    for c, n in zip(columns, names, strict=True):
-        earlier = F.filter(top(n), lambda m: m[PLACE] <= F.col(PLACE))
-        last = F.get(earlier, F.size(earlier) - 1)["mark"]
-        mark = F.coalesce(top(c), F.when(F.size(top(n)) > 0, last), top(f"head {c}"))
-        value = F.when(mark.startswith("="), F.substring(mark, F.lit(2), F.length(mark)))
-        filled = filled.withColumn(c, value)
-    kept = [c for c in df.columns if c not in (BLOCK, PLACE)]
-    return filled.select(*[top(c) for c in kept])

@@ -113,12 +113,16 @@ def file_path():
 
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The files at ``paths`` and their sizes; contents are not read."""
+    """The files at ``paths``, their sizes and times of change; contents are not read."""
     if not paths:
-        return spark.createDataFrame([], f"{SOURCE_FILE} string, bytes long")
+        return spark.createDataFrame([], f"{SOURCE_FILE} string, bytes long, modified timestamp")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = reader.load(list(paths))
-    return files.select(file_path().alias(SOURCE_FILE), F.col("length").alias("bytes"))
+    return files.select(
+        file_path().alias(SOURCE_FILE),
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified"),
+    )
 
 
 def narrow_schema(schema: T.StructType, paths: Iterable[str]) -> T.StructType:

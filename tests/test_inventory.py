@@ -5,7 +5,7 @@ import pytest
 from nestflow import apply_steps
 from nestflow.plans import INVENTORY_STEPS, inventory_schema
 from nestflow.plans.inventory import CONTAINER_STEPS, deeper_containers, me_context_schema
-from nestflow.sources import fill_ancestors, scan_fragments, scan_xml
+from nestflow.sources import scan_elements, scan_xml
 from tests.conftest import rows
 
 # The names of the result.
@@ -135,14 +135,13 @@ def test_inferred_schema_where_everything_occurs_once(spark, write_text):
 
 
 def test_by_fragments(spark, write_text, flat):
-    elements = scan_fragments(
+    whole = scan_elements(
         spark,
         write_text("b.xml", FULL),
         "xn:MeContext",
         me_context_schema(),
         ancestors={"SubNetworkId": ("xn:SubNetwork", "id")},
     )
-    whole = fill_ancestors(elements, ["SubNetworkId"])
     whole = whole.selectExpr("SubNetworkId", "struct(_id, `xn:ManagedElement`) AS MeContext")
     assert rows(apply_steps(whole, CONTAINER_STEPS)) == rows(flat)
 
@@ -186,11 +185,10 @@ def test_repeated_elements_stay(spark, write_text, case):
     path = write_text("a.xml", text)
     exports = scan_xml(spark, path, "xn:configData", inventory_schema())
     assert rows(apply_steps(exports, INVENTORY_STEPS).select(IDS)) == expected
-    elements = scan_fragments(
+    whole = scan_elements(
         spark, path, "xn:MeContext", me_context_schema(),
         ancestors={"SubNetworkId": ("xn:SubNetwork", "id")},
     )
-    whole = fill_ancestors(elements, ["SubNetworkId"])
     whole = whole.selectExpr("SubNetworkId", "struct(_id, `xn:ManagedElement`) AS MeContext")
     assert rows(apply_steps(whole, CONTAINER_STEPS).select(IDS)) == expected
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import logging
 import os
 import time
@@ -12,7 +13,8 @@ import pytest
 from nestflow import StepError
 from nestflow.config import JobConfig
 from nestflow.plans import run_job
-from nestflow.sinks import write_parquet, write_partitioned
+from nestflow.sinks import Publication, read_days, write_parquet, write_partitioned
+from nestflow.sinks.publish import Folder
 from nestflow.sources import Landing
 from nestflow.streaming import flatten_new_rows, ingest_new_files
 from nestflow.workspace import drop_folder, shared_folder
@@ -198,9 +200,157 @@ def test_stage_is_deleted_after_an_error(spark, land, tmp_path):
     before = stages()
     steps = [{"operation": "select", "columns": {"nothing": "x"}}]
     job = JobConfig.from_dict(config(tmp_path, flattening_config={"2G": steps}))
-    with pytest.raises(StepError):
-        run_job(spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA})
+    report = run_job(spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA})
     assert stages() == before
+    (row,) = of_files(report).collect()
+    assert (row.status, row.rows_written) == ("failed", 0)
+    assert row.error.startswith("StepError: ")
+
+
+def test_failures_are_kept_to_their_file_and_technology(spark, land, write_text, tmp_path, caplog):
+    land("SE", "p2", 1, record(1, 10), record(2, 20))
+    good = gzip.compress(f"<r>{record(3, 30)}{record(4, 40)}</r>".encode() * 400)
+    folder = tmp_path / "in/SE/p2/year=2024/month=05/day=01"
+    (folder / "cut.xml.gz").write_bytes(good[: len(good) // 2])
+    (folder / "noise.xml.gz").write_bytes(b"no archive at all")
+    (folder / "whole.xml.gz").write_bytes(gzip.compress(record(7, 70).encode()))
+    (folder / "early.xml").write_text(f"<r>{record(8, 80)}<rec id='9'><v>9</v>")
+    land("SE", "p4", 1, record(5, 50))
+    land("SE", "p5", 1, record(6, 60), record("x", 1))
+    flows = {
+        "2G": STEPS,
+        "4G": [{"operation": "select", "columns": {"nothing": "x"}}],
+        # Fails only when it runs.
+        "5G": [*STEPS, {"operation": "withColumn", "column": "e", "func": "raise_error('stop')"}],
+    }
+    job = JobConfig.from_dict(config(tmp_path, flattening_config=flows))
+    report = run_job(
+        spark, job, ["SE"], list(flows), *WINDOW, dict.fromkeys(flows, SCHEMA),
+        quarantine=f"{tmp_path}/bad",
+    )
+    rows_of = {Path(r.source_file).name if r.tech == "2G" else r.tech: r for r in of_files(report).collect()}
+    assert {name: (r.status, r.rows_read, r.rows_written) for name, r in rows_of.items()} == {
+        "f.xml": ("written", 2, 2),
+        "cut.xml.gz": ("unreadable", 0, 0),
+        "noise.xml.gz": ("unreadable", 0, 0),
+        "whole.xml.gz": ("written", 1, 1),
+        "early.xml": ("partly corrupt", 2, 1),
+        "4G": ("failed", 0, 0),
+        "5G": ("failed", 2, 0),
+    }
+    assert "FAILED_READ_FILE" in rows_of["cut.xml.gz"].error
+    assert "FAILED_READ_FILE" in rows_of["noise.xml.gz"].error
+    assert "step 1" in rows_of["4G"].error and "stop" in rows_of["5G"].error
+    assert rows_of["f.xml"].error is None
+    out = spark.read.parquet(f"{tmp_path}/out/flat").select("id", "value")
+    assert rows(out) == [(1, 10), (2, 20), (7, 70), (8, 80)]
+    bad = spark.read.parquet(f"{tmp_path}/bad").select("tech", "_corrupt_record")
+    assert ("2G", "<rec id='9'><v>9</v>") in rows(bad)
+    assert "technology '5G' failed" in caplog.text
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("moves", range(7))
+@pytest.mark.parametrize("mode", ["overwrite", "append", "ignore", "errorifexists"])
+def test_a_crash_between_moves_leaves_old_days_or_new_ones(spark, tmp_path, monkeypatch, mode, moves):
+    path = f"{tmp_path}/out"
+
+    def days(*values):
+        return spark.createDataFrame([(v, str(v % 10)) for v in values], "v int, day string")
+
+    def publish(df, window):
+        publication = Publication(spark, path, ["day"])
+        publication.stage(df.repartition(1))
+        publication.publish([f"{path}/day={d}" for d in window], mode)
+
+    def found():
+        return [r.v for r in read_days(spark, path).orderBy("v").collect()]
+
+    publish(days(1, 2, 3), [])
+    old = [1, 2, 3]
+    new = {
+        "overwrite": [11, 12, 14], "append": [1, 2, 3, 11, 12, 14], "ignore": [1, 2, 3, 14],
+        "errorifexists": [1, 2, 3, 14],
+    }[mode]
+    move, done = Folder.move, []
+
+    def crashing(folder, name, to):
+        if len(done) == moves:
+            raise Crash
+        done.append(name)
+        move(folder, name, to)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Folder, "move", crashing)
+        try:
+            publish(days(14) if mode == "errorifexists" else days(11, 12, 14), "123")
+            committed = True
+        except Crash:
+            # The first move puts the commit record in its place.
+            committed = moves > 0
+    assert found() == (new if committed else old)
+    if mode == "overwrite":
+        publish(days(21), "124" if committed else "123")
+        assert found() == [21]
+    assert not [p for p in Path(path).glob("_*") if not committed and "commit" in p.name]
+
+
+def test_only_changed_days_are_read(spark, land, write_text, tmp_path):
+    def go(name, last=None):
+        job = JobConfig.from_dict(config(tmp_path))
+        report = run_job(
+            spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA}, report=f"{tmp_path}/{name}",
+            last_report=last and f"{tmp_path}/{last}",
+        )
+        return {r.source_file.split("day=")[1]: r for r in of_files(report).collect()}
+
+    def out():
+        return rows(spark.read.parquet(f"{tmp_path}/out/flat").select("id", "value"))
+
+    for day in (1, 2, 3, 4):
+        land("SE", "p2", day, record(day, 10 * day))
+    assert {r.taken for r in go("r1").values()} == {True}
+    land("SE", "p2", 2, record(2, 21, 22))  # changed
+    land("SE", "p2", 3, record(5, 50), name="g.xml")  # new beside another
+    (tmp_path / "in/SE/p2/year=2024/month=05/day=04/f.xml").unlink()  # gone
+    second = go("r2", last="r1")
+    assert {name: (r.taken, r.rows_written) for name, r in second.items()} == {
+        "01/f.xml": (False, 1), "02/f.xml": (True, 2), "03/f.xml": (True, 1), "03/g.xml": (True, 1),
+    }
+    assert out() == [(1, 10), (2, 21), (2, 22), (3, 30), (5, 50)]
+    # Nothing has changed since, also in a report that is written over.
+    assert {r.taken for r in go("r2", last="r2").values()} == {False}
+    assert len(out()) == 5
+    with pytest.raises(ValueError, match="only days that are replaced"):
+        run_job(
+            spark,
+            JobConfig.from_dict(config(tmp_path, output_config={"save_mode": "append"})),
+            ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA}, last_report=f"{tmp_path}/r2",
+        )
+
+
+def test_order_over_all_files_of_a_day(spark, land, tmp_path):
+    for name in ("a", "b", "c"):
+        records = [record(i, *range((7 * i) % 50, 400, 3)) for i in range(40)]
+        land("SE", "p2", 1, *records, name=f"{name}.xml")
+    down = {"operation": "orderBy", "columns": {"value": False, "id": True}}
+    job = JobConfig.from_dict(config(tmp_path, flattening_config={"2G": [*STEPS, down]}))
+    # Else Spark makes one file of so few rows.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run_job(spark, job, ["SE"], ["2G"], *WINDOW, {"2G": SCHEMA})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(Path(f"{tmp_path}/out/flat").rglob("*.parquet"))
+    assert len(files) > 2
+    values = []
+    for file in files:
+        part = pq.read_table(file, columns=["value", "id"], partitioning=None)
+        values += [(-v, i) for v, i in zip(*(part[c].to_pylist() for c in ("value", "id")), strict=True)]
+    assert values == sorted(values) and len(values) == spark.read.parquet(f"{tmp_path}/out/flat").count()
 
 
 MODES = {
