@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestflow.workspace import drop_folder, new_folder
+from nestflow.workspace import drop_folder, new_folder, ship_library
 
 #: Spaces between words, in Java's and RE2's patterns: what ``bytes.split()`` splits at.
 SPACE = r"[\x20\x09-\x0D]"
@@ -85,21 +82,10 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow``, with this library on the executors wherever they are started."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _shipped:
-        library = Path(__file__).resolve().parent.parent
-        archive = Path(tempfile.mkdtemp(prefix="nestflow-")) / f"{library.name}.zip"
-        with zipfile.ZipFile(archive, "w") as file:
-            for source in sorted(library.rglob("*.py")):
-                file.write(source, source.relative_to(library.parent))
-        context.addPyFile(str(archive))
-        _shipped.add(context.applicationId)
+    ship_library(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
-_shipped: set[str] = set()
-
-
 def map_rows(
     df: DataFrame,
     schema: str,
