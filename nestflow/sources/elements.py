@@ -186,10 +186,9 @@ def scan_elements(
         strings = ", ".join(f"`{c}` string" for c in {TEXT, SOURCE_FILE, *ancestors})
         none = rows.parsed(spark.createDataFrame([], strings), F.lit(False), kept)
         return none.select(*[top(c) for c in [*rows.names, *kept]])
-    with _fixed_splits(spark):
+    with fixed_splits(spark):
         pieces = _pieces(spark, paths, row_tag, recursive, encoding, reader)
         staged, states = _agreed(pieces, row_tag, ancestors, rows, folder)
-    _file_ends(states).write.parquet(f"{folder}/files")
     origin = [SOURCE_FILE, BLOCK, *ancestors]
     whole = staged.filter(F.col(KIND) == ELEMENT).select(*map(top, [*rows.names, *origin]))
     over = _joined(staged.filter(F.col(KIND) != ELEMENT), list(ancestors))
@@ -231,7 +230,7 @@ class _Rows:
 
 
 @contextmanager
-def _fixed_splits(spark: SparkSession) -> Iterator[None]:
+def fixed_splits(spark: SparkSession) -> Iterator[None]:
     """Files are cut alike each time, also when executors come and go."""
     name = "spark.sql.files.minPartitionNum"
     before = spark.conf.get(name, None)
@@ -386,18 +385,21 @@ def _wrong(states: DataFrame) -> DataFrame:
     return wrong.orderBy(BLOCK).limit(MOST_AGAIN)
 
 
-def _file_ends(states: DataFrame) -> DataFrame:
-    """The files that were read, and whether all elements are closed at their ends."""
-    last = F.max_by(F.struct("end_state", "end_depth"), BLOCK)
-    ends = states.groupBy(SOURCE_FILE).agg(last.alias("end"), F.sum("around").alias("around"))
-    closed = (F.col("end.end_state") == CONTENT) & (F.col("end.end_depth") == 0)
-    return ends.select(SOURCE_FILE, (closed & (F.col("around") <= 0)).alias("complete"))
-
-
 def files_read(spark: SparkSession, folder: str) -> DataFrame:
     """The files that a scan into this folder has read something of: ``source_file``, and
     ``complete``, false where the file ends inside an element."""
-    return spark.read.schema(f"{SOURCE_FILE} string, complete boolean").parquet(f"{folder}/files")
+    columns = ", ".join(f"{name} int" for name in (KIND, *STATES))
+    schema = f"{SOURCE_FILE} string, {BLOCK} bigint, {columns}"
+    # Of a split that was read again the last round counts.
+    rounds = F.regexp_extract(F.col("_metadata.file_path"), r"/rows-(\d+)/", 1).cast("int")
+    states = spark.read.schema(schema).parquet(f"{folder}/rows-*").filter(F.col(KIND) == SPLIT)
+    states = states.select(SOURCE_FILE, BLOCK, *STATES, rounds.alias("round"))
+    last = F.max_by(F.struct(*STATES), "round").alias("state")
+    states = states.groupBy(SOURCE_FILE, BLOCK).agg(last).select(SOURCE_FILE, BLOCK, "state.*")
+    end = F.max_by(F.struct("end_state", "end_depth"), BLOCK).alias("end")
+    ends = states.groupBy(SOURCE_FILE).agg(end, F.sum("around").alias("around"))
+    closed = (F.col("end.end_state") == CONTENT) & (F.col("end.end_depth") == 0)
+    return ends.select(SOURCE_FILE, (closed & (F.col("around") <= 0)).alias("complete"))
 
 
 def tags_named(

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from pathlib import Path
+from threading import Lock
 
 from pyspark.sql import SparkSession
 
@@ -43,20 +44,22 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 _shipped: set[str] = set()
+_shipping = Lock()
 
 
 def ship_library(spark: SparkSession) -> None:
     """Give this library to the executors' Python, wherever they are started."""
     context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    library = Path(__file__).resolve().parent
-    # Executors fetch it from here as long as the application runs.
-    folder = Path(tempfile.mkdtemp(prefix="nestflow-"))
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    archive = folder / f"{library.name}.zip"
-    with zipfile.ZipFile(archive, "w") as file:
-        for source in sorted(library.rglob("*.py")):
-            file.write(source, source.relative_to(library.parent))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
+    with _shipping:
+        if context.applicationId in _shipped:
+            return
+        library = Path(__file__).resolve().parent
+        # Executors fetch it from here as long as the application runs.
+        folder = Path(tempfile.mkdtemp(prefix="nestflow-"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = folder / f"{library.name}.zip"
+        with zipfile.ZipFile(archive, "w") as file:
+            for source in sorted(library.rglob("*.py")):
+                file.write(source, source.relative_to(library.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
