@@ -9,11 +9,12 @@ from collections.abc import Callable
 from datetime import date
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestflow.plans.inventory import ADMINISTRATIVE_DATA, CONTAINER, inventory_schema, strings
 from nestflow.queries.registry import table
+from nestflow.sinks.publish import Folder
 from nestflow.sources import Landing
 from nestflow.workspace import new_folder
 
@@ -121,7 +122,7 @@ def orders_nested(spark: SparkSession, sf_dir: str, path: str) -> None:
 def orders_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The same as XML, one ``ord`` element per order."""
     orders = spark.read.parquet(orders_nested(spark, sf_dir))
-    _write_xml(orders, path, "ord", records_per_file=10_000)
+    write_xml(orders, path, "ord", records_per_file=10_000)
 
 
 @_once
@@ -132,7 +133,7 @@ def dirty_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("_id"), "o_orderstatus", price.alias("o_totalprice")
     )
-    _write_xml(orders, path, "ord")
+    write_xml(orders, path, "ord")
 
 
 @_once
@@ -149,6 +150,51 @@ def cut_off_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     first.write.partitionBy("o_orderpriority").text(path)
 
 
+@_once
+def nested_tag_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Orders and their lines in one tag, which also stands in comments, CDATA and
+    instructions; half of the closing tags hold white space."""
+
+    def line(item: Column) -> Column:
+        return F.concat(
+            F.lit('<ord id="'), item["l_linenumber"].cast("string"),
+            F.lit('"><q>'), item["l_quantity"].cast("string"), F.lit("</q></ord>"),
+        )
+
+    orders = spark.read.parquet(orders_nested(spark, sf_dir))
+    lines = F.array_join(F.transform(F.coalesce("lines.item", F.array()), line), "")
+    end = F.when(F.col("_id") % 2 == 0, "</ord >").otherwise("</ord>")
+    text = F.concat(
+        F.lit('<!-- an <ord> --><ord id="'), F.col("_id").cast("string"),
+        F.lit('"><!-- no </ord> --><st>'), "o_orderstatus", F.lit("</st>"), lines,
+        F.lit('<t><![CDATA[</ord><ord id="0">]]></t><?end </ord> ?>'), end,
+    )
+    orders.select(text.alias("value")).write.text(path)
+
+
+@_once
+def prefixed_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Orders under one prefix if they are finished, else under another, in files apart."""
+    finished = F.col("o_orderstatus") == "F"
+    tag = F.when(finished, "fin:ord").otherwise("open:ord")
+    text = F.concat(
+        F.lit("<"), tag, F.lit(' id="'), F.col("o_orderkey").cast("string"), F.lit('"><x:p>'),
+        F.col("o_totalprice").cast("string"), F.lit("</x:p><x:ords/></"), tag, F.lit(">"),
+    )
+    orders = table(spark, sf_dir, "orders").select(text.alias("value"), finished.alias("finished"))
+    orders.write.partitionBy("finished").text(path)
+
+
+@_once
+def broken_line_tree(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``line_tree`` with a file in each market that is no archive, though its name says so."""
+    line_tree.__wrapped__(spark, sf_dir, path)
+    tree = Folder(spark, path)
+    for market in tree.names("market=*"):
+        for day in tree.names(f"{market}/im=2G-f/*/*/*")[:1]:
+            tree.write(f"{day}/broken.xml.gz", "<all><ln id='1'></ln></all>")
+
+
 def markets(spark: SparkSession, sf_dir: str) -> list[str]:
     """All regions, each a market."""
     names = table(spark, sf_dir, "region").select("r_name").distinct().orderBy("r_name")
@@ -203,7 +249,7 @@ def landing_tree(spark: SparkSession, sf_dir: str, path: str) -> None:
     price = F.when(bad, "n/a").otherwise(F.col("o_totalprice").cast("string"))
     landed = landed_orders(spark, orders.withColumn("o_totalprice", price), sf_dir)
     folders = ["market", "im", "year", "month", "day"]
-    _write_xml(landed.hint("rebalance", *folders), path, "ord", folders=folders)
+    write_xml(landed.hint("rebalance", *folders), path, "ord", folders=folders)
 
 
 @_once
@@ -217,7 +263,7 @@ def line_tree(spark: SparkSession, sf_dir: str, path: str) -> None:
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("_id"), "l_quantity", price.alias("price"), *folders
     )
-    _write_xml(rows.hint("rebalance", *folders), path, "ln", folders=folders)
+    write_xml(rows.hint("rebalance", *folders), path, "ln", folders=folders)
 
 
 def landing(root: str) -> Landing:
@@ -316,7 +362,7 @@ def inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.collect_list(network).alias("xn:SubNetwork")
     )
     # Files of any size, which a split scan reads in several tasks.
-    _write_xml(exports.select("xn:SubNetwork"), path, "xn:configData")
+    write_xml(exports.select("xn:SubNetwork"), path, "xn:configData")
 
 
 def _text(column, name: str):
@@ -329,8 +375,8 @@ def _attributes(first, version, kind):
     ).alias("xn:attributes")
 
 
-def _write_xml(df, path, row_tag, folders=(), records_per_file=0) -> None:
+def write_xml(df, path, row_tag, folders=(), records_per_file=0, mode="error") -> None:
     writer = df.write.format("xml").option("rowTag", row_tag).option("rootTag", "exports")
     # Names with a prefix hold a colon, which the check would refuse.
     writer = writer.option("validateName", False).option("maxRecordsPerFile", records_per_file)
-    writer.partitionBy(*folders).save(path)
+    writer.mode(mode).partitionBy(*folders).save(path)

@@ -20,6 +20,7 @@ from nestflow.sources import (
     scan_elements,
     scan_fragments,
     scan_landing,
+    scan_named,
     scan_xml,
     split_corrupt,
 )
@@ -92,6 +93,31 @@ def scan_xml_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_lines(scan_fragments(spark, path, "ord", narrow(*ORDER_LINE_FIELDS)))
 
 
+@query("""
+    SELECT o_orderkey, o_orderstatus, l_linenumber, l_quantity
+    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
+""")
+def scan_xml_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row tag that is nested in itself and stands in comments, CDATA and instructions."""
+    path = fixtures.nested_tag_xml(spark, sf_dir)
+    schema = "_id bigint, st string, ord array<struct<_id int, q double>>"
+    orders = scan_elements(spark, path, "ord", schema)
+    line = {"operation": "explode", "column": "ord", "alias": "line", "keep": True, "outer": True}
+    columns = {
+        "_id": "o_orderkey", "st": "o_orderstatus", "line._id": "l_linenumber",
+        "line.q": "l_quantity",
+    }
+    return apply_steps(orders, [line, {"operation": "select", "columns": columns}])
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def scan_xml_any_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row tag by its local name, in splits, where files have different prefixes."""
+    path = fixtures.prefixed_xml(spark, sf_dir)
+    orders, _ = scan_named(spark, path, "ord", "_id bigint, p double", recursive=True)
+    return orders.select(F.col("_id").alias("o_orderkey"), F.col("p").alias("o_totalprice"))
+
+
 @query("""
     SELECT r_name AS "SubNetworkId", n_name AS "MeContextId",
            CAST(c_custkey AS VARCHAR) AS "ManagedElementId",

@@ -1,6 +1,6 @@
 """Scans: XML files by row tag, landing folders by market, technology and day."""
 
-from nestflow.sources.elements import files_read, scan_elements, tags_named
+from nestflow.sources.elements import files_read, scan_elements, scan_named, tags_named
 from nestflow.sources.fragments import scan_fragments
 from nestflow.sources.landing import Landing, day_folders, list_days, parse_day, scan_landing
 from nestflow.sources.xml import (
@@ -25,6 +25,7 @@ __all__ = [
     "scan_elements",
     "scan_fragments",
     "scan_landing",
+    "scan_named",
     "scan_xml",
     "split_corrupt",
     "tags_named",

@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import reduce
 from itertools import count
 
 import pyarrow as pa
@@ -403,7 +404,11 @@ def files_read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tags_named(
-    spark: SparkSession, paths: str | list[str], name: str, *, recursive: bool = False,
+    spark: SparkSession,
+    paths: str | list[str],
+    name: str,
+    *,
+    recursive: bool = False,
     reader: DataFrameReader | None = None,
 ) -> list[str]:
     """The tags of this local name, with their prefixes, that begin elements in the files.
@@ -423,6 +428,36 @@ def tags_named(
     return sorted(f"{row['prefix']}{name}" for row in found.collect())
 
 
+def scan_named(
+    spark: SparkSession,
+    paths: str | list[str],
+    name: str,
+    schema: T.StructType | str,
+    *,
+    folder: str | None = None,
+    recursive: bool = False,
+    reader: DataFrameReader | None = None,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """``scan_elements`` of all tags with this local name, whatever their prefix, and the files.
+
+    The schema's names lack prefixes. Files are read once more to find the prefixes, and once
+    for each of them, mostly one. The second table is that of ``files_read``.
+    """
+    folder = folder or new_folder(spark, "elements")
+    tags = tags_named(spark, paths, name, recursive=recursive, reader=reader) if paths else []
+    rows, files = [], []
+    for number, tag in enumerate(tags or [name]):
+        at = f"{folder}/{number}"
+        options |= {"ignore_namespace": True, "recursive": recursive, "reader": reader}
+        rows.append(scan_elements(spark, paths, tag, schema, folder=at, **options))
+        if paths:
+            files.append(files_read(spark, at))
+    none = spark.createDataFrame([], f"{SOURCE_FILE} string, complete boolean")
+    read = reduce(DataFrame.unionAll, files, none).groupBy(SOURCE_FILE)
+    return reduce(DataFrame.unionAll, rows), read.agg(F.bool_and("complete").alias("complete"))
+
+
 def _joined(ends: DataFrame, ancestors: list[str]) -> DataFrame:
     """Elements that reach over splits, and whether their file's end cuts them off."""
     order = Window.partitionBy(SOURCE_FILE).orderBy(BLOCK, PLACE)
