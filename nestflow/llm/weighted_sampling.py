@@ -199,12 +199,17 @@ def spliced(text: str, other: str) -> str:
 
 
 _COMPARED = (
-    "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 _ENDS = f"{_COMPARED}, part int, begins boolean, ends boolean, whole string"
 
 
+def _packed(signatures: np.ndarray) -> list[bytes]:
+    """What ``hexed`` shows, in half the bytes."""
+    return [row.astype(">u2").tobytes() for row in signatures]
+
+
 def _compared(sampler: Sampler, texts: list[bytes]) -> tuple[dict, np.ndarray]:
     """Columns for all texts but the last, each compared with the one after it."""
     plain = [t.decode() for t in texts]
@@ -212,9 +217,9 @@ def _compared(sampler: Sampler, texts: list[bytes]) -> tuple[dict, np.ndarray]:
     own, changed = sampler.signatures(texts), sampler.signatures(edited)
     columns = {
         "n_chars": [len(t) for t in plain[:-1]],
-        "edited_sha256": [hashlib.sha256(t).hexdigest() for t in edited],
-        "fingerprint": hexed(own[:-1]),
-        "edited_fingerprint": hexed(changed),
+        "edited_sha256": [hashlib.sha256(t).digest() for t in edited],
+        "fingerprint": _packed(own[:-1]),
+        "edited_fingerprint": _packed(changed),
         "near_edited": alike(own[:-1], changed),
         "near_next": alike(own[:-1], own[1:]),
     }
@@ -275,7 +280,7 @@ def compare_with_next(
                 del ids[:-1], texts[:-1]
         if texts:
             columns = dict.fromkeys([f.name for f in arrow], [None])
-            columns["fingerprint"] = hexed(sampler.signatures(texts))
+            columns["fingerprint"] = _packed(sampler.signatures(texts))
             columns["n_chars"] = [len(texts[0].decode())]
             yield made(columns, 1, ends=True)
 
@@ -302,4 +307,6 @@ def compare_with_next(
         return work
 
     finished = map_rows(ends, f"doc_id {id_type}, {_COMPARED}", make)
-    return walked.filter("NOT ends").select(*finished.columns).unionAll(finished)
+    made = walked.filter("NOT ends").select(*finished.columns).unionAll(finished)
+    shown = [c for c in made.columns if dict(made.dtypes)[c] == "binary" and c != "doc_id"]
+    return made.withColumns({c: F.lower(F.hex(c)) for c in shown})
