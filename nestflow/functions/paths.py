@@ -80,8 +80,12 @@ def _in_struct(struct: T.StructType, path: str, inside_array: bool) -> Found | N
     return None
 
 
-_COL_CALL = re.compile(r"""\bcol\(\s*(?P<q>['"])(?P<path>.+?)(?P=q)\s*\)""")
-_LIT_CALL = re.compile(r"""\blit\(\s*(?P<value>'[^']*'|"[^"]*"|[-+\w.]+)\s*\)""")
+_CALLS = re.compile(
+    r"""\bcol\(\s*(?P<q>['"])(?P<path>.+?)(?P=q)\s*\)"""
+    r"""|\blit\(\s*(?P<value>'[^']*'|"[^"]*"|[-+\w.]+)\s*\)"""
+    r"""|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`""",
+    re.S,
+)
 
 
 def sql_text(schema: T.StructType, text: str) -> str:
@@ -90,8 +94,11 @@ def sql_text(schema: T.StructType, text: str) -> str:
     The result is plain Spark SQL text for ``expr``; nothing is evaluated in Python.
     """
 
-    def quoted(match: re.Match) -> str:
-        found = find_path(schema, match["path"])
-        return found.sql if found else quote_path(match["path"].split("."))
+    def plain(match: re.Match) -> str:
+        if match["path"] is not None:
+            found = find_path(schema, match["path"])
+            return found.sql if found else quote_path(match["path"].split("."))
+        # Texts and names in quotes stay, whatever they hold.
+        return match[0] if match["value"] is None else match["value"]
 
-    return _LIT_CALL.sub(lambda m: m["value"], _COL_CALL.sub(quoted, text))
+    return _CALLS.sub(plain, text)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nestflow.functions.paths import quote_path, top
 from nestflow.operators.columns import hashable
+from nestflow.operators.ranges import conjuncts, meet, ranges
 
 # Spellings of a join type, without underscores.
 JOIN_TYPES = {
@@ -44,17 +45,23 @@ def join_input(
     how: str = "inner",
     salt: int | None = None,
     hot_share: int = HOT_SHARE,
+    least_hot: int | None = None,
 ) -> DataFrame:
     """Join on key names, or on conditions between the sides ``l`` and ``r``.
 
+    A condition needs an equality ``l.x = r.y`` among its parts that ``and`` combines, or bounds
+    of one side by the other in both directions, such as ``l.x between r.low and r.high``: else
+    it would compare every row with every row.
+
     Which side is broadcast is left to Spark, which knows the sizes. Adaptive execution
     splits a hot key of either side in an inner join, but only of the kept side in an outer
     one, and none in a full one. So an outer join first counts the keys of the sides that it
-    cannot split. Rows of keys with more than one row in ``hot_share`` go through an inner
-    join, and those of a full join that match nothing are added; without such keys nothing
+    cannot split. Rows of keys with more than one row in ``hot_share``, and more than
+    ``least_hot`` rows, go through an inner join, and those of a full join that match nothing are added; without such keys nothing
     changes. ``salt=n`` cuts the left side's hot keys into n parts in an inner join, for
     sessions without adaptive execution.
     """
+    least_hot = LEAST_HOT if least_hot is None else least_hot
     kind = JOIN_TYPES.get(how.lower().replace("_", ""))
     if kind is None:
         raise ValueError(f"unknown join type {how!r}; known are {sorted(JOIN_TYPES)}")
@@ -62,14 +69,14 @@ def join_input(
     if any(_COMPARES.search(item) for item in on):
         if salt:
             raise ValueError("salt needs key names, not a condition")
-        return _join_where(left, right, on, kind, hot_share)
+        return _join_where(left, right, on, kind, hot_share, least_hot)
     if kind in ("left_semi", "left_anti"):
         # Only the keys matter: fold the right side's copies before the shuffle.
         right = right.select(*[top(k) for k in on]).distinct()
         return left.join(right, on, kind)
     if kind == "inner":
         return _join_inner(left, right, on, salt, hot_share)
-    hot = _hot_of_unsplit(left, right, on, on, kind, hot_share)
+    hot = _hot_of_unsplit(left, right, on, on, kind, hot_share, least_hot)
     if hot is None:
         return left.join(right, on, kind)
     kept = _cold(left, hot, on).join(_cold(right, hot, on), on, kind)
@@ -89,20 +96,22 @@ def join_input(
     return joined
 
 
-def _hot_of_unsplit(left, right, left_on, right_on, kind, hot_share) -> DataFrame | None:
+def _hot_of_unsplit(left, right, left_on, right_on, kind, hot_share, least) -> DataFrame | None:
     """Hot keys, named as the left's, of the sides that an outer join of that kind keeps
-    whole; null if there are none. They come to the driver: fewer than 2 * ``hot_share``."""
+    whole; null if there are none. They are fewer than 2 * ``hot_share``, in the type that
+    both sides' keys have in common."""
     found = []
     if kind in ("right_outer", "full_outer"):
-        found.append(_hot_keys(left, left_on, hot_share, LEAST_HOT))
+        found.append(_hot_keys(left, left_on, hot_share, least))
     if kind in ("left_outer", "full_outer"):
-        hot = _hot_keys(right, right_on, hot_share, LEAST_HOT)
-        found.append(hot.toDF(*left_on))
-    schema = found[0].schema
-    rows = {row for hot in found for row in hot.collect()}
+        found.append(_hot_keys(right, right_on, hot_share, least).toDF(*left_on))
+    # Spark's types of a union; a side without rows brings its own.
+    typed = left.select(*[top(k) for k in left_on]).limit(0)
+    typed = typed.union(right.select(*[top(k) for k in right_on]).limit(0))
+    hot = reduce(DataFrame.union, found, typed).distinct()
     # A key that is null matches nothing.
-    rows = [tuple(row) for row in rows if None not in tuple(row)]
-    return F.broadcast(left.sparkSession.createDataFrame(rows, schema)) if rows else None
+    rows = [tuple(row) for row in hot.collect() if None not in tuple(row)]
+    return F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema)) if rows else None
 
 
 def _cold(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
@@ -110,17 +119,20 @@ def _cold(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _join_where(
-    left: DataFrame, right: DataFrame, on: list[str], kind: str, hot_share: int
+    left: DataFrame, right: DataFrame, on: list[str], kind: str, hot_share: int, least: int
 ) -> DataFrame:
-    parts = [part for item in on for part in _conjuncts(item)]
+    parts = [part for item in on for part in conjuncts(item)]
     pairs = [m.groups() for part in parts if (m := _EQUALITY.fullmatch(part))]
     pairs = [p for p in pairs if p[0].lower() != p[2].lower()]
+    condition = reduce(Column.__and__, [F.expr(f"({item})") for item in on])
     if not pairs:
-        raise ValueError(
-            f"join condition {on} has no equality l.x = r.y of its own: it would "
-            "compare every row with every row"
-        )
-    condition = reduce(Column.__and__, [F.expr(item) for item in on])
+        found = ranges(parts)
+        if found is None:
+            raise ValueError(
+                f"join condition {on} has no equality l.x = r.y of its own, nor bounds in both "
+                "directions: it would compare every row with every row"
+            )
+        return _from_pairs(left, right, meet(left, right, condition, found), kind)
     if kind in ("left_semi", "left_anti"):
         return left.alias("l").join(right.alias("r"), condition, kind)
     sides = [{p[0].lower(): p[1], p[2].lower(): p[3]} for p in pairs]
@@ -130,20 +142,29 @@ def _join_where(
     for side in (left, right):
         known = known and len(hashable(side)) == len(side.columns)
     if kind != "inner" and known:
-        hot = _hot_of_unsplit(left, right, left_on, right_on, kind, hot_share)
+        hot = _hot_of_unsplit(left, right, left_on, right_on, kind, hot_share, least)
     if hot is None:
         return _joined_where(left, right, condition, kind)
-    joined = _joined_where(left, right, condition, "inner")
-    # Kept rows that are in no pair; equal rows are in the same pairs.
-    for side, other, name, keeps in (
-        (left, right, "l", ("left_outer", "full_outer")),
-        (right, left, "r", ("right_outer", "full_outer")),
+    met = left.alias("l").join(right.alias("r"), condition, "inner")
+    return _from_pairs(left, right, met, kind)
+
+
+def _from_pairs(left: DataFrame, right: DataFrame, met: DataFrame, kind: str) -> DataFrame:
+    """The join of that kind by its pairs, rows ``l`` and ``r``: the rows that are in no pair are
+    told by their contents, as equal rows are in the same pairs."""
+    if kind in ("left_semi", "left_anti"):
+        names = met.select(*_row_names(left, "l.")).distinct()
+        kept = left.select("*", *_row_names(left)).join(names, ROW_NAMES, kind)
+        return kept.select(*[top(c) for c in left.columns])
+    joined = met.select(*_both(left, right))
+    for side, name, keeps in (
+        (left, "l", ("left_outer", "full_outer")),
+        (right, "r", ("right_outer", "full_outer")),
     ):
         if kind in keeps:
-            pairs_ = left.alias("l").join(right.alias("r"), condition, "inner")
-            met = pairs_.select(*_row_names(side, f"{name}.")).distinct()
+            names = met.select(*_row_names(side, f"{name}.")).distinct()
             mine = side.select("*", *_row_names(side))
-            alone = mine.join(met, ROW_NAMES, "left_anti").drop(*ROW_NAMES)
+            alone = mine.join(names, ROW_NAMES, "left_anti").drop(*ROW_NAMES)
             if name == "r":
                 renamed = [top(c).alias(n) for c, n in _right_names(left, right)]
                 alone = alone.select(*renamed)
@@ -177,15 +198,14 @@ def _right_names(left: DataFrame, right: DataFrame) -> list[tuple[str, str]]:
 
 def _joined_where(left: DataFrame, right: DataFrame, condition: Column, kind: str) -> DataFrame:
     joined = left.alias("l").join(right.alias("r"), condition, kind)
-    out = [F.col(f"l.{quote_path([c])}") for c in left.columns]
-    out += [F.col(f"r.{quote_path([c])}").alias(n) for c, n in _right_names(left, right)]
-    return joined.select(*out)
+    return joined.select(*_both(left, right))
 
 
-def _conjuncts(text: str) -> list[str]:
-    if re.search(r"\bor\b", text, re.I):
-        return [text]
-    return re.split(r"\s+and\s+", text, flags=re.I)
+def _both(left: DataFrame, right: DataFrame) -> list[Column]:
+    columns = [F.col(f"l.{quote_path([c])}") for c in left.columns]
+    return columns + [
+        F.col(f"r.{quote_path([c])}").alias(n) for c, n in _right_names(left, right)
+    ]
 
 
 def _join_inner(

@@ -1,4 +1,8 @@
-"""Fold a step list over a DataFrame. Nothing runs until the result is used."""
+"""Fold a step list over a DataFrame.
+
+Nothing runs until the result is used, but for what joins ask first: an outer join counts the
+keys of a side, a join by ranges looks up the sizes of its ranges.
+"""
 
 from __future__ import annotations
 
@@ -58,7 +62,7 @@ def _apply(df, operation, step, inputs, missing, carry) -> DataFrame:
         case "filter":
             return filter_rows(df, step["condition"])
         case "join":
-            options = {k: step[k] for k in ("how", "salt") if k in step}
+            options = {k: step[k] for k in JOIN_OPTIONS if k in step}
             return join_input(df, _input(step, inputs), step["on"], **options)
         case "union":
             return union_input(df, _input(step, inputs), step.get("by_name", False))
@@ -70,5 +74,8 @@ def _apply(df, operation, step, inputs, missing, carry) -> DataFrame:
             return with_column(df, step)
 
 
+JOIN_OPTIONS = ("how", "salt", "hot_share", "least_hot")
+
+
 def _input(step: Mapping, inputs: Mapping[str, DataFrame]) -> DataFrame:
     return inputs[step["with"]] if "with" in step else next(iter(inputs.values()))

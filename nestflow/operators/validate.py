@@ -9,7 +9,7 @@ OPERATIONS = {
     "select": ({"columns"}, {"missing"}),
     "explode": ({"column", "alias"}, {"keep", "outer"}),
     "filter": ({"condition"}, set()),
-    "join": ({"on"}, {"with", "how", "salt"}),
+    "join": ({"on"}, {"with", "how", "salt", "hot_share", "least_hot"}),
     "groupBy": ({"columns"}, set()),
     "agg": ({"aggregations"}, set()),
     "orderBy": ({"columns"}, set()),

@@ -330,6 +330,50 @@ def step_join_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _near_balances(spark, sf_dir, width: str, how: str) -> DataFrame:
+    return _join(
+        table(spark, sf_dir, "customer"),
+        table(spark, sf_dir, "supplier"),
+        ("c_custkey", "s_suppkey"),
+        on=f"l.c_acctbal BETWEEN r.s_acctbal - {width} AND r.s_acctbal + {width}",
+        how=how,
+    )
+
+
+@query("""
+    SELECT c_custkey, s_suppkey FROM customer JOIN supplier
+    ON c_acctbal BETWEEN s_acctbal - 25.0 AND s_acctbal + 25.0
+""")
+def step_join_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No equality, but bounds in both directions."""
+    return _near_balances(spark, sf_dir, "25.0", "inner")
+
+
+@query("""
+    SELECT c_custkey, s_suppkey FROM customer LEFT JOIN supplier
+    ON c_acctbal BETWEEN s_acctbal - 2.0 AND s_acctbal + 2.0
+""")
+def step_join_range_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the customers that have no supplier near."""
+    return _near_balances(spark, sf_dir, "2.0", "left_outer")
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, l_linenumber, l_extendedprice
+    FROM orders JOIN lineitem
+    ON o_orderkey = l_orderkey AND (l_linenumber = 1 OR l_extendedprice > o_totalprice / 2)
+""")
+def step_join_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An equality, and a condition with ``or`` in parentheses."""
+    return _join(
+        table(spark, sf_dir, "orders"),
+        table(spark, sf_dir, "lineitem"),
+        ("o_orderkey", "o_totalprice", "l_linenumber", "l_extendedprice"),
+        on="l.o_orderkey = r.l_orderkey AND (r.l_linenumber = 1 OR r.l_extendedprice > l.o_totalprice / 2)",
+        how="inner",
+    )
+
+
 # --- groupBy and agg ---
 
 

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from nestflow import StepError, apply_steps
 from nestflow.operators import combine
+from nestflow.operators import ranges as range_joins
+from nestflow.operators.ranges import conjuncts
 from tests.conftest import rows
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (4, "d"), (None, "e")]
@@ -105,6 +109,89 @@ def test_condition_without_equality_is_refused(left, right, on):
         join(left, right, on=on)
 
 
+def test_or_beside_an_equality(left, right):
+    on = "l.k = r.k and (r.r > 15 or l.l = 'a and b')"
+    assert rows(join(left, right, on=on)) == [(2, "c", 2, 20)]
+
+
+@pytest.mark.parametrize(
+    ("text", "parts"),
+    [
+        ("l.a = r.b and (l.x = 5 or r.y = 7)", ["l.a = r.b", "l.x = 5 or r.y = 7"]),
+        ("l.x between r.lo and r.hi AND l.k = 'a and b'", ["l.x between r.lo and r.hi", "l.k = 'a and b'"]),
+        ("(l.x >= r.lo and l.`a and b` < r.hi)", ["l.x >= r.lo", "l.`a and b` < r.hi"]),
+        ("l.a = 1 or l.b = 2", ["l.a = 1 or l.b = 2"]),
+        ("((l.a = r.a) and f(r.x and r.y) = 1)", ["l.a = r.a", "f(r.x and r.y) = 1"]),
+    ],
+)
+def test_parts_of_a_condition(text, parts):
+    assert conjuncts(text) == parts
+
+
+RANGES = (
+    "l.x BETWEEN r.lo AND r.hi",
+    "r.lo - 2 <= l.x and r.lo + 2 > l.x",
+    "l.x <= r.hi and l.x + 3 >= r.lo",  # both sides have a length
+)
+
+
+@pytest.mark.parametrize("on", RANGES)
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "semi", "anti"])
+def test_join_by_ranges(spark, on, how):
+    r = random.Random(7)
+    odd = [None, 1e308, float("nan"), float("-inf"), 5.0, 5.0]
+    points = [(i, r.choice(odd) if i % 5 == 0 else r.uniform(-30, 30)) for i in range(80)]
+    lows = [r.uniform(-40, 40) for _ in range(60)]
+    spans = [(i, a, r.choice([a, a + 20 * r.random() ** 4, a - 1, None, float("inf")])) for i, a in enumerate(lows)]
+    left = spark.createDataFrame([*points, points[3]], "id int, x double")
+    right = spark.createDataFrame([*spans, spans[4]], "rid int, lo double, hi double")
+    kind = {"semi": "left_semi", "anti": "left_anti", "full": "full_outer"}.get(how, how)
+    plain = left.alias("l").join(right.alias("r"), F.expr(on), kind)
+    assert [*map(str, rows(join(left, right, on=on, how=how)))] == [*map(str, rows(plain))]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "decimal(9,2)", "bigint"])
+def test_types_of_ranges(spark, kind):
+    made = "date'2031-02-07' + cast(id AS int)" if "dec" not in kind and kind != "bigint" else "id"
+    left = spark.sql(f"SELECT id, cast({made} AS {kind}) AS x FROM range(50)")
+    right = left.selectExpr("id AS rid", "x AS lo").filter("rid % 3 = 0")
+    right = right.join(left.selectExpr("id - 2 AS rid", "x AS hi"), "rid")
+    on = "l.x >= r.lo AND l.x < r.hi"
+    plain = left.alias("l").join(right.alias("r"), F.expr(on))
+    assert rows(join(left, right, on=on)) == rows(plain) and plain.count() == 32
+    if kind == "date":
+        texts = left.selectExpr("id", "cast(x AS string) AS x")
+        with pytest.raises(StepError, match="no range of numbers, days or times"):
+            join(texts, right.selectExpr("rid", "string(lo) AS lo", "string(hi) AS hi"), on=on)
+
+
+def test_full_cells_of_a_join_by_ranges_are_cut(spark, monkeypatch):
+    """Half of the rows lie in one cell: no part of it has a third of them, and no pair is lost."""
+    monkeypatch.setattr(range_joins, "CELL_ROWS", 500)
+    left = spark.sql("SELECT id, if(id % 2 = 0, 5.5D, id / 7) AS x FROM range(0, 20000, 1, 8)")
+    right = spark.sql("SELECT id AS rid, id / 1D AS lo, id + 0.75D AS hi FROM range(3000)")
+    on = "l.x >= r.lo AND l.x < r.hi"
+    found = join(left, right, on=on)
+    plain = left.alias("l").join(right.alias("r"), F.expr("floor(l.x) = r.rid AND " + on))
+    sums = F.count(F.lit(1)), F.sum("id"), F.sum("rid")
+    assert found.agg(*sums).first() == plain.agg(*sums).first()
+    sides = range_joins.ranges(range_joins.conjuncts(on))
+    met = range_joins.meet(left, right, F.expr(on), sides)
+    parts = met.groupBy("l.__level", "l.__cell", "l.__part").count()
+    assert parts.agg(F.max("count")).first()[0] < 20_000 / 3
+    # Pairs outside a cell are never made.
+    assert "Cartesian" not in (plan := met._jdf.queryExecution().toString()) and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_hot_keys_of_another_type(spark, how):
+    left = spark.sql("SELECT 7 AS k, id AS l FROM range(300) UNION ALL SELECT 1, -1")
+    right = spark.sql("SELECT 5000000000 AS k, id AS r FROM range(300) UNION ALL SELECT 1L, -1L")
+    for one, other in ((left, right), (right, left)):
+        plain = rows(one.join(other, "k", how))
+        assert rows(join(one, other, how=how, least_hot=100)) == plain
+
+
 def test_unknown_type(left, right):
     with pytest.raises(StepError, match="unknown join type 'sideways'"):
         join(left, right, how="sideways")

@@ -55,6 +55,7 @@ def test_error_names_the_columns(schema):
         ("concat(lit('a b'), col('plain'))", "concat('a b', `plain`)"),
         ("protocol('x')", "protocol('x')"),
         ("plain > 50", "plain > 50"),
+        ("concat('col(\'x\')', \"lit(1)\", `col('y')`)", "concat('col(\'x\')', \"lit(1)\", `col('y')`)"),
     ],
 )
 def test_sql_text(schema, text, sql):
