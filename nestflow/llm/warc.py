@@ -4,17 +4,21 @@ A bundle is a file of independent Zstandard frames, each with some whole WARC re
 skippable frame at the end with the seek table: compressed and decompressed size of each
 frame, their number, and the format's magic number. Any Zstandard decoder reads a bundle as
 one stream; a reader of one record decompresses one frame only. The index has, for each
-record, its bundle, the frame, and the offset and length inside the decompressed frame.
+record's id, its bundle, the frame, and the offset and length inside the decompressed frame.
 
-Of records with equal payloads one is a response and the others are revisits without payload.
+Of records with equal payloads one is a response and the others are revisits without payload,
+which name the response's record. A record's id follows from the run, the page and the payload,
+so that a revisit knows it wherever the response is written.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ FRAME_BYTES = 1 << 20
 #: Compressed bytes after which a bundle is closed.
 BUNDLE_BYTES = 64 << 20
 LEVEL = 3
+#: Decompressed bytes of records that a task reads back.
+READ_BYTES = 64 << 20
 #: Smaller payloads are always written as responses.
 LEAST_REVISIT = 100
 #: Parts that the records of a repeated payload are dealt to.
@@ -166,15 +172,18 @@ def write_archives(
     page_id: str = "page_id",
     url: str = "url",
     payload: str = "html",
+    date: datetime | None = None,
+    frame_bytes: int = FRAME_BYTES,
 ) -> DataFrame:
     """Write a WARC record per row to bundles in ``folder``; return the index.
 
-    Index columns: ``page_id``, ``bundle`` (file name), ``frame``, ``offset`` and ``length``
-    (in the decompressed frame) and ``record_type``. The payload is the text in UTF-8, null
+    Index columns: ``record_id``, ``page_id``, ``bundle`` (file name), ``frame``, ``offset`` and
+    ``length`` (in the decompressed frame) and ``record_type``. Records are HTTP responses of
+    ``date``, now if none is given. The payload is the text in UTF-8, null
     as empty. Of records with equal payloads of ``LEAST_REVISIT`` bytes or more that with
     the smallest id is a response and the others, null ids too, are revisits of it; payloads
     whose ids are all null are responses. A repeated row with the response's own id is a
-    response as well. A null url is left out of the record.
+    response as well, and has its record id. A null url is left out of the record.
 
     A task that runs again writes other files; only those of the attempt that Spark
     commits are in the index, which is written too.
@@ -193,9 +202,11 @@ def write_archives(
     )
     id_type = pages.schema["page_id"].dataType.simpleString()
     schema = (
-        f"page_id {id_type}, bundle string, frame int, offset bigint, length bigint, "
-        "record_type string"
+        f"record_id string, page_id {id_type}, bundle string, frame int, offset bigint, "
+        "length bigint, record_type string"
     )
+    run = uuid.uuid4()
+    date = (date or datetime.now(UTC)).astimezone(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _file_system(folder)
@@ -210,16 +221,19 @@ def write_archives(
                     name = f"{uuid.uuid4().hex}.warc.zst"
                     # The frames are compressed already, whatever the name says.
                     file = store.open_output_stream(f"{root}/{name}", compression=None)
-                    writer = BundleWriter(file)
-                record, kind = _record(row)
-                places.append((name, *writer.add(record), len(record), kind))
+                    writer = BundleWriter(file, frame_bytes)
+                record, record_id, kind = _record(row, run, date)
+                places.append((record_id, name, *writer.add(record), len(record), kind))
                 if writer.size >= BUNDLE_BYTES:
                     writer.close()
                     file.close()
                     writer = None
-            bundle, frame, offset, length, kind = zip(*places, strict=True) if places else [()] * 5
+            record_id, bundle, frame, offset, length, kind = (
+                zip(*places, strict=True) if places else [()] * 6
+            )
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(record_id, pa.string()),
                     batch.column("page_id"),
                     pa.array(bundle, pa.string()),
                     pa.array(frame, pa.int32()),
@@ -227,7 +241,7 @@ def write_archives(
                     pa.array(length, pa.int64()),
                     pa.array(kind, pa.string()),
                 ],
-                ["page_id", "bundle", "frame", "offset", "length", "record_type"],
+                ["record_id", "page_id", "bundle", "frame", "offset", "length", "record_type"],
             )
         if writer is not None:
             writer.close()
@@ -236,14 +250,22 @@ def write_archives(
     return settled(map_batches(decided, write, schema), "warc-index")
 
 
-def _record(row: dict) -> tuple[bytes, str]:
+def _record_id(run: uuid.UUID, page_id: str | None, digest: str) -> str:
+    # Nothing refers to a page without id.
+    named = uuid.uuid4() if page_id is None else uuid.uuid5(run, f"{digest} {page_id}")
+    return f"<urn:uuid:{named}>"
+
+
+def _record(row: dict, run: uuid.UUID, date: str) -> tuple[bytes, str, str]:
     revisit = row["refers_text"] is not None
     kind = "revisit" if revisit else "response"
+    record_id = _record_id(run, row["page_id_text"], row["payload_digest"])
     headers = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
+        ("WARC-Record-ID", record_id),
+        ("WARC-Date", date),
+        ("Content-Type", "application/http; msgtype=response"),
         ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"),
-        ("X-Payload-Length", str(row["payload_bytes"])),
     ]
     if row["page_id_text"] is not None:
         headers.append(("X-Page-ID", _clean(row["page_id_text"])))
@@ -251,32 +273,52 @@ def _record(row: dict) -> tuple[bytes, str]:
         headers.append(("WARC-Target-URI", _clean(row["url"])))
     if revisit:
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        headers += [("WARC-Profile", profile), ("X-Refers-To-Page", _clean(row["refers_text"]))]
-    return warc_record(headers, b"" if revisit else row["payload"]), kind
+        refers_to = _record_id(run, row["refers_text"], row["payload_digest"])
+        headers += [
+            ("WARC-Profile", profile),
+            ("WARC-Refers-To", refers_to),
+            ("X-Refers-To-Page", _clean(row["refers_text"])),
+        ]
+    http = (
+        "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+        f"Content-Length: {row['payload_bytes']}\r\n\r\n"
+    ).encode()
+    return warc_record(headers, http if revisit else http + row["payload"]), record_id, kind
+
+
+def _http_parts(block: bytes) -> tuple[int, bytes]:
+    """The length that a response states, and the payload that is there."""
+    end = block.index(b"\r\n\r\n") + 4
+    stated = re.search(rb"\r\nContent-Length: (\d+)\r\n", block[:end])
+    return int(stated[1]), block[end:]
 
 
 _READ = (
-    "page_id string, url string, payload binary, payload_bytes bigint, payload_digest string, "
-    "record_type string, refers_to string"
+    "record_id string, page_id string, url string, payload binary, payload_bytes bigint, payload_digest string, "
+    "record_type string, refers_to string, refers_to_record string"
 )
 
 
-def _row(headers: dict[str, str], payload: bytes, with_payload: bool) -> dict:
-    """A record's row; the digest and length of a payload that is there are made anew."""
+def _row(headers: dict[str, str], block: bytes, with_payload: bool) -> dict:
+    """A record's row; the digest of a payload that is there is made anew."""
     response = headers["WARC-Type"] == "response"
+    length, payload = _http_parts(block)
     stated = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-    if response and hashlib.sha256(payload).hexdigest() != stated:
+    whole = len(payload) == length and hashlib.sha256(payload).hexdigest() == stated
+    if response and not whole:
         raise ValueError(f"the payload of {headers['WARC-Record-ID']} is damaged")
     page_id, url = headers.get("X-Page-ID"), headers.get("WARC-Target-URI")
     refers_to = headers.get("X-Refers-To-Page")
     return {
+        "record_id": headers["WARC-Record-ID"],
         "page_id": None if page_id is None else _plain(page_id),
         "url": None if url is None else _plain(url),
         "payload": payload if response and with_payload else None,
-        "payload_bytes": len(payload) if response else int(headers["X-Payload-Length"]),
+        "payload_bytes": length,
         "payload_digest": stated,
         "record_type": headers["WARC-Type"],
         "refers_to": None if refers_to is None else _plain(refers_to),
+        "refers_to_record": headers.get("WARC-Refers-To"),
     }
 
 
@@ -313,13 +355,14 @@ def read_archives(index: DataFrame, folder: str, with_payload: bool = False) ->
 
         yield from _batches(rows(), schema)
 
+    # A task for each, which adaptive execution would not give so short a list.
     bundles = index.select("bundle").distinct()
-    return map_batches(bundles, read, _READ)
+    return map_batches(bundles.repartition(max(1, bundles.count()), "bundle"), read, _READ)
 
 
-def read_records(index: DataFrame, folder: str) -> DataFrame:
+def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """The records that the index's rows point at, and no others: a frame is read once for
-    all its records that are asked for."""
+    all its records that are asked for. A task reads about ``READ_BYTES`` of them."""
     schema = arrow_schema(index.sparkSession, _READ)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,26 +384,31 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     start = place["offset"]
                     record = data[start : start + place["length"]]
                     for headers, payload, _, _ in parse_records(record):
-                        yield _row(headers, payload, True)
+                        yield _row(headers, payload, with_payload)
             if file is not None:
                 file.close()
 
         yield from _batches(rows(), schema)
 
     places = index.select("bundle", "frame", "offset", "length")
-    places = places.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
-    return map_batches(places, read, _READ)
+    size = places.agg(F.sum("length"), F.count_distinct("bundle", "frame")).first()
+    # By bytes, but as many tasks as run at one time if there are so many frames.
+    at_once = min(size[1], index.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(1, at_once, -(-(size[0] or 0) // READ_BYTES))
+    places = places.repartition(tasks, "bundle", "frame")
+    return map_batches(places.sortWithinPartitions("bundle", "frame", "offset"), read, _READ)
 
 
 def round_trip(pages: DataFrame, **names) -> DataFrame:
-    """Write the pages to archives in the shared folder and read them back.
+    """Write the pages to archives in the shared folder and read all records back by the index.
 
-    Columns: those of ``read_archives``, without payloads, ids in the type of ``page_id``.
+    Columns: those of ``read_records``, without payloads and record ids, ids in the type of
+    ``page_id``.
     """
     spark: SparkSession = pages.sparkSession
     folder = new_folder(spark, "warc")
     index = write_archives(pages, folder, **names)
     id_type = index.schema["page_id"].dataType
-    back = read_archives(index, folder)
+    back = read_records(index, folder, with_payload=False)
     ids = {c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")}
-    return back.withColumns(ids).drop("payload")
+    return back.withColumns(ids).drop("payload", "record_id", "refers_to_record")

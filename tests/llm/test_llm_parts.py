@@ -6,6 +6,7 @@ import io
 import math
 import random
 from collections import Counter
+from datetime import UTC, datetime
 from fractions import Fraction
 
 import numpy as np
@@ -381,6 +382,45 @@ def test_records_by_index(spark, tmp_path, monkeypatch):
             assert int(row["refers_to"]) == page_id % 7
 
 
+def test_records_are_whole_and_read_in_many_tasks(spark, tmp_path):
+    rows = [(i, f"http://x/{i}", f"<p>{i % 40}</p>" * 30) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    folder = str(tmp_path / "archives")
+    date = datetime(2031, 2, 7, 1, 2, 3, tzinfo=UTC)
+    index = warc.write_archives(pages, folder, date=date, frame_bytes=2_000)
+    places = {r["record_id"]: r for r in index.collect()}
+    assert len(places) == 200
+    seen = {}
+    for path in (tmp_path / "archives").iterdir():
+        with path.open("rb") as file:
+            reader = warc.BundleReader(file)
+            for number in range(len(reader)):
+                for headers, block, offset, length in warc.parse_records(reader.frame(number)):
+                    place = places[headers["WARC-Record-ID"]]
+                    assert (place["bundle"], place["frame"]) == (path.name, number)
+                    assert (place["offset"], place["length"]) == (offset, length)
+                    assert headers["WARC-Date"] == "2031-02-07T01:02:03Z"
+                    assert headers["Content-Type"] == "application/http; msgtype=response"
+                    assert int(headers["Content-Length"]) == len(block)
+                    assert block.startswith(b"HTTP/1.1 200 OK\r\n")
+                    seen[headers["WARC-Record-ID"]] = headers
+    for record_id, headers in seen.items():
+        page = places[record_id]["page_id"]
+        assert headers["WARC-Type"] == ("response" if page < 40 else "revisit")
+        if page >= 40:
+            # The response's record, which may be in any bundle.
+            response = places[headers["WARC-Refers-To"]]
+            assert (response["page_id"], response["record_type"]) == (page % 40, "response")
+            assert headers["WARC-Profile"].endswith("/revisit/identical-payload-digest")
+    for back in (warc.read_records(index, folder), warc.read_archives(index, folder)):
+        assert {r["record_id"] for r in back.collect()} == places.keys()
+    tasks = warc.read_records(index, folder).select(F.spark_partition_id().alias("task"))
+    assert tasks.distinct().count() > 4
+    bundles = index.select("bundle").distinct().count()
+    whole = warc.read_archives(index, folder).rdd.getNumPartitions()
+    assert whole == bundles
+
+
 def test_tokenizer_files_are_not_in_the_repository():
     from pathlib import Path
 
