@@ -351,8 +351,10 @@ def score_documents(
     one end. Columns: ``doc_id``, ``held_out`` (null counts as false), ``n_tokens``,
     ``n_known`` (tokens that training documents have), ``train_tokens`` (all tokens of
     training documents), ``base_score`` (log10 of the add-one unigram probability of the
-    words) and ``score`` (log10 of the probability under the subword model). A null or empty
-    text has no words. Repeated rows and ids are documents of their own.
+    words), ``score`` (log10 of the probability under the subword model, in which a word of the
+    training documents has an edge of its own beside its pieces) and ``lattice_score`` (the same
+    by pieces alone: the marginal over all segmentations into them). A null or empty text has
+    no words. Repeated rows and ids are documents of their own.
     """
     marked = docs.select(
         docs[doc_id].alias("doc_id"),
@@ -379,17 +381,17 @@ def score_documents(
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = (
         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
-        "base_score double, score double"
+        "base_score double, score double, lattice_score double"
     )
     arrow = arrow_schema(docs.sparkSession, schema)
 
     def add_up(own: pa.Table, words: pa.Table) -> pa.Table:
         place = words.column("number").to_numpy()
-        values = np.zeros((3, len(place)))
-        for i, name in enumerate(("known", "base", "score")):
+        values = np.zeros((4, len(place)))
+        for i, name in enumerate(("known", "base", "score", "lattice")):
             values[i, place] = words.column(name).to_numpy()
         unpack = zstandard.ZstdDecompressor().decompress
-        sums = np.empty((4, own.num_rows))
+        sums = np.empty((5, own.num_rows))
         for i, packed in enumerate(own.column("numbers").to_pylist()):
             number, times = np.frombuffer(unpack(packed), "<u4").reshape(2, -1)
             sums[1:, i] = values[:, np.cumsum(number, dtype=np.int64)] @ times
@@ -400,8 +402,7 @@ def score_documents(
                 own.column("held_out"),
                 pa.array(sums[0].astype(np.int64)),
                 pa.array(sums[1].astype(np.int64)),
-                pa.array(sums[2]),
-                pa.array(sums[3]),
+                *map(pa.array, sums[2:]),
             ],
             schema=arrow,
         )
@@ -416,11 +417,12 @@ def score_documents(
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         "base_score",
         "score",
+        "lattice_score",
     )
 
 
 def _scored(words: DataFrame, path: str, log_p: np.ndarray, counts: dict) -> DataFrame:
-    """The words with ``known`` (1 or 0), and log10 terms ``base`` and ``score``."""
+    """The words with ``known`` (1 or 0), and log10 terms ``base``, ``score`` and ``lattice``."""
     tokens, distinct = counts["tokens"], counts["distinct"]
     once, twice = counts["once"], counts["twice"]
     # What each word of the training documents gives up for the paths through pieces.
@@ -431,19 +433,21 @@ def _scored(words: DataFrame, path: str, log_p: np.ndarray, counts: dict) -> Dat
 
         def work(batch: pa.RecordBatch) -> Iterator[dict]:
             times = batch.column("times").to_numpy().astype(float)
-            scores = word_scores(batch.column("word").to_pylist(), own, log_p)
+            spelt = scores = word_scores(batch.column("word").to_pylist(), own, log_p)
             if tokens:
                 whole = np.maximum(times - discount, 0) / tokens
                 with np.errstate(divide="ignore"):
                     whole = np.log(whole)
-                scores = np.logaddexp(whole, scores + math.log(discount * distinct / tokens))
+                scores = np.logaddexp(whole, spelt + math.log(discount * distinct / tokens))
             yield {
                 "word": batch.column("word"),
                 "known": (times > 0).astype(float),
                 "base": np.log10((times + 1) / (tokens + distinct + 1)),
                 "score": scores / math.log(10),
+                "lattice": spelt / math.log(10),
             }
 
         return work
 
-    return map_rows(words, "word binary, known double, base double, score double", make)
+    schema = "word binary, known double, base double, score double, lattice double"
+    return map_rows(words, schema, make)

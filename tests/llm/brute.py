@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 
 import public_tokenizers
+import sentencepiece
 import xxhash
 from tokenizers import Tokenizer
 
@@ -117,3 +119,30 @@ def measures(text: str | None) -> dict:
 
 def held_out(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 7 == 2
+
+
+def piece_ids(path: str) -> dict[str, int]:
+    """Places of a SentencePiece file's pieces in the lattice's vocabulary."""
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    ids, n = {}, 0
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            n += 1
+        elif not (model.is_control(i) or model.is_unknown(i) or "\u2581" in piece[1:]):
+            ids[piece] = n
+            n += 1
+    return ids
+
+
+def marginal(word: str, ids: dict[str, int], of_byte, log_p) -> float:
+    """Log of the sum over all segmentations of a word, its first character's mark before it."""
+    text = "\u2581" + word
+    p = [1.0] + [0.0] * len(text)
+    for end in range(1, len(text) + 1):
+        for start in range(end):
+            if text[start:end] in ids:
+                p[end] += p[start] * math.exp(log_p[ids[text[start:end]]])
+        spelt = sum(log_p[of_byte[b]] for b in text[end - 1].encode())
+        p[end] += p[end - 1] * math.exp(spelt)
+    return math.log(p[-1])

@@ -12,7 +12,6 @@ from fractions import Fraction
 import numpy as np
 import public_tokenizers
 import pytest
-import sentencepiece
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -102,34 +101,12 @@ def test_components_of_a_chain(spark):
     assert got == {(i, 0) for i in range(61)}
 
 
-def piece_ids() -> dict[str, int]:
-    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    ids, n = {}, 0
-    for i in range(model.get_piece_size()):
-        piece = model.id_to_piece(i)
-        if model.is_byte(i) or not (
-            model.is_control(i) or model.is_unknown(i) or lattice.MARK in piece[1:]
-        ):
-            if not model.is_byte(i):
-                ids[piece] = n
-            n += 1
-    return ids
-
-
 def test_lattice_sums_all_segmentations():
-    own, ids = lattice.vocabulary(PIECES), piece_ids()
+    own, ids = lattice.vocabulary(PIECES), brute.piece_ids(PIECES)
     log_p = np.log(np.random.default_rng(0).dirichlet(np.ones(own.size)))
 
     def slow(word: str) -> float:
-        text = lattice.MARK + word
-        p = [1.0] + [0.0] * len(text)
-        for end in range(1, len(text) + 1):
-            for start in range(end):
-                if text[start:end] in ids:
-                    p[end] += p[start] * math.exp(log_p[ids[text[start:end]]])
-            spelt = sum(log_p[own.of_byte[b]] for b in text[end - 1].encode())
-            p[end] += p[end - 1] * math.exp(spelt)
-        return math.log(p[-1])
+        return brute.marginal(word, ids, own.of_byte, log_p)
 
     r = random.Random(3)
     words = ["the", "retitioning", "é", "漢字", "of,"]

@@ -90,6 +90,14 @@ def test_language_model(spark, documents):
             for t, s in zip(tokens, spelt, strict=True)
         )
         assert row["score"] == pytest.approx(score, rel=1e-6)
+        assert row["lattice_score"] == pytest.approx(sum(spelt) / math.log(10), rel=1e-6)
+    # End to end: each word of a document by all its segmentations, in plain Python.
+    ids, shortest = brute.piece_ids(PIECES), min(held, key=lambda row: row["n_tokens"])
+    total_log = log_p[own.end] + sum(
+        brute.marginal(w, ids, own.of_byte, log_p)
+        for w in brute.words(dict(documents)[shortest["doc_id"]])
+    )
+    assert shortest["lattice_score"] == pytest.approx(total_log / math.log(10), rel=1e-6)
 
 
 def test_bpe(spark, documents):
