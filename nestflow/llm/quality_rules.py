@@ -252,15 +252,13 @@ def keep_good(
 ) -> DataFrame:
     """The documents that are kept, with all their columns.
 
-    Texts are measured twice, for the hosts and for the verdicts, which costs less than to
-    write all texts with their measures or to join them back.
+    Texts are measured once: documents are written with their measures, and read back with the
+    hosts' verdicts.
     """
-    hosts = docs.select(docs[host].alias("host_name"), docs[text].alias("own_text"))
-    measured = measures(hosts, "own_text")
-    verdicts = host_verdicts(measured.drop("own_text"), "host_name", limits)
     names = [f"kept_{i}" for i in range(len(docs.columns))]
     columns = dict(zip(docs.columns, names, strict=True))
-    renamed = docs.toDF(*names)
-    rows = measures(renamed, columns[text])
-    good = _judged(rows, columns[host], verdicts, limits).filter("kept")
+    measured = settled(measures(docs.toDF(*names), columns[text]), "measured-documents")
+    # Parquet reads the host and the measures only.
+    verdicts = host_verdicts(measured, columns[host], limits)
+    good = _judged(measured, columns[host], verdicts, limits).filter("kept")
     return good.select(*(F.col(n).alias(c) for c, n in columns.items()))
