@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nestflow.functions.paths import quote_path
 from nestflow.operators import apply_steps
+from nestflow.sources.tree import LEVEL, PATH, scan_tree
 
 # --- Fixed values: element names of the inventory format and the names of the result. ---
 
@@ -155,6 +159,30 @@ _CONTEXTS = [
 INVENTORY_STEPS = [*_CONTEXTS, *CONTAINER_STEPS]
 
 
+def container_tree(
+    spark: SparkSession, paths: str | list[str], ancestors: Mapping[str, tuple[str, str]], **options
+) -> DataFrame:
+    """All containers, however deep, a row each: ``id``, its parent's id as ``parent``, ``level``
+    from 1, ``path`` (the ids from the outermost container, with slashes), ``kind`` (its data
+    type) and values of what is around the outermost one.
+
+    A container without id counts as one of the id "". ``options`` are those of ``scan_tree``.
+    """
+    schema = T.StructType(
+        [*strings("_id"), struct_field(ATTRIBUTES, *strings("xn:vsDataType"))]
+    )
+    rows = scan_tree(spark, paths, CONTAINER, schema, ancestors=ancestors, **options)
+    kind = F.col(f"{quote_path([ATTRIBUTES])}.{quote_path(['xn:vsDataType'])}")
+    return rows.select(
+        *[quote_path([c]) for c in ancestors],
+        LEVEL,
+        F.element_at(PATH, -1).alias("id"),
+        F.get(PATH, F.col(LEVEL) - 2).alias("parent"),
+        F.array_join(PATH, "/").alias("path"),
+        kind.alias("kind"),
+    )
+
+
 def deeper_containers(exports: DataFrame, depth: int = len(LEVELS)) -> DataFrame:
     """Containers below the levels that were read, which no row of the inventory shows.
 

@@ -172,6 +172,31 @@ def nested_tag_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     orders.select(text.alias("value")).write.text(path)
 
 
+@_once
+def deep_inventory_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Customers as network elements with containers down to eight levels: on each level one
+    without others below, and, but on the last, one that holds the next level."""
+
+    def container(number: Column, kind: str) -> Column:
+        return F.concat(
+            F.lit(f'<{CONTAINER} id="'), (F.col("c_custkey") * 100 + number).cast("string"),
+            F.lit(f'"><xn:attributes><xn:vsDataType>{kind}</xn:vsDataType></xn:attributes>'),
+        )
+
+    def level(k: Column) -> Column:
+        leaf = F.concat(container(50 + k, "leaf"), F.lit(f"</{CONTAINER}>"))
+        return F.concat(container(k, "branch"), leaf)
+
+    depth = (1 + F.col("c_custkey") % 8).cast("int")
+    text = F.concat(
+        F.lit('<xn:MeContext id="'), "c_mktsegment", F.lit('"><xn:ManagedElement id="'),
+        F.col("c_custkey").cast("string"), F.lit('">'),
+        F.array_join(F.transform(F.sequence(F.lit(1), depth), level), ""),
+        F.repeat(F.lit(f"</{CONTAINER}>"), depth), F.lit("</xn:ManagedElement></xn:MeContext>"),
+    )
+    table(spark, sf_dir, "customer").select(text.alias("value")).write.text(path)
+
+
 @_once
 def prefixed_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Orders under one prefix if they are finished, else under another, in files apart."""

@@ -3,6 +3,7 @@
 from nestflow.sources.elements import files_read, scan_elements, scan_named, tags_named
 from nestflow.sources.fragments import scan_fragments
 from nestflow.sources.landing import Landing, day_folders, list_days, parse_day, scan_landing
+from nestflow.sources.tree import scan_tree
 from nestflow.sources.xml import (
     CORRUPT,
     SOURCE_FILE,
@@ -26,6 +27,7 @@ __all__ = [
     "scan_fragments",
     "scan_landing",
     "scan_named",
+    "scan_tree",
     "scan_xml",
     "split_corrupt",
     "tags_named",

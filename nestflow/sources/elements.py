@@ -123,6 +123,10 @@ class Cutter:
         if self.depth:
             self._parts.append(piece[begin:])
 
+    def end_of_start(self, text: str, at: int) -> int:
+        """Where the start tag of the row tag ends that begins there."""
+        return self._end_of_start(self._start, text, at)[0]
+
     @staticmethod
     def _end_of_start(pattern: re.Pattern, piece: str, at: int) -> tuple[int, bool]:
         """Where a start tag ends, and whether it ends its element."""
@@ -159,6 +163,7 @@ def scan_elements(
     *,
     keep_corrupt: bool = False,
     with_file: bool = False,
+    with_text: bool = False,
     ancestors: Mapping[str, tuple[str, str]] | None = None,
     ignore_namespace: bool = False,
     recursive: bool = False,
@@ -170,7 +175,8 @@ def scan_elements(
 
     The scan runs at once, and what is returned reads the rows from ``folder``, or from a new
     folder in the shared one, which is the caller's to delete. ``keep_corrupt`` adds the text of
-    each element that does not fit the schema or that its file's end cuts off. ``ancestors`` maps
+    each element that does not fit the schema or that its file's end cuts off, ``with_text`` the
+    text of every element as ``element_text``. ``ancestors`` maps
     a column name to (tag, attribute) of an element around the rows, null where none is open.
     With ``ignore_namespace`` the schema's names lack prefixes; ``row_tag`` is written as in the
     files. A file that declares another encoding than ``encoding`` stops the job. ``reader`` may
@@ -182,15 +188,15 @@ def scan_elements(
     ancestors = dict(ancestors or {})
     folder = folder or new_folder(spark, "elements")
     rows = _Rows(schema, keep_corrupt, ignore_namespace)
-    kept = [*ancestors, *([SOURCE_FILE] if with_file else [])]
+    kept = [*ancestors, *([SOURCE_FILE] if with_file else []), *([TEXT] if with_text else [])]
     if not paths:
         strings = ", ".join(f"`{c}` string" for c in {TEXT, SOURCE_FILE, *ancestors})
         none = rows.parsed(spark.createDataFrame([], strings), F.lit(False), kept)
         return none.select(*[top(c) for c in [*rows.names, *kept]])
     with fixed_splits(spark):
         pieces = _pieces(spark, paths, row_tag, recursive, encoding, reader)
-        staged, states = _agreed(pieces, row_tag, ancestors, rows, folder)
-    origin = [SOURCE_FILE, BLOCK, *ancestors]
+        staged, states = _agreed(pieces, row_tag, ancestors, rows, folder, with_text)
+    origin = [SOURCE_FILE, BLOCK, *ancestors, *([TEXT] if with_text else [])]
     whole = staged.filter(F.col(KIND) == ELEMENT).select(*map(top, [*rows.names, *origin]))
     over = _joined(staged.filter(F.col(KIND) != ELEMENT), list(ancestors))
     made = whole.unionAll(rows.parsed(over, F.col("cut"), origin))
@@ -217,7 +223,8 @@ class _Rows:
         """
         text_schema = T.StructType([*self._text_schema.fields]).add(CORRUPT, T.StringType())
         parsed = F.from_xml(F.when(~cut, F.col(TEXT)), text_schema, self._options)
-        df = df.select(parsed.alias("parsed row"), cut.alias("cut off"), TEXT, *map(top, kept))
+        others = [top(c) for c in kept if c != TEXT]
+        df = df.select(parsed.alias("parsed row"), cut.alias("cut off"), TEXT, *others)
         fields = {n: F.col(f"`parsed row`.{quote_path([n])}") for n in self._schema.names}
         made = [
             (typed(c, self._types[n]) if n in self._types else c).alias(n)
@@ -334,7 +341,7 @@ def _runs(files: pa.Array, blocks: pa.Array) -> list[tuple[int, int]]:
 
 
 def _agreed(
-    pieces: DataFrame, row_tag: str, ancestors: Mapping, rows: _Rows, folder: str
+    pieces: DataFrame, row_tag: str, ancestors: Mapping, rows: _Rows, folder: str, with_text: bool
 ) -> tuple[DataFrame, DataFrame]:
     """Rows and states of all splits, each read as those before it say that it begins."""
     spark = pieces.sparkSession
@@ -344,8 +351,9 @@ def _agreed(
     for number in count():
         df = _cut(read, row_tag, ancestors)
         element = F.col(KIND) == ELEMENT
-        # Only ends of elements are kept as text.
-        df = df.withColumn("end text", F.when(~element, top(TEXT)))
+        # Else only ends of elements are kept as text.
+        kept_text = top(TEXT) if with_text else F.when(~element, top(TEXT))
+        df = df.withColumn("end text", kept_text)
         df = df.withColumn(TEXT, F.when(element, top(TEXT)))
         df = rows.parsed(df, F.lit(False), [*kept, "end text"])
         df.withColumnRenamed("end text", TEXT).write.parquet(f"{folder}/rows-{number}")

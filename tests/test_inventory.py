@@ -4,7 +4,12 @@ import pytest
 
 from nestflow import apply_steps
 from nestflow.plans import INVENTORY_STEPS, inventory_schema
-from nestflow.plans.inventory import CONTAINER_STEPS, deeper_containers, me_context_schema
+from nestflow.plans.inventory import (
+    CONTAINER_STEPS,
+    container_tree,
+    deeper_containers,
+    me_context_schema,
+)
 from nestflow.sources import scan_elements, scan_xml
 from tests.conftest import rows
 
@@ -207,3 +212,33 @@ def test_deeper_containers_are_told(spark, write_text):
     assert deeper(5) == []
     with pytest.raises(ValueError, match="3 levels"):
         inventory_schema(depth=2)
+
+
+def test_containers_of_any_depth(spark, write_text, tmp_path):
+    """Twelve levels, several children on each, comments between, in many splits."""
+
+    def made(path: tuple[int, ...]) -> str:
+        if len(path) == 12:
+            return container("".join(map(str, path)))
+        below = "".join(made((*path, i)) for i in range(2 if len(path) < 5 else 1))
+        return container("".join(map(str, path)), f"<!-- {'x' * 40} </xn:VsDataContainer> -->", below)
+
+    text = export(element("m1", made((1,)), made((2,))), element("m2", made((3,))))
+    path = write_text("deep.xml", text)
+    want, todo = {}, [((1,), "m1"), ((2,), "m1"), ((3,), "m2")]
+    while todo:
+        here, owner = todo.pop()
+        ids = ["C" + "".join(map(str, here[:n])) for n in range(1, len(here) + 1)]
+        want["/".join(ids)] = (owner, len(ids), ids[-2] if len(ids) > 1 else None)
+        if len(here) < 12:
+            todo += [((*here, i), owner) for i in range(2 if len(here) < 5 else 1)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(text) // 10))
+    try:
+        found = container_tree(spark, path, {"owner": ("xn:MeContext", "id")})
+        assert {r.path: (r.owner, r.level, r.parent) for r in found.collect()} == want
+        assert found.count() == len(want) > 250
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    none = container_tree(spark, write_text("none.xml", "<r></r>"), {"owner": ("o", "id")})
+    assert none.count() == 0
