@@ -13,6 +13,7 @@ import functools
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from tokenizers import pre_tokenizers
 
 from nestflow.llm.base import blocks, fields, free_name, map_rows, utf8
-from nestflow.llm.pieces import Memo, parts
+from nestflow.llm.pieces import Memo, split
 
 #: The pattern that splits text before the merges.
 PATTERN = (
@@ -76,7 +77,9 @@ class ByteBPE:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        return [b"".join(ids) for ids in self._memo.of([parts(text) for text in texts])]
+        found, each = split(texts)
+        ids = map(b"".join, self._memo.of(found))
+        return [b"".join(islice(ids, count)) for count in each]
 
     def decode(self, ids: bytes) -> str:
         tokens = map(self._bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())

@@ -5,13 +5,14 @@ from __future__ import annotations
 import functools
 import os
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestflow.llm.base import BLOCK_BYTES, blocks, fields, free_name, map_rows, utf8
-from nestflow.llm.pieces import Memo, parts
+from nestflow.llm.pieces import Memo, split
 
 #: Text that the library encodes in one call.
 BATCH_BYTES = 256 << 10
@@ -22,7 +23,7 @@ class Counter:
 
     A ``.json`` file must be byte-level BPE without a prefix space: texts are split at the
     boundaries that such a tokenizer never joins over, and distinct parts are encoded in
-    batches of even size in bytes. A ``.model`` file has no such boundaries: its texts are
+    batches of even size in UTF-8. A ``.model`` file has no such boundaries: its texts are
     encoded whole.
     """
 
@@ -48,12 +49,14 @@ class Counter:
 
     def _whole(self, texts: list[str]) -> list[int]:
         counts: list[int] = []
-        for start, end in blocks(texts, BATCH_BYTES):
+        for start, end in blocks([t.encode() for t in texts], BATCH_BYTES):
             counts += map(len, self._encode(texts[start:end]))
         return counts
 
     def _by_parts(self, texts: list[str]) -> list[int]:
-        return [sum(lengths) for lengths in self._memo.of([parts(t) for t in texts])]
+        found, each = split(texts, BATCH_BYTES)
+        sums = map(sum, self._memo.of(found))
+        return [sum(islice(sums, count)) for count in each]
 
 
 @functools.lru_cache(maxsize=4)

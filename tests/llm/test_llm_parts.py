@@ -18,12 +18,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from nestflow.llm import lattice, licenses, line_dedup, quality_rules, sharding, simhash, warc
-from nestflow.llm.bpe import ByteBPE
+from nestflow.llm.bpe import ByteBPE, digests
 from nestflow.llm.decontamination import contamination
 from nestflow.llm.hashing import gray_rank
 from nestflow.llm.license_templates import TEMPLATES
-from nestflow.llm.pieces import parts
+from nestflow.llm.pieces import parts, segments
 from nestflow.llm.queries import BYTE_BPE, PIECES
+from nestflow.llm.token_counts import count_tokens
 from tests.llm import brute
 from tests.llm.test_edge_cases import check_shards
 
@@ -327,6 +328,36 @@ def test_written_shards_fit(spark, tmp_path):
     assert all(r["n"] <= 1_000 for r in sizes) and len(sizes) > 4
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_segments_have_the_tokens_of_the_text(seed):
+    """Texts without spaces, or with few, cut every dozen characters."""
+    r = random.Random(seed)
+    kinds = [
+        "abcXYZ", "0123456789", "漢字中文", "，。！？", "\n\t", " ", "'", "|<>.,-_=/+", "é", "٣", "\u2003", "😀",
+    ]
+    special = ["<|endoftext|>", "don't", "a'll9", "x\n\n y", "1\n2", "\n "]
+    for _ in range(150):
+        text = "".join(
+            r.choice(special) if r.random() < 0.1 else "".join(r.choices(r.choice(kinds), k=r.randint(1, 6)))
+            for _ in range(r.randint(0, 80))
+        )
+        made = segments(text, limit=r.choice([4, 16, 48]))
+        assert "".join(made) == text
+        assert [i for s in made for i in brute.ids(s)] == brute.ids(text)
+    chinese = "".join(r.choices("漢字中文，。", k=3_000))
+    assert len(segments(chinese, 400)) > 20 and len(segments("a1" * 3_000, 400)) > 20
+
+
+def test_long_texts_without_spaces(spark):
+    texts = ["漢字，" * 60_000, "word7" * 30_000, "line\n" * 40_000, "base64+/" * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    counts = {r["doc_id"]: r["n_tokens"] for r in count_tokens(df, BYTE_BPE, 10).collect()}
+    coded = {r["doc_id"]: r["ids_sha256"] for r in digests(df, BYTE_BPE).collect()}
+    for number, text in enumerate(texts):
+        ids = brute.ids(text)
+        assert (counts[number], coded[number]) == (len(ids), brute.ids_digest(ids))
+
+
 def test_bundle_is_seekable_and_plain_zstandard():
     file = io.BytesIO()
     writer = warc.BundleWriter(file, frame_bytes=500)
