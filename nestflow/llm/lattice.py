@@ -373,6 +373,7 @@ def score_documents(
     ).first()
     tokens = counts["tokens"]
     log_p = fit(words, path, rounds)
+    unknown = -math.log10(tokens + counts["distinct"] + 1)
     scored = settled(_scored(words, path, log_p, counts.asDict()), "scored-words")
     # The words grow with the documents: they are never broadcast.
     numbers = in_chunks.drop("times").join(scored.hint("merge"), "word").drop("word")
@@ -388,8 +389,10 @@ def score_documents(
     def add_up(own: pa.Table, words: pa.Table) -> pa.Table:
         place = words.column("number").to_numpy()
         values = np.zeros((4, len(place)))
-        for i, name in enumerate(("known", "base", "score", "lattice")):
+        for i, name in enumerate(("base", "score", "lattice"), 1):
             values[i, place] = words.column(name).to_numpy()
+        # A word that training has is twice as likely as one that it lacks, at least.
+        values[0, place] = values[1, place] > unknown + 0.1
         unpack = zstandard.ZstdDecompressor().decompress
         sums = np.empty((5, own.num_rows))
         for i, packed in enumerate(own.column("numbers").to_pylist()):
@@ -422,7 +425,7 @@ def score_documents(
 
 
 def _scored(words: DataFrame, path: str, log_p: np.ndarray, counts: dict) -> DataFrame:
-    """The words with ``known`` (1 or 0), and log10 terms ``base``, ``score`` and ``lattice``."""
+    """The words with their log10 terms ``base``, ``score`` and ``lattice``."""
     tokens, distinct = counts["tokens"], counts["distinct"]
     once, twice = counts["once"], counts["twice"]
     # What each word of the training documents gives up for the paths through pieces.
@@ -441,7 +444,6 @@ def _scored(words: DataFrame, path: str, log_p: np.ndarray, counts: dict) -> Dat
                 scores = np.logaddexp(whole, spelt + math.log(discount * distinct / tokens))
             yield {
                 "word": batch.column("word"),
-                "known": (times > 0).astype(float),
                 "base": np.log10((times + 1) / (tokens + distinct + 1)),
                 "score": scores / math.log(10),
                 "lattice": spelt / math.log(10),
@@ -449,5 +451,5 @@ def _scored(words: DataFrame, path: str, log_p: np.ndarray, counts: dict) -> Dat
 
         return work
 
-    schema = "word binary, known double, base double, score double, lattice double"
+    schema = "word binary, base double, score double, lattice double"
     return map_rows(words, schema, make)
