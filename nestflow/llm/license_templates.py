@@ -58,6 +58,135 @@ TEMPLATES = {
         the GNU General Public License along with this program. If not, see
         https://www.gnu.org/licenses/.
     """,
+    "GPL-2.0 header": """
+        This program is free software; you can redistribute it and/or modify it under the
+        terms of the GNU General Public License as published by the Free Software Foundation;
+        either version 2 of the License, or (at your option) any later version. This program
+        is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+        even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See
+        the GNU General Public License for more details. You should have received a copy of
+        the GNU General Public License along with this program; if not, write to the Free
+        Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.
+    """,
+    "LGPL-3.0 header": """
+        This library is free software: you can redistribute it and/or modify it under the
+        terms of the GNU Lesser General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version.
+        This library is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+        PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You
+        should have received a copy of the GNU Lesser General Public License along with this
+        library. If not, see https://www.gnu.org/licenses/.
+    """,
+    "AGPL-3.0 header": """
+        This program is free software: you can redistribute it and/or modify it under the
+        terms of the GNU Affero General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+        PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You
+        should have received a copy of the GNU Affero General Public License along with this
+        program. If not, see https://www.gnu.org/licenses/.
+    """,
+    "BSD-2-Clause": """
+        Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met: 1. Redistributions of source
+        code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation
+        and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY
+        THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS
+        FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+        CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+        CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS
+        OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+        AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+        (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+        SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+    """,
+    "BSD-3-Clause": """
+        Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met: 1. Redistributions of source
+        code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation
+        and/or other materials provided with the distribution. 3. Neither the name of the
+        copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission. THIS
+        SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+        OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+        THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+        PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR
+        BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY
+        WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+        DAMAGE.
+    """,
+    "0BSD": """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with
+        or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR
+        DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+        OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+        SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER
+        RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+        NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE.
+    """,
+    "Unlicense": """
+        This is free and unencumbered software released into the public domain. Anyone is free
+        to copy, modify, publish, use, compile, sell, or distribute this software, either in
+        source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means. In jurisdictions that recognize copyright laws, the
+        author or authors of this software dedicate any and all copyright interest in the
+        software to the public domain. We make this dedication for the benefit of the public
+        at large and to the detriment of our heirs and successors. We intend this dedication
+        to be an overt act of relinquishment in perpetuity of all present and future rights to
+        this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY
+        OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT
+        SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN
+        ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+        SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please
+        refer to https://unlicense.org
+    """,
+    "BSL-1.0": """
+        Permission is hereby granted, free of charge, to any person or organization obtaining
+        a copy of the software and accompanying documentation covered by this license (the
+        "Software") to use, reproduce, display, distribute, execute, and transmit the
+        Software, and to prepare derivative works of the Software, and to permit third-parties
+        to whom the Software is furnished to do so, all subject to the following: The
+        copyright notices in the Software and this entire statement, including the above
+        license grant, this restriction and the following disclaimer, must be included in all
+        copies of the Software, in whole or in part, and all derivative works of the Software,
+        unless such copies or derivative works are solely in the form of machine-executable
+        object code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS
+        IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+        THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND
+        NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE
+        SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+        DEALINGS IN THE SOFTWARE.
+    """,
+    "MPL-2.0 header": """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.
+        If a copy of the MPL was not distributed with this file, You can obtain one at
+        https://mozilla.org/MPL/2.0/.
+    """,
+    "CC0-1.0 notice": """
+        To the extent possible under law, the author has waived all copyright and related or
+        neighboring rights to this work.
+    """,
+    "EUPL-1.2 notice": "Licensed under the European Union Public Licence, version 1.2.",
+    "CC-BY-4.0 long notice": (
+        "This work is licensed under a Creative Commons Attribution 4.0 International License."
+    ),
+    "CC-BY-SA-4.0 long notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International"
+        " License."
+    ),
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "MIT notice": "Released under the MIT License.",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",

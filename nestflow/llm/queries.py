@@ -313,18 +313,57 @@ def op2_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT *, unnest(range(1, len(words))) AS i FROM listed)
         GROUP BY doc_id, name, segment, gram
     ), compared AS (
-        SELECT d.doc_id, t.name, d.segment,
-               2 * sum(least(d.n, t.n)) / CAST(any_value(d.size + t.size) AS DOUBLE) AS dice
+        SELECT d.doc_id, t.name, sum(least(d.n, t.n)) AS shared,
+               any_value(d.size + t.size) AS sizes
         FROM grams d JOIN grams t ON d.gram = t.gram
         WHERE d.name IS NULL AND t.name IS NOT NULL
         GROUP BY d.doc_id, t.name, d.segment
+    ), places AS (
+        SELECT doc_id, i AS place, words[i] || ' ' || words[i + 1] AS gram
+        FROM (
+            SELECT doc_id, words, unnest(range(1, len(words))) AS i
+            FROM (SELECT doc_id, list_filter(string_split(replace(plain, chr(10), ' '), ' '),
+                                             lambda w: w <> '') AS words FROM plain)
+        )
+    ), hits AS (
+        SELECT p.doc_id, t.name, place, p.gram, t.n, t.size,
+               row_number() OVER (PARTITION BY p.doc_id, t.name, p.gram ORDER BY place) AS nth
+        FROM places p JOIN grams t ON p.gram = t.gram WHERE t.name IS NOT NULL
+    ), marked AS (
+        SELECT h.doc_id, h.name, h.place, h.size, coalesce(e.place, -1) AS before
+        FROM hits h LEFT JOIN hits e ON e.doc_id = h.doc_id AND e.name = h.name
+            AND e.gram = h.gram AND e.nth = h.nth - h.n
+    ), runs AS (
+        SELECT s.doc_id, s.name, s.place AS start, h.place AS last,
+               h.place - s.place + 1 + s.size AS sizes,
+               row_number() OVER (PARTITION BY s.doc_id, s.name, s.place ORDER BY h.place) AS shared
+        FROM marked s JOIN marked h ON h.doc_id = s.doc_id AND h.name = s.name
+            AND h.place >= s.place AND h.place < s.place + s.size * 3 // 2 AND h.before < s.place
+    ), best_runs AS (
+        SELECT * FROM (
+            SELECT *, max(last) OVER (PARTITION BY doc_id, name, start) AS furthest,
+                   row_number() OVER (PARTITION BY doc_id, name, start
+                       ORDER BY 2 * shared / CAST(sizes AS DOUBLE) DESC, last DESC) AS rank
+            FROM runs WHERE 10 * shared >= 4 * sizes
+        ) WHERE rank = 1
+    ), holders AS (
+        SELECT t.name, o.name AS holder FROM templates t JOIN templates o
+        ON t.segment <> o.segment AND contains(' ' || o.segment || ' ', ' ' || t.segment || ' ')
+    ), matches AS (
+        SELECT doc_id, name, shared, sizes FROM compared WHERE 10 * shared >= 4 * sizes
+        UNION ALL
+        SELECT doc_id, name, shared, sizes FROM best_runs r
+        WHERE NOT EXISTS (
+            SELECT 1 FROM best_runs o JOIN holders h ON o.name = h.holder
+            WHERE h.name = r.name AND o.doc_id = r.doc_id
+                AND o.start <= r.start AND r.last <= o.furthest
+        )
     ), best AS (
-        SELECT doc_id, name, max(dice) AS dice FROM compared WHERE dice >= 0.8
+        SELECT doc_id, name, max(200 * shared // sizes) AS percent FROM matches
         GROUP BY doc_id, name
     )
     SELECT p.doc_id, coalesce(string_agg(name, ',' ORDER BY name), '') AS license_names,
-           count(name) AS n_licenses,
-           coalesce(CAST(floor(100 * max(dice)) AS BIGINT), 0) AS best_percent
+           count(name) AS n_licenses, coalesce(CAST(max(percent) AS BIGINT), 0) AS best_percent
     FROM plain p LEFT JOIN best b ON p.doc_id = b.doc_id GROUP BY p.doc_id
     """
 )

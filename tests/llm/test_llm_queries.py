@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 import io
 import math
+import random
 import re
+import textwrap
 from collections import Counter
 from pathlib import Path
 
@@ -14,6 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from nestflow.llm import lattice, sharding
 from nestflow.llm.base import settled_paths
+from nestflow.llm.license_templates import TEMPLATES
 from nestflow.llm.queries import ORACLES, PIECES, QUERIES
 from tests.llm import brute
 from tools.check import compare, duck
@@ -131,6 +134,34 @@ def test_license_lines_of_the_documents(spark, documents):
     assert held["All rights reserved."] == 3 and len(held) >= 4
 
 
+def test_licences_equal_their_sql_in_odd_texts(spark, tmp_path):
+    """Notices amid lines, licences of several paragraphs, cut, repeated and edited ones."""
+    r = random.Random(8)
+
+    def prose(n: int) -> str:
+        return " ".join(r.choices("the of software anth ering is license to version reth".split(), k=n))
+
+    texts = [None, "", "all", "All rights\nreserved. All rights reserved. all Rights"]
+    for body in TEMPLATES.values():
+        words = body.split()
+        at = r.randrange(len(words))
+        texts += [
+            f"{prose(30)} {body} {prose(20)}",
+            f"{prose(5)}\n\n" + "\n".join(textwrap.wrap(body, 60)) + f"\n{prose(9)}",
+            " ".join([*words[:at], "changed", *words[at + 1 :]]),
+            " ".join(words[: max(2, len(words) * 4 // 5)]) + " " + prose(4),
+            f"{body} {body}\n{body}",
+        ]
+    r.shuffle(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows.coalesce(1).write.parquet(str(tmp_path / "made"))
+    (part,) = (tmp_path / "made").glob("*.parquet")
+    (tmp_path / "documents.parquet").write_bytes(part.read_bytes())
+    found = QUERIES["op4_licenses"](spark, str(tmp_path))
+    assert compare(found, duck(str(tmp_path)), "op4_licenses") is None
+    assert found.filter("n_licenses > 0").count() > 4 * len(TEMPLATES)
+
+
 def test_shards_are_written(spark, documents, monkeypatch):
     folders = []
     write = sharding.write_shards
