@@ -13,9 +13,11 @@ from nestflow.operators import apply_steps
 from nestflow.queries import fixtures
 from nestflow.queries.fixtures import ORDER_SCHEMA, PREFIXES, landing
 from nestflow.queries.registry import query, table
+from nestflow.sinks.publish import Folder
 from nestflow.sources import (
     CORRUPT,
     SOURCE_FILE,
+    infer_schema,
     narrow_schema,
     scan_elements,
     scan_fragments,
@@ -24,7 +26,7 @@ from nestflow.sources import (
     scan_xml,
     split_corrupt,
 )
-from nestflow.streaming import ingest_new_files
+from nestflow.streaming import take_new_files, taken_rows
 from nestflow.workspace import new_folder
 
 PLACED = """
@@ -176,11 +178,12 @@ def scan_xml_namespaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
 """)
 def scan_xml_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: the schema is inferred over all files at once, then cut to what is used."""
+    """S3: the schema is inferred over all files, in splits, then cut to what is used."""
     path = fixtures.orders_xml(spark, sf_dir)
     fields = ("l_linenumber", "l_quantity", "l_returnflag")
     used = ["_id", "o_orderpriority", *[f"lines.item.{f}" for f in fields]]
-    orders = scan_xml(spark, path, "ord", narrow_schema(scan_xml(spark, path, "ord").schema, used))
+    schema = narrow_schema(infer_schema(spark, path, "ord"), used)
+    orders = scan_fragments(spark, path, "ord", schema)
     lines = lines_of(orders, "o_orderpriority", fields=fields)
     return lines.withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
 
@@ -252,25 +255,41 @@ def route_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, o_orderstatus, CAST(1 AS BIGINT) AS times_taken FROM orders
+    SELECT o_orderkey, o_orderstatus, CAST(1 AS BIGINT) AS times_taken, FALSE AS cut_off FROM orders
+    UNION ALL SELECT -min(o_orderkey), 'new', 1, FALSE FROM orders
+    UNION ALL SELECT -max(o_orderkey), 'whole', 1, FALSE FROM orders
+    UNION ALL SELECT NULL, NULL, 1, TRUE FROM orders HAVING count(*) > 0
 """)
 def scan_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs; files land before the first and the second, none before the third."""
+    """Three runs with a ledger. Files land before the first and the second, where one of
+    the first is rewritten and one that its end cuts off comes; none land before the third."""
     schema = "_id bigint, o_orderstatus string"
     root = new_folder(spark, "incremental")
-    where, out, checkpoint = (f"{root}/{name}" for name in ("in", "out", "checkpoint"))
+    where, out = f"{root}/in", f"{root}/out"
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("_id"), "o_orderstatus"
     )
+    low, high = orders.agg(F.min("_id"), F.max("_id")).first()
     finished = F.col("o_orderstatus") == "F"
-    for arriving in (orders.filter(finished), orders.filter(~finished), None):
+
+    def record(number: int, status: str) -> str:
+        return f'<ord id="{-number}"><o_orderstatus>{status}</o_orderstatus>'
+
+    for run, arriving in enumerate((orders.filter(finished), orders.filter(~finished), None)):
         if arriving is not None:
             arriving.write.format("xml").option("rowTag", "ord").mode("append").save(where)
-        ingest_new_files(spark, landing(where), where, "ord", schema, out, checkpoint)
-    taken = spark.read.parquet(out)
-    return taken.groupBy(F.col("_id").alias("o_orderkey"), "o_orderstatus").agg(
-        F.count(F.lit(1)).alias("times_taken")
-    )
+            if low is not None:
+                landed = Folder(spark, where)
+                landed.delete("again.xml")
+                landed.write("again.xml", f"<all>{record(low, 'new' if run else 'earlier')}</ord></all>")
+                if run:
+                    whole = record(high, "whole")
+                    landed.write("cut.xml", f"<all>{whole}</ord>{record(high, 'cut')}")
+        take_new_files(spark, landing(where), where, "ord", schema, out)
+    taken = taken_rows(spark, out)
+    return taken.groupBy(
+        F.col("_id").alias("o_orderkey"), "o_orderstatus", F.col(CORRUPT).isNotNull().alias("cut_off")
+    ).agg(F.count(F.lit(1)).alias("times_taken"))
 
 
 @query("""

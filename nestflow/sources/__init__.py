@@ -2,6 +2,7 @@
 
 from nestflow.sources.elements import files_read, scan_elements, scan_named, tags_named
 from nestflow.sources.fragments import scan_fragments
+from nestflow.sources.inference import infer_schema
 from nestflow.sources.landing import Landing, day_folders, list_days, parse_day, scan_landing
 from nestflow.sources.tree import scan_tree
 from nestflow.sources.xml import (
@@ -19,6 +20,7 @@ __all__ = [
     "Landing",
     "day_folders",
     "files_read",
+    "infer_schema",
     "list_days",
     "list_files",
     "narrow_schema",

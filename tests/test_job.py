@@ -16,7 +16,13 @@ from nestflow.plans import run_job
 from nestflow.sinks import Publication, read_days, write_parquet, write_partitioned
 from nestflow.sinks.publish import Folder
 from nestflow.sources import Landing
-from nestflow.streaming import flatten_new_rows, ingest_new_files
+from nestflow.streaming import (
+    flatten_new_rows,
+    flatten_taken,
+    ingest_new_files,
+    take_new_files,
+    taken_rows,
+)
 from nestflow.workspace import drop_folder, shared_folder
 from tests.conftest import rows
 
@@ -593,3 +599,41 @@ def test_stream_takes_each_file_once(spark, write_text, tmp_path):
     assert run_twice_a_day() == [*first, ("SE", "2G", "05", 3, 30)]
     bad = spark.read.parquet(at("raw")).filter("_corrupt_record IS NOT NULL")
     assert [r._corrupt_record for r in bad.collect()] == [record("x", 1)]
+
+
+def test_ledger_takes_files_that_are_new_or_changed(spark, write_text, tmp_path, monkeypatch):
+    landing = Landing(f"{tmp_path}/in/{{}}", {"2G": "p2"})
+    out, folder = str(tmp_path / "taken"), "in/SE/p2/year=2024/month=05/day=01"
+
+    def go(most=2):
+        found = take_new_files(spark, landing, str(tmp_path / "in"), "rec", SCHEMA, out, most)
+        return rows(found.selectExpr("split(source_file, 'day=01/')[1] AS f", "batch", "complete"))
+
+    def flat():
+        return rows(flatten_taken(spark, out, STEPS).select("day", "id", "value"))
+
+    assert go() == []
+    for n, name in enumerate(("a", "b", "{c} [1]"), 1):
+        write_text(f"{folder}/{name}.xml", f"<r>{record(n, 10 * n)}</r>")
+    (tmp_path / folder / "bad.xml.gz").write_bytes(b"no archive")
+    write_text(f"{folder}/empty.xml", "")
+    first = [("a.xml", 0, True), ("b.xml", 0, True), ("bad.xml.gz", 1, None), ("{c} [1].xml", 1, True)]
+    assert go() == first
+    assert flat() == [("01", n, 10 * n) for n in (1, 2, 3)]
+    # Written again, in another size, cut off, and filled.
+    write_text(f"{folder}/a.xml", f"<r>{record(1, 11, 12)}</r>")
+    write_text(f"{folder}/cut.xml", f"<r>{record(5, 50)}<rec id='6'><v>60</v>")
+    write_text(f"{folder}/empty.xml", f"<r>{record(7, 70)}</r>")
+    # A run that dies after the rows are written, before the ledger has them.
+    with monkeypatch.context() as patch:
+        patch.setattr(Folder, "move", lambda *_: (_ for _ in ()).throw(Crash()))
+        with pytest.raises(Crash):
+            go(10)
+    assert flat() == [("01", n, 10 * n) for n in (1, 2, 3)]
+    later = [("a.xml", 2, True), ("cut.xml", 2, False), ("empty.xml", 2, True)]
+    assert go(10) == sorted([*first, *later], key=repr) == go(10)
+    want = [("01", 1, 11), ("01", 1, 12), ("01", 2, 20), ("01", 3, 30), ("01", 5, 50), ("01", 7, 70)]
+    assert flat() == want
+    bad = taken_rows(spark, out).filter("_corrupt_record IS NOT NULL")
+    assert [r._corrupt_record for r in bad.collect()] == ["<rec id='6'><v>60</v>"]
+    assert rows(taken_rows(spark, out, after=1).select("_id").filter("_id > 4")) == [(5,), (7,)]

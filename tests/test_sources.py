@@ -19,6 +19,7 @@ from nestflow.sources import (
     Landing,
     day_folders,
     files_read,
+    infer_schema,
     list_files,
     narrow_schema,
     parse_day,
@@ -403,6 +404,55 @@ class TestElements:
         assert rows(reduce(DataFrame.unionAll, parts)) == [(1,), (2,), (3,)]
 
 
+INFERRED = (
+    '<r><i id="1" d="2031-02-07"><v>1</v><v>2.5</v><t>2031-02-07T10:11:12</t><b>true</b></i>'
+    '<i id="x"><b>false</b><e/><s><k>1</k></s></i></r>',
+    '<r><i><s><k>1</k></s><s><k>2</k><m>a</m></s></i><i><s><k>3</k></s><n a="1">5</n><n>6</n></i></r>',
+    "<r><i><v>99999999999999999999</v><w>1e5</w><x>NaN</x><y>2031-13-45</y></i>"
+    "<i><y>2031-01-01</y><w>3</w><z>-0.5</z><z2>007</z2></i></r>",
+    '<r><i>text</i><i a="1"/></r>',
+    "<r><i><m>a<b>1</b>c</m></i><i><m>z</m></i></r>",
+    "<r><i><m>a<b>1</b></m></i><i><!-- <m>x</m> --><m/></i></r>",
+    "<r><i><d>2031-01-01</d><ts>2031-01-01 10:00:00</ts><z>2031-01-01T10:00:00Z</z><bo>TRUE</bo></i>"
+    "<i><d>2031-01-02T00:00:00</d><bo>1</bo></i></r>",
+    "<r><i><a> 5 </a><q>1,000</q><p>12%</p><big>9223372036854775808</big><l>9223372036854775807</l></i></r>",
+    '<r><i><n u="m">2031-02-07</n><n u="s">2031-02-08</n><o a="1"><p>1</p></o><o>x</o></i></r>',
+    '<r><xn:i xn:a="1"><es:v>a &amp; b</es:v></xn:i><i><w>1.5</w></i></r>',
+)
+
+
+@pytest.mark.parametrize("text", INFERRED)
+def test_inference_in_splits_is_that_of_the_reader(spark, write_text, text):
+    path = write_text("a.xml", text)
+    schema = scan_xml(spark, path, "i").schema
+    native = T.StructType([f for f in schema.fields if f.name != CORRUPT])
+    assert infer_schema(spark, path, "i") == native
+
+
+def test_inference_of_a_big_file_in_many_tasks(spark, write_text):
+    r = random.Random(4)
+    items = []
+    for n in range(4_000):
+        parts = [f"<v>{r.choice(['', n, n / 4 if n == 3333 else n])}</v>" * r.choice([1, 1, 1, 2 if n > 3900 else 1])]
+        parts.append(f"<when>{2000 + n % 30}-0{1 + n % 9}-1{n % 10}</when>")
+        parts.append(f'<place code="{n}">{"here" if n == 2000 else ""}</place>')
+        r.shuffle(parts)
+        items.append(f'<i id="{n}">{"".join(parts)}</i>')
+    text = f"<r>{''.join(items)}</r>"
+    path = write_text("a.xml", text)
+    native = scan_xml(spark, path, "i").schema
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(text) // 20))
+    try:
+        assert infer_schema(spark, path, "i") == native
+        # A split that begins in a comment, and nested tags, are left to the reader.
+        odd = write_text("b.xml", f"<r><i><!-- {'</i> ' * 20_000} --><w>1</w><i><u/></i></i>{items[0]}</r>")
+        native = scan_xml(spark, odd, "i").schema
+        assert infer_schema(spark, odd, "i") == native
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 PREFIXES = {"2G": "im/2G/x", "4G": "im/4G/", "5G": "im/5G"}
 
 
