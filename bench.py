@@ -21,10 +21,13 @@ from nestflow.queries import QUERIES, fixtures  # noqa: E402
 HEADLINE = [
     "inventory_flat",
     "inventory_fragments",
+    "inventory_deep",
     "example_flow",
     "job_daily",
     "scan_xml",
     "scan_xml_fragments",
+    "scan_xml_nested",
+    "scan_xml_any_prefix",
     "scan_xml_inferred",
     "scan_date_range",
     "scan_incremental",
@@ -35,12 +38,23 @@ HEADLINE = [
     "step_join_inner",
     "step_join_full",
     "step_join_semi",
+    "step_join_range",
     "step_group_agg",
     "step_group_agg_more",
     "step_order_by",
     "step_distinct",
 ]
-FIXTURES = ["orders_nested", "orders_xml", "dirty_xml", "landing_tree", "inventory_xml"]
+FIXTURES = [
+    "orders_nested",
+    "orders_xml",
+    "dirty_xml",
+    "cut_off_xml",
+    "landing_tree",
+    "inventory_xml",
+    "deep_inventory_xml",
+    "nested_tag_xml",
+    "prefixed_xml",
+]
 
 
 def main() -> None:

@@ -54,7 +54,10 @@ def conjuncts(text: str) -> list[str]:
         i += 1
     parts = [part.strip() for part in (*parts, text[start:])]
     whole = [_unwrapped(part) for part in parts]
-    return [x for part, own in zip(parts, whole, strict=True) for x in (conjuncts(own) if own != part else [part])]
+    made: list[str] = []
+    for part, own in zip(parts, whole, strict=True):
+        made += conjuncts(own) if own != part else [part]
+    return made
 
 
 def _last(text: str) -> str:
@@ -154,7 +157,8 @@ def _ranged(df: DataFrame) -> DataFrame:
             return F.unix_micros(name) / 1e6
         return F.nanvl(F.col(name).cast("double"), F.lit(1e300))
 
-    ends = [F.greatest(F.least(number(n), F.lit(1e300)), F.lit(-1e300)) for n in ("__low", "__high")]
+    low, high = F.lit(-1e300), F.lit(1e300)
+    ends = [F.greatest(F.least(number(n), high), low) for n in ("__low", "__high")]
     df = df.filter("__low IS NOT NULL AND __high IS NOT NULL")
     df = df.withColumns({"__low": F.least(*ends), "__high": F.greatest(*ends)})
     size = F.col("__high") - F.col("__low")

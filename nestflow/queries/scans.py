@@ -281,14 +281,17 @@ def scan_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
             if low is not None:
                 landed = Folder(spark, where)
                 landed.delete("again.xml")
-                landed.write("again.xml", f"<all>{record(low, 'new' if run else 'earlier')}</ord></all>")
+                status = "new" if run else "earlier"
+                landed.write("again.xml", f"<all>{record(low, status)}</ord></all>")
                 if run:
                     whole = record(high, "whole")
                     landed.write("cut.xml", f"<all>{whole}</ord>{record(high, 'cut')}")
         take_new_files(spark, landing(where), where, "ord", schema, out)
     taken = taken_rows(spark, out)
     return taken.groupBy(
-        F.col("_id").alias("o_orderkey"), "o_orderstatus", F.col(CORRUPT).isNotNull().alias("cut_off")
+        F.col("_id").alias("o_orderkey"),
+        "o_orderstatus",
+        F.col(CORRUPT).isNotNull().alias("cut_off"),
     ).agg(F.count(F.lit(1)).alias("times_taken"))
 
 

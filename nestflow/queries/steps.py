@@ -369,7 +369,8 @@ def step_join_or(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders"),
         table(spark, sf_dir, "lineitem"),
         ("o_orderkey", "o_totalprice", "l_linenumber", "l_extendedprice"),
-        on="l.o_orderkey = r.l_orderkey AND (r.l_linenumber = 1 OR r.l_extendedprice > l.o_totalprice / 2)",
+        on="l.o_orderkey = r.l_orderkey "
+        "AND (r.l_linenumber = 1 OR r.l_extendedprice > l.o_totalprice / 2)",
         how="inner",
     )
 

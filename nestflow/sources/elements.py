@@ -231,7 +231,10 @@ class _Rows:
             for n, c in fields.items()
         ]
         if self._keep:
-            bad = [F.when(misfit(fields[n], t).isNotNull(), top(TEXT)) for n, t in self._types.items()]
+            bad = [
+                F.when(misfit(fields[n], t).isNotNull(), top(TEXT))
+                for n, t in self._types.items()
+            ]
             bad = [F.col(f"`parsed row`.{CORRUPT}"), *bad, F.when(top("cut off"), top(TEXT))]
             made.append(F.coalesce(*bad).alias(CORRUPT))
         return df.select(*made, *map(top, kept))

@@ -121,7 +121,8 @@ def _below(
     text_schema, types = text_attributes(schema)
     options = {"ignoreNamespace": "true"} if ignore_namespace else {}
     others = [*around, NODE, PARENT, LEVEL, PATH, TEXT]
-    parsed = found.select(F.from_xml(TEXT, text_schema, options).alias("parsed row"), *map(top, others))
+    parsed = F.from_xml(TEXT, text_schema, options).alias("parsed row")
+    parsed = found.select(parsed, *map(top, others))
     fields = {n: F.col(f"`parsed row`.{quote_path([n])}") for n in schema.names}
     made = [
         (typed(c, types[n]) if n in types else c).alias(n) for n, c in fields.items()
