@@ -35,8 +35,10 @@ from nestflow.llm.decontamination import WORD_BYTES
 QUERY_BYTES = 128 << 10
 TREE_DOCUMENTS = 4096
 LEAF_DOCUMENTS = 32
-#: Terms whose weights are within a factor of this size share a band.
-_BAND = 0.5
+#: Bands of terms, by weight. More prune more leaves but make a tree dearer: of 10,000 documents of
+#: invented words, 200 queries score 87 % of the leaves with 32 bands, 66 % with 512 at the same
+#: cost, and 36 % with 2,048 at 1.8 times that.
+BANDS = 512
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -49,6 +51,13 @@ def weight(documents: int, holding: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * holding + 1)))
 
 
+def bands_of(weights: np.ndarray, count: int = BANDS) -> np.ndarray:
+    """The band of each term: terms of like weights share one, each as many."""
+    rank = np.empty(len(weights), np.int64)
+    rank[np.argsort(weights, kind="stable")] = np.arange(len(weights))
+    return rank * min(count, len(weights)) // max(len(weights), 1)
+
+
 class BallTree:
     """Sparse integer vectors, ordered by leaf, under nodes with a mean and radii by band."""
 
@@ -262,8 +271,7 @@ def _answers(
     """The best rows of each task for each query, by its place in ``queries``."""
     schema = "query int, doc_id bigint, score bigint"
     arrow = arrow_schema(vectors.sparkSession, schema)
-    steps = np.floor(np.log(np.maximum(weights, 1)) / _BAND).astype(np.int64)
-    bands = np.unique(steps, return_inverse=True)[1]
+    bands = bands_of(weights)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(k) for _ in queries]
