@@ -61,7 +61,7 @@ def output_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     markets, days = fixtures.markets(spark, sf_dir), fixtures.export_days(spark, sf_dir)
     rows = scan_landing(spark, tree, markets, ["2G", "4G", "5G"], *days, "ord", schema)
     # Told without the operator: the file's name up to its suffix, and the new suffix.
-    base = F.regexp_extract(SOURCE_FILE, r"([^/]*)\.xml$", 1)
+    base = F.regexp_extract(SOURCE_FILE, r"([^/]*)\.xml\.gz$", 1)
     rows = rows.withColumn("output", output_name(F.col(SOURCE_FILE))).withColumn(
         "same", (F.length(base) > 0) & (F.col("output") == F.concat(base, F.lit(".parquet")))
     )

@@ -104,3 +104,69 @@ def test_many_bands_stay_apart_in_tasks(spark, tmp_path):
         assert sorted(tuple(r)[:5] for r in got) == want
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def _small_tables(spark, folder) -> str:
+    """Two customers of one nation, their orders and lines."""
+    day = "timestamp_ntz'2024-01-01'"
+    made = {
+        "region": "SELECT 1 AS r_regionkey, 'R' AS r_name",
+        "nation": "SELECT 1 AS n_nationkey, 'N' AS n_name, 1 AS n_regionkey",
+        "customer": "SELECT id AS c_custkey, 'c' AS c_name, 1 AS c_nationkey, 1D AS c_acctbal, "
+        "'S' AS c_mktsegment FROM range(2)",
+        "part": "SELECT 1L AS p_partkey, 'p' AS p_name, 'b' AS p_brand, 't' AS p_type, "
+        "1 AS p_size",
+        "orders": f"SELECT id AS o_orderkey, id % 2 AS o_custkey, 'F' AS o_orderstatus, "
+        f"1D AS o_totalprice, {day} AS o_orderdate, 'x' AS o_orderpriority FROM range(200)",
+        "lineitem": f"SELECT id % 200 AS l_orderkey, 1 AS l_linenumber, 1L AS l_partkey, "
+        f"1L AS l_suppkey, 1D AS l_quantity, 1D AS l_extendedprice, 0D AS l_discount, "
+        f"'A' AS l_returnflag, 'F' AS l_linestatus, {day} AS l_shipdate FROM range(600)",
+    }
+    for name, text in made.items():
+        spark.sql(text).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_xml_of_the_queries_is_compressed_and_not_indented(spark, tmp_path):
+    tables = _small_tables(spark, tmp_path)
+    for made in (fixtures.orders_xml, fixtures.inventory_xml, fixtures.landing_tree):
+        folder = made(spark, tables)
+        files = spark.read.option("recursiveFileLookup", True).option("lineSep", "\0").text(folder)
+        names = {r[0] for r in files.select("_metadata.file_name").collect()}
+        assert names and all(name.endswith(".xml.gz") for name in names)
+        assert files.filter(r"value RLIKE '>\\s{2,}<'").count() == 0
+
+
+def test_split_scans_read_plain_files_too(spark, tmp_path):
+    tables = _small_tables(spark, tmp_path)
+    folder = fixtures.orders_large_xml(spark, tables)
+    files = spark.read.text(folder).select("_metadata.file_name").distinct().collect()
+    kinds = {r[0].endswith(".gz") for r in files}
+    assert kinds == {True, False}
+    for name in ("scan_xml", "scan_xml_fragments", "scan_xml_inferred"):
+        assert QUERIES[name](spark, tables).count() == 600
+
+
+@pytest.mark.parametrize("per_task", [10, 1_000_000])
+def test_more_rows_are_nested_by_more_tasks(spark, tmp_path, monkeypatch, per_task):
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", per_task)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(600).withColumn("k", F.col("id") % 100)
+        tasks = fixtures._together(rows, 600, "k").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert tasks == (60 if per_task == 10 else 8)
+    # Contexts of customers on both sides of a task's border stay whole.
+    tables = _small_tables(spark, tmp_path)
+    assert QUERIES["inventory_flat"](spark, tables).count() == 600
+    assert spark.read.parquet(fixtures.inventory_nested(spark, tables)).count() == 1
+
+
+def test_output_name_of_a_compressed_file(spark):
+    from nestflow.functions import output_name
+
+    names = spark.createDataFrame([("gs://b/f.xml.gz",), ("gs://b/f.gz",)], "p string")
+    got = names.select(output_name(F.col("p"))).collect()
+    assert [r[0] for r in got] == ["f.parquet", "f.gz"]
