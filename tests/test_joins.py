@@ -277,3 +277,22 @@ def test_names_of_a_condition_join(spark):
     out = join(left, right, on=["l.k = r.k"])
     assert out.columns == ["k", "r_k", "r_r_r_k", "a`b", "r_r_k"]
     assert rows(out) == [(1, 2, 1, 3, 4)]
+
+
+def test_ranges_of_many_pairs_are_joined_by_many_tasks(spark, monkeypatch):
+    """Few bytes that make many pairs, in cells that are not full by their rows."""
+    monkeypatch.setattr(range_joins, "CELL_PAIRS", 500)
+    monkeypatch.setattr(range_joins, "TASK_PAIRS", 5_000)
+    left = spark.sql("SELECT id AS a, CAST(id % 50 AS DOUBLE) AS x FROM range(1000)")
+    right = spark.sql("SELECT id AS b, CAST(id % 50 AS DOUBLE) AS y FROM range(200)")
+    step = {"operation": "join", "on": ["l.x BETWEEN r.y - 10 AND r.y + 10"], "with": "r"}
+    for one, other in ((left, right), (right.toDF("a", "x"), left.toDF("b", "y"))):
+        out = apply_steps(one, [step], inputs={"r": other})
+        got = out.select("a", "b", F.spark_partition_id().alias("task")).collect()
+        pairs = [(r.a, r.b) for r in got]
+        rows = [(r.a, r.x) for r in one.collect()], [(r.b, r.y) for r in other.collect()]
+        want = [(a, b) for a, x in rows[0] for b, y in rows[1] if y - 10 <= x <= y + 10]
+        assert sorted(pairs) == sorted(want)
+        tasks = [sum(r.task == t for r in got) for t in {r.task for r in got}]
+        assert len(tasks) > 8
+        assert max(tasks) < len(pairs) / 4
