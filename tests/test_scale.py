@@ -170,3 +170,19 @@ def test_output_name_of_a_compressed_file(spark):
     names = spark.createDataFrame([("gs://b/f.xml.gz",), ("gs://b/f.gz",)], "p string")
     got = names.select(output_name(F.col("p"))).collect()
     assert [r[0] for r in got] == ["f.parquet", "f.gz"]
+
+
+def test_compressed_files_of_the_landing_are_capped(spark, tmp_path, monkeypatch):
+    """One task reads a compressed file, so that no file may grow with the tables."""
+    caps, write = [], fixtures.write_xml
+
+    def noted(*args, **options):
+        caps.append(options.get("records_per_file", 0))
+        return write(*args, **options)
+
+    monkeypatch.setattr(fixtures, "write_xml", noted)
+    tables = _small_tables(spark, tmp_path)
+    for made in (fixtures.orders_xml, fixtures.landing_tree, fixtures.line_tree):
+        made(spark, tables)
+    fixtures.inventory_xml(spark, tables)
+    assert len(caps) == 4 and all(0 < cap <= 500_000 for cap in caps)
