@@ -5,8 +5,9 @@ there. The tasks go through the pieces of a split in order and cut the outermost
 the row tag: they may be nested in themselves, and the tag may stand in comments, CDATA and
 processing instructions. ``from_xml`` makes the rows of what was cut.
 
-A split begins where the closing tag of an element was cut, so it is taken to begin one level
-deep, outside of comments and the like. Each task writes, with its rows, how each of its splits
+A split begins where the closing tag of an element was cut, so it is taken to begin at least one
+level deep. How deep, and whether in a comment or the like, is guessed from its first pieces: where
+levels close that it has not opened. Each task writes, with its rows, how each of its splits
 began and ended. Where a split turns out to have begun otherwise than taken, as the ends of
 those before it tell, its rows are dropped and it is read again, until all agree. Elements that
 reach over splits are put together from the ends that the tasks have written; one that has no
@@ -20,7 +21,7 @@ import re
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from functools import reduce
-from itertools import count
+from itertools import count, groupby
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -45,7 +46,13 @@ _ATTRIBUTES = r"""(?:\s(?:[^"'<>]|"[^"]*"|'[^']*')*)?"""
 BLOCK, PLACE, KIND, TEXT = "element_block", "element_place", "element_kind", "element_text"
 #: Splits that one round reads again: their table is broadcast.
 MOST_AGAIN = 1_000_000
-STATES = ("begin_state", "begin_depth", "end_state", "end_depth", "around")
+STATES = ("begin_state", "begin_depth", "end_state", "end_depth", "around", "lowest")
+#: Text from which the begin of a split is guessed, and what its pieces are taken to be.
+LOOK_AHEAD, MOST_LOOKED_AT = 1 << 20, 4_096
+#: Runs of plain pieces that are as quickly cut one by one.
+FEW_PLAIN = 16
+# More levels than any file has.
+_DEEP = 1 << 30
 
 
 class Cutter:
@@ -65,10 +72,37 @@ class Cutter:
             for tag, attribute in ancestors.values()
         ]
         self._any_start = re.compile(rf"{_ATTRIBUTES}>")
+        # A piece that ends one element and begins the next, without any other token.
+        attributes = _ATTRIBUTES.replace("<>]", "<>/]")
+        self._plain_start = rf"^>[^<]*<{name}{attributes}>"
+
+    def guessed(self, pieces: list[str]) -> tuple[int, int]:
+        """State and depth that a split seems to begin with, by its first pieces, each after the
+        begin of a closing row tag.
+
+        The depth is one at least, and never more than the true one if the state is right.
+        """
+        text, state = self.begin_of_end.join(pieces), CONTENT
+        before_tag = text.split("<", 1)[0]
+        # Neither text nor markup may hold the end of CDATA.
+        if "]]>" in text.split("<![CDATA[", 1)[0]:
+            state = CDATA
+        elif "-->" in before_tag:
+            state = COMMENT
+        elif "?>" in before_tag:
+            state = INSTRUCTION
+        self.begin(state, _DEEP)
+        for piece in pieces:
+            for _ in self.feed(piece, True):
+                pass
+            self._parts.clear()
+        return state, max(1, -self.lowest)
 
     def begin(self, state: int, depth: int) -> None:
         """Before the first piece of a split."""
         self.state, self.depth, self.around = state, depth, 0
+        # The least depth against that of the begin, also by closing tags without an element.
+        self.lowest, self._level = 0, 0
         self._parts: list[str] = []
         self._open = depth > 0  # what is gathered began in an earlier split
         self.marks: list[str | None] = [None] * len(self._ancestors)
@@ -84,6 +118,10 @@ class Cutter:
             if self.depth:
                 self._parts.append(self.begin_of_end)
             closed = self._close.match(piece) if self.state == CONTENT else None
+            if closed:
+                self._level -= 1
+                if self._level < self.lowest:
+                    self.lowest = self._level
             if closed and self.depth:
                 at = closed.end()
                 self.depth -= 1
@@ -112,6 +150,7 @@ class Cutter:
                         yield ELEMENT, piece[begin:at], self._own_marks
                 if not empty:
                     self.depth += 1
+                    self._level += 1
             elif token.startswith("</"):
                 self.around -= 1
                 self._mark(token, "")
@@ -123,6 +162,53 @@ class Cutter:
         if self.depth:
             self._parts.append(piece[begin:])
 
+    def plain(self, pieces: pa.Array) -> pa.Array:
+        """Which pieces end one element and begin the next, and hold nothing else to look at."""
+        try:
+            pieces.validate(full=True)
+        except pa.ArrowInvalid:  # no UTF-8, which ``feed`` is not given
+            return pa.repeat(False, len(pieces))
+        one = pc.equal(pc.count_substring(pieces, self._row), 1)
+        special = pc.or_(pc.match_substring(pieces, "<!"), pc.match_substring(pieces, "<?"))
+        likely = pc.and_not(one, special)
+        if (pc.sum(likely).as_py() or 0) < FEW_PLAIN:
+            return pa.repeat(False, len(pieces))
+        return pc.and_(likely, pc.match_substring_regex(pieces, self._plain_start))
+
+    def feed_all(self, pieces: pa.Array, after_end: bool) -> Iterator[tuple]:
+        """What ``feed`` gives of these pieces, with arrays of texts for runs of plain ones;
+        ``after_end`` is of the first."""
+        at = 0
+        for low, high in _true_runs(self.plain(pieces)):
+            if high - low < FEW_PLAIN:
+                continue
+            while at < high and (
+                at < low or not after_end or self.state != CONTENT or self.depth != 1
+            ):
+                yield from self.feed(pieces[at].as_py(), after_end)
+                at, after_end = at + 1, True
+            if at < high:
+                yield from self.feed_plain(pieces.slice(at, high - at))
+                at = high
+        for piece in pieces.slice(at).to_pylist():
+            yield from self.feed(piece, after_end)
+            after_end = True
+
+    def feed_plain(self, pieces: pa.Array) -> Iterator[tuple[int, pa.Array, list]]:
+        """What ``feed`` gives of plain pieces, all at once; to be called at depth one, in content."""
+        yield self._ended_plain()
+        bodies = pc.replace_substring_regex(pieces, "^>[^<]*", "")
+        if len(bodies) > 1:
+            end = pa.scalar(f"{self.begin_of_end}>", bodies.type)
+            whole = pc.binary_join_element_wise(bodies[:-1], end, pa.scalar("", bodies.type))
+            yield ELEMENT, whole.cast(pa.string()), list(self.marks)
+        self._parts, self._own_marks = [bodies[-1].as_py()], list(self.marks)
+
+    def _ended_plain(self) -> tuple[int, pa.Array, list]:
+        self.lowest = min(self.lowest, self._level - 1)
+        kind, text, marks = self._done(f"{self.begin_of_end}>")
+        return kind, pa.array([text], pa.string()), marks
+
     def end_of_start(self, text: str, at: int) -> int:
         """Where the start tag of the row tag ends that begins there."""
         return self._end_of_start(self._start, text, at)[0]
@@ -269,8 +355,8 @@ def _pieces(spark, paths, row_tag, recursive, encoding, reader) -> DataFrame:
 def _cut(pieces: DataFrame, row_tag: str, ancestors: Mapping[str, tuple[str, str]]) -> DataFrame:
     """The elements, ends of elements and states of the splits that the pieces are of.
 
-    ``pieces`` may say how a split begins; else it is one level deep, and the first split of a
-    file is outside.
+    ``pieces`` may say how a split begins; else that is guessed, and the first split of a file
+    is outside.
     """
     if "begin_state" not in pieces.columns:
         none = F.lit(None).cast("int")
@@ -286,44 +372,84 @@ def _cut(pieces: DataFrame, row_tag: str, ancestors: Mapping[str, tuple[str, str
         *((name, pa.string(), "string") for name in ancestors),
     ]
     arrow = pa.schema([(name, kind) for name, kind, _ in fields])
-    nothing = [None] * len(STATES)
+    own_types = [pa.int32(), *(pa.string() for _ in ancestors)]
+
+    def rows(found: list[tuple], split: tuple, place: int) -> pa.RecordBatch:
+        """Rows of elements and ends; the texts of a kind may come as an array."""
+        parts: list[list[pa.Array]] = []
+        for many, run in groupby(found, lambda f: isinstance(f[1], pa.Array)):
+            if many:
+                for kind, texts, marks in run:
+                    same = zip([kind, *marks], own_types, strict=True)
+                    same = [pa.repeat(pa.scalar(v, t), len(texts)) for v, t in same]
+                    parts.append([texts, *same])
+            else:
+                kinds, texts, marks = zip(*run, strict=True)
+                own = zip([kinds, *zip(*marks, strict=True)], own_types, strict=True)
+                parts.append([pa.array(texts, pa.string()), *(pa.array(v, t) for v, t in own)])
+        texts, kinds, *marks = (pa.concat_arrays(c) for c in zip(*parts, strict=True))
+        count = len(texts)
+        at = [pa.repeat(pa.scalar(v, t), count) for v, t in zip(split, arrow.types[1:3], strict=True)]
+        places = pa.array(range(place, place + count), pa.int64())
+        states = [pa.nulls(count, pa.int32()) for _ in STATES]
+        columns = [texts, *at, places, kinds, *states, *marks]
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, split, place, began, first = Cutter(row_tag, ancestors), None, 0, (0, 0), False
+        left, after = iter(batches), None
 
-        def ended() -> Iterator[tuple]:
-            nonlocal place
+        def ended() -> Iterator[pa.RecordBatch]:
             if split is None:
                 return
+            at = place
             if rest := cutter.end():
-                yield rest[1], *split, place, rest[0], *nothing, *rest[2]
-            place += 1
-            states = (*began, cutter.state, cutter.depth, cutter.around)
-            yield None, *split, place, SPLIT, *states, *cutter.marks
-
-        def made(rows: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) or [()] * len(arrow)
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, schema=arrow)
-
-        for batch in batches:
-            rows: list[tuple] = []
+                yield rows([rest], split, at)
+                at += 1
+            states = (*began, cutter.state, cutter.depth, cutter.around, cutter.lowest)
+            row = (None, *split, at + 1, SPLIT, *states, *cutter.marks)
+            columns = [pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+        def looked_at(pieces: pa.Array) -> list[str]:
+            """The first pieces of the split, from the next batch as well if it has more."""
+            nonlocal after
+            seen = pieces.slice(0, MOST_LOOKED_AT).to_pylist()
+            if len(seen) < MOST_LOOKED_AT and last:
+                after = next(left, None) if after is None else after
+                if after is not None and after.num_rows:
+                    low, high = _runs(after.column(1), after.column(2))[0]
+                    if (after.column(1)[low].as_py(), after.column(2)[low].as_py()) == split:
+                        more = after.column(0).slice(low, min(high - low, MOST_LOOKED_AT))
+                        seen += more.to_pylist()
+            size = 0
+            for number, piece in enumerate(seen, 1):
+                size += len(piece)
+                if size > LOOK_AHEAD:
+                    return seen[:number]
+            return seen
+
+        while (batch := next(left, None) if after is None else after) is not None:
+            after = None
             columns = [batch.column(i) for i in range(5)]
-            same = _runs(columns[1], columns[2])
-            for low, high in same:
+            for low, high in _runs(columns[1], columns[2]):
                 file, block, state, depth = (c[low].as_py() for c in columns[1:])
+                pieces, last = columns[0].slice(low, high - low), high == batch.num_rows
                 if (file, block) != split:
-                    rows += ended()
+                    yield from ended()
                     split, place, first = (file, block), 0, block == 0
-                    began = (state or 0, (0 if first else 1) if depth is None else depth)
+                    if depth is not None:
+                        began = (state, depth)
+                    else:
+                        began = (CONTENT, 0) if first else cutter.guessed(looked_at(pieces))
                     cutter.begin(*began)
-                for piece in columns[0].slice(low, high - low).to_pylist():
-                    for kind, text, marks in cutter.feed(piece, not first):
-                        rows.append((text, file, block, place, kind, *nothing, *marks))
-                        place += 1
-                    first = False
-            yield made(rows)
-        yield made(list(ended()))
+                found = list(cutter.feed_all(pieces, not first))
+                first = False
+                if found:
+                    made = rows(found, split, place)
+                    place += made.num_rows
+                    yield made
+        yield from ended()
 
     schema = ", ".join(f"`{name}` {kind}" for name, _, kind in fields)
     ship_library(pieces.sparkSession)
@@ -343,6 +469,18 @@ def _runs(files: pa.Array, blocks: pa.Array) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
 
 
+def _true_runs(flags: pa.Array) -> list[tuple[int, int]]:
+    """Ranges of rows that are true."""
+    places = pc.indices_nonzero(flags)
+    if not len(places):
+        return []
+    places = places.cast(pa.int64())
+    gaps = pc.indices_nonzero(pc.not_equal(pc.subtract(places[1:], places[:-1]), 1)).to_pylist()
+    begins = [0, *(i + 1 for i in gaps)]
+    ends = [*(i + 1 for i in gaps), len(places)]
+    return [(places[a].as_py(), places[b - 1].as_py() + 1) for a, b in zip(begins, ends)]
+
+
 def _agreed(
     pieces: DataFrame, row_tag: str, ancestors: Mapping, rows: _Rows, folder: str, with_text: bool
 ) -> tuple[DataFrame, DataFrame]:
@@ -384,8 +522,13 @@ def _wrong(states: DataFrame) -> DataFrame:
     """
     before = Window.partitionBy(SOURCE_FILE).orderBy(BLOCK)
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
-    depth = F.sum(F.col("end_depth") - F.col("begin_depth")).over(earlier)
-    depth = F.greatest(F.coalesce(depth, F.lit(0)), F.lit(0)).cast("int")
+    # Closing tags outside of all elements end none, by how a split was taken to begin.
+    ignored = F.greatest(F.lit(0), -(F.col("begin_depth") + F.col("lowest")))
+    net = F.sum(F.col("end_depth") - F.col("begin_depth") - ignored).over(earlier)
+    states = states.withColumn("net", F.coalesce(net, F.lit(0)))
+    lowest = F.min(F.col("net") + F.col("lowest")).over(earlier)
+    depth = F.col("net") - F.least(F.lit(0), F.coalesce(lowest, F.lit(0)))
+    depth = depth.cast("int")
     state = F.coalesce(F.lag("end_state").over(before), F.lit(CONTENT))
     told = states.select(
         SOURCE_FILE, BLOCK, "begin_state", "begin_depth", state.alias("state"), depth.alias("depth")

@@ -106,10 +106,12 @@ def decoded_text(encoding: str) -> Column:
     known = {encoding.upper(), *(["US-ASCII", "ASCII"] if encoding.upper() == "UTF-8" else [])}
     declared = F.upper(F.regexp_extract(F.substring(value, 1, 200), _DECLARED, 1))
     problem = F.concat(F.lit("encoding "), declared, F.lit(" declared in "), file_path())
-    refused = F.col("_metadata.file_block_start") == 0
-    refused &= F.instr(F.substring(value, 1, 10), "<?xml") > 0
-    refused &= (declared != "") & ~declared.isin(sorted(known))
-    return F.when(refused, F.raise_error(problem)).otherwise(value)
+    refused = (declared != "") & ~declared.isin(sorted(known))
+    # Within a branch, so that the pattern is tried on first pieces only.
+    begins = F.col("_metadata.file_block_start") == 0
+    begins &= F.instr(F.substring(value, 1, 10), "<?xml") > 0
+    checked = F.when(refused, F.raise_error(problem)).otherwise(value)
+    return F.when(begins, checked).otherwise(value)
 
 
 def _after_last(tag: str) -> Column:

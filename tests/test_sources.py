@@ -7,6 +7,7 @@ import time
 from datetime import date, datetime
 from functools import reduce
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -30,7 +31,7 @@ from nestflow.sources import (
     split_corrupt,
     tags_named,
 )
-from nestflow.sources.elements import COMMENT, HEAD, TAIL, Cutter
+from nestflow.sources.elements import COMMENT, HEAD, TAIL, Cutter, _wrong
 from nestflow.sources.landing import folder_day, window_glob
 from tests.conftest import rows
 
@@ -310,6 +311,78 @@ class TestElements:
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
+    def test_splits_that_begin_inside_of_nested_elements_are_read_once(
+        self, spark, write_text, tmp_path
+    ):
+        def order(n):
+            lines = "".join(f'<o id="{k}"><q>{k}.5</q></o>' for k in range(n % 7))
+            return (
+                f'<!-- an <o> --><o id="{n}"><!-- no </o> --><st>F</st>{lines}'
+                f'<t><![CDATA[</o><o id="0">]]></t><?end </o> ?></o{" " * (n % 2)}>\n'
+            )
+
+        path = write_text("orders.xml", "".join(map(order, range(2_000))))
+        schema = "_id bigint, st string, o array<struct<_id int, q double>>"
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16000")
+        try:
+            folder = tmp_path / "scan"
+            found = scan_elements(spark, path, "o", schema, folder=str(folder))
+            got = {r["_id"]: [tuple(o) for o in r["o"] or ()] for r in found.collect()}
+            assert got == {n: [(k, k + 0.5) for k in range(n % 7)] for n in range(2_000)}
+            assert found.count() == 2_000
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [f.name for f in folder.glob("rows-*")] == ["rows-0"]
+
+    def test_a_split_that_began_too_high_spoils_no_later_one(self, spark):
+        # Each begins two levels deep, was taken to begin one level deep, and ended as it should.
+        states = [("f", 0, 0, 0, 0, 2, 0, 0)]
+        states += [("f", k, 0, 1, 0, 2, 0, -2) for k in range(1, 6)]
+        names = "source_file string, element_block bigint, begin_state int, begin_depth int, "
+        names += "end_state int, end_depth int, around int, lowest int"
+        wrong = _wrong(spark.createDataFrame(states, names))
+        assert rows(wrong) == [("f", k, 0, 2) for k in range(1, 6)]
+
+    def test_plain_pieces_are_cut_at_once(self):
+        pieces = pa.array([f'><i id="{k}"><v>{k}</v>' for k in range(1_000)])
+        cutter = Cutter("i", {})
+        cutter.begin(0, 1)
+        found = list(cutter.feed_all(pieces, True))
+        assert len(found) < 10
+        texts = [t for _, text, _ in found for t in text.to_pylist()]
+        assert texts[0] == "</i>"
+        assert texts[1:] == [f'<i id="{k}"><v>{k}</v></i>' for k in range(999)]
+        assert cutter.end() == (TAIL, '<i id="999"><v>999</v>', [])
+
+    @pytest.mark.parametrize("seed", range(20))
+    def test_many_pieces_are_cut_as_one_by_one(self, seed):
+        r = random.Random(seed)
+        odd = [
+            " >", ">", "x>", ' --><i>', '><i id="1"/>', '><i a="/>"><v/>', "><n id='2'><i>", "></n><i>",
+            "><i><!-- ", "-->", "><i><![CDATA[", "]]>", "><i><?p ", "?>", '><i id="3"><i>', "><ij><i x='<'>",
+            "><i\n>\u00e9", "> text <i>&lt;", "><i b='1' / >", '><i c="2>', "><i\u00a0>",
+        ]
+        pieces = []
+        for _ in range(30):
+            pieces += [f'>\n<i id="{k}"><v>{k}</v>' for k in range(r.randint(0, 40))]
+            pieces += r.choices(odd, k=r.randint(0, 3))
+        results = []
+        for at_once in (False, True):
+            cutter = Cutter("i", {"net": ("n", "id")})
+            cutter.begin(0, r.randint(0, 2) if not at_once else began)
+            began, found = cutter.depth, []
+            if at_once:
+                for kind, text, marks in cutter.feed_all(pa.array(pieces), began > 0):
+                    texts = text.to_pylist() if isinstance(text, pa.Array) else [text]
+                    found += [(kind, t, list(marks)) for t in texts]
+            else:
+                for number, piece in enumerate(pieces):
+                    found += [(k, t, list(m)) for k, t, m in cutter.feed(piece, number or began > 0)]
+            states = cutter.state, cutter.depth, cutter.around, cutter.lowest, cutter.marks
+            results.append((found, states, cutter.end()))
+        assert results[0] == results[1]
+
     def test_cutter_says_how_a_split_ends(self):
         cutter = Cutter("i", {})
         cutter.begin(0, 0)
