@@ -106,6 +106,17 @@ def test_run(spark, land, tmp_path, caplog):
     ]
 
 
+def test_fields_named_as_the_places_are_replaced(spark, land, tmp_path):
+    land("SE", "p2", 1, '<rec id="1"><Year>x</Year><tech>y</tech><v>3</v></rec>')
+    job = JobConfig.from_dict(
+        config(tmp_path, flattening_config={"2G": [{"operation": "distinct"}]})
+    )
+    schemas = {"2G": "_id int, Year string, tech string, v int"}
+    run_job(spark, job, ["SE"], ["2G"], *WINDOW, schemas=schemas)
+    out = spark.read.parquet(f"{tmp_path}/out/flat")
+    assert rows(out.select("market", "tech", "year", "_id", "v")) == [("SE", "2G", 2024, 1, 3)]
+
+
 def test_second_run_replaces_its_days_only(spark, land, tmp_path):
     land("SE", "p2", 1, record(1, 10))
     land("SE", "p2", 2, record(2, 20))

@@ -383,6 +383,24 @@ class TestElements:
             results.append((found, states, cutter.end()))
         assert results[0] == results[1]
 
+    def test_what_a_file_tells_is_not_computed_for_each_row(self, spark, write_text):
+        text = "".join(f'<i id="{k}"><v>{k}</v></i>' for k in range(5_000))
+        write_text("in/a.xml", f"<r>{text}</r>")
+        path = write_text("in/b.xml", '<r><i id="x"/><i id="9"><v>cut off')
+        told = {
+            "name": F.substring_index("source_file", "/", -1),
+            "number": F.monotonically_increasing_id(),
+        }
+        df = scan_elements(
+            spark, path.rsplit("/", 1)[0], "i", "_id int, v int", keep_corrupt=True, of_file=told
+        )
+        assert df.columns == ["_id", "v", CORRUPT, "name", "number"]
+        found = [(k, k, None, "a.xml") for k in range(5_000)]
+        found += [(None, None, '<i id="x"/>', "b.xml")]
+        found += [(None, None, '<i id="9"><v>cut off', "b.xml")]
+        assert sorted(rows(df.drop("number")), key=repr) == sorted(found, key=repr)
+        assert df.select("number").distinct().count() < 50
+
     def test_cutter_says_how_a_split_ends(self):
         cutter = Cutter("i", {})
         cutter.begin(0, 0)
