@@ -186,3 +186,44 @@ def test_compressed_files_of_the_landing_are_capped(spark, tmp_path, monkeypatch
         made(spark, tables)
     fixtures.inventory_xml(spark, tables)
     assert len(caps) == 4 and all(0 < cap <= 500_000 for cap in caps)
+
+
+def test_lines_of_the_exports_are_shuffled_without_what_is_around_them(spark, tmp_path):
+    """Each line took the names of its order and customer along, twice."""
+    tables = _small_tables(spark, tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            fixtures._exports(spark, tables).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffled = [part for part in text.getvalue().split("\n\n") if ") Exchange\n" in part]
+    of_lines = [part for part in shuffled if "l_suppkey" in part]
+    assert len(of_lines) >= 2
+    around = ("c_name", "c_mktsegment", "n_name", "r_name", "o_orderpriority", "o_orderstatus")
+    assert not [part for part in of_lines if any(name in part for name in around)]
+
+
+def test_an_order_and_its_customer_that_stand_twice_meet_each_line_as_often(spark, tmp_path):
+    tables = _small_tables(spark, tmp_path)
+    for name, twice in (("orders", "o_orderkey = 3"), ("customer", "c_custkey = 1")):
+        table = spark.read.parquet(f"{tables}/{name}.parquet")
+        table.filter(twice).write.mode("append").parquet(f"{tables}/{name}.parquet")
+    flat = QUERIES["inventory_flat"](spark, tables)
+    # Customers have always been joined twice; of three lines of order 3 each comes twice more.
+    counts = {r[0]: r[1] for r in flat.groupBy("MiddleVsDataContainerId").count().collect()}
+    assert counts == {str(k): 3 * (4 if k % 2 else 1) * (2 if k == 3 else 1) for k in range(200)}
+
+
+def test_shuffles_of_the_fixtures_leave_the_disk_when_they_are_written(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name, None), []
+
+    def write_noted(session, sf_dir, path):
+        seen.append(session.conf.get(name))
+
+    fixtures._once(write_noted)(spark, str(tmp_path))
+    assert seen == ["true"]
+    assert spark.conf.get(name, None) == before
