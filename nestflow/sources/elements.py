@@ -529,7 +529,8 @@ def _agreed(
         df = df.withColumn("end text", kept_text)
         df = df.withColumn(TEXT, F.when(element, top(TEXT)))
         df = rows.parsed(df, F.lit(False), [*kept, "end text"])
-        df.withColumnRenamed("end text", TEXT).write.parquet(f"{folder}/rows-{number}")
+        df = df.withColumnRenamed("end text", TEXT)
+        df.write.option("compression", "zstd").parquet(f"{folder}/rows-{number}")
         made = spark.read.parquet(f"{folder}/rows-{number}")
         new = made.filter(F.col(KIND) == SPLIT).select(*at, *STATES, *map(top, ancestors))
         made = made.filter(F.col(KIND) != SPLIT)
