@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import contextlib
 import gzip
+import io
 import logging
 import os
 import time
@@ -12,7 +14,7 @@ import pytest
 
 from nestflow import StepError
 from nestflow.config import JobConfig
-from nestflow.plans import run_job
+from nestflow.plans import job, run_job
 from nestflow.sinks import Publication, read_days, write_parquet, write_partitioned
 from nestflow.sinks.publish import Folder
 from nestflow.sources import Landing
@@ -106,6 +108,29 @@ def test_run(spark, land, tmp_path, caplog):
     ]
 
 
+def test_rows_are_not_shuffled_to_leave_out_unreadable_files(
+    spark, land, write_text, tmp_path, monkeypatch
+):
+    land("SE", "p2", 1, record(1, 10))
+    write_text("in/SE/p2/year=2024/month=05/day=01/broken.xml.gz", "<r></r>")
+    plans, split = [], job.split_corrupt
+
+    def noted(scanned):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            scanned.explain()
+        plans.append(text.getvalue())
+        return split(scanned)
+
+    monkeypatch.setattr(job, "split_corrupt", noted)
+    report = run(spark, tmp_path, techs=["2G"], markets=["SE"])
+    assert [r.status for r in of_files(report).orderBy("status").collect()] == [
+        "unreadable", "written",
+    ]
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0]
+    assert "SortMergeJoin" not in plans[0]
+
+
 def test_fields_named_as_the_places_are_replaced(spark, land, tmp_path):
     land("SE", "p2", 1, '<rec id="1"><Year>x</Year><tech>y</tech><v>3</v></rec>')
     job = JobConfig.from_dict(

@@ -31,6 +31,7 @@ from nestflow.sources import (
     split_corrupt,
     tags_named,
 )
+from nestflow.sources import elements
 from nestflow.sources.elements import COMMENT, HEAD, TAIL, Cutter, _wrong
 from nestflow.sources.landing import folder_day, window_glob
 from tests.conftest import rows
@@ -401,6 +402,30 @@ class TestElements:
         assert sorted(rows(df.drop("number")), key=repr) == sorted(found, key=repr)
         assert df.select("number").distinct().count() < 50
 
+    def test_pieces_go_to_python_without_their_paths(
+        self, spark, write_text, tmp_path, monkeypatch
+    ):
+        names = ["in/a b%20c.xml", "in/p+q.xml", "in/deep/\u00fc=1,{x}#h.xml", "in/none.xml"]
+        for number, name in enumerate(names):
+            found = "".join(f'<i id="{number}"><v>{k}</v></i>\n' for k in range(number * 50))
+            write_text(name, f"<r>{found}</r>")
+
+        def scan():
+            options = {"with_file": True, "recursive": True}
+            options["of_file"] = {"n": F.upper(elements.SOURCE_FILE)}
+            return rows(scan_elements(spark, f"{tmp_path}/in", "i", "_id int, v int", **options))
+
+        text = elements._text(spark, f"{tmp_path}/in", "i", True, None)
+        pieces, files = elements._numbered(text, "UTF-8")
+        assert files.count() == 4 and elements.SOURCE_FILE not in pieces.columns
+        numbered = scan()
+        monkeypatch.setattr(elements, "MOST_FILES", 3)
+        assert elements._numbered(text, "UTF-8")[1] is None
+        assert numbered == scan()
+        assert {(r[0], r[2].rsplit("/", 1)[1]) for r in numbered} == {
+            (number, name.rsplit("/", 1)[1]) for number, name in enumerate(names) if number
+        }
+
     def test_cutter_says_how_a_split_ends(self):
         cutter = Cutter("i", {})
         cutter.begin(0, 0)
